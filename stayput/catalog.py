@@ -13,7 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayput.operators import decide, portfolio, score
+from stayput import presets
+from stayput.operators import clean, decide, encode, features, portfolio, score
+from stayput.plans.feature_plan import FeaturePlan
+from stayput.session import table_path
 from stayput.sources.subscribers import subscribers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,5 +131,272 @@ def p9_high_risk_filter(spark, sf):
     return portfolio.high_risk(scored_subscribers(spark, sf), 50.0).select("customerID", "churn_probability")
 
 
+def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(table_path(sf, name))
+
+
+def _records(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 inputs + target (no helper key)."""
+    return subscribers(spark, sf).select(*presets.INPUT_COLUMNS, presets.TARGET)
+
+
+def _round_doubles(df: DataFrame) -> DataFrame:
+    return df.select(*[r6(f.name).alias(f.name) if f.dataType.simpleString() == "double" else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+# ---------------------------------------------------------------------------
+# P: projections, predicates
+# ---------------------------------------------------------------------------
+@query("p1_drop_target")
+def p1_drop_target(spark, sf):
+    return clean.drop_target(_records(spark, sf), presets.TARGET)
+
+
+@query("p2_reorder_columns")
+def p2_reorder_columns(spark, sf):
+    return clean.reorder(_records(spark, sf), presets.IMPORTANCE_ORDER)
+
+
+def _align_names():
+    return presets.INPUT_COLUMNS + ["MonthlyCharges_is_na"] + presets.ENGINEERED_FEATURES[:3]
+
+
+@query("p3_align_fill_zero")
+def p3_align_fill_zero(spark, sf):
+    return clean.align_features(features.add_tenure_group(_records(spark, sf)), _align_names(), fill=0)
+
+
+@query("p4_align_fill_null")
+def p4_align_fill_null(spark, sf):
+    return clean.align_features(features.add_tenure_group(_records(spark, sf)), _align_names(), fill=None)
+
+
+@query("p8_profile")
+def p8_profile(spark, sf):
+    return clean.profile(_records(spark, sf))
+
+
+@query("p10_isin_predicate")
+def p10_isin_predicate(spark, sf):
+    s = _records(spark, sf)
+    return s.where(F.col("InternetService").isin(*presets.INTERNET_VALUES)).select("customerID", "InternetService")
+
+
+@query("p11_contains_predicate")
+def p11_contains_predicate(spark, sf):
+    o = _table(spark, sf, "orders")
+    return o.select("o_orderkey", F.coalesce(F.col("o_orderpriority").contains("URGENT"), F.lit(False))
+                    .cast("int").alias("is_urgent"))
+
+
+@query("p12_rename_columns")
+def p12_rename_columns(spark, sf):
+    s = _records(spark, sf).select("customerID", "tenure", "Contract")
+    return s.toDF("customer_id", "tenure_months", "contract_type")
+
+
+@query("p13_preview")
+def p13_preview(spark, sf):
+    return _records(spark, sf).orderBy("customerID").limit(5)
+
+
+# ---------------------------------------------------------------------------
+# C: cleaning and imputation
+# ---------------------------------------------------------------------------
+@query("c1_dedupe")
+def c1_dedupe(spark, sf):
+    li = _table(spark, sf, "lineitem").select("l_partkey", "l_quantity", "l_returnflag", "l_linestatus")
+    return clean.dedupe_report(li)
+
+
+@query("c2_missing_flags")
+def c2_missing_flags(spark, sf):
+    s = _records(spark, sf)
+    flags = clean.fit_missing_flags(s, ["SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges"])
+    return clean.add_missing_flags(s, flags).select("customerID", *[f"{c}_is_na" for c in flags])
+
+
+@query("c3_median_impute")
+def c3_median_impute(spark, sf):
+    s = _records(spark, sf)
+    num = ["SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges"]
+    flags = clean.fit_missing_flags(s, num)
+    out = clean.apply_impute(s, clean.fit_median(s, num), {}, widen=flags)
+    return out.select("customerID", "tenure", r6("MonthlyCharges").alias("MonthlyCharges"),
+                      r6("TotalCharges").alias("TotalCharges"))
+
+
+@query("c3_median_table_lineitem")
+def c3_median_table_lineitem(spark, sf):
+    li = _table(spark, sf, "lineitem")
+    return clean.median_table(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]) \
+        .select("column", r6("median").alias("median"))
+
+
+@query("c4_mode_table")
+def c4_mode_table(spark, sf):
+    o = _table(spark, sf, "orders")
+    return clean.mode_table(o, ["o_orderstatus", "o_orderpriority"]).select("column", "mode")
+
+
+@query("c5_fill_zero")
+def c5_fill_zero(spark, sf):
+    s = clean.fill_zero(_records(spark, sf))
+    return s.select("customerID", r6("MonthlyCharges").alias("MonthlyCharges"),
+                    r6("TotalCharges").alias("TotalCharges"))
+
+
+@query("c6_derive_total")
+def c6_derive_total(spark, sf):
+    s = clean.derive_total(_records(spark, sf))
+    return s.select("customerID", r6("TotalCharges").alias("TotalCharges"))
+
+
+# ---------------------------------------------------------------------------
+# F: features
+# ---------------------------------------------------------------------------
+def _feature_query(name: str, fn):
+    @query(name)
+    def q(spark, sf):
+        out = fn(_records(spark, sf))
+        return _round_doubles(out.select("customerID", out.columns[-1]))
+    return q
+
+
+_feature_query("f1_tenure_group", features.add_tenure_group)
+_feature_query("f2_tenure_to_max", features.add_tenure_to_max)
+_feature_query("f3_tenure_monthly_ratio", features.add_tenure_monthly_ratio)
+_feature_query("f4_charge_group", features.add_charge_group)
+_feature_query("f5_total_services", features.add_total_services)
+for _i, _name in enumerate(["has_internet", "has_phone", "is_month_to_month", "is_automatic_payment",
+                            "is_senior", "has_dependents"]):
+    _feature_query(f"f{6 + _i}_{_name}", lambda d, n=_name: features.add_named_indicator(d, n))
+_feature_query("f12_churn_risk_score", features.add_churn_risk_score)
+_feature_query("f14_avg_charge", features.add_avg_charge)
+_feature_query("f15_charge_diff", lambda d: features.add_charge_diff(features.add_avg_charge(d)))
+_feature_query("f17_total_count", lambda d: features.add_total_count(features.signed_encode(d)))
+
+
+@query("f1_bins_lineitem")
+def f1_bins_lineitem(spark, sf):
+    li = _table(spark, sf, "lineitem")
+    from stayput.functions.columns import bin_right_closed
+    return li.select("l_orderkey", "l_linenumber",
+                     bin_right_closed("l_quantity", [0, 10, 20, 30, 40, 50]).alias("quantity_bin"))
+
+
+@query("f13_zscore")
+def f13_zscore(spark, sf):
+    s = _records(spark, sf)
+    num = ["SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges"]
+    imp = clean.apply_impute(s, clean.fit_median(s, num), {}, widen=clean.fit_missing_flags(s, num))
+    out = features.apply_zscore(imp, features.fit_zscore(imp, num))
+    return _round_doubles(out.select("customerID", *[c for c in out.columns if c.endswith("_zscore")]))
+
+
+@query("f13_zscore_lineitem")
+def f13_zscore_lineitem(spark, sf):
+    li = _table(spark, sf, "lineitem")
+    out = features.apply_zscore(li, features.fit_zscore(li, ["l_extendedprice", "l_quantity"]))
+    return _round_doubles(out.select("l_orderkey", "l_linenumber", "l_extendedprice_zscore", "l_quantity_zscore"))
+
+
+@query("f16_signed_encode")
+def f16_signed_encode(spark, sf):
+    s = features.signed_encode(_records(spark, sf))
+    return s.select("customerID", *presets.SIGNED_MAPS.keys())
+
+
+# ---------------------------------------------------------------------------
+# E: encoding
+# ---------------------------------------------------------------------------
+SUB_CATEGORICAL = [c for c in presets.INPUT_COLUMNS if c not in
+                   ("customerID", "SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges")]
+
+
+@query("e1_label_fit")
+def e1_label_fit(spark, sf):
+    return encode.fit_labels(_records(spark, sf), SUB_CATEGORICAL)
+
+
+def _lineitem_enc(spark, sf):
+    li = _table(spark, sf, "lineitem")
+    enc = encode.fit_labels(li.where(F.col("l_linestatus") == "F"), ["l_returnflag", "l_linestatus"])
+    return li, enc
+
+
+@query("e2_label_encode_unseen")
+def e2_label_encode_unseen(spark, sf):
+    li, enc = _lineitem_enc(spark, sf)
+    out = encode.apply_labels(li, enc, ["l_returnflag", "l_linestatus"], unseen=0)
+    return out.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+
+
+@query("e3_label_encode_keep_nulls")
+def e3_label_encode_keep_nulls(spark, sf):
+    s = _records(spark, sf)
+    # a categorical column with gaps: the contract of customers without a monthly charge is unknown
+    s = s.withColumn("Contract", F.when(F.col("MonthlyCharges").isNull(), F.lit(None)).otherwise(F.col("Contract")))
+    enc = encode.fit_labels(s, ["Contract", "PaymentMethod", "gender"])
+    out = encode.apply_labels(s.drop("gender"), enc, ["Contract", "PaymentMethod", "gender"],
+                              keep_nulls=True, missing_as_null=True)
+    return out.select("customerID", "Contract", "PaymentMethod", "gender")
+
+
+@query("e4_unseen_values")
+def e4_unseen_values(spark, sf):
+    li, enc = _lineitem_enc(spark, sf)
+    return encode.unseen_values(li, enc, ["l_returnflag", "l_linestatus"])
+
+
+@query("e5_partition_encode")
+def e5_partition_encode(spark, sf):
+    li = _table(spark, sf, "lineitem")
+    enc = encode.fit_labels(li, ["l_returnflag", "l_linestatus"])
+    out = encode.apply_labels(li, enc, ["l_returnflag", "l_linestatus"])
+    return out.groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("e6_target_encode")
+def e6_target_encode(spark, sf):
+    coded, _ = encode.encode_target(_records(spark, sf), presets.TARGET, out="label")
+    return coded.select("customerID", "label")
+
+
+@query("e7_decode")
+def e7_decode(spark, sf):
+    s = scored_subscribers(spark, sf)
+    enc = encode.fit_labels(s, [presets.TARGET])
+    return encode.decode(s, enc, presets.TARGET, "prediction", "prediction_label") \
+        .select("customerID", "prediction", "prediction_label")
+
+
+@query("e8_fallback_target")
+def e8_fallback_target(spark, sf):
+    s = _records(spark, sf)
+    return s.select("customerID", encode.fallback_target(presets.TARGET).alias("y"))
+
+
+@query("e9_one_hot")
+def e9_one_hot(spark, sf):
+    s = _records(spark, sf)
+    cols = ["Contract", "InternetService", "PaymentMethod"]
+    out = encode.apply_one_hot(s, encode.fit_one_hot(s, cols))
+    return out.select("customerID", *[c for c in out.columns if any(c.startswith(x + "_") for x in cols)])
+
+
+@query("e11_feature_plan")
+def e11_feature_plan(spark, sf):
+    s = _records(spark, sf)
+    plan = FeaturePlan(target=presets.TARGET, id_columns=["customerID"]).fit(s)
+    return _round_doubles(plan.transform(s))
+
+
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
-    return a2_tier_distribution(spark, sf)
+    """subscribers -> FeaturePlan (impute, features) -> ensemble -> tiers, value at risk -> tier distribution."""
+    s = _records(spark, sf)
+    plan = FeaturePlan(target=presets.TARGET, id_columns=["customerID"]).fit(s)
+    imputed = clean.apply_impute(s, plan.state.medians, plan.state.modes, widen=plan.state.missing_flags)
+    scored = score.score_ensemble(features.engineer(imputed), score.worked_example_trees(spark))
+    return portfolio.tier_distribution(decide.with_value_at_risk(scored))

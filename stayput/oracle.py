@@ -177,3 +177,247 @@ FROM valued ORDER BY churn_probability DESC, customerID ASC LIMIT 10"""))
 
 register("p9_high_risk_filter", with_ctes(SCORED, """
 SELECT customerID, churn_probability FROM scored WHERE churn_probability >= 50.0"""))
+
+# ---------------------------------------------------------------------------
+# helpers for the P / C / F / E oracles
+# ---------------------------------------------------------------------------
+INPUTS = ", ".join(presets.INPUT_COLUMNS)
+SUB_CAT = [c for c in presets.INPUT_COLUMNS
+           if c not in ("customerID", "SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges")]
+NUMS = ["SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges"]
+
+
+def q(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+def pairs_sql(table: str, cols, where: str = "") -> str:
+    w = f" WHERE {where}" if where else ""
+    return "\n  UNION ALL ".join(
+        f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS value FROM {table}{w}" for c in cols)
+
+
+def dict_sql(table: str, cols, where: str = "") -> str:
+    return f"""SELECT col, value, CAST(row_number() OVER (PARTITION BY col ORDER BY value) - 1 AS INT) AS code
+  FROM (SELECT DISTINCT col, value FROM ({pairs_sql(table, cols, where)}) p WHERE value IS NOT NULL) d"""
+
+
+def bins_sql(x: str, edges) -> str:
+    parts = " ".join(f"WHEN {x} > {lo} AND {x} <= {hi} THEN {i}"
+                     for i, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])))
+    return f"CAST(CASE {parts} ELSE -1 END AS INT)"
+
+
+def flag_sql(cond: str) -> str:
+    return f"CAST(coalesce({cond}, false) AS INT)"
+
+
+INDICATOR_SQL = {
+    "has_internet": "InternetService IN ('DSL', 'Fiber optic')",
+    "has_phone": "PhoneService = 'Yes'",
+    "is_month_to_month": "Contract = 'Month-to-month'",
+    "is_automatic_payment": "contains(PaymentMethod, 'automatic')",
+    "is_senior": "SeniorCitizen = 1",
+    "has_dependents": "Dependents = 'Yes'",
+}
+TOTAL_SERVICES_SQL = "CAST(" + " + ".join(
+    f"(CASE WHEN {c} IS NULL OR {c} NOT IN ('No', 'No internet service') THEN 1 ELSE 0 END)"
+    for c in presets.SERVICE_COLUMNS) + " AS INT)"
+RISK_SQL = "(" + " + ".join(flag_sql(f"{c} = '{v}'") for c, v in presets.RISK_SCORE_PARTS) + ")"
+
+
+def engineered_sql() -> str:
+    return ",\n    ".join([
+        f"{bins_sql('tenure', presets.TENURE_EDGES)} AS tenure_group",
+        "tenure / 72.0E0 AS tenure_to_max",
+        "CAST(tenure AS DOUBLE) / (MonthlyCharges + 1) AS tenure_monthly_ratio",
+        f"{bins_sql('MonthlyCharges', presets.CHARGE_EDGES)} AS charge_group",
+        f"{TOTAL_SERVICES_SQL} AS total_services",
+        *[f"{flag_sql(cond)} AS {name}" for name, cond in INDICATOR_SQL.items()],
+        f"{RISK_SQL} AS churn_risk_score",
+    ])
+
+
+def signed_sql(col: str) -> str:
+    m = presets.SIGNED_MAPS[col]
+    whens = " ".join(f"WHEN {_lit(k) if isinstance(k, str) else k} THEN {v}" for k, v in m.items())
+    return f"CAST(CASE {col} {whens} END AS INT)"
+
+
+IMPUTED = SUBSCRIBERS + """, imputed AS (
+  SELECT customerID, gender, SeniorCitizen, Partner, Dependents, tenure, PhoneService, MultipleLines,
+    InternetService, OnlineSecurity, OnlineBackup, DeviceProtection, TechSupport, StreamingTV,
+    StreamingMovies, Contract, PaperlessBilling, PaymentMethod,
+    coalesce(MonthlyCharges, (SELECT median(MonthlyCharges) FROM subscribers)) AS MonthlyCharges,
+    coalesce(TotalCharges, (SELECT median(TotalCharges) FROM subscribers)) AS TotalCharges,
+    Churn,
+    CAST(MonthlyCharges IS NULL AS INT) AS MonthlyCharges_is_na,
+    CAST(TotalCharges IS NULL AS INT) AS TotalCharges_is_na
+  FROM subscribers
+), zstats AS (
+  SELECT """ + ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in NUMS) + """
+  FROM imputed
+)"""
+
+# ---------------------------------------------------------------------------
+# P
+# ---------------------------------------------------------------------------
+register("p1_drop_target", with_ctes(SUBSCRIBERS, f"SELECT {INPUTS} FROM subscribers"))
+register("p2_reorder_columns", with_ctes(SUBSCRIBERS, f"SELECT {INPUTS}, Churn FROM subscribers"))
+register("p3_align_fill_zero", with_ctes(SUBSCRIBERS, f"""
+SELECT {INPUTS}, 0 AS MonthlyCharges_is_na, {bins_sql('tenure', presets.TENURE_EDGES)} AS tenure_group,
+  0 AS tenure_to_max, 0 AS tenure_monthly_ratio FROM subscribers"""))
+register("p4_align_fill_null", with_ctes(SUBSCRIBERS, f"""
+SELECT {INPUTS}, CAST(NULL AS DOUBLE) AS MonthlyCharges_is_na, {bins_sql('tenure', presets.TENURE_EDGES)} AS tenure_group,
+  CAST(NULL AS DOUBLE) AS tenure_to_max, CAST(NULL AS DOUBLE) AS tenure_monthly_ratio FROM subscribers"""))
+register("p8_profile", with_ctes(SUBSCRIBERS, """
+SELECT count(*) AS "rows", 21 AS "columns", 4 AS numeric_columns, 17 AS string_columns,
+  CAST(count(*) FILTER (WHERE MonthlyCharges IS NULL) + count(*) FILTER (WHERE TotalCharges IS NULL) AS BIGINT) AS null_cells
+FROM subscribers"""))
+register("p10_isin_predicate", with_ctes(SUBSCRIBERS, """
+SELECT customerID, InternetService FROM subscribers WHERE InternetService IN ('DSL', 'Fiber optic')"""))
+register("p11_contains_predicate", """
+SELECT o_orderkey, CAST(coalesce(contains(o_orderpriority, 'URGENT'), false) AS INT) AS is_urgent FROM orders""")
+register("p12_rename_columns", with_ctes(SUBSCRIBERS, """
+SELECT customerID AS customer_id, tenure AS tenure_months, Contract AS contract_type FROM subscribers"""))
+register("p13_preview", with_ctes(SUBSCRIBERS, f"""
+SELECT {INPUTS}, Churn FROM subscribers ORDER BY customerID LIMIT 5"""))
+
+# ---------------------------------------------------------------------------
+# C
+# ---------------------------------------------------------------------------
+register("c1_dedupe", """
+SELECT CAST(count(*) AS BIGINT) AS rows_before,
+  (SELECT count(*) FROM (SELECT DISTINCT l_partkey, l_quantity, l_returnflag, l_linestatus FROM lineitem) d) AS rows_after,
+  CAST(count(*) AS BIGINT) - (SELECT count(*) FROM (SELECT DISTINCT l_partkey, l_quantity, l_returnflag, l_linestatus FROM lineitem) d) AS removed
+FROM lineitem""")
+register("c2_missing_flags", with_ctes(SUBSCRIBERS, """
+SELECT customerID, CAST(MonthlyCharges IS NULL AS INT) AS MonthlyCharges_is_na,
+  CAST(TotalCharges IS NULL AS INT) AS TotalCharges_is_na FROM subscribers"""))
+register("c3_median_impute", with_ctes(IMPUTED, """
+SELECT customerID, tenure, round(MonthlyCharges, 6) AS MonthlyCharges, round(TotalCharges, 6) AS TotalCharges
+FROM imputed"""))
+register("c3_median_table_lineitem", "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", round(median({c}), 6) AS median FROM lineitem"
+    for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
+register("c4_mode_table", """
+WITH c AS (
+  SELECT 'o_orderstatus' AS col, o_orderstatus AS value, count(*) AS n FROM orders WHERE o_orderstatus IS NOT NULL GROUP BY 2
+  UNION ALL
+  SELECT 'o_orderpriority' AS col, o_orderpriority AS value, count(*) AS n FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 2
+)
+SELECT col AS "column", value AS mode FROM (
+  SELECT *, row_number() OVER (PARTITION BY col ORDER BY n DESC, value ASC) AS rn FROM c) r WHERE rn = 1""")
+register("c5_fill_zero", with_ctes(SUBSCRIBERS, """
+SELECT customerID, round(coalesce(MonthlyCharges, 0), 6) AS MonthlyCharges,
+  round(coalesce(TotalCharges, 0), 6) AS TotalCharges FROM subscribers"""))
+register("c6_derive_total", with_ctes(SUBSCRIBERS, """
+SELECT customerID, round(coalesce(TotalCharges, tenure * MonthlyCharges), 6) AS TotalCharges FROM subscribers"""))
+
+# ---------------------------------------------------------------------------
+# F
+# ---------------------------------------------------------------------------
+def _feat(name: str, expr: str, rounded: bool = False) -> None:
+    e = f"round({expr}, 6)" if rounded else expr
+    register(name, with_ctes(SUBSCRIBERS, f"SELECT customerID, {e} AS {name.split('_', 1)[1]} FROM subscribers"))
+
+
+_feat("f1_tenure_group", bins_sql("tenure", presets.TENURE_EDGES))
+_feat("f2_tenure_to_max", "tenure / 72.0E0", True)
+_feat("f3_tenure_monthly_ratio", "CAST(tenure AS DOUBLE) / (MonthlyCharges + 1)", True)
+_feat("f4_charge_group", bins_sql("MonthlyCharges", presets.CHARGE_EDGES))
+_feat("f5_total_services", TOTAL_SERVICES_SQL)
+for _i, (_n, _cond) in enumerate(INDICATOR_SQL.items()):
+    _feat(f"f{6 + _i}_{_n}", flag_sql(_cond))
+_feat("f12_churn_risk_score", RISK_SQL)
+register("f14_avg_charge", with_ctes(SUBSCRIBERS, """
+SELECT customerID, round(CASE WHEN tenure > 0 THEN TotalCharges / tenure ELSE MonthlyCharges END, 6) AS AvgCharge
+FROM subscribers"""))
+register("f15_charge_diff", with_ctes(SUBSCRIBERS, """
+SELECT customerID, round(MonthlyCharges - CASE WHEN tenure > 0 THEN TotalCharges / tenure ELSE MonthlyCharges END, 6) + 0.0E0 AS ChargeDiff
+FROM subscribers"""))
+register("f16_signed_encode", with_ctes(SUBSCRIBERS, "SELECT customerID, " + ", ".join(
+    f"{signed_sql(c)} AS {c}" for c in presets.SIGNED_MAPS) + " FROM subscribers"))
+register("f17_total_count", with_ctes(SUBSCRIBERS, "SELECT customerID, CAST(" + " + ".join(
+    f"coalesce({signed_sql(c)}, 0)" for c in presets.SIGNED_COUNT_EVAL) + " AS BIGINT) AS total_count FROM subscribers"))
+register("f1_bins_lineitem", f"""
+SELECT l_orderkey, l_linenumber, {bins_sql('l_quantity', [0, 10, 20, 30, 40, 50])} AS quantity_bin FROM lineitem""")
+register("f13_zscore", with_ctes(IMPUTED, "SELECT customerID, " + ", ".join(
+    f"round(({c} - m_{c}) / s_{c}, 6) AS {c}_zscore" for c in NUMS) + " FROM imputed, zstats"))
+register("f13_zscore_lineitem", """
+WITH s AS (SELECT avg(l_extendedprice) AS m1, stddev_samp(l_extendedprice) AS s1,
+                  avg(l_quantity) AS m2, stddev_samp(l_quantity) AS s2 FROM lineitem)
+SELECT l_orderkey, l_linenumber, round((l_extendedprice - m1) / s1, 6) AS l_extendedprice_zscore,
+  round((l_quantity - m2) / s2, 6) AS l_quantity_zscore FROM lineitem, s""")
+
+# ---------------------------------------------------------------------------
+# E
+# ---------------------------------------------------------------------------
+register("e1_label_fit", with_ctes(SUBSCRIBERS, f"""
+SELECT col AS "column", value, code FROM ({dict_sql('subscribers', SUB_CAT)}) x"""))
+
+_LI_DICT = f"""dict AS ({dict_sql('lineitem', ['l_returnflag', 'l_linestatus'], "l_linestatus = 'F'")})"""
+register("e2_label_encode_unseen", f"""
+WITH {_LI_DICT}
+SELECT l_orderkey, l_linenumber, coalesce(r.code, 0) AS l_returnflag, coalesce(s.code, 0) AS l_linestatus
+FROM lineitem
+LEFT JOIN dict r ON r.col = 'l_returnflag' AND r.value = l_returnflag
+LEFT JOIN dict s ON s.col = 'l_linestatus' AND s.value = l_linestatus""")
+register("e3_label_encode_keep_nulls", with_ctes(SUBSCRIBERS + f""", s2 AS (
+  SELECT customerID, CASE WHEN MonthlyCharges IS NULL THEN NULL ELSE Contract END AS Contract, PaymentMethod, gender
+  FROM subscribers
+), dict AS ({dict_sql('s2', ['Contract', 'PaymentMethod', 'gender'])})""", """
+SELECT customerID,
+  CASE WHEN s2.Contract IS NULL THEN NULL ELSE coalesce(c.code, 0) END AS Contract,
+  CASE WHEN s2.PaymentMethod IS NULL THEN NULL ELSE coalesce(p.code, 0) END AS PaymentMethod,
+  CAST(NULL AS INT) AS gender
+FROM s2
+LEFT JOIN dict c ON c.col = 'Contract' AND c.value = s2.Contract
+LEFT JOIN dict p ON p.col = 'PaymentMethod' AND p.value = s2.PaymentMethod"""))
+register("e4_unseen_values", f"""
+WITH {_LI_DICT}
+SELECT DISTINCT p.col AS "column", p.value FROM ({pairs_sql('lineitem', ['l_returnflag', 'l_linestatus'])}) p
+WHERE p.value IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dict d WHERE d.col = p.col AND d.value = p.value)""")
+register("e5_partition_encode", f"""
+WITH dict AS ({dict_sql('lineitem', ['l_returnflag', 'l_linestatus'])})
+SELECT coalesce(r.code, 0) AS l_returnflag, coalesce(s.code, 0) AS l_linestatus, count(*) AS n
+FROM lineitem
+LEFT JOIN dict r ON r.col = 'l_returnflag' AND r.value = l_returnflag
+LEFT JOIN dict s ON s.col = 'l_linestatus' AND s.value = l_linestatus
+GROUP BY 1, 2""")
+register("e6_target_encode", with_ctes(SUBSCRIBERS + f", dict AS ({dict_sql('subscribers', ['Churn'])})", """
+SELECT customerID, coalesce(d.code, 0) AS label FROM subscribers LEFT JOIN dict d ON d.value = Churn"""))
+register("e7_decode", with_ctes(SCORED + f", dict AS ({dict_sql('subscribers', ['Churn'])})", """
+SELECT customerID, prediction, d.value AS prediction_label FROM scored LEFT JOIN dict d ON d.code = prediction"""))
+register("e8_fallback_target", with_ctes(SUBSCRIBERS, """
+SELECT customerID, CASE WHEN Churn = 'Yes' THEN 1 WHEN Churn = 'No' THEN 0 ELSE 0 END AS y FROM subscribers"""))
+register("e9_one_hot", with_ctes(SUBSCRIBERS, "SELECT customerID, " + ", ".join(
+    f"{flag_sql(f'{c} = {_lit(v)}')} AS {q(c + '_' + v)}"
+    for c in ["Contract", "InternetService", "PaymentMethod"]
+    for v in sorted(presets.CATEGORY_DOMAINS[c])) + " FROM subscribers"))
+
+
+def _feature_plan_sql() -> str:
+    joins, cols = [], []
+    for i, c in enumerate(presets.INPUT_COLUMNS):
+        if c in SUB_CAT:
+            joins.append(f"LEFT JOIN dict d{i} ON d{i}.col = '{c}' AND d{i}.value = imputed.{c}")
+            cols.append(f"coalesce(d{i}.code, 0) AS {c}")
+        elif c in ("MonthlyCharges", "TotalCharges"):
+            cols.append(f"round(imputed.{c}, 6) AS {c}")
+        else:
+            cols.append(f"imputed.{c}")
+    eng = engineered_sql().replace("tenure_to_max", "tenure_to_max_raw") \
+        .replace("AS tenure_monthly_ratio", "AS tenure_monthly_ratio_raw")
+    body = f"""
+SELECT {", ".join(cols)}, Churn, MonthlyCharges_is_na, TotalCharges_is_na,
+  tenure_group, round(tenure_to_max_raw, 6) AS tenure_to_max,
+  round(tenure_monthly_ratio_raw, 6) AS tenure_monthly_ratio, charge_group, total_services, has_internet,
+  has_phone, is_month_to_month, is_automatic_payment, is_senior, has_dependents, churn_risk_score,
+  {", ".join(f"round((imputed.{c} - m_{c}) / s_{c}, 6) AS {c}_zscore" for c in NUMS)}
+FROM (SELECT *, {eng} FROM imputed) imputed, zstats
+{chr(10).join(joins)}"""
+    return with_ctes(IMPUTED + f", dict AS ({dict_sql('imputed', SUB_CAT)})", body)
+
+
+register("e11_feature_plan", _feature_plan_sql())
