@@ -400,3 +400,156 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     imputed = clean.apply_impute(s, plan.state.medians, plan.state.modes, widen=plan.state.missing_flags)
     scored = score.score_ensemble(features.engineer(imputed), score.worked_example_trees(spark))
     return portfolio.tier_distribution(decide.with_value_at_risk(scored))
+
+
+# ---------------------------------------------------------------------------
+# V: evaluation
+# ---------------------------------------------------------------------------
+from stayput.operators import evaluate, split  # noqa: E402
+
+
+def _ranked_subscribers(spark, sf):
+    """Scored subscribers with the score rounded to 6 decimals (exact ties in both engines)."""
+    return scored_subscribers(spark, sf).withColumn("score", F.round("probability", 6))
+
+
+def _labels(spark, sf):
+    lb = _table(spark, sf, "labels")
+    return lb.select("doc_id", F.col("quality").alias("y"), (1 - F.col("toxic")).alias("yhat"))
+
+
+@query("v1_accuracy")
+def v1_accuracy(spark, sf):
+    m = evaluate.binary_metrics(scored_subscribers(spark, sf), "y", "prediction")
+    return m.select(r6("accuracy").alias("accuracy"))
+
+
+@query("v2_f1")
+def v2_f1(spark, sf):
+    m = evaluate.binary_metrics(_labels(spark, sf), "y", "yhat")
+    return m.select("tn", "fp", "fn", "tp", r6("f1").alias("f1"))
+
+
+@query("v3_roc_auc")
+def v3_roc_auc(spark, sf):
+    m = evaluate.ranking_metrics(_ranked_subscribers(spark, sf), "y", "score")
+    return m.select("n_pos", "n_neg", "distinct_scores", r6("roc_auc").alias("roc_auc"),
+                    r6("average_precision").alias("average_precision"))
+
+
+@query("v3_roc_auc_lineitem")
+def v3_roc_auc_lineitem(spark, sf):
+    li = _table(spark, sf, "lineitem").select(
+        (F.col("l_returnflag") == "R").cast("int").alias("y"), (F.col("l_discount") * 10).alias("score"))
+    m = evaluate.ranking_metrics(li, "y", "score")
+    return m.select("n_pos", "n_neg", "distinct_scores", r6("roc_auc").alias("roc_auc"),
+                    r6("average_precision").alias("average_precision"))
+
+
+@query("v4_confusion_matrix")
+def v4_confusion_matrix(spark, sf):
+    return evaluate.confusion_matrix(_labels(spark, sf), "y", "yhat")
+
+
+@query("v5_classification_report")
+def v5_classification_report(spark, sf):
+    r = evaluate.classification_report(_labels(spark, sf), "y", "yhat")
+    return _round_doubles(r)
+
+
+@query("v6_roc_curve")
+def v6_roc_curve(spark, sf):
+    return _round_doubles(evaluate.roc_curve(_ranked_subscribers(spark, sf), "y", "score"))
+
+
+@query("v7_pr_curve")
+def v7_pr_curve(spark, sf):
+    return _round_doubles(evaluate.pr_curve(_ranked_subscribers(spark, sf), "y", "score"))
+
+
+@query("v8_average_precision")
+def v8_average_precision(spark, sf):
+    li = _table(spark, sf, "lineitem").select(
+        "l_linestatus", (F.col("l_returnflag") == "R").cast("int").alias("y"),
+        (F.col("l_discount") * 10 + F.col("l_tax")).alias("score"))
+    m = evaluate.ranking_metrics(li, "y", "score", by=["l_linestatus"])
+    return m.select("l_linestatus", "n_pos", "n_neg", r6("roc_auc").alias("roc_auc"),
+                    r6("average_precision").alias("average_precision"))
+
+
+@query("v9_log_loss")
+def v9_log_loss(spark, sf):
+    s = scored_subscribers(spark, sf)
+    ll = evaluate.log_loss(s, "y", "probability")
+    return ll.select(r6("log_loss").alias("log_loss"))
+
+
+@query("v10_confusion_type")
+def v10_confusion_type(spark, sf):
+    return evaluate.with_confusion_type(_labels(spark, sf), "y", "yhat").select("doc_id", "confusion_type")
+
+
+@query("v11_confusion_type_counts")
+def v11_confusion_type_counts(spark, sf):
+    return evaluate.confusion_type_counts(_labels(spark, sf), "y", "yhat")
+
+
+@query("v12_decoded_labels")
+def v12_decoded_labels(spark, sf):
+    out = evaluate.with_confusion_type(_labels(spark, sf), "y", "yhat", label_map={0: "No", 1: "Yes"})
+    return out.select("doc_id", "y_true_label", "y_pred_label")
+
+
+@query("v13_false_negatives")
+def v13_false_negatives(spark, sf):
+    s = scored_subscribers(spark, sf)
+    out = evaluate.with_confusion_type(s, "y", "prediction")
+    return out.where(F.col("confusion_type") == "FN").select("customerID", "Contract", "tenure", "PaymentMethod")
+
+
+@query("v14_evaluation_bundle")
+def v14_evaluation_bundle(spark, sf):
+    s = split.stratified_split(_ranked_subscribers(spark, sf), "customerID", "y")
+    counts = evaluate.binary_metrics(s, "y", "prediction", by=["split"])
+    ranks = evaluate.ranking_metrics(s, "y", "score", by=["split"])
+    out = counts.join(ranks.select("split", "roc_auc", "average_precision"), "split")
+    return out.select("split", "tn", "fp", "fn", "tp", r6("accuracy").alias("accuracy"), r6("f1").alias("f1"),
+                      r6("roc_auc").alias("roc_auc"), r6("average_precision").alias("average_precision"))
+
+
+# ---------------------------------------------------------------------------
+# T: splits, folds, class balance
+# ---------------------------------------------------------------------------
+@query("t1_stratified_split")
+def t1_stratified_split(spark, sf):
+    s = split.stratified_split(_records(spark, sf), "customerID", presets.TARGET)
+    return s.select("customerID", "Churn", "split")
+
+
+@query("t1_stratified_split_orders")
+def t1_stratified_split_orders(spark, sf):
+    o = _table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return split.stratified_split(o, "o_orderkey", "o_orderstatus")
+
+
+@query("t2_stratified_split_alt")
+def t2_stratified_split_alt(spark, sf):
+    o = _table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    s = split.stratified_split(o, "o_orderkey", "o_orderstatus", presets.SPLIT_FRACTIONS_ALT)
+    return s.groupBy("o_orderstatus", "split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("t3_kfold")
+def t3_kfold(spark, sf):
+    o = _table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return split.assign_folds(o, "o_orderkey", "o_orderstatus", k=5)
+
+
+@query("t4_class_distribution")
+def t4_class_distribution(spark, sf):
+    return split.class_distribution(_table(spark, sf, "orders"), "o_orderstatus")
+
+
+@query("t5_pos_weight")
+def t5_pos_weight(spark, sf):
+    return split.pos_weight(scored_subscribers(spark, sf), "y")

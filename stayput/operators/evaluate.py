@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayput.operators.ordered import running_totals
+from stayput.operators.ordered import join_small, running_totals
 
 DEC = "decimal(38,0)"
 
@@ -133,7 +133,7 @@ def confusion_type_counts(df: DataFrame, y: str, yhat: str) -> DataFrame:
 def _attach(df: DataFrame, totals: DataFrame, by: Sequence[str]) -> DataFrame:
     """Attach per-group totals: an equi-join on ``by``, or literals for one global row."""
     if by:
-        return df.join(totals, on=list(by), how="inner")
+        return join_small(df, totals, by)
     row = totals.first()  # exactly one row of counts
     return df.select("*", *[F.lit(row[c]).alias(c) for c in totals.columns])
 

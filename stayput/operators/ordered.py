@@ -42,21 +42,25 @@ def _bucketize(df: DataFrame, order_col: str, n_rows: int,
 def running_totals(df: DataFrame, order_col: str, measures: Sequence[str],
                    by: Sequence[str] = (), descending: bool = True,
                    next_cols: Sequence[str] = (),
+                   tiebreak: Sequence[str] = (),
                    rows_per_bucket: int = ROWS_PER_BUCKET,
                    max_buckets: int = MAX_BUCKETS) -> DataFrame:
     """Add ``cum_<m>`` = inclusive running sum of ``m`` in ``order_col`` order per ``by``.
 
     ``df`` must hold one row per (``by``, ``order_col``) value (aggregate
-    first). ``next_cols`` adds ``next_<c>``: the value of ``c`` on the
+    first), or ``tiebreak`` columns must make the order total; the bucket is
+    taken from ``order_col`` alone, so ties never straddle buckets.
+    ``next_cols`` adds ``next_<c>``: the value of ``c`` on the
     following row of the same group (null on the last row).
     """
     by = list(by)
     n_rows = df.count()
     bdf, n_buckets = _bucketize(df, order_col, n_rows, rows_per_bucket, max_buckets)
-    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    keys = [order_col, *tiebreak]
+    order = [F.col(k).desc() if descending else F.col(k).asc() for k in keys]
     bucket_order = F.col(BUCKET).desc() if descending else F.col(BUCKET).asc()
 
-    w_in = Window.partitionBy(*by, BUCKET).orderBy(order) \
+    w_in = Window.partitionBy(*by, BUCKET).orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = bdf
     for m in measures:
@@ -83,7 +87,7 @@ def running_totals(df: DataFrame, order_col: str, measures: Sequence[str],
     for m in measures:
         out = out.withColumn(f"cum_{m}", F.col(f"_off_{m}") + F.col(f"_in_{m}"))
     if next_cols:
-        w_lead = Window.partitionBy(*by, BUCKET).orderBy(order)
+        w_lead = Window.partitionBy(*by, BUCKET).orderBy(*order)
         last_in_bucket = F.lead(F.lit(1)).over(w_lead).isNull()
         for c in next_cols:
             out = out.withColumn(
@@ -102,3 +106,17 @@ def _offsets_fit(df: DataFrame, by: Sequence[str], n_buckets: int) -> bool:
     limit = max(1, MAX_BROADCAST_ROWS // n_buckets)
     n_groups = df.select(*by).distinct().limit(limit + 1).count()
     return n_groups <= limit
+
+
+def join_small(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
+               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Join a per-group table (one row per group) to the rows of those groups.
+
+    A shuffle join on a low-cardinality key would put whole groups (a class, a
+    split) in one task, so the small side is broadcast once its row count is
+    proven below ``max_rows``; above that a regular (AQE-managed) join is used.
+    """
+    n = small.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return df.join(F.broadcast(small), on=list(on), how=how)
+    return df.join(small, on=list(on), how=how)

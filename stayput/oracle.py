@@ -421,3 +421,153 @@ FROM (SELECT *, {eng} FROM imputed) imputed, zstats
 
 
 register("e11_feature_plan", _feature_plan_sql())
+
+# ---------------------------------------------------------------------------
+# V
+# ---------------------------------------------------------------------------
+LABELS = "lab AS (SELECT doc_id, quality AS y, 1 - toxic AS yhat FROM labels)"
+RANKED = SCORED + ", ranked AS (SELECT *, round(probability, 6) AS score FROM valued)"
+
+
+def cum_sql(src: str, by: str = "") -> str:
+    part = f"PARTITION BY {by} " if by else ""
+    sel = f"{by}, " if by else ""
+    return f"""sc AS (
+  SELECT {sel}score, count(*) FILTER (WHERE y = 1) AS pos, count(*) FILTER (WHERE y <> 1) AS neg
+  FROM {src} WHERE y IS NOT NULL AND score IS NOT NULL GROUP BY {sel}score
+), cum AS (
+  SELECT *, sum(pos) OVER ({part}ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
+            sum(neg) OVER ({part}ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp,
+            lead(pos) OVER ({part}ORDER BY score DESC) AS next_pos,
+            lead(neg) OVER ({part}ORDER BY score DESC) AS next_neg,
+            row_number() OVER ({part}ORDER BY score DESC) AS rn
+  FROM sc
+)"""
+
+
+def rank_metrics_sql(by: str = "") -> str:
+    sel = f"{by}, " if by else ""
+    grp = f" GROUP BY {by}" if by else ""
+    return f"""SELECT {sel}CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg, count(*) AS distinct_scores,
+  round(CAST(sum(CAST(neg AS HUGEINT) * (2 * tp - pos)) AS DOUBLE) / (2.0E0 * sum(pos) * sum(neg)), 6) AS roc_auc,
+  round(sum(CAST(pos AS DOUBLE) * CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE)) / sum(pos), 6) AS average_precision
+FROM cum{grp}"""
+
+
+register("v1_accuracy", with_ctes(SCORED, """
+SELECT round(avg(CASE WHEN y = prediction THEN 1.0E0 ELSE 0.0E0 END), 6) AS accuracy FROM scored"""))
+register("v2_f1", with_ctes(LABELS, """
+SELECT count(*) FILTER (WHERE y = 0 AND yhat = 0) AS tn, count(*) FILTER (WHERE y = 0 AND yhat = 1) AS fp,
+  count(*) FILTER (WHERE y = 1 AND yhat = 0) AS fn, count(*) FILTER (WHERE y = 1 AND yhat = 1) AS tp,
+  round(CASE WHEN 2 * count(*) FILTER (WHERE y = 1 AND yhat = 1) + count(*) FILTER (WHERE y <> yhat) = 0 THEN 0.0E0
+    ELSE 2.0E0 * count(*) FILTER (WHERE y = 1 AND yhat = 1)
+      / (2 * count(*) FILTER (WHERE y = 1 AND yhat = 1) + count(*) FILTER (WHERE y <> yhat)) END, 6) AS f1
+FROM lab"""))
+register("v3_roc_auc", with_ctes(RANKED + ", " + cum_sql("ranked"), rank_metrics_sql()))
+register("v3_roc_auc_lineitem", with_ctes(
+    "li AS (SELECT CAST(l_returnflag = 'R' AS INT) AS y, l_discount * 10 AS score FROM lineitem), " + cum_sql("li"),
+    rank_metrics_sql()))
+register("v4_confusion_matrix", with_ctes(LABELS, """
+SELECT 0 AS actual, count(*) FILTER (WHERE y = 0 AND yhat = 0) AS pred_0, count(*) FILTER (WHERE y = 0 AND yhat = 1) AS pred_1 FROM lab
+UNION ALL
+SELECT 1 AS actual, count(*) FILTER (WHERE y = 1 AND yhat = 0) AS pred_0, count(*) FILTER (WHERE y = 1 AND yhat = 1) AS pred_1 FROM lab"""))
+register("v5_classification_report", with_ctes(LABELS + """, cc AS (
+  SELECT count(*) FILTER (WHERE y = 0 AND yhat = 0) AS tn, count(*) FILTER (WHERE y = 0 AND yhat = 1) AS fp,
+    count(*) FILTER (WHERE y = 1 AND yhat = 0) AS fn, count(*) FILTER (WHERE y = 1 AND yhat = 1) AS tp FROM lab
+), per AS (
+  SELECT *,
+    CASE WHEN tn + fn = 0 THEN 0.0E0 ELSE tn / CAST(tn + fn AS DOUBLE) END AS p0,
+    CASE WHEN tn + fp = 0 THEN 0.0E0 ELSE tn / CAST(tn + fp AS DOUBLE) END AS r0,
+    CASE WHEN 2 * tn + fn + fp = 0 THEN 0.0E0 ELSE 2 * tn / CAST(2 * tn + fn + fp AS DOUBLE) END AS f0,
+    CASE WHEN tp + fp = 0 THEN 0.0E0 ELSE tp / CAST(tp + fp AS DOUBLE) END AS p1,
+    CASE WHEN tp + fn = 0 THEN 0.0E0 ELSE tp / CAST(tp + fn AS DOUBLE) END AS r1,
+    CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0E0 ELSE 2 * tp / CAST(2 * tp + fp + fn AS DOUBLE) END AS f1,
+    tn + fp AS s0, tp + fn AS s1, tn + fp + tp + fn AS n
+  FROM cc
+)""", """
+SELECT '0' AS class, round(p0, 6) AS precision, round(r0, 6) AS recall, round(f0, 6) AS f1_score, CAST(s0 AS BIGINT) AS support FROM per
+UNION ALL SELECT '1', round(p1, 6), round(r1, 6), round(f1, 6), CAST(s1 AS BIGINT) FROM per
+UNION ALL SELECT 'accuracy', NULL, NULL, round(CASE WHEN n = 0 THEN 0.0E0 ELSE (tp + tn) / CAST(n AS DOUBLE) END, 6), CAST(n AS BIGINT) FROM per
+UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), CAST(n AS BIGINT) FROM per
+UNION ALL SELECT 'weighted avg', round((p0 * s0 + p1 * s1) / n, 6), round((r0 * s0 + r1 * s1) / n, 6),
+  round((f0 * s0 + f1 * s1) / n, 6), CAST(n AS BIGINT) FROM per"""))
+register("v6_roc_curve", with_ctes(RANKED + ", " + cum_sql("ranked") + """, tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM sc)""", """
+SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0E0 AS fpr, 0.0E0 AS tpr
+UNION ALL
+SELECT round(score, 6), round(fp / CAST(N AS DOUBLE), 6), round(tp / CAST(P AS DOUBLE), 6) FROM cum, tot
+WHERE rn = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg"""))
+register("v7_pr_curve", with_ctes(RANKED + ", " + cum_sql("ranked") + """, tot AS (SELECT sum(pos) AS P FROM sc)""", """
+SELECT round(score, 6) AS threshold, round(CASE WHEN tp + fp = 0 THEN 0.0E0 ELSE tp / CAST(tp + fp AS DOUBLE) END, 6) AS precision,
+  round(CASE WHEN P = 0 THEN 1.0E0 ELSE tp / CAST(P AS DOUBLE) END, 6) AS recall FROM cum, tot
+UNION ALL SELECT NULL, 1.0E0, 0.0E0"""))
+register("v8_average_precision", with_ctes(
+    "li AS (SELECT l_linestatus, CAST(l_returnflag = 'R' AS INT) AS y, l_discount * 10 + l_tax AS score FROM lineitem), "
+    + cum_sql("li", "l_linestatus"),
+    """SELECT l_linestatus, CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg,
+  round(CAST(sum(CAST(neg AS HUGEINT) * (2 * tp - pos)) AS DOUBLE) / (2.0E0 * sum(pos) * sum(neg)), 6) AS roc_auc,
+  round(sum(CAST(pos AS DOUBLE) * CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE)) / sum(pos), 6) AS average_precision
+FROM cum GROUP BY l_linestatus"""))
+register("v9_log_loss", with_ctes(SCORED, """
+SELECT round(avg(-(y * ln(least(greatest(probability, 1e-15), 1 - 1e-15))
+  + (1 - y) * ln(1 - least(greatest(probability, 1e-15), 1 - 1e-15)))), 6) AS log_loss FROM scored"""))
+CTYPE = """CASE WHEN y = 1 AND yhat = 1 THEN 'TP' WHEN y = 0 AND yhat = 0 THEN 'TN'
+  WHEN y = 0 AND yhat = 1 THEN 'FP' WHEN y = 1 AND yhat = 0 THEN 'FN' ELSE 'Unknown' END"""
+register("v10_confusion_type", with_ctes(LABELS, f"SELECT doc_id, {CTYPE} AS confusion_type FROM lab"))
+register("v11_confusion_type_counts", with_ctes(LABELS, f"""
+SELECT {CTYPE} AS confusion_type, count(*) AS n FROM lab GROUP BY 1 ORDER BY n DESC, confusion_type"""))
+register("v12_decoded_labels", with_ctes(LABELS, """
+SELECT doc_id, CASE y WHEN 0 THEN 'No' WHEN 1 THEN 'Yes' END AS y_true_label,
+  CASE yhat WHEN 0 THEN 'No' WHEN 1 THEN 'Yes' END AS y_pred_label FROM lab"""))
+register("v13_false_negatives", with_ctes(SCORED, """
+SELECT customerID, Contract, tenure, PaymentMethod FROM scored WHERE y = 1 AND prediction = 0"""))
+
+
+def split_sql(src: str, key: str, label: str, fractions=presets.SPLIT_FRACTIONS, seed: int = presets.SEED) -> str:
+    acc, whens = 0.0, []
+    items = list(fractions.items())
+    for name, f in items[:-1]:
+        acc = round(acc + f, 12)
+        whens.append(f"WHEN rk < floor(n * {acc!r}) THEN '{name}'")
+    return f"""hs AS (
+  SELECT *, md5(concat(CAST({key} AS VARCHAR), '{seed}')) AS hh FROM {src}
+), rs AS (
+  SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY hh, {key}) - 1 AS rk,
+    count(*) OVER (PARTITION BY {label}) AS n FROM hs
+), splitted AS (
+  SELECT *, CASE {' '.join(whens)} ELSE '{items[-1][0]}' END AS split FROM rs
+)"""
+
+
+register("v14_evaluation_bundle", with_ctes(RANKED + ", " + split_sql("ranked", "customerID", "y") + ", "
+                                            + cum_sql("splitted", "split") + """, cnt AS (
+  SELECT split, count(*) FILTER (WHERE y = 0 AND prediction = 0) AS tn, count(*) FILTER (WHERE y = 0 AND prediction = 1) AS fp,
+    count(*) FILTER (WHERE y = 1 AND prediction = 0) AS fn, count(*) FILTER (WHERE y = 1 AND prediction = 1) AS tp
+  FROM splitted GROUP BY split
+), rk AS (""" + rank_metrics_sql("split") + ")", """
+SELECT cnt.split, tn, fp, fn, tp, round((tp + tn) / CAST(tn + fp + fn + tp AS DOUBLE), 6) AS accuracy,
+  round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0E0 ELSE 2 * tp / CAST(2 * tp + fp + fn AS DOUBLE) END, 6) AS f1,
+  roc_auc, average_precision
+FROM cnt JOIN rk ON cnt.split = rk.split"""))
+
+# ---------------------------------------------------------------------------
+# T
+# ---------------------------------------------------------------------------
+register("t1_stratified_split", with_ctes(SUBSCRIBERS + ", " + split_sql("subscribers", "customerID", "Churn"),
+                                          "SELECT customerID, Churn, split FROM splitted"))
+register("t1_stratified_split_orders", with_ctes(
+    split_sql("(SELECT o_orderkey, o_orderstatus FROM orders)", "o_orderkey", "o_orderstatus"),
+    "SELECT o_orderstatus, o_orderkey, split FROM splitted"))
+register("t2_stratified_split_alt", with_ctes(
+    split_sql("(SELECT o_orderkey, o_orderstatus FROM orders)", "o_orderkey", "o_orderstatus",
+              presets.SPLIT_FRACTIONS_ALT),
+    "SELECT o_orderstatus, split, count(*) AS n FROM splitted GROUP BY 1, 2"))
+register("t3_kfold", """
+WITH hs AS (SELECT o_orderkey, o_orderstatus, md5(concat(CAST(o_orderkey AS VARCHAR), '42')) AS hh FROM orders),
+rs AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY hh, o_orderkey) - 1 AS rk FROM hs)
+SELECT o_orderstatus, o_orderkey, CAST(rk % 5 AS INT) AS fold FROM rs""")
+register("t4_class_distribution", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
+register("t5_pos_weight", with_ctes(SCORED, """
+SELECT count(*) FILTER (WHERE y = 1) AS n_pos, count(*) FILTER (WHERE y <> 1) AS n_neg,
+  CASE WHEN count(*) FILTER (WHERE y = 1) > 0
+       THEN round(count(*) FILTER (WHERE y <> 1) / CAST(count(*) FILTER (WHERE y = 1) AS DOUBLE), 4) ELSE 1.0E0 END AS scale_pos_weight
+FROM scored"""))
