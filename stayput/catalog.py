@@ -553,3 +553,47 @@ def t4_class_distribution(spark, sf):
 @query("t5_pos_weight")
 def t5_pos_weight(spark, sf):
     return split.pos_weight(scored_subscribers(spark, sf), "y")
+
+
+# ---------------------------------------------------------------------------
+# Reasons, actions, what-if
+# ---------------------------------------------------------------------------
+def _worked_example_scorer(spark):
+    trees = score.worked_example_trees(spark)
+
+    def scorer(df: DataFrame) -> DataFrame:
+        return score.with_probability(score.ensemble_score(df, trees)).drop("raw_score")
+    return scorer
+
+
+@query("d5_risk_drivers")
+def d5_risk_drivers(spark, sf):
+    return decide.risk_drivers(_records(spark, sf))
+
+
+@query("d6_retention_playbook")
+def d6_retention_playbook(spark, sf):
+    return decide.retention_playbook(scored_subscribers(spark, sf)).select("customerID", "position", "title", "priority")
+
+
+@query("d7_scenario_impact")
+def d7_scenario_impact(spark, sf):
+    imp = decide.scenario_impact(_records(spark, sf), _worked_example_scorer(spark))
+    return imp.select("customerID", "action", r6("base_probability").alias("base_probability"),
+                      r6("new_probability").alias("new_probability"), r6("delta").alias("delta"),
+                      "churn_probability_pct", "reduction_pp")
+
+
+@query("d8_best_action")
+def d8_best_action(spark, sf):
+    imp = decide.scenario_impact(_records(spark, sf), _worked_example_scorer(spark))
+    best = decide.best_action(imp)
+    return best.select("customerID", "action", r6("new_probability").alias("new_probability"),
+                       "churn_probability_pct", "reduction_pp")
+
+
+@query("d10_impact_text")
+def d10_impact_text(spark, sf):
+    imp = decide.scenario_impact(_records(spark, sf), _worked_example_scorer(spark))
+    label, text = decide.impact_text("action", "base_probability", "churn_probability_pct", "reduction_pp")
+    return imp.select("customerID", "action", label.alias("label"), text.alias("text"))

@@ -571,3 +571,120 @@ SELECT count(*) FILTER (WHERE y = 1) AS n_pos, count(*) FILTER (WHERE y <> 1) AS
   CASE WHEN count(*) FILTER (WHERE y = 1) > 0
        THEN round(count(*) FILTER (WHERE y <> 1) / CAST(count(*) FILTER (WHERE y = 1) AS DOUBLE), 4) ELSE 1.0E0 END AS scale_pos_weight
 FROM scored"""))
+
+# ---------------------------------------------------------------------------
+# D5-D8, D10
+# ---------------------------------------------------------------------------
+def _note(label: str, level: str) -> str:
+    return _lit(presets.DRIVER_NOTES[(label, level)])
+
+
+def _drivers_sql() -> str:
+    n = _note
+    nosub = "{c} IN ('No', 'No internet service') AND (InternetService IS NULL OR InternetService <> 'No')"
+    return f"""
+  SELECT customerID, 1 AS k, 'Contract Type' AS label, Contract AS value,
+    CASE WHEN Contract = 'Month-to-month' THEN 'HIGH' WHEN Contract = 'One year' THEN 'MEDIUM' ELSE 'SAFE' END AS level,
+    CASE WHEN Contract = 'Month-to-month' THEN {n('Contract Type', 'HIGH')} WHEN Contract = 'One year'
+      THEN {n('Contract Type', 'MEDIUM')} ELSE {n('Contract Type', 'SAFE')} END AS note FROM subscribers
+  UNION ALL SELECT customerID, 2, 'Tenure', CAST(tenure AS VARCHAR) || ' months',
+    CASE WHEN tenure < 6 THEN 'HIGH' WHEN tenure < 18 THEN 'MEDIUM' ELSE 'SAFE' END,
+    CASE WHEN tenure < 6 THEN {n('Tenure', 'HIGH')} WHEN tenure < 18 THEN {n('Tenure', 'MEDIUM')} ELSE {n('Tenure', 'SAFE')} END
+    FROM subscribers
+  UNION ALL SELECT customerID, 3, 'Payment Method', PaymentMethod,
+    CASE WHEN PaymentMethod = 'Electronic check' THEN 'HIGH' WHEN contains(lower(PaymentMethod), 'automatic') THEN 'SAFE' ELSE 'MEDIUM' END,
+    CASE WHEN PaymentMethod = 'Electronic check' THEN {n('Payment Method', 'HIGH')}
+      WHEN contains(lower(PaymentMethod), 'automatic') THEN {n('Payment Method', 'SAFE')} ELSE {n('Payment Method', 'MEDIUM')} END
+    FROM subscribers
+  UNION ALL SELECT customerID, 4, 'Internet Service', CASE WHEN InternetService = 'No' THEN 'None' ELSE InternetService END,
+    CASE WHEN InternetService IN ('Fiber optic', 'No') THEN 'MEDIUM' ELSE 'SAFE' END,
+    CASE WHEN InternetService = 'Fiber optic' THEN {n('Internet Service', 'FIBER')}
+      WHEN InternetService = 'No' THEN {n('Internet Service', 'NONE')} ELSE {n('Internet Service', 'SAFE')} END
+    FROM subscribers
+  UNION ALL SELECT customerID, 5, 'Tech Support', CASE WHEN {nosub.format(c='TechSupport')} THEN 'Not subscribed' ELSE 'Active' END,
+    CASE WHEN {nosub.format(c='TechSupport')} THEN 'MEDIUM' ELSE 'SAFE' END,
+    CASE WHEN {nosub.format(c='TechSupport')} THEN {n('Tech Support', 'MEDIUM')} ELSE {n('Tech Support', 'SAFE')} END
+    FROM subscribers WHERE {nosub.format(c='TechSupport')} OR TechSupport = 'Yes'
+  UNION ALL SELECT customerID, 6, 'Online Security', CASE WHEN {nosub.format(c='OnlineSecurity')} THEN 'Not subscribed' ELSE 'Active' END,
+    CASE WHEN {nosub.format(c='OnlineSecurity')} THEN 'LOW' ELSE 'SAFE' END,
+    CASE WHEN {nosub.format(c='OnlineSecurity')} THEN {n('Online Security', 'LOW')} ELSE {n('Online Security', 'SAFE')} END
+    FROM subscribers WHERE {nosub.format(c='OnlineSecurity')} OR OnlineSecurity = 'Yes'
+  UNION ALL SELECT customerID, 7, 'High Charges / Short Tenure',
+    '$' || CAST(CAST(round_even(MonthlyCharges, 0) AS BIGINT) AS VARCHAR) || '/mo', 'HIGH',
+    {n('High Charges / Short Tenure', 'HIGH')}
+    FROM subscribers WHERE MonthlyCharges > 80 AND tenure < 12"""
+
+
+register("d5_risk_drivers", with_ctes(SUBSCRIBERS + f", dr AS ({_drivers_sql()})", """
+SELECT customerID, CAST(row_number() OVER (PARTITION BY customerID ORDER BY k) AS INT) AS position,
+  label, value, level, note FROM dr"""))
+
+
+def _playbook_sql() -> str:
+    pb = {k: (t, p) for k, t, _d, p in presets.PLAYBOOK}
+    nosub = "{c} IN ('No', 'No internet service') AND (InternetService IS NULL OR InternetService <> 'No')"
+    rules = [
+        ("outreach", "probability > 0.70"),
+        ("annual", "Contract = 'Month-to-month'"),
+        ("autopay", "coalesce(NOT contains(lower(PaymentMethod), 'automatic'), true)"),
+        ("techsupport", nosub.format(c="TechSupport")),
+        ("security", nosub.format(c="OnlineSecurity")),
+        ("loyalty", "tenure < 12"),
+    ]
+    parts = [f"SELECT customerID, {i} AS k, {_lit(pb[key][0])} AS title, {_lit(pb[key][1])} AS priority "
+             f"FROM scored WHERE {cond}" for i, (key, cond) in enumerate(rules)]
+    body = "\n  UNION ALL ".join(parts)
+    return f"""acts AS ({body}
+), allacts AS (
+  SELECT * FROM acts
+  UNION ALL SELECT customerID, 99, {_lit(pb['monitor'][0])}, {_lit(pb['monitor'][1])} FROM scored
+  WHERE customerID NOT IN (SELECT customerID FROM acts)
+)"""
+
+
+register("d6_retention_playbook", with_ctes(SCORED + ", " + _playbook_sql(), """
+SELECT customerID, CAST(row_number() OVER (PARTITION BY customerID ORDER BY k) AS INT) AS position, title, priority
+FROM allacts"""))
+
+
+def _scenario_sql() -> str:
+    rows = []
+    for rank, (action, ov, factor) in enumerate(presets.SCENARIOS):
+        vals = [_lit(action), str(rank)] + [(_lit(ov[c]) if c in ov else "CAST(NULL AS VARCHAR)")
+                                            for c in presets.SCENARIO_COLUMNS]
+        vals.append(f"CAST({factor!r} AS DOUBLE)" if factor is not None else "CAST(NULL AS DOUBLE)")
+        rows.append("(" + ", ".join(vals) + ")")
+    cols = ", ".join(["action", "action_rank", *[f"o_{c}" for c in presets.SCENARIO_COLUMNS], "charge_factor"])
+    over = ", ".join(f"coalesce(sc.o_{c}, s.{c}) AS {c}" for c in presets.SCENARIO_COLUMNS)
+    keep = [c for c in presets.INPUT_COLUMNS if c not in presets.SCENARIO_COLUMNS and c != "MonthlyCharges"]
+    return f"""scen({cols}) AS (VALUES {", ".join(rows)}
+), base_p AS (
+  SELECT *, 1 / (1 + exp(-({ensemble_sql()}))) AS base_probability FROM subscribers
+), varied AS (
+  SELECT {", ".join("s." + c for c in keep)}, s.base_probability, sc.action, sc.action_rank, {over},
+    CASE WHEN sc.charge_factor IS NOT NULL THEN greatest(1.0E0, s.MonthlyCharges * sc.charge_factor)
+         ELSE s.MonthlyCharges END AS MonthlyCharges
+  FROM base_p s, scen sc
+), rescored AS (
+  SELECT *, 1 / (1 + exp(-({ensemble_sql()}))) AS new_probability FROM varied
+), impact AS (
+  SELECT customerID, action, action_rank, base_probability, new_probability,
+    base_probability - new_probability AS delta,
+    round_even(new_probability * 100 * 10, 0) / 10 AS churn_probability_pct,
+    round_even((base_probability - new_probability) * 100 * 10, 0) / 10 AS reduction_pp
+  FROM rescored WHERE abs(base_probability - new_probability) > 0.005
+)"""
+
+
+register("d7_scenario_impact", with_ctes(SUBSCRIBERS + ", " + _scenario_sql(), """
+SELECT customerID, action, round(base_probability, 6) AS base_probability, round(new_probability, 6) AS new_probability,
+  round(delta, 6) AS delta, churn_probability_pct, reduction_pp FROM impact"""))
+register("d8_best_action", with_ctes(SUBSCRIBERS + ", " + _scenario_sql(), """
+SELECT customerID, action, round(new_probability, 6) AS new_probability, churn_probability_pct, reduction_pp
+FROM (SELECT *, row_number() OVER (PARTITION BY customerID ORDER BY delta DESC, action_rank ASC) AS rn FROM impact) r
+WHERE rn = 1"""))
+register("d10_impact_text", with_ctes(SUBSCRIBERS + ", " + _scenario_sql(), """
+SELECT customerID, action,
+  printf('%s  (%.1f%% → %.1f%%)', action, round_even(base_probability * 100 * 10, 0) / 10, churn_probability_pct) AS label,
+  printf('−%.1f pp', reduction_pp) AS text
+FROM impact"""))
