@@ -597,3 +597,108 @@ def d10_impact_text(spark, sf):
     imp = decide.scenario_impact(_records(spark, sf), _worked_example_scorer(spark))
     label, text = decide.impact_text("action", "base_probability", "churn_probability_pct", "reduction_pp")
     return imp.select("customerID", "action", label.alias("label"), text.alias("text"))
+
+
+# ---------------------------------------------------------------------------
+# T6-T12, M1, S: training, model scoring, sources and sinks (rows-only checks)
+# ---------------------------------------------------------------------------
+from stayput.operators import train  # noqa: E402
+from stayput.plans import training  # noqa: E402
+from stayput.session import shared_dir  # noqa: E402
+from stayput.sources import io  # noqa: E402
+
+_TRAINED: dict = {}
+
+
+def trained(spark: SparkSession, sf: str):
+    """One small trained model per (session, scale), shared by the training queries."""
+    key = (id(spark), sf)
+    if key not in _TRAINED:
+        _TRAINED[key] = training.fit(_records(spark, sf))
+    return _TRAINED[key]
+
+
+@query("t6_random_search")
+def t6_random_search(spark, sf):
+    tm = trained(spark, sf)
+    return train.fit_log(spark, tm.cv_model, tm.candidates).select("candidate", "total", "score", "params")
+
+
+@query("t7_train_boosted")
+def t7_train_boosted(spark, sf):
+    tm = trained(spark, sf)
+    test = tm.data.where(F.col("split") == "test")
+    return score.score_model(test, tm.model, labels=["No", "Yes"]).select("customerID", "probability", "prediction")
+
+
+@query("t8_cv_auc")
+def t8_cv_auc(spark, sf):
+    tm = trained(spark, sf)
+    trn = split.assign_folds(tm.data.where(F.col("split") == "train"), "customerID", "label", k=2)
+    return train.cv_summary(train.cv_auc(trn, tm.params, k=2))
+
+
+@query("t10_importance")
+def t10_importance(spark, sf):
+    tm = trained(spark, sf)
+    return train.importance(spark, tm.model, tm.plan.state.feature_names, 10)
+
+
+@query("t11_early_stop")
+def t11_early_stop(spark, sf):
+    tm = trained(spark, sf)
+    return train.early_stop_info(spark, tm.model, int(tm.params["n_estimators"]))
+
+
+@query("t12_training_summary")
+def t12_training_summary(spark, sf):
+    tm = trained(spark, sf)
+    ev = training.evaluate_splits(tm).where(F.col("split") == "test").first()
+    return train.training_summary(spark, {
+        "params": tm.params, "features": len(tm.plan.state.feature_names),
+        "test_auc": round(ev["roc_auc"], 6), "test_accuracy": round(ev["accuracy"], 6),
+        "trees": tm.model.getNumTrees})
+
+
+@query("m1_batch_predict")
+def m1_batch_predict(spark, sf):
+    tm = trained(spark, sf)
+    return training.predict(tm, _records(spark, sf)).select("customerID", "probability", "prediction")
+
+
+@query("v14_evaluation_trained")
+def v14_evaluation_trained(spark, sf):
+    return training.evaluate_splits(trained(spark, sf))
+
+
+@query("s1_csv_roundtrip")
+def s1_csv_roundtrip(spark, sf):
+    path = shared_dir(spark, f"csv/subscribers-{abs(hash(sf))}")
+    io.write_table(_records(spark, sf), path, "csv")
+    return io.read_customers(spark, path)
+
+
+@query("s5_state_roundtrip")
+def s5_state_roundtrip(spark, sf):
+    tm = trained(spark, sf)
+    path = shared_dir(spark, f"state/{abs(hash(sf))}")
+    io.save_state(tm.plan.state_tables(spark), path, tm.model)
+    tables, model = io.load_state(spark, path)
+    plan = FeaturePlan.from_tables(tables)
+    reloaded = training.TrainedModel(plan, model, tm.params, tm.candidates, tm.cv_model, tm.data)
+    return training.predict(reloaded, _records(spark, sf)).select("customerID", "probability", "prediction")
+
+
+def subscriber_records_json(spark, sf) -> DataFrame:
+    """One JSON subscriber record per active user in ``events`` (user_id = customer key)."""
+    users = _table(spark, sf, "events").select(F.col("user_id").alias("c_custkey")).distinct()
+    subs = subscribers(spark, sf)
+    rec_cols = [f.name for f in io.RECORD_SCHEMA.fields]
+    return subs.join(users, "c_custkey", "left_semi") \
+        .select("customerID", F.to_json(F.struct(*rec_cols)).alias("value"))
+
+
+@query("s7_parse_records")
+def s7_parse_records(spark, sf):
+    ok, _bad = io.parse_records(subscriber_records_json(spark, sf), keep=("customerID",))
+    return ok
