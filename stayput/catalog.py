@@ -695,10 +695,37 @@ def subscriber_records_json(spark, sf) -> DataFrame:
     subs = subscribers(spark, sf)
     rec_cols = [f.name for f in io.RECORD_SCHEMA.fields]
     return subs.join(users, "c_custkey", "left_semi") \
-        .select("customerID", F.to_json(F.struct(*rec_cols)).alias("value"))
+        .select("customerID", F.to_json(F.struct("customerID", *rec_cols)).alias("value"))
 
 
 @query("s7_parse_records")
 def s7_parse_records(spark, sf):
     ok, _bad = io.parse_records(subscriber_records_json(spark, sf), keep=("customerID",))
     return ok
+
+
+@query("r1_stream_scoring")
+def r1_stream_scoring(spark, sf):
+    """Records of active users -> JSON files -> streaming scorer -> parquet sink (read back)."""
+    import uuid
+    from stayput.streaming.scoring import score_stream
+    run = shared_dir(spark, f"stream/{uuid.uuid4().hex}")
+    subscriber_records_json(spark, sf).select("value").write.mode("overwrite").text(f"{run}/in")
+    trees = score.worked_example_trees(spark)
+
+    def scorer(df):
+        return score.score_ensemble(df, trees)
+    q_ = score_stream(spark, f"{run}/in", scorer, f"{run}/out", f"{run}/ckpt", f"{run}/rejects")
+    q_.awaitTermination()
+    out = spark.read.parquet(f"{run}/out")
+    return out.select("customerID", r6("probability").alias("probability"), "prediction", "risk_tier",
+                      "churn_probability", "clv_at_risk")
+
+
+@query("a5_batch_report")
+def a5_batch_report(spark, sf):
+    """A5 composite: the scored table the report writes (KPIs, tiers, histogram, top 10 read from it)."""
+    from stayput.plans.batch_report import batch_report
+    rep = batch_report(scored_subscribers(spark, sf))
+    return rep["scored"].select("customerID", r6("probability").alias("probability"), "prediction",
+                                "churn_probability", "risk_tier", "months_remaining", "clv_at_risk")

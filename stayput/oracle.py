@@ -688,3 +688,13 @@ SELECT customerID, action,
   printf('%s  (%.1f%% → %.1f%%)', action, round_even(base_probability * 100 * 10, 0) / 10, churn_probability_pct) AS label,
   printf('−%.1f pp', reduction_pp) AS text
 FROM impact"""))
+
+# ---------------------------------------------------------------------------
+# R1, A5
+# ---------------------------------------------------------------------------
+register("r1_stream_scoring", with_ctes(SCORED, """
+SELECT customerID, round(probability, 6) AS probability, prediction, risk_tier, churn_probability, clv_at_risk
+FROM valued WHERE c_custkey IN (SELECT user_id FROM events)"""))
+register("a5_batch_report", with_ctes(SCORED, """
+SELECT customerID, round(probability, 6) AS probability, prediction, churn_probability, risk_tier,
+  months_remaining, clv_at_risk FROM valued"""))
