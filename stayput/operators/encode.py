@@ -51,15 +51,31 @@ def _dictionary(enc: DataFrame, col: str) -> DataFrame:
     return enc.where(F.col("column") == col).select("value", "code")
 
 
+def small_dictionaries(enc: DataFrame) -> tuple[dict[str, int], dict[str, list[tuple[str, int]]]]:
+    """Sizes of every column's dictionary, and the entries of the small ones (two jobs).
+
+    Only columns with at most ``MAP_LITERAL_MAX`` entries reach the driver.
+    """
+    sizes = {r["column"]: r["n"] for r in
+             enc.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
+    small = [c for c, n in sizes.items() if n <= MAP_LITERAL_MAX]
+    entries: dict[str, list[tuple[str, int]]] = {c: [] for c in small}
+    if small:
+        for r in enc.where(F.col("column").isin(small)).collect():
+            entries[r["column"]].append((r["value"], r["code"]))
+    return sizes, entries
+
+
 def apply_labels(df: DataFrame, enc: DataFrame, cols: Sequence[str] | None = None,
-                 unseen: int = 0, keep_nulls: bool = False, missing_as_null: bool = False) -> DataFrame:
+                 unseen: int = 0, keep_nulls: bool = False, missing_as_null: bool = False,
+                 dictionaries: tuple | None = None) -> DataFrame:
     """Replace each encoded column by its code; unseen -> ``unseen``.
 
     ``keep_nulls`` leaves null inputs null (null-keeping variant);
-    ``missing_as_null`` adds a null column for an encoder whose column is absent.
+    ``missing_as_null`` adds a null column for an encoder whose column is absent;
+    ``dictionaries`` is a cached ``small_dictionaries(enc)`` result.
     """
-    sizes = {r["column"]: r["n"] for r in
-             enc.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
+    sizes, entries = dictionaries if dictionaries is not None else small_dictionaries(enc)
     cols = [c for c in (cols if cols is not None else sizes) if c in sizes]
     out = df
     for c in cols:
@@ -68,9 +84,9 @@ def apply_labels(df: DataFrame, enc: DataFrame, cols: Sequence[str] | None = Non
                 out = out.withColumn(c, F.lit(None).cast("int"))
             continue
         key = F.col(c).cast("string")
-        if sizes[c] <= MAP_LITERAL_MAX:
-            rows = _dictionary(enc, c).collect()  # bounded by MAP_LITERAL_MAX
-            m = F.create_map(*[F.lit(x) for r in rows for x in (r["value"], r["code"])]) if rows else None
+        if c in entries:
+            rows = entries[c]
+            m = F.create_map(*[F.lit(x) for r in rows for x in r]) if rows else None
             code = F.try_element_at(m, key) if m is not None else F.lit(None).cast("int")
             code = F.when(key.isNull(), F.lit(None).cast("int")).otherwise(code)
             enc_col = F.coalesce(code, F.lit(unseen))

@@ -29,6 +29,7 @@ class PlanState:
     encoders: DataFrame
     stats: dict
     feature_names: list[str] = field(default_factory=list)
+    dictionaries: tuple | None = None       # small encoder dictionaries, read once
 
 
 class FeaturePlan:
@@ -52,6 +53,7 @@ class FeaturePlan:
         stats = features.fit_zscore(imputed, num)
         self.state = PlanState(self.target, self.id_columns if self.exclude_ids else [], num, cat,
                                flags, medians, modes, enc, stats)
+        self.state.dictionaries = encode.small_dictionaries(enc)
         names = [c for c in self.transform(df).columns
                  if c != self.target and c not in self.state.id_columns]
         self.state.feature_names = names
@@ -65,8 +67,10 @@ class FeaturePlan:
         if not self.keep_nulls:
             out = clean.apply_impute(out, s.medians, s.modes, widen=s.missing_flags)
         out = features.engineer(out)
+        if s.dictionaries is None:
+            s.dictionaries = encode.small_dictionaries(s.encoders)
         out = encode.apply_labels(out, s.encoders, s.categorical, unseen=0, keep_nulls=self.keep_nulls,
-                                  missing_as_null=self.keep_nulls)
+                                  missing_as_null=self.keep_nulls, dictionaries=s.dictionaries)
         out = features.apply_zscore(out, s.stats)
         return out if self.keep_nulls else clean.fill_zero(out)
 
