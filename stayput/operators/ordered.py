@@ -65,6 +65,14 @@ def running_totals(df: DataFrame, order_col: str, measures: Sequence[str],
     out = bdf
     for m in measures:
         out = out.withColumn(f"_in_{m}", F.sum(m).over(w_in))
+    if n_buckets == 1:
+        # one bucket per group: the in-bucket sums are already global, no offsets to add
+        w_lead = Window.partitionBy(*by, BUCKET).orderBy(*order)
+        for m in measures:
+            out = out.withColumnRenamed(f"_in_{m}", f"cum_{m}")
+        for c in next_cols:
+            out = out.withColumn(f"next_{c}", F.lead(c).over(w_lead))
+        return out.drop(BUCKET)
 
     # per-bucket totals -> exclusive prefix over buckets (small table)
     totals = bdf.groupBy(*by, BUCKET).agg(
