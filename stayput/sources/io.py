@@ -77,12 +77,22 @@ def latest_version(registry: DataFrame, key: str = "path", ts: str = "saved_at")
 def parse_records(df: DataFrame, value: str = "value", schema: T.StructType = RECORD_SCHEMA,
                   keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """JSON text -> typed record columns. Returns (parsed, rejected); unparsable rows go to the reject side."""
-    parsed = df.select(*keep, F.col(value), F.from_json(F.col(value), schema).alias("r"))
-    ok = parsed.where(F.col("r").isNotNull()).select(*keep, "r.*")
-    bad = parsed.where(F.col("r").isNull()).select(*keep, value)
+    parsed = df.select(*keep, F.col(value), json_struct(F.col(value), schema).alias("r"))
+    malformed = F.col("r").isNull() | F.col(f"r.{CORRUPT}").isNotNull()
+    ok = parsed.where(~malformed).select(*keep, *[f"r.{f.name}" for f in schema.fields])
+    bad = parsed.where(malformed).select(*keep, value)
     return ok, bad
 
 
+CORRUPT = "_corrupt_record"
+
+
+def json_struct(text, schema: T.StructType):
+    """Permissive ``from_json`` that keeps unparsable text in ``_corrupt_record``."""
+    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+
+
 def template(spark: SparkSession) -> DataFrame:
     """The default record as a one-row table."""
     return spark.createDataFrame([presets.DEFAULT_ROW], RECORD_SCHEMA)

@@ -17,15 +17,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayput.operators import decide
-from stayput.sources.io import RECORD_SCHEMA
+from stayput.sources.io import CORRUPT, RECORD_SCHEMA, json_struct
 
 STREAM_SCHEMA = T.StructType([T.StructField("customerID", T.StringType()), *RECORD_SCHEMA.fields])
 
 
 def parse_stream(raw: DataFrame, schema: T.StructType = STREAM_SCHEMA) -> DataFrame:
     """Adds the parsed record columns plus ``_ok`` (false for malformed lines)."""
-    parsed = raw.select(F.col("value"), F.from_json("value", schema).alias("r"))
-    return parsed.select("value", (F.col("r").isNotNull() & F.col("r.customerID").isNotNull()).alias("_ok"), "r.*")
+    parsed = raw.select(F.col("value"), json_struct(F.col("value"), schema).alias("r"))
+    ok = F.col("r").isNotNull() & F.col(f"r.{CORRUPT}").isNull() & F.col("r.customerID").isNotNull()
+    return parsed.select("value", F.coalesce(ok, F.lit(False)).alias("_ok"),
+                         *[f"r.{f.name}" for f in schema.fields])
 
 
 def score_stream(spark: SparkSession, source_dir: str, scorer: Callable[[DataFrame], DataFrame],
