@@ -12,13 +12,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayput.operators.ordered import global_rank, join_small
+
 ENCODER_SCHEMA = "column string, value string, code int"
 MAP_LITERAL_MAX = 10_000          # entries per column applied as a literal map
 BROADCAST_MAX = 1_000_000         # dictionary rows joined by broadcast
-WINDOW_MAX = 5_000_000            # distinct values ranked in one window partition
 ONE_HOT_MAX = 1_000               # distinct values turned into columns
 
 
@@ -28,23 +29,20 @@ def _long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(F.explode(pairs).alias("kv")).select("kv.column", "kv.value")
 
 
-def fit_labels(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def fit_labels(df: DataFrame, cols: Sequence[str], **kw) -> DataFrame:
     """(column, value, code) with codes 0..n-1 over the sorted distinct non-null values.
 
-    The distinct pairs are produced by a partial + final aggregation; the
-    ranking window is partitioned by column, each holding that column's
-    distinct values (checked against ``WINDOW_MAX``).
+    The distinct pairs come from a partial + final aggregation; codes are the
+    exact global rank of (column, value) minus the first rank of the column,
+    so no column's dictionary is ranked in a single task.
     """
     if not cols:
         return df.sparkSession.createDataFrame([], ENCODER_SCHEMA)
     pairs = _long(df, cols).where(F.col("value").isNotNull()).distinct()
-    card = pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-    too_big = card.where(F.col("n") > WINDOW_MAX).limit(5).collect()
-    if too_big:
-        raise ValueError(f"columns with more than {WINDOW_MAX} categories: "
-                         f"{[r['column'] for r in too_big]}; exclude id-like columns")
-    w = Window.partitionBy("column").orderBy("value")
-    return pairs.select("column", "value", (F.row_number().over(w) - 1).cast("int").alias("code"))
+    ranked = global_rank(pairs, ["column", "value"], **kw)
+    first = ranked.groupBy("column").agg(F.min("rank").alias("_first"))  # one row per column
+    return join_small(ranked, first, ["column"]).select(
+        "column", "value", (F.col("rank") - F.col("_first")).cast("int").alias("code"))
 
 
 def _dictionary(enc: DataFrame, col: str) -> DataFrame:

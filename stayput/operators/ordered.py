@@ -128,3 +128,32 @@ def join_small(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "i
     if n <= max_rows:
         return df.join(F.broadcast(small), on=list(on), how=how)
     return df.join(small, on=list(on), how=how)
+
+
+def global_rank(df: DataFrame, keys: Sequence[str], out: str = "rank",
+                rows_per_part: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Exact 0-based rank of each row in ``keys`` order (rows unique per ``keys``), for any key type.
+
+    Small inputs use one window. Larger ones are range-partitioned — the
+    partitioner samples whole keys, so long shared string prefixes still
+    split evenly — ranked inside each range, and shifted by the exclusive
+    prefix of the range sizes (at most ``MAX_BUCKETS`` rows, broadcast).
+    The range assignment is written to the shared checkpoint folder first,
+    so a lost executor cannot recompute rows into a different range.
+    """
+    from stayput.session import shared_dir
+
+    n = df.count()
+    parts = min(MAX_BUCKETS, max(1, math.ceil(n / rows_per_part)))
+    order = [F.col(k).asc() for k in keys]
+    if parts == 1:
+        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)) - 1)
+    shared_dir(df.sparkSession, "ranks")
+    ranged = df.repartitionByRange(parts, *keys).withColumn("_pid", F.spark_partition_id()) \
+        .checkpoint(eager=True)
+    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)) - 1)
+    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    return local.join(F.broadcast(offsets), "_pid").withColumn(out, F.col("_off") + F.col("_local")) \
+        .drop("_pid", "_local", "_off")

@@ -86,3 +86,14 @@ def test_scenarios_empty_keeps_schema(spark):
     imp = decide.scenario_impact(df, flat)
     assert imp.count() == 0
     assert {"customerID", "action", "delta", "reduction_pp"} <= set(imp.columns)
+
+
+def test_label_codes_distributed_equal_single(spark):
+    li = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    cols = ["o_orderpriority", "o_orderstatus", "o_custkey"]
+    one = {(r[0], r[1]): r[2] for r in encode.fit_labels(li, cols).collect()}
+    many = {(r[0], r[1]): r[2] for r in encode.fit_labels(li, cols, rows_per_part=97).collect()}
+    assert one == many and len(one) > 1000
+    # codes follow the sorted string order within each column
+    pri = sorted((v, c) for (col, v), c in one.items() if col == "o_orderpriority")
+    assert [c for _, c in pri] == list(range(len(pri)))
