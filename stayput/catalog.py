@@ -729,3 +729,66 @@ def a5_batch_report(spark, sf):
     rep = batch_report(scored_subscribers(spark, sf))
     return rep["scored"].select("customerID", r6("probability").alias("probability"), "prediction",
                                 "churn_probability", "risk_tier", "months_remaining", "clv_at_risk")
+
+
+# ---------------------------------------------------------------------------
+# further inventory rows: M4, M6, E3 composite (null-keeping plan), F17 train variant, S2, S4, E10
+# ---------------------------------------------------------------------------
+@query("m4_sigmoid")
+def m4_sigmoid(spark, sf):
+    s = score.ensemble_score(_records(spark, sf), score.worked_example_trees(spark))
+    return score.with_probability(s, "raw_score", "p").select("customerID", r6("p").alias("p"))
+
+
+@query("m6_append_predictions")
+def m6_append_predictions(spark, sf):
+    """Input columns kept, predictions appended (no join back)."""
+    s = scored_subscribers(spark, sf)
+    return s.select(*presets.INPUT_COLUMNS, presets.TARGET, r6("probability").alias("probability"),
+                    "prediction", "churn_probability", "risk_tier")
+
+
+@query("e11_feature_plan_keep_nulls")
+def e11_feature_plan_keep_nulls(spark, sf):
+    """Null-keeping variant: no imputation, nulls stay null through encoding, no final fill."""
+    s = _records(spark, sf)
+    plan = FeaturePlan(target=presets.TARGET, id_columns=["customerID"], keep_nulls=True).fit(s)
+    return _round_doubles(plan.transform(s))
+
+
+@query("f17_total_count_train")
+def f17_total_count_train(spark, sf):
+    s = features.add_total_count(features.signed_encode(_records(spark, sf)), presets.SIGNED_COUNT_TRAIN)
+    return s.select("customerID", "total_count")
+
+
+@query("s2_csv_sink_scored")
+def s2_csv_sink_scored(spark, sf):
+    """The scored table written as header CSV, read back with its schema."""
+    import uuid
+    from stayput.plans.batch_report import batch_report
+    path = shared_dir(spark, f"csv/scored-{uuid.uuid4().hex}")
+    scored = scored_subscribers(spark, sf).select("customerID", "Contract", "tenure", "MonthlyCharges",
+                                                   "probability", "churn_probability", "risk_tier", "clv_at_risk")
+    batch_report(scored, sink=path)
+    return spark.read.schema(scored.schema).option("header", True).csv(path)
+
+
+@query("s4_metrics_json")
+def s4_metrics_json(spark, sf):
+    """The classification report written as JSON lines and read back."""
+    import uuid
+    path = shared_dir(spark, f"metrics/{uuid.uuid4().hex}")
+    rep = evaluate.classification_report(_labels(spark, sf), "y", "yhat")
+    io.write_metrics(rep, path)
+    return spark.read.schema(rep.schema).json(path)
+
+
+@query("e10_assemble_vector")
+def e10_assemble_vector(spark, sf):
+    """The ordered feature vector (as an array for inspection)."""
+    from pyspark.ml.functions import vector_to_array
+    s = _records(spark, sf)
+    plan = FeaturePlan(target=presets.TARGET, id_columns=["customerID"]).fit(s)
+    v = encode.assemble(plan.transform(s), plan.state.feature_names)
+    return v.select("customerID", vector_to_array("features").alias("features"))

@@ -698,3 +698,60 @@ FROM valued WHERE c_custkey IN (SELECT user_id FROM events)"""))
 register("a5_batch_report", with_ctes(SCORED, """
 SELECT customerID, round(probability, 6) AS probability, prediction, churn_probability, risk_tier,
   months_remaining, clv_at_risk FROM valued"""))
+
+# ---------------------------------------------------------------------------
+# M4, M6, null-keeping plan, F17 train variant, S2, S4
+# ---------------------------------------------------------------------------
+register("m4_sigmoid", with_ctes(SCORED, "SELECT customerID, round(probability, 6) AS p FROM scored"))
+register("m6_append_predictions", with_ctes(SCORED, f"""
+SELECT {INPUTS}, Churn, round(probability, 6) AS probability, prediction, churn_probability, risk_tier FROM scored"""))
+register("f17_total_count_train", with_ctes(SUBSCRIBERS, "SELECT customerID, CAST(" + " + ".join(
+    f"coalesce({signed_sql(c)}, 0)" for c in presets.SIGNED_COUNT_TRAIN) + " AS BIGINT) AS total_count FROM subscribers"))
+register("s2_csv_sink_scored", with_ctes(SCORED, """
+SELECT customerID, Contract, tenure, MonthlyCharges, probability, churn_probability, risk_tier, clv_at_risk FROM valued"""))
+
+
+def _feature_plan_keep_nulls_sql() -> str:
+    joins, cols = [], []
+    for i, c in enumerate(presets.INPUT_COLUMNS):
+        if c in SUB_CAT:
+            joins.append(f"LEFT JOIN dict d{i} ON d{i}.col = '{c}' AND d{i}.value = r.{c}")
+            cols.append(f"CASE WHEN r.{c} IS NULL THEN NULL ELSE coalesce(d{i}.code, 0) END AS {c}")
+        elif c in ("MonthlyCharges", "TotalCharges"):
+            cols.append(f"round(r.{c}, 6) AS {c}")
+        else:
+            cols.append(f"r.{c}")
+    eng = engineered_sql().replace("AS tenure_to_max", "AS tenure_to_max_raw") \
+        .replace("AS tenure_monthly_ratio", "AS tenure_monthly_ratio_raw")
+    body = f"""
+SELECT {", ".join(cols)}, Churn, MonthlyCharges_is_na, TotalCharges_is_na,
+  tenure_group, round(tenure_to_max_raw, 6) AS tenure_to_max,
+  round(tenure_monthly_ratio_raw, 6) AS tenure_monthly_ratio, charge_group, total_services, has_internet,
+  has_phone, is_month_to_month, is_automatic_payment, is_senior, has_dependents, churn_risk_score,
+  {", ".join(f"round((r.{c} - m_{c}) / s_{c}, 6) AS {c}_zscore" for c in NUMS)}
+FROM (SELECT *, CAST(MonthlyCharges IS NULL AS INT) AS MonthlyCharges_is_na,
+        CAST(TotalCharges IS NULL AS INT) AS TotalCharges_is_na, {eng} FROM subscribers) r, zstats
+{chr(10).join(joins)}"""
+    return with_ctes(IMPUTED + f", dict AS ({dict_sql('imputed', SUB_CAT)})", body)
+
+
+register("e11_feature_plan_keep_nulls", _feature_plan_keep_nulls_sql())
+register("s4_metrics_json", with_ctes(LABELS + """, cc AS (
+  SELECT count(*) FILTER (WHERE y = 0 AND yhat = 0) AS tn, count(*) FILTER (WHERE y = 0 AND yhat = 1) AS fp,
+    count(*) FILTER (WHERE y = 1 AND yhat = 0) AS fn, count(*) FILTER (WHERE y = 1 AND yhat = 1) AS tp FROM lab
+), per AS (
+  SELECT *,
+    CASE WHEN tn + fn = 0 THEN 0.0E0 ELSE tn / CAST(tn + fn AS DOUBLE) END AS p0,
+    CASE WHEN tn + fp = 0 THEN 0.0E0 ELSE tn / CAST(tn + fp AS DOUBLE) END AS r0,
+    CASE WHEN 2 * tn + fn + fp = 0 THEN 0.0E0 ELSE 2 * tn / CAST(2 * tn + fn + fp AS DOUBLE) END AS f0,
+    CASE WHEN tp + fp = 0 THEN 0.0E0 ELSE tp / CAST(tp + fp AS DOUBLE) END AS p1,
+    CASE WHEN tp + fn = 0 THEN 0.0E0 ELSE tp / CAST(tp + fn AS DOUBLE) END AS r1,
+    CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0E0 ELSE 2 * tp / CAST(2 * tp + fp + fn AS DOUBLE) END AS f1,
+    tn + fp AS s0, tp + fn AS s1, tn + fp + tp + fn AS n
+  FROM cc
+)""", """
+SELECT '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1_score, CAST(s0 AS BIGINT) AS support FROM per
+UNION ALL SELECT '1', p1, r1, f1, CAST(s1 AS BIGINT) FROM per
+UNION ALL SELECT 'accuracy', NULL, NULL, CASE WHEN n = 0 THEN 0.0E0 ELSE (tp + tn) / CAST(n AS DOUBLE) END, CAST(n AS BIGINT) FROM per
+UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, CAST(n AS BIGINT) FROM per
+UNION ALL SELECT 'weighted avg', (p0 * s0 + p1 * s1) / n, (r0 * s0 + r1 * s1) / n, (f0 * s0 + f1 * s1) / n, CAST(n AS BIGINT) FROM per"""))

@@ -3,7 +3,8 @@
 JSON subscriber records arrive as text files; each micro-batch is parsed
 with an explicit schema, scored with the same column functions as the batch
 path, tiered, and written by ``foreachBatch``: good rows to the scored sink,
-unparsable lines to a reject sink (instead of failing the request). No state
+unparsable lines to a reject sink (instead of failing the request); each
+micro-batch owns one ``batch_id=N`` folder, so replays are idempotent. No state
 is kept, so no watermark is needed; the checkpoint folder makes the query
 restartable after a lost executor or driver.
 """
@@ -42,12 +43,14 @@ def score_stream(spark: SparkSession, source_dir: str, scorer: Callable[[DataFra
     parsed = parse_stream(raw)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # one folder per micro-batch, overwritten on replay: a batch re-run after a
+        # failure replaces its own output instead of appending duplicates
         good = batch.where("_ok").drop("value", "_ok")
         scored = decide.with_value_at_risk(scorer(good))
-        scored.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink_dir)
+        scored.write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
         if reject_dir is not None:
-            batch.where(~F.col("_ok")).select("value", F.lit(batch_id).alias("batch_id")) \
-                .write.mode("append").parquet(reject_dir)
+            batch.where(~F.col("_ok")).select("value") \
+                .write.mode("overwrite").parquet(f"{reject_dir}/batch_id={batch_id}")
 
     writer = parsed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
