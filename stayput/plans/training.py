@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,12 +38,15 @@ def prepare(df: DataFrame, key: str = "customerID", target: str = presets.TARGET
             fractions=presets.SPLIT_FRACTIONS) -> tuple[FeaturePlan, DataFrame]:
     spark = df.sparkSession
     shared_dir(spark, "training")  # makes the checkpoint dir available to the tree learner
-    s = split.stratified_split(df, key, target, fractions)
+    # the split is read by every fit job below: compute it once
+    s = split.stratified_split(df, key, target, fractions).persist(StorageLevel.MEMORY_AND_DISK)
     plan = FeaturePlan(target=target, id_columns=[key]).fit(s.where(F.col("split") == "train").drop("split"))
     feats = plan.transform(s)
     feats = feats.withColumn("label", F.when(F.col(target) == "Yes", 1.0).otherwise(0.0))
     feats = train.assemble_features(feats, plan.state.feature_names)
-    return plan, feats
+    # the training set is read by every fold, candidate and tree level: keep it
+    # (memory, spilling to disk) instead of recomputing the split and transform
+    return plan, feats.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def fit(df: DataFrame, key: str = "customerID", target: str = presets.TARGET,
