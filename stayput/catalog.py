@@ -792,3 +792,20 @@ def e10_assemble_vector(spark, sf):
     plan = FeaturePlan(target=presets.TARGET, id_columns=["customerID"]).fit(s)
     v = encode.assemble(plan.transform(s), plan.state.feature_names)
     return v.select("customerID", vector_to_array("features").alias("features"))
+
+
+@query("d7_scenario_impact_trained")
+def d7_scenario_impact_trained(spark, sf):
+    """What-if impact with the trained MLlib model as scorer (rows-only check)."""
+    tm = trained(spark, sf)
+    imp = decide.scenario_impact(_records(spark, sf), training.model_scorer(tm))
+    return imp.select("customerID", "action", "new_probability", "delta", "churn_probability_pct", "reduction_pp")
+
+
+@query("a5_batch_report_trained")
+def a5_batch_report_trained(spark, sf):
+    """A5 with the trained model: score all subscribers, then the KPI row (rows-only check)."""
+    from stayput.plans.batch_report import batch_report
+    tm = trained(spark, sf)
+    scored = decide.with_value_at_risk(training.model_scorer(tm)(_records(spark, sf)))
+    return batch_report(scored)["kpis"]

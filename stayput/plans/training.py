@@ -84,3 +84,18 @@ def evaluate_splits(tm: TrainedModel) -> DataFrame:
     counts = evaluate.binary_metrics(scored, "label", "yhat", by=["split"])
     ranks = evaluate.ranking_metrics(scored, "label", "probability", by=["split"])
     return counts.join(ranks.select("split", "roc_auc", "average_precision"), "split")
+
+
+RAW = "_raw_"
+
+
+def model_scorer(tm: TrainedModel):
+    """A scorer for ``decide.scenario_impact`` / batch reports: raw rows in, the same raw
+    columns plus ``probability`` out. The raw values ride along under a prefix while the
+    plan encodes copies, so overrides can be applied to readable values."""
+    def scorer(df: DataFrame) -> DataFrame:
+        carried = df.select(*[F.col(c).alias(RAW + c) for c in df.columns], *df.columns)
+        feats = train.assemble_features(tm.plan.transform(carried), tm.plan.state.feature_names)
+        scored = score.score_model(feats, tm.model)
+        return scored.select(*[F.col(RAW + c).alias(c) for c in df.columns], "probability")
+    return scorer
