@@ -769,7 +769,8 @@ def s2_csv_sink_scored(spark, sf):
     from stayput.plans.batch_report import batch_report
     path = shared_dir(spark, f"csv/scored-{uuid.uuid4().hex}")
     scored = scored_subscribers(spark, sf).select("customerID", "Contract", "tenure", "MonthlyCharges",
-                                                   "probability", "churn_probability", "risk_tier", "clv_at_risk")
+                                                   r6("probability").alias("probability"), "churn_probability",
+                                                   "risk_tier", "clv_at_risk")
     batch_report(scored, sink=path)
     return spark.read.schema(scored.schema).option("header", True).csv(path)
 

@@ -708,7 +708,8 @@ SELECT {INPUTS}, Churn, round(probability, 6) AS probability, prediction, churn_
 register("f17_total_count_train", with_ctes(SUBSCRIBERS, "SELECT customerID, CAST(" + " + ".join(
     f"coalesce({signed_sql(c)}, 0)" for c in presets.SIGNED_COUNT_TRAIN) + " AS BIGINT) AS total_count FROM subscribers"))
 register("s2_csv_sink_scored", with_ctes(SCORED, """
-SELECT customerID, Contract, tenure, MonthlyCharges, probability, churn_probability, risk_tier, clv_at_risk FROM valued"""))
+SELECT customerID, Contract, tenure, MonthlyCharges, round(probability, 6) AS probability, churn_probability,
+  risk_tier, clv_at_risk FROM valued"""))
 
 
 def _feature_plan_keep_nulls_sql() -> str:
