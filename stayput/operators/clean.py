@@ -63,11 +63,11 @@ def column_kinds(df: DataFrame, target: str | None = None,
     return num, cat
 
 
-def validate(df: DataFrame, target: str | None = None) -> None:
-    """Raise on a missing target or an empty input."""
+def validate(df: DataFrame, target: str | None = None, rows: int | None = None) -> None:
+    """Raise on a missing target or an empty input (``rows`` if already counted)."""
     if target is not None and target not in df.columns:
         raise ValueError(f"Target column '{target}' not found")
-    if df.isEmpty():
+    if (rows == 0) if rows is not None else df.isEmpty():
         raise ValueError("Input dataframe is empty")
 
 
@@ -93,8 +93,12 @@ def profile(df: DataFrame) -> DataFrame:
 
 
 def null_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-    return {c: int(row[c]) for c in cols}
+    """Null count per column plus the row count under the key ``None`` (one aggregation)."""
+    row = df.agg(F.count(F.lit(1)).alias("_rows"),
+                 *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)]).first()
+    out = {c: int(row[f"_n{i}"]) for i, c in enumerate(cols)}
+    out[None] = int(row["_rows"])
+    return out
 
 
 # ---------------------------------------------------------------------------
@@ -113,12 +117,14 @@ def dedupe_report(df: DataFrame) -> DataFrame:
         .withColumn("removed", F.col("rows_before") - F.col("rows_after"))
 
 
-def fit_missing_flags(df: DataFrame, cols: Sequence[str]) -> list[str]:
-    """C2 fit: the numeric columns that contain a null (fixed at fit time for a stable schema)."""
-    if not cols:
-        return []
+def fit_missing_flags(df: DataFrame, cols: Sequence[str], with_rows: bool = False):
+    """C2 fit: the numeric columns that contain a null (fixed at fit time for a stable schema).
+
+    With ``with_rows`` also returns the row count from the same aggregation.
+    """
     counts = null_counts(df.select(*[nan_to_null(c).alias(c) for c in cols]), cols)
-    return [c for c in cols if counts[c] > 0]
+    flags = [c for c in cols if counts[c] > 0]
+    return (flags, counts[None]) if with_rows else flags
 
 
 def add_missing_flags(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -143,7 +149,7 @@ def median_table(df: DataFrame, cols: Sequence[str], **kw) -> DataFrame:
     counts = _long(df, cols, "double").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")).persist()
     cum = running_totals(counts, "value", ["n"], by=["column"], descending=False, **kw)
     tot = counts.groupBy("column").agg(F.sum("n").alias("total"))
-    j = join_small(cum, tot, ["column"])
+    j = join_small(cum, tot, ["column"], known_rows=len(cols))
     k1 = F.floor((F.col("total") - 1) / 2)
     k2 = F.floor(F.col("total") / 2)
     return j.groupBy("column").agg(

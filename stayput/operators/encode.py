@@ -50,17 +50,19 @@ def _dictionary(enc: DataFrame, col: str) -> DataFrame:
 
 
 def small_dictionaries(enc: DataFrame) -> tuple[dict[str, int], dict[str, list[tuple[str, int]]]]:
-    """Sizes of every column's dictionary, and the entries of the small ones (two jobs).
+    """Which columns are small, and their entries — one bounded read.
 
-    Only columns with at most ``MAP_LITERAL_MAX`` entries reach the driver.
+    Codes are contiguous (0..n-1), so reading the rows with code <= MAP_LITERAL_MAX
+    (at most MAP_LITERAL_MAX + 1 per column) shows both each column's size and,
+    for the small ones, every entry. Larger columns are marked with size
+    ``MAP_LITERAL_MAX + 1`` and applied through a join.
     """
-    sizes = {r["column"]: r["n"] for r in
-             enc.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
-    small = [c for c, n in sizes.items() if n <= MAP_LITERAL_MAX]
-    entries: dict[str, list[tuple[str, int]]] = {c: [] for c in small}
-    if small:
-        for r in enc.where(F.col("column").isin(small)).collect():
-            entries[r["column"]].append((r["value"], r["code"]))
+    rows = enc.where(F.col("code") <= MAP_LITERAL_MAX).collect()
+    by_col: dict[str, list[tuple[str, int]]] = {}
+    for r in rows:
+        by_col.setdefault(r["column"], []).append((r["value"], r["code"]))
+    sizes = {c: len(v) for c, v in by_col.items()}
+    entries = {c: v for c, v in by_col.items() if len(v) <= MAP_LITERAL_MAX}
     return sizes, entries
 
 
@@ -92,14 +94,14 @@ def apply_labels(df: DataFrame, enc: DataFrame, cols: Sequence[str] | None = Non
                 enc_col = F.when(F.col(c).isNull(), F.lit(None)).otherwise(enc_col)
             out = out.withColumn(c, enc_col.cast("int"))
         else:
-            d = _dictionary(enc, c).withColumnRenamed("value", f"_v_{c}").withColumnRenamed("code", f"_c_{c}")
-            if sizes[c] <= BROADCAST_MAX:
-                d = F.broadcast(d)
-            joined = out.join(d, key == F.col(f"_v_{c}"), "left")
+            # large dictionary: equi-join, broadcast only under a counted bound
+            k = f"_k_{c}"
+            d = _dictionary(enc, c).withColumnRenamed("value", k).withColumnRenamed("code", f"_c_{c}")
+            joined = join_small(out.withColumn(k, key), d, [k], how="left", max_rows=BROADCAST_MAX)
             enc_col = F.coalesce(F.col(f"_c_{c}"), F.lit(unseen))
             if keep_nulls:
                 enc_col = F.when(F.col(c).isNull(), F.lit(None)).otherwise(enc_col)
-            out = joined.withColumn(c, enc_col.cast("int")).drop(f"_v_{c}", f"_c_{c}")
+            out = joined.withColumn(c, enc_col.cast("int")).drop(k, f"_c_{c}")
     return out
 
 

@@ -117,14 +117,15 @@ def _offsets_fit(df: DataFrame, by: Sequence[str], n_buckets: int) -> bool:
 
 
 def join_small(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
-               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+               max_rows: int = MAX_BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
     """Join a per-group table (one row per group) to the rows of those groups.
 
     A shuffle join on a low-cardinality key would put whole groups (a class, a
     split) in one task, so the small side is broadcast once its row count is
-    proven below ``max_rows``; above that a regular (AQE-managed) join is used.
+    proven below ``max_rows`` (``known_rows`` when the driver already knows the
+    bound, e.g. one row per listed column); above that a regular (AQE-managed) join.
     """
-    n = small.limit(max_rows + 1).count()
+    n = known_rows if known_rows is not None else small.limit(max_rows + 1).count()
     if n <= max_rows:
         return df.join(F.broadcast(small), on=list(on), how=how)
     return df.join(small, on=list(on), how=how)

@@ -42,10 +42,11 @@ class FeaturePlan:
         self.state: PlanState | None = None
 
     def fit(self, df: DataFrame) -> "FeaturePlan":
-        clean.validate(df, self.target)
+        clean.validate(df, self.target, rows=-1)          # schema check only
         excl = self.id_columns if self.exclude_ids else []
         num, cat = clean.column_kinds(df, self.target, exclude=excl)
-        flags = clean.fit_missing_flags(df, num)
+        flags, rows = clean.fit_missing_flags(df, num, with_rows=True)
+        clean.validate(df, self.target, rows=rows)      # empty input, from the same aggregation
         medians = clean.fit_median(df, num)
         modes = clean.fit_mode(df, cat)
         imputed = clean.apply_impute(df, medians, modes, widen=flags)

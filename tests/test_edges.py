@@ -97,3 +97,14 @@ def test_label_codes_distributed_equal_single(spark):
     # codes follow the sorted string order within each column
     pri = sorted((v, c) for (col, v), c in one.items() if col == "o_orderpriority")
     assert [c for _, c in pri] == list(range(len(pri)))
+
+
+def test_large_dictionary_join_path(spark, monkeypatch):
+    """Dictionaries above the literal-map limit are applied by a join with the same result."""
+    o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("cust"))
+    enc = encode.fit_labels(o, ["cust"])
+    small = {r[0]: r[1] for r in encode.apply_labels(o, enc, ["cust"]).collect()}
+    monkeypatch.setattr(encode, "MAP_LITERAL_MAX", 10)
+    big = {r[0]: r[1] for r in encode.apply_labels(o, enc, ["cust"]).collect()}
+    assert small == big
