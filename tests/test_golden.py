@@ -61,3 +61,49 @@ def test_bucketed_equals_single_bucket(spark):
     c1 = evaluate.roc_curve(li, "y", "score").count()
     c2 = evaluate.roc_curve(li, "y", "score", rows_per_bucket=500).count()
     assert c1 == c2
+
+
+def test_many_trees_chunked(spark):
+    """A 60-tree generated ensemble (chunked sums) equals a plain Python walk of the trees."""
+    import random
+    rng = random.Random(3)
+    feats = [("MonthlyCharges", "num"), ("tenure", "num"), ("Contract", "cat")]
+    trees = []
+    for t in range(60):
+        def grow(node, depth, nxt):
+            if depth == 3 or rng.random() < 0.2:
+                trees.append((t, node, None, None, None, None, None, round(rng.uniform(-1, 1), 3)))
+                return nxt
+            f, kind = rng.choice(feats)
+            if kind == "num":
+                op, th = rng.choice([">", "<", ">=", "<="]), str(rng.randint(5, 90))
+            else:
+                op, th = "=", rng.choice(["Month-to-month", "One year", "Two year"])
+            yes, no = nxt, nxt + 1
+            trees.append((t, node, f, op, th, yes, no, None))
+            nxt = grow(yes, depth + 1, nxt + 2)
+            return grow(no, depth + 1, nxt)
+        grow(0, 0, 1)
+    tdf = spark.createDataFrame(trees, score.TREE_SCHEMA)
+    rows = [(float(rng.randint(0, 120)), rng.randint(0, 72), rng.choice(["Month-to-month", "One year", "Two year"]))
+            for _ in range(50)]
+    df = spark.createDataFrame(rows, "MonthlyCharges double, tenure int, Contract string")
+    got = [r["raw_score"] for r in score.ensemble_score(df, tdf).collect()]
+    nodes = {(t, n): (f, op, th, y, no, leaf) for t, n, f, op, th, y, no, leaf in trees}
+    ops = {">": lambda a, b: a > b, "<": lambda a, b: a < b, ">=": lambda a, b: a >= b,
+           "<=": lambda a, b: a <= b, "=": lambda a, b: a == b}
+
+    def walk(t, row):
+        n = 0
+        while True:
+            f, op, th, y, no, leaf = nodes[(t, n)]
+            if f is None:
+                return leaf
+            v = row[f]
+            n = y if ops[op](v, float(th) if op != "=" else th) else no
+    for (mc, ten, c), g in zip(rows, got):
+        row = {"MonthlyCharges": mc, "tenure": ten, "Contract": c}
+        exp = [walk(t, row) for t in range(60)]
+        # chunks of 20 trees are summed first, then the chunk totals
+        chunked = sum(sum(exp[i:i + 20]) for i in range(0, 60, 20))
+        assert abs(g - chunked) < 1e-9
