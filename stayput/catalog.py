@@ -479,9 +479,8 @@ def v8_average_precision(spark, sf):
 
 @query("v9_log_loss")
 def v9_log_loss(spark, sf):
-    s = scored_subscribers(spark, sf)
-    ll = evaluate.log_loss(s, "y", "probability")
-    return ll.select(r6("log_loss").alias("log_loss"))
+    m = evaluate.training_monitors(scored_subscribers(spark, sf), "y", "probability", "prediction")
+    return m.select(r6("log_loss").alias("log_loss"), r6("error_rate").alias("error_rate"))
 
 
 @query("v10_confusion_type")

@@ -126,7 +126,8 @@ def decode(df: DataFrame, enc: DataFrame, col: str, code_col: str, out: str) ->
         m = F.create_map(*[F.lit(x) for r in rows for x in (r["code"], r["value"])])
         return df.withColumn(out, F.try_element_at(m, F.col(code_col).cast("int")))
     d = _dictionary(enc, col).select(F.col("code").alias("_code"), F.col("value").alias(out))
-    return df.join(d, F.col(code_col).cast("int") == F.col("_code"), "left").drop("_code")
+    keyed = df.withColumn("_code", F.col(code_col).cast("int"))
+    return join_small(keyed, d, ["_code"], how="left", max_rows=BROADCAST_MAX).drop("_code")
 
 
 def fallback_target(col: str, positive: str = "Yes", negative: str = "No"):

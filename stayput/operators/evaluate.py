@@ -97,12 +97,25 @@ def classification_report(df: DataFrame, y: str, yhat: str, by: Sequence[str] =
     return out
 
 
-def log_loss(df: DataFrame, y: str, p: str, by: Sequence[str] = (), eps: float = 1e-15) -> DataFrame:
-    """V9: mean binary cross-entropy with p clipped to [eps, 1 - eps]."""
+def _log_loss_term(y: str, p: str, eps: float) -> Column:
     pc = F.least(F.greatest(_c(p), F.lit(eps)), F.lit(1 - eps))
     yc = _c(y).cast("double")
-    ll = -(yc * F.log(pc) + (1 - yc) * F.log(1 - pc))
-    return df.where(_c(y).isNotNull() & _c(p).isNotNull()).groupBy(*by).agg(F.avg(ll).alias("log_loss"))
+    return -(yc * F.log(pc) + (1 - yc) * F.log(1 - pc))
+
+
+def log_loss(df: DataFrame, y: str, p: str, by: Sequence[str] = (), eps: float = 1e-15) -> DataFrame:
+    """V9: mean binary cross-entropy with p clipped to [eps, 1 - eps]."""
+    return df.where(_c(y).isNotNull() & _c(p).isNotNull()).groupBy(*by) \
+        .agg(F.avg(_log_loss_term(y, p, eps)).alias("log_loss"))
+
+
+def training_monitors(df: DataFrame, y: str, p: str, yhat: str, by: Sequence[str] = (),
+                      eps: float = 1e-15) -> DataFrame:
+    """V9: log loss and error rate together, in one aggregation."""
+    valid = _c(y).isNotNull() & _c(p).isNotNull()
+    return df.where(valid).groupBy(*by).agg(
+        F.avg(_log_loss_term(y, p, eps)).alias("log_loss"),
+        F.avg((_c(y) != _c(yhat)).cast("double")).alias("error_rate"))
 
 
 def confusion_type(y: str | Column, yhat: str | Column) -> Column:

@@ -509,7 +509,8 @@ register("v8_average_precision", with_ctes(
 FROM cum GROUP BY l_linestatus"""))
 register("v9_log_loss", with_ctes(SCORED, """
 SELECT round(avg(-(y * ln(least(greatest(probability, 1e-15), 1 - 1e-15))
-  + (1 - y) * ln(1 - least(greatest(probability, 1e-15), 1 - 1e-15)))), 6) AS log_loss FROM scored"""))
+  + (1 - y) * ln(1 - least(greatest(probability, 1e-15), 1 - 1e-15)))), 6) AS log_loss,
+  round(avg(CASE WHEN y <> prediction THEN 1.0E0 ELSE 0.0E0 END), 6) AS error_rate FROM scored"""))
 CTYPE = """CASE WHEN y = 1 AND yhat = 1 THEN 'TP' WHEN y = 0 AND yhat = 0 THEN 'TN'
   WHEN y = 0 AND yhat = 1 THEN 'FP' WHEN y = 1 AND yhat = 0 THEN 'FN' ELSE 'Unknown' END"""
 register("v10_confusion_type", with_ctes(LABELS, f"SELECT doc_id, {CTYPE} AS confusion_type FROM lab"))
