@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayput import presets
-from stayput.operators import clean, decide, encode, features, portfolio, score
+from stayput.operators import clean, decide, encode, evaluate, features, portfolio, score, split, train
+from stayput.plans import training
 from stayput.plans.feature_plan import FeaturePlan
-from stayput.session import table_path
+from stayput.session import shared_dir, table_path
+from stayput.sources import io
 from stayput.sources.subscribers import subscribers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -405,7 +407,6 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # V: evaluation
 # ---------------------------------------------------------------------------
-from stayput.operators import evaluate, split  # noqa: E402
 
 
 def _ranked_subscribers(spark, sf):
@@ -601,10 +602,6 @@ def d10_impact_text(spark, sf):
 # ---------------------------------------------------------------------------
 # T6-T12, M1, S: training, model scoring, sources and sinks (rows-only checks)
 # ---------------------------------------------------------------------------
-from stayput.operators import train  # noqa: E402
-from stayput.plans import training  # noqa: E402
-from stayput.session import shared_dir  # noqa: E402
-from stayput.sources import io  # noqa: E402
 
 _TRAINED: dict = {}
 

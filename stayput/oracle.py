@@ -757,3 +757,10 @@ UNION ALL SELECT '1', p1, r1, f1, CAST(s1 AS BIGINT) FROM per
 UNION ALL SELECT 'accuracy', NULL, NULL, CASE WHEN n = 0 THEN 0.0E0 ELSE (tp + tn) / CAST(n AS DOUBLE) END, CAST(n AS BIGINT) FROM per
 UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, CAST(n AS BIGINT) FROM per
 UNION ALL SELECT 'weighted avg', (p0 * s0 + p1 * s1) / n, (r0 * s0 + r1 * s1) / n, (f0 * s0 + f1 * s1) / n, CAST(n AS BIGINT) FROM per"""))
+
+# ---------------------------------------------------------------------------
+# Round trips through CSV and JSON text are exact (shortest round-trip doubles)
+# ---------------------------------------------------------------------------
+register("s1_csv_roundtrip", with_ctes(SUBSCRIBERS, f"SELECT {INPUTS}, Churn FROM subscribers"))
+register("s7_parse_records", with_ctes(SUBSCRIBERS, f"""
+SELECT {INPUTS} FROM subscribers WHERE c_custkey IN (SELECT user_id FROM events)"""))
