@@ -619,7 +619,8 @@ def t6_random_search(spark, sf):
     tm = trained(spark, sf)
     if tm.cv_model is None:
         raise RuntimeError("the search failed; the final model used the fallback parameters")
-    return train.fit_log(spark, tm.cv_model, tm.candidates).select("candidate", "total", "score", "params")
+    return train.fit_log(spark, tm.cv_model, tm.candidates) \
+        .select("candidate", "total", "folds", "score", "score_std", "params")
 
 
 @query("t7_train_boosted")

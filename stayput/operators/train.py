@@ -91,11 +91,17 @@ def random_search(df: DataFrame, candidates: list[dict], features_col: str = "fe
 
 
 def fit_log(spark: SparkSession, cv_model, candidates: list[dict]) -> DataFrame:
-    """One row per candidate: position, mean CV AUC, parameters (as strings)."""
-    rows = [(i + 1, len(candidates), float(s), {k: str(v) for k, v in c.items()})
-            for i, (c, s) in enumerate(zip(candidates, cv_model.avgMetrics))]
-    return spark.createDataFrame(rows, "candidate int, total int, score double, params map<string,string>") \
-        .withColumn("ts", F.current_timestamp())
+    """One row per candidate: position, folds, mean and std of the fold AUCs, parameters.
+
+    Candidates and folds are counted separately (a candidate is k fits).
+    """
+    stds = list(getattr(cv_model, "stdMetrics", []) or [None] * len(candidates))
+    folds = cv_model.getNumFolds()
+    rows = [(i + 1, len(candidates), folds, float(s), None if sd is None else float(sd),
+             {k: str(v) for k, v in c.items()})
+            for i, (c, s, sd) in enumerate(zip(candidates, cv_model.avgMetrics, stds))]
+    schema = "candidate int, total int, folds int, score double, score_std double, params map<string,string>"
+    return spark.createDataFrame(rows, schema).withColumn("ts", F.current_timestamp())
 
 
 def train_boosted(df: DataFrame, params: Mapping, features_col: str = "features", label_col: str = "label",

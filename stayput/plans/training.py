@@ -35,12 +35,15 @@ class TrainedModel:
 
 
 def prepare(df: DataFrame, key: str = "customerID", target: str = presets.TARGET,
-            fractions=presets.SPLIT_FRACTIONS) -> tuple[FeaturePlan, DataFrame]:
+            fractions=presets.SPLIT_FRACTIONS, fit_on: str = "train") -> tuple[FeaturePlan, DataFrame]:
+    """Split, then fit the FeaturePlan on the train rows (``fit_on="all"`` fits on every
+    row before splitting, as the original flow did — available for parity only)."""
     spark = df.sparkSession
     shared_dir(spark, "training")  # makes the checkpoint dir available to the tree learner
     # the split is read by every fit job below: compute it once
     s = split.stratified_split(df, key, target, fractions).persist(StorageLevel.MEMORY_AND_DISK)
-    plan = FeaturePlan(target=target, id_columns=[key]).fit(s.where(F.col("split") == "train").drop("split"))
+    fit_rows = s.where(F.col("split") == "train") if fit_on == "train" else s
+    plan = FeaturePlan(target=target, id_columns=[key]).fit(fit_rows.drop("split"))
     feats = plan.transform(s)
     feats = feats.withColumn("label", F.when(F.col(target) == "Yes", 1.0).otherwise(0.0))
     feats = train.assemble_features(feats, plan.state.feature_names)
