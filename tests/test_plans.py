@@ -28,3 +28,11 @@ def test_scan_reads_only_needed_columns(spark):
     assert "ReadSchema: struct<l_discount:double,l_returnflag:string>" in plan
     plan = _plan(E.queries()["d7_scenario_impact"](spark, SF001))
     assert "c_address" not in plan and "c_phone" not in plan
+
+
+@pytest.mark.parametrize("name", ["e11_feature_plan", "d5_risk_drivers", "d7_scenario_impact",
+                                  "m3_ensemble_score", "f16_signed_encode", "e2_label_encode_unseen"])
+def test_narrow_plans_have_no_shuffle(spark, name):
+    """Transform-side operators are a scan plus projections / explode: no Exchange at all."""
+    plan = _plan(E.queries()[name](spark, SF001))
+    assert "Exchange" not in plan, plan
