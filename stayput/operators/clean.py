@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayput.functions.columns import nan_to_null
-from stayput.operators.ordered import join_small, running_totals
+from stayput.operators.ordered import running_totals
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -147,9 +147,8 @@ def median_table(df: DataFrame, cols: Sequence[str], **kw) -> DataFrame:
     and the two middle ranks are read off — no column is gathered in one task.
     """
     counts = _long(df, cols, "double").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")).persist()
-    cum = running_totals(counts, "value", ["n"], by=["column"], descending=False, **kw)
-    tot = counts.groupBy("column").agg(F.sum("n").alias("total"))
-    j = join_small(cum, tot, ["column"], known_rows=len(cols))
+    j = running_totals(counts, "value", ["n"], by=["column"], descending=False, with_totals=True, **kw) \
+        .withColumnRenamed("tot_n", "total")
     k1 = F.floor((F.col("total") - 1) / 2)
     k2 = F.floor(F.col("total") / 2)
     return j.groupBy("column").agg(

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayput.operators.ordered import join_small, running_totals
+from stayput.operators.ordered import running_totals
 
 DEC = "decimal(38,0)"
 
@@ -143,14 +143,6 @@ def confusion_type_counts(df: DataFrame, y: str, yhat: str) -> DataFrame:
             .orderBy(F.desc("n"), "confusion_type"))
 
 
-def _attach(df: DataFrame, totals: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Attach per-group totals: an equi-join on ``by``, or literals for one global row."""
-    if by:
-        return join_small(df, totals, by)
-    row = totals.first()  # exactly one row of counts
-    return df.select("*", *[F.lit(row[c]).alias(c) for c in totals.columns])
-
-
 # ---------------------------------------------------------------------------
 # ranking: one row per distinct score, then exact running totals
 # ---------------------------------------------------------------------------
@@ -163,11 +155,12 @@ def score_counts(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> D
 
 
 def cumulative_table(df: DataFrame, y: str, score: str, by: Sequence[str] = (),
-                     next_counts: bool = False, **kw) -> DataFrame:
-    """Per distinct score (descending): pos, neg, tp = cum_pos, fp = cum_neg (score >= s)."""
+                     next_counts: bool = False, with_totals: bool = False, **kw) -> DataFrame:
+    """Per distinct score (descending): pos, neg, tp = cum_pos, fp = cum_neg (score >= s);
+    with ``with_totals`` also the group's class totals ``tot_pos`` / ``tot_neg``."""
     counts = score_counts(df, y, score, by).persist()
     out = running_totals(counts, "score", ["pos", "neg"], by=by, descending=True,
-                         next_cols=["pos", "neg"] if next_counts else (), **kw)
+                         next_cols=["pos", "neg"] if next_counts else (), with_totals=with_totals, **kw)
     return out.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
 
 
@@ -195,9 +188,8 @@ def roc_curve(df: DataFrame, y: str, score: str, by: Sequence[str] = (),
 
     The origin row has a null threshold (above every score).
     """
-    cum = cumulative_table(df, y, score, by, next_counts=drop_intermediate, **kw)
-    tot = cum.groupBy(*by).agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-    pts = _attach(cum, tot, by)
+    cum = cumulative_table(df, y, score, by, next_counts=drop_intermediate, with_totals=True, **kw)
+    pts = cum.withColumnRenamed("tot_pos", "_P").withColumnRenamed("tot_neg", "_N")
     if drop_intermediate:
         first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
         keep = (first | F.col("next_pos").isNull()
@@ -208,22 +200,24 @@ def roc_curve(df: DataFrame, y: str, score: str, by: Sequence[str] = (),
         F.try_divide(F.col("fp").cast("double"), F.col("_N").cast("double")).alias("fpr"),
         F.try_divide(F.col("tp").cast("double"), F.col("_P").cast("double")).alias("tpr"),
     )
-    origin = tot.select(*by, F.lit(None).cast("double").alias("threshold"),
-                        F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    # one origin row per group: the group's first point (highest score) stands for it
+    first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+    origin = pts.where(first).select(*by, F.lit(None).cast("double").alias("threshold"),
+                                     F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return origin.unionByName(curve)
 
 
 def pr_curve(df: DataFrame, y: str, score: str, by: Sequence[str] = (), **kw) -> DataFrame:
     """V7: (threshold, precision, recall) per distinct score, plus the end point (1, 0)."""
-    cum = cumulative_table(df, y, score, by, **kw)
-    tot = cum.groupBy(*by).agg(F.sum("pos").alias("_P"))
-    pts = _attach(cum, tot, by)
+    cum = cumulative_table(df, y, score, by, with_totals=True, **kw)
+    pts = cum.withColumnRenamed("tot_pos", "_P")
     curve = pts.select(
         *by, F.col("score").alias("threshold"),
         _safe_div(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         F.when(F.col("_P") == 0, F.lit(1.0))
          .otherwise(F.col("tp").cast("double") / F.col("_P").cast("double")).alias("recall"),
     )
-    end = tot.select(*by, F.lit(None).cast("double").alias("threshold"),
-                     F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
+    first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+    end = pts.where(first).select(*by, F.lit(None).cast("double").alias("threshold"),
+                                  F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
     return curve.unionByName(end)

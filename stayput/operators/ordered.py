@@ -43,6 +43,7 @@ def running_totals(df: DataFrame, order_col: str, measures: Sequence[str],
                    by: Sequence[str] = (), descending: bool = True,
                    next_cols: Sequence[str] = (),
                    tiebreak: Sequence[str] = (),
+                   with_totals: bool = False,
                    rows_per_bucket: int = ROWS_PER_BUCKET,
                    max_buckets: int = MAX_BUCKETS) -> DataFrame:
     """Add ``cum_<m>`` = inclusive running sum of ``m`` in ``order_col`` order per ``by``.
@@ -52,6 +53,7 @@ def running_totals(df: DataFrame, order_col: str, measures: Sequence[str],
     taken from ``order_col`` alone, so ties never straddle buckets.
     ``next_cols`` adds ``next_<c>``: the value of ``c`` on the
     following row of the same group (null on the last row).
+    ``with_totals`` adds ``tot_<m>``: the group total, from the same stages.
     """
     by = list(by)
     n_rows = df.count()
@@ -68,11 +70,14 @@ def running_totals(df: DataFrame, order_col: str, measures: Sequence[str],
     if n_buckets == 1:
         # one bucket per group: the in-bucket sums are already global, no offsets to add
         w_lead = Window.partitionBy(*by, BUCKET).orderBy(*order)
+        w_all = Window.partitionBy(*by, BUCKET)
         for m in measures:
             out = out.withColumnRenamed(f"_in_{m}", f"cum_{m}")
+            if with_totals:
+                out = out.withColumn(f"tot_{m}", F.sum(m).over(w_all))
         for c in next_cols:
             out = out.withColumn(f"next_{c}", F.lead(c).over(w_lead))
-        return out.drop(BUCKET)
+        return _canonical(out, df, measures, next_cols, with_totals)
 
     # per-bucket totals -> exclusive prefix over buckets (small table)
     totals = bdf.groupBy(*by, BUCKET).agg(
@@ -84,10 +89,12 @@ def running_totals(df: DataFrame, order_col: str, measures: Sequence[str],
     w_b = Window.partitionBy(*by).orderBy(bucket_order) \
         .rowsBetween(Window.unboundedPreceding, -1)
     w_b_next = Window.partitionBy(*by).orderBy(bucket_order)
+    w_g = Window.partitionBy(*by)
     offsets = totals.select(
         *by, BUCKET,
         *[F.coalesce(F.sum(f"_tot_{m}").over(w_b), F.lit(0)).alias(f"_off_{m}") for m in measures],
         *([F.lead("_first").over(w_b_next).alias("_next_first")] if next_cols else []),
+        *([F.sum(f"_tot_{m}").over(w_g).alias(f"tot_{m}") for m in measures] if with_totals else []),
     )
     if _offsets_fit(df, by, n_buckets):
         offsets = F.broadcast(offsets)
@@ -101,10 +108,13 @@ def running_totals(df: DataFrame, order_col: str, measures: Sequence[str],
             out = out.withColumn(
                 f"next_{c}",
                 F.when(last_in_bucket, F.col(f"_next_first.{c}")).otherwise(F.lead(c).over(w_lead)))
-    drop = [BUCKET, *[f"_in_{m}" for m in measures], *[f"_off_{m}" for m in measures]]
-    if next_cols:
-        drop.append("_next_first")
-    return out.drop(*drop)
+    return _canonical(out, df, measures, next_cols, with_totals)
+
+
+def _canonical(out: DataFrame, df: DataFrame, measures, next_cols, with_totals) -> DataFrame:
+    """Input columns in their order, then cum_*, next_*, tot_* (same for every path)."""
+    return out.select(*df.columns, *[f"cum_{m}" for m in measures], *[f"next_{c}" for c in next_cols],
+                      *([f"tot_{m}" for m in measures] if with_totals else []))
 
 
 def _offsets_fit(df: DataFrame, by: Sequence[str], n_buckets: int) -> bool:

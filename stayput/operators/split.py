@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayput import presets
-from stayput.operators.ordered import join_small, running_totals
+from stayput.operators.ordered import running_totals
 
 HASH = "_h"
 HASH_KEY = "_h13"
@@ -31,10 +31,9 @@ def class_rank(df: DataFrame, key: str, label: str, seed: int = presets.SEED, **
     """Adds ``class_rank`` (0-based position in hash order within the class) and ``class_size``."""
     hashed = _hashed(df, key, seed).withColumn("_one", F.lit(1))
     ranked = running_totals(hashed, HASH_KEY, ["_one"], by=[label], descending=False,
-                            tiebreak=[HASH, key], **kw)
-    sizes = hashed.groupBy(label).agg(F.count(F.lit(1)).alias("class_size"))
-    out = join_small(ranked, sizes, [label])
-    return out.withColumn("class_rank", F.col("cum__one") - 1) \
+                            tiebreak=[HASH, key], with_totals=True, **kw)
+    return ranked.withColumn("class_rank", F.col("cum__one") - 1) \
+        .withColumnRenamed("tot__one", "class_size") \
         .drop("_one", "cum__one", HASH, HASH_KEY)
 
 
