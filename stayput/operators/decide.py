@@ -106,7 +106,7 @@ def risk_driver_array(contract="Contract", tenure="tenure", payment="PaymentMeth
     charge_e = F.when((mc > presets.HIGH_CHARGE) & (t < presets.SHORT_TENURE),
                       _entry("High Charges / Short Tenure", charge_value, "HIGH"))
     arr = F.array(contract_e, tenure_e, pay_e, inet_e, tech_e, sec_e, charge_e)
-    return F.filter(arr, lambda x: x.isNotNull())
+    return F.array_compact(arr)
 
 
 def risk_drivers(df: DataFrame, id_col: str = "customerID", **cols) -> DataFrame:
@@ -139,7 +139,7 @@ def playbook_array(p="probability", contract="Contract", payment="PaymentMethod"
         F.when(_not_subscribed(os_, it), _action("security")),
         F.when(t < presets.SHORT_TENURE, _action("loyalty")),
     )
-    acts = F.filter(arr, lambda x: x.isNotNull())
+    acts = F.array_compact(arr)
     return F.when(F.size(acts) == 0, F.array(_action("monitor"))).otherwise(acts)
 
 
