@@ -37,8 +37,14 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
 
 
-def worked_example_trees(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(presets.WORKED_EXAMPLE_TREES, TREE_SCHEMA)
+def worked_example_trees(spark: SparkSession | None = None) -> list[tuple]:
+    """The worked-example ensemble as tree rows (``as_table`` makes a tree table of them)."""
+    return list(presets.WORKED_EXAMPLE_TREES)
+
+
+def as_table(spark: SparkSession, rows) -> DataFrame:
+    """Tree rows -> a tree table DataFrame in ``TREE_SCHEMA``."""
+    return spark.createDataFrame(list(rows), TREE_SCHEMA)
 
 
 def _test(df: DataFrame, feature: str, op: str, threshold: str) -> Column:
@@ -66,19 +72,28 @@ def _tree_expr(df: DataFrame, nodes: dict[int, tuple], node: int = 0, depth: int
         .otherwise(_tree_expr(df, nodes, no, depth + 1))
 
 
-def compile_trees(df: DataFrame, trees: DataFrame) -> list[Column]:
-    """One ``Column`` per tree, in tree order."""
-    n = trees.count()
-    if n > MAX_NODES:
-        raise ValueError(f"ensemble has {n} nodes (> {MAX_NODES}); score with the MLlib model")
+def compile_trees(df: DataFrame, trees) -> list[Column]:
+    """One ``Column`` per tree, in tree order.
+
+    ``trees`` is a tree table (DataFrame, read once after a size check) or its
+    rows as tuples in ``TREE_SCHEMA`` order.
+    """
+    if isinstance(trees, DataFrame):
+        n = trees.limit(MAX_NODES + 1).count()
+        if n > MAX_NODES:
+            raise ValueError(f"ensemble has more than {MAX_NODES} nodes; score with the MLlib model")
+        rows = [tuple(r) for r in trees.select(*TREE_SCHEMA.fieldNames()).collect()]
+    else:
+        rows = list(trees)
+        if len(rows) > MAX_NODES:
+            raise ValueError(f"ensemble has more than {MAX_NODES} nodes; score with the MLlib model")
     by_tree: dict[int, dict[int, tuple]] = defaultdict(dict)
-    for r in trees.collect():
-        by_tree[r["tree"]][r["node"]] = (r["feature"], r["op"], r["threshold"],
-                                          r["yes"], r["no"], r["leaf"])
+    for tree, node, feature, op, threshold, yes, no, leaf in rows:
+        by_tree[tree][node] = (feature, op, threshold, yes, no, leaf)
     return [_tree_expr(df, by_tree[t]) for t in sorted(by_tree)]
 
 
-def ensemble_score(df: DataFrame, trees: DataFrame, out: str = "raw_score") -> DataFrame:
+def ensemble_score(df: DataFrame, trees, out: str = "raw_score") -> DataFrame:
     """M3: raw score = sum over trees of the reached leaf value."""
     exprs = compile_trees(df, trees)
     if len(exprs) <= TREES_PER_CHUNK:
@@ -112,7 +127,7 @@ def decide(p: str | Column, threshold: float = presets.DECISION_THRESHOLD,
     return F.when(c > threshold if strict else c >= threshold, F.lit(1)).otherwise(F.lit(0))
 
 
-def score_ensemble(df: DataFrame, trees: DataFrame, threshold: float = 0.5) -> DataFrame:
+def score_ensemble(df: DataFrame, trees, threshold: float = 0.5) -> DataFrame:
     """M3 -> M4 -> M5: adds raw_score, probability, prediction (0/1)."""
     out = with_probability(ensemble_score(df, trees))
     return out.withColumn("prediction", decide("probability", threshold))

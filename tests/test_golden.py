@@ -11,7 +11,7 @@ def test_worked_example(spark):
     rows = [(24.6, "No", 1, "Electronic check"), (24.2, "No", 1, "Mailed check"),
             (43.95, "Yes", 1, "Electronic check")]
     df = spark.createDataFrame(rows, "MonthlyCharges double, PaperlessBilling string, tenure int, PaymentMethod string")
-    out = score.score_ensemble(df, score.worked_example_trees(spark)).collect()
+    out = score.score_ensemble(df, score.as_table(spark, score.worked_example_trees())).collect()
     assert [round(r["raw_score"], 6) for r in out] == [0.4, -0.2, 1.9]
     assert [round(r["probability"], 4) for r in out] == [0.5987, 0.4502, 0.8699]
     assert [r["prediction"] for r in out] == [1, 0, 1]
