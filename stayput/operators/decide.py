@@ -166,14 +166,26 @@ def scenario_array(scenarios: Sequence = presets.SCENARIOS) -> Column:
         for col in presets.SCENARIO_COLUMNS:
             fields.append(F.lit(overrides.get(col)).cast("string").alias(col))
         fields.append(F.lit(factor).cast("double").alias("charge_factor"))
+        needs_internet = any(c in INTERNET_ADDONS for c in overrides)
+        fields.append(F.lit(needs_internet).alias("needs_internet"))
         items.append(F.struct(*fields))
     return F.array(*items)
 
 
+# add-on services that only exist with an internet service
+INTERNET_ADDONS = ("TechSupport", "OnlineSecurity", "OnlineBackup")
+
+
 def apply_scenarios(df: DataFrame, scenarios: Sequence = presets.SCENARIOS,
-                    monthly: str = "MonthlyCharges") -> DataFrame:
-    """Each row once per scenario with its overrides applied (a narrow explode)."""
+                    monthly: str = "MonthlyCharges", valid_only: bool = False) -> DataFrame:
+    """Each row once per scenario with its overrides applied (a narrow explode).
+
+    The reference applies add-on scenarios to every customer; ``valid_only``
+    skips them for customers without an internet service.
+    """
     exploded = df.withColumn("_sc", F.explode(scenario_array(scenarios)))
+    if valid_only and "InternetService" in df.columns:
+        exploded = exploded.where(~(F.col("_sc.needs_internet") & (F.col("InternetService") == "No")))
     out = exploded
     for col in presets.SCENARIO_COLUMNS:
         if col in df.columns:
@@ -188,7 +200,7 @@ def apply_scenarios(df: DataFrame, scenarios: Sequence = presets.SCENARIOS,
 
 def scenario_impact(df: DataFrame, scorer: Callable[[DataFrame], DataFrame],
                     id_col: str = "customerID", scenarios: Sequence = presets.SCENARIOS,
-                    min_delta: float = presets.SCENARIO_MIN_DELTA) -> DataFrame:
+                    min_delta: float = presets.SCENARIO_MIN_DELTA, valid_only: bool = False) -> DataFrame:
     """Rescore every customer under each scenario; keep |base - new| > min_delta.
 
     ``scorer`` maps a DataFrame to the same DataFrame plus ``probability``.
@@ -197,7 +209,7 @@ def scenario_impact(df: DataFrame, scorer: Callable[[DataFrame], DataFrame],
     """
     base = scorer(df).withColumnRenamed("probability", "base_probability")
     keep = [c for c in base.columns if c in df.columns or c == "base_probability"]
-    varied = scorer(apply_scenarios(base.select(*keep), scenarios))
+    varied = scorer(apply_scenarios(base.select(*keep), scenarios, valid_only=valid_only))
     delta = F.col("base_probability") - F.col("probability")
     return (varied.where(F.abs(delta) > min_delta)
             .select(id_col, "action", F.col("action_rank").cast("int").alias("action_rank"),

@@ -108,3 +108,15 @@ def test_large_dictionary_join_path(spark, monkeypatch):
     monkeypatch.setattr(encode, "MAP_LITERAL_MAX", 10)
     big = {r[0]: r[1] for r in encode.apply_labels(o, enc, ["cust"]).collect()}
     assert small == big
+
+
+def test_scenarios_valid_only(spark):
+    rows = [("c1", "No", "No internet service", "No internet service", "No internet service",
+             "Month-to-month", "Electronic check", 50.0, "No", 3)]
+    df = spark.createDataFrame(rows, "customerID string, InternetService string, TechSupport string, "
+                                     "OnlineSecurity string, OnlineBackup string, Contract string, "
+                                     "PaymentMethod string, MonthlyCharges double, PaperlessBilling string, tenure int")
+    all_rows = decide.apply_scenarios(df).select("action").collect()
+    valid = decide.apply_scenarios(df, valid_only=True).select("action").collect()
+    assert len(all_rows) == 8 and len(valid) == 5
+    assert not {"Add Tech Support", "Add Online Security", "Add Online Backup"} & {r[0] for r in valid}
