@@ -1,6 +1,5 @@
 """Edge rows of the fixed rules (bins, tiers, months, encoder, imputation, z-score, confusion type)."""
 
-import math
 
 from pyspark.sql import functions as F
 

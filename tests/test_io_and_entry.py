@@ -4,7 +4,6 @@ import datetime
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from stayput import presets
