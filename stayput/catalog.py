@@ -809,3 +809,23 @@ def a5_batch_report_trained(spark, sf):
     tm = trained(spark, sf)
     scored = decide.with_value_at_risk(training.model_scorer(tm)(_records(spark, sf)))
     return batch_report(scored)["kpis"]
+
+
+@query("t9_fit_log")
+def t9_fit_log(spark, sf):
+    """One row per candidate (folds counted separately) with a timestamp (rows-only check)."""
+    tm = trained(spark, sf)
+    if tm.cv_model is None:
+        raise RuntimeError("the search failed; the final model used the fallback parameters")
+    return train.fit_log(spark, tm.cv_model, tm.candidates)
+
+
+@query("s3_fit_log_append")
+def s3_fit_log_append(spark, sf):
+    """S3: fit-log rows appended as JSON lines (twice), read back (rows-only check)."""
+    import uuid
+    path = shared_dir(spark, f"fits/{uuid.uuid4().hex}")
+    log = t9_fit_log(spark, sf).drop("ts")
+    io.append_fits(log, path)
+    io.append_fits(log, path)
+    return spark.read.schema(log.schema).json(path)
