@@ -119,3 +119,13 @@ def test_scenarios_valid_only(spark):
     valid = decide.apply_scenarios(df, valid_only=True).select("action").collect()
     assert len(all_rows) == 8 and len(valid) == 5
     assert not {"Add Tech Support", "Add Online Security", "Add Online Backup"} & {r[0] for r in valid}
+
+
+def test_best_action_tie_goes_to_earlier_scenario(spark):
+    rows = [("c1", "A", 1, 0.5, 0.4, 0.1, 40.0, 10.0), ("c1", "B", 0, 0.5, 0.4, 0.1, 40.0, 10.0),
+            ("c2", "A", 0, 0.5, 0.45, 0.05, 45.0, 5.0), ("c2", "B", 1, 0.5, 0.3, 0.2, 30.0, 20.0)]
+    imp = spark.createDataFrame(rows, "customerID string, action string, action_rank int, base_probability double, "
+                                      "new_probability double, delta double, churn_probability_pct double, "
+                                      "reduction_pp double")
+    best = {r["customerID"]: r["action"] for r in decide.best_action(imp).collect()}
+    assert best == {"c1": "B", "c2": "B"}
