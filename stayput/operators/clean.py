@@ -165,9 +165,21 @@ def fit_median(df: DataFrame, cols: Sequence[str], **kw) -> dict[str, float | No
     return {c: found.get(c) for c in cols}
 
 
+def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value, n) for the non-null values of string columns (partial + final aggregation)."""
+    return _long(df, cols, "string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def modes_from_counts(counts: DataFrame) -> DataFrame:
+    """(column, mode, n): most frequent value per column, smallest on a tie."""
+    best = F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("value")))
+    return counts.groupBy("column").agg(best.alias("b")) \
+        .select("column", F.col("b.value").alias("mode"), (-F.col("b.neg_n")).alias("n"))
+
+
 def mode_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """C4: (column, mode, n) — most frequent value, smallest on a tie (two hash aggregations)."""
-    counts = _long(df, cols, "string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = value_counts(df, cols)
     best = F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("value")))
     return counts.groupBy("column").agg(best.alias("b")) \
         .select("column", F.col("b.value").alias("mode"), (-F.col("b.neg_n")).alias("n"))

@@ -39,7 +39,12 @@ def fit_labels(df: DataFrame, cols: Sequence[str], **kw) -> DataFrame:
     if not cols:
         return df.sparkSession.createDataFrame([], ENCODER_SCHEMA)
     pairs = _long(df, cols).where(F.col("value").isNotNull()).distinct()
-    ranked = global_rank(pairs, ["column", "value"], **kw)
+    return labels_from_pairs(pairs, **kw)
+
+
+def labels_from_pairs(pairs: DataFrame, **kw) -> DataFrame:
+    """E1 from distinct (column, value) pairs: codes are ranks within each column."""
+    ranked = global_rank(pairs.select("column", "value"), ["column", "value"], **kw)
     first = ranked.groupBy("column").agg(F.min("rank").alias("_first"))  # one row per column
     return join_small(ranked, first, ["column"]).select(
         "column", "value", (F.col("rank") - F.col("_first")).cast("int").alias("code"))

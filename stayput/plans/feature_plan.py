@@ -47,13 +47,28 @@ class FeaturePlan:
         flags, rows = clean.fit_missing_flags(df, num, with_rows=True)
         clean.validate(df, self.target, rows=rows)      # empty input, from the same aggregation
         medians = clean.fit_median(df, num)
-        modes = clean.fit_mode(df, cat)
+        # one pass over the categorical columns feeds both the modes and the dictionary:
+        # after mode imputation the distinct values are exactly the non-null ones
+        # (an all-null column becomes the single value "Unknown")
+        counts = clean.value_counts(df, cat).persist() if cat else None
+        found = {r["column"]: r["mode"] for r in clean.modes_from_counts(counts).collect()} if cat else {}
+        modes = {c: found.get(c, "Unknown") for c in cat}
+        if cat:
+            pairs = counts.select("column", "value")
+            empty = [c for c in cat if c not in found]
+            if empty:
+                pairs = pairs.unionByName(df.sparkSession.createDataFrame(
+                    [(c, "Unknown") for c in empty], "column string, value string"))
+            enc = encode.labels_from_pairs(pairs).persist()
+        else:
+            enc = encode.fit_labels(df, [])
         imputed = clean.apply_impute(df, medians, modes, widen=flags)
-        enc = encode.fit_labels(imputed, cat).persist()
         stats = features.fit_zscore(imputed, num)
         self.state = PlanState(self.target, self.id_columns if self.exclude_ids else [], num, cat,
                                flags, medians, modes, enc, stats)
-        self.state.dictionaries = encode.small_dictionaries(enc)
+        self.state.dictionaries = encode.small_dictionaries(enc)   # materializes the dictionary
+        if counts is not None:
+            counts.unpersist()
         names = [c for c in self.transform(df).columns
                  if c != self.target and c not in self.state.id_columns]
         self.state.feature_names = names

@@ -129,3 +129,15 @@ def test_best_action_tie_goes_to_earlier_scenario(spark):
                                       "reduction_pp double")
     best = {r["customerID"]: r["action"] for r in decide.best_action(imp).collect()}
     assert best == {"c1": "B", "c2": "B"}
+
+
+def test_feature_plan_all_null_category(spark):
+    from stayput.plans.feature_plan import FeaturePlan
+    df = spark.createDataFrame([("a", None, 1.0, "Yes"), ("b", None, None, "No"), ("c", None, 3.0, "No")],
+                               "customerID string, s string, x double, Churn string")
+    plan = FeaturePlan(target="Churn", id_columns=["customerID"]).fit(df)
+    assert plan.state.modes == {"s": "Unknown"}
+    assert sorted((r["value"], r["code"]) for r in plan.state.encoders.collect()) == [("Unknown", 0)]
+    out = plan.transform(df).orderBy("customerID").collect()
+    assert [r["s"] for r in out] == [0, 0, 0]
+    assert [r["x"] for r in out] == [1.0, 2.0, 3.0] and [r["x_is_na"] for r in out] == [0, 1, 0]
