@@ -24,12 +24,17 @@ from stayput.operators.evaluate import ranking_metrics
 
 
 def gbt_params(p: Mapping) -> dict:
-    """Map booster-style names onto GBTClassifier params (nearest equivalents)."""
+    """Map booster-style names onto GBTClassifier params (nearest equivalents).
+
+    ``num_leaves``, ``reg_alpha``, ``reg_lambda``, ``max_leaves`` have no MLlib
+    counterpart and are dropped.
+    """
     out = {}
     if "n_estimators" in p:
         out["maxIter"] = int(p["n_estimators"])
     if "max_depth" in p:
-        out["maxDepth"] = min(30, int(p["max_depth"]))
+        depth = int(p["max_depth"])
+        out["maxDepth"] = 30 if depth < 0 else min(30, depth)   # -1 = unlimited -> MLlib's maximum
     if "learning_rate" in p:
         out["stepSize"] = float(p["learning_rate"])
     if "subsample" in p:
@@ -38,6 +43,8 @@ def gbt_params(p: Mapping) -> dict:
         out["featureSubsetStrategy"] = str(float(p["colsample_bytree"]))
     if "min_child_weight" in p:
         out["minInstancesPerNode"] = max(1, int(p["min_child_weight"]))
+    if "min_child_samples" in p:
+        out["minInstancesPerNode"] = max(1, int(p["min_child_samples"]))
     if "gamma" in p:
         out["minInfoGain"] = float(p["gamma"])
     if "max_bin" in p:

@@ -235,5 +235,16 @@ FALLBACK_PARAMS = {
     "subsample": 0.85, "colsample_bytree": 0.85, "min_child_weight": 2, "gamma": 0.1,
 }
 SEARCH_CANDIDATES = 30
+# the leaf-wise booster variant (64/16/20 split, 20 candidates x 5 folds)
+SEARCH_SPACE_LEAFWISE = {
+    "num_leaves": [15, 31, 63, 127],
+    "max_depth": [3, 5, 7, 10, -1],
+    "learning_rate": [0.01, 0.05, 0.1, 0.2],
+    "n_estimators": [200, 400, 600, 1000],
+    "min_child_samples": [10, 20, 30, 50],
+    "subsample": [0.7, 0.8, 0.9, 1.0],
+    "colsample_bytree": [0.7, 0.8, 0.9, 1.0],
+}
+SEARCH_CANDIDATES_LEAFWISE = 20
 EARLY_STOPPING_ROUNDS = 50
 MAX_BINS = 256

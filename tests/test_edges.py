@@ -141,3 +141,13 @@ def test_feature_plan_all_null_category(spark):
     out = plan.transform(df).orderBy("customerID").collect()
     assert [r["s"] for r in out] == [0, 0, 0]
     assert [r["x"] for r in out] == [1.0, 2.0, 3.0] and [r["x_is_na"] for r in out] == [0, 1, 0]
+
+
+def test_param_mapping():
+    from stayput.operators import train
+    m = train.gbt_params({"n_estimators": 200, "max_depth": -1, "learning_rate": 0.05, "subsample": 0.8,
+                          "colsample_bytree": 0.7, "min_child_samples": 20, "num_leaves": 31})
+    assert m == {"maxIter": 200, "maxDepth": 30, "stepSize": 0.05, "subsamplingRate": 0.8,
+                 "featureSubsetStrategy": "0.7", "minInstancesPerNode": 20}
+    cands = train.sample_candidates(presets.SEARCH_SPACE_LEAFWISE, presets.SEARCH_CANDIDATES_LEAFWISE)
+    assert len(cands) == 20 and cands == train.sample_candidates(presets.SEARCH_SPACE_LEAFWISE, 20)
