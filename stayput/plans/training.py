@@ -54,8 +54,10 @@ def prepare(df: DataFrame, key: str = "customerID", target: str = presets.TARGET
 
 def fit(df: DataFrame, key: str = "customerID", target: str = presets.TARGET,
         space=SMALL_SEARCH, n_candidates: int = 2, k: int = 2, weighted: bool = True,
-        parallelism: int = 4) -> TrainedModel:
-    plan, feats = prepare(df, key, target)
+        parallelism: int = 4, fractions=presets.SPLIT_FRACTIONS, fit_on: str = "train") -> TrainedModel:
+    """Full setting: ``space=presets.SEARCH_SPACE, n_candidates=30, k=5`` (or the leaf-wise
+    variant: ``presets.SEARCH_SPACE_LEAFWISE``, 20 candidates, ``presets.SPLIT_FRACTIONS_ALT``)."""
+    plan, feats = prepare(df, key, target, fractions, fit_on)
     trn = feats.where(F.col("split") == "train")
     trn = split.assign_folds(trn, key, "label", k=k)
     if weighted:
