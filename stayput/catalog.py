@@ -829,3 +829,11 @@ def s3_fit_log_append(spark, sf):
     io.append_fits(log, path)
     io.append_fits(log, path)
     return spark.read.schema(log.schema).json(path)
+
+
+@query("v6_roc_curve_lineitem")
+def v6_roc_curve_lineitem(spark, sf):
+    """ROC curve over lineitem with a nearly distinct score (many thresholds)."""
+    li = _table(spark, sf, "lineitem").select(
+        (F.col("l_returnflag") == "R").cast("int").alias("y"), F.col("l_extendedprice").alias("score"))
+    return _round_doubles(evaluate.roc_curve(li, "y", "score"))

@@ -764,3 +764,11 @@ UNION ALL SELECT 'weighted avg', (p0 * s0 + p1 * s1) / n, (r0 * s0 + r1 * s1) /
 register("s1_csv_roundtrip", with_ctes(SUBSCRIBERS, f"SELECT {INPUTS}, Churn FROM subscribers"))
 register("s7_parse_records", with_ctes(SUBSCRIBERS, f"""
 SELECT {INPUTS} FROM subscribers WHERE c_custkey IN (SELECT user_id FROM events)"""))
+
+register("v6_roc_curve_lineitem", with_ctes(
+    "li AS (SELECT CAST(l_returnflag = 'R' AS INT) AS y, l_extendedprice AS score FROM lineitem), " + cum_sql("li")
+    + ", tot AS (SELECT sum(pos) AS P, sum(neg) AS N FROM sc)", """
+SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0E0 AS fpr, 0.0E0 AS tpr
+UNION ALL
+SELECT round(score, 6), round(fp / CAST(N AS DOUBLE), 6), round(tp / CAST(P AS DOUBLE), 6) FROM cum, tot
+WHERE rn = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg"""))
