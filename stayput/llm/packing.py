@@ -13,14 +13,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayput.llm.common import UID, staged, with_uid
+from stayput.llm.common import UID, mapped, staged, with_uid
 
 LENGTH = 2048
 END_ID = 1
 #: Hashed document vector, dimensions after projection, bits of each on the curve.
 HASHED, DIMS, DEPTH = 1024, 3, 10
 #: White-space-free strings whose ids a Python worker remembers at most; others are encoded again.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
+#: White-space-free strings that are looked up at a time.
+PIECE = 100_000
+#: Letters whose lower case is one letter and that never compose, then punctuation that is one piece.
+LATIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?*#$%&|]*)")
 #: Python's split() also cuts at four control characters, which are no white space to the tokenizer.
 CONTROL = re.compile("[\x1c-\x1f]")
 SPACED = re.compile("(?:[^\\s]|[\x1c-\x1f])+")
@@ -36,7 +40,9 @@ class Encoder:
     """Ids of whole texts as little-endian 16-bit bytes.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its
-    white-space-free strings in turn; the ids of a bounded number of strings are remembered.
+    white-space-free strings in turn; the ids of a bounded number of strings are remembered. A string of Latin
+    letters and closing punctuation is two pieces to the tokenizer. The letters of many such
+    strings are encoded in one call and told apart by the ids that end a piece; all other strings are encoded one by one.
     """
 
     def __init__(self, path: str):
@@ -45,30 +51,66 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.ends = np.zeros(1 << 16, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
+
+    def _one_by_one(self, strings: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
+        return [np.array(e.ids, "<u2").tobytes() for e in found]
+
+    def _together(self, words: list[str]) -> list[bytes]:
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u2")
+        at = (2 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        if len(at) != len(words):  # no such case is known; the plain way is always right
+            return self._one_by_one(words)
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *at], at)]
 
     def learn(self, strings: list[str]) -> None:
-        if len(self.known) + len(strings) > REMEMBERED:
-            self.known.clear()
-        for at in range(0, len(strings), 4096):
-            some = strings[at:at + 4096]
-            for s, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[s] = np.array(e.ids, "<u2").tobytes()
+        known, plain, split = self.known, [], []
+        cores: dict[str, None] = {}
+        for s in strings:
+            if m := LATIN.fullmatch(s):
+                core, close = m[1].lower(), m[2]
+                split.append((s, core, close))
+                if core not in known:
+                    cores[core] = None
+                if close and close not in known:
+                    plain.append(close)
+            else:
+                plain.append(s)
+        for some, encode, step in ((list(cores), self._together, 512), (list(dict.fromkeys(plain)), self._one_by_one, 512)):
+            for at in range(0, len(some), step):
+                known.update(zip(some[at:at + step], encode(some[at:at + step])))
+        for s, core, close in split:
+            known[s] = known[core] + known[close] if close else known[core]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text. New strings of all texts are learned together; texts come in lists of bounded size."""
+        split = [SPACED.findall(t) if CONTROL.search(t) else t.split() for t in (t or "" for t in texts)]
+        out: list[list[bytes]] = [[] for _ in texts]
+        where = [(k, at) for k, strings in enumerate(split) for at in range(0, max(1, len(strings)), PIECE)]
+        while where:
+            some, held = [], 0
+            while where and held < PIECE:
+                k, at = where.pop()
+                some.append((k, split[k][at:at + PIECE]))
+                held += len(some[-1][1])
+            found = [list(map(self.known.get, strings)) for _, strings in some]
+            new = {s for (_, strings), x in zip(some, found) if None in x for s, b in zip(strings, x) if b is None}
+            if new:
+                if len(self.known) + 2 * len(new) > REMEMBERED:
+                    self.known.clear()
+                self.learn(list(new))
+            for (k, strings), x in zip(some, found):
+                if None in x:
+                    x = [self.known[s] if b is None else b for s, b in zip(strings, x)]
+                out[k].append(b"".join(x))
+        return [b"".join(reversed(x)) for x in out]
 
     def encode(self, text: str | None) -> bytes:
-        strings = SPACED.findall(text or "") if CONTROL.search(text or "") else (text or "").split()
-        out = []
-        for at in range(0, len(strings), REMEMBERED // 4):
-            some = strings[at:at + REMEMBERED // 4]
-            try:
-                out.append(b"".join(map(self.known.__getitem__, some)))
-            except KeyError:
-                new = [s for s in dict.fromkeys(some) if s not in self.known]
-                if len(self.known) + len(new) > REMEMBERED:
-                    self.known.clear()
-                    new = list(dict.fromkeys(some))
-                self.learn(new)
-                out.append(b"".join(map(self.known.__getitem__, some)))
-        return b"".join(out)
+        return self.encode_all([text])[0]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -80,11 +122,11 @@ def encoder_of(path: str) -> Encoder:
 
 
 @lru_cache(maxsize=None)
-def projection(seed: int = 17) -> np.ndarray:
-    """(65536, DIMS): each id's hash bucket of the document vector, projected by a fixed random matrix."""
+def projection(seed: int = 17) -> tuple[np.ndarray, np.ndarray]:
+    """(hash bucket of every 16-bit id, fixed random matrix from a hashed document vector to the curve's dimensions)."""
     ids = np.arange(1 << 16, dtype=np.uint64)
     bucket = ((ids * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(HASHED)
-    return np.random.default_rng(seed).standard_normal((HASHED, DIMS))[bucket.astype(np.int64)].astype(np.float32)
+    return bucket.astype(np.int64), np.random.default_rng(seed).standard_normal((HASHED, DIMS))
 
 
 def hilbert_key(cells: np.ndarray, depth: int = DEPTH) -> np.ndarray:
@@ -113,12 +155,12 @@ def hilbert_key(cells: np.ndarray, depth: int = DEPTH) -> np.ndarray:
     return key
 
 
-def curve_place(ids: np.ndarray, project: np.ndarray) -> np.ndarray:
-    """Cell of one document: its hashed vector, scaled to length 1, projected, squashed to 0..2^DEPTH - 1."""
-    total = np.zeros(DIMS)
-    for at in range(0, len(ids), 1 << 16):
-        total += project[ids[at:at + (1 << 16)]].sum(axis=0, dtype=np.float64)
-    v = total / max(1.0, np.sqrt(len(ids)))
+def curve_place(ids: np.ndarray) -> np.ndarray:
+    """Cell of one document: its hashed vector, scaled by its length, projected and squashed to 0..2^DEPTH - 1."""
+    bucket, project = projection()
+    vector = np.bincount(bucket[ids], minlength=HASHED) if len(ids) < 1 << 16 else \
+        sum(np.bincount(bucket[ids[at:at + (1 << 16)]], minlength=HASHED) for at in range(0, len(ids), 1 << 16))
+    v = vector @ project / max(1.0, np.sqrt(len(ids)))
     return np.clip((np.arctan(v / 4) / np.pi + 0.5) * (1 << DEPTH), 0, (1 << DEPTH) - 1).astype(np.int64)
 
 
@@ -127,19 +169,19 @@ def tokenized(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_
     path = tokenizer or default_tokenizer()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, project = encoder_of(path), projection()
+        encoder = encoder_of(path)
         end = np.array([END_ID], "<u2").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                ids = [encoder.encode(t.as_py()) + end for t in part.column(2)]
-                cells = np.stack([curve_place(np.frombuffer(x, "<u2"), project) for x in ids])
+                ids = [x + end for x in encoder.encode_all(part.column(2).to_pylist())]
+                cells = np.stack([curve_place(np.frombuffer(x, "<u2")) for x in ids])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(hilbert_key(cells)), pa.array(ids, pa.binary())],
                     [UID, "id", "n", "place", "ids"])
 
     cols = with_uid(docs).select(UID, F.col(id_col).cast("long").alias("id"), F.col(text).alias("t"))
-    return cols.mapInArrow(run, f"{UID} long, id long, n long, place long, ids binary")
+    return mapped(cols, run, f"{UID} long, id long, n long, place long, ids binary")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,8 +224,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id",
     # one row per range part
     places = ranged.withColumn("upto", upto).join(F.broadcast(before), "part") \
         .select(UID, (F.col("before") + F.col("upto") - F.col("n")).alias("first"))
-    return rows.join(places, UID).select("id", "n", "first", "ids").mapInArrow(
-        _cut, "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return mapped(
+        rows.join(places, UID).select("id", "n", "first", "ids"), _cut, "id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 def op10_packing(spark, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayput.llm.common import UID, join_checked, staged, with_uid
+from stayput.llm.common import UID, join_checked, mapped, staged, with_uid
 from stayput.llm.components import connected_components
 from stayput.llm.links import forest
 
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wo
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], [UID, "id", "fp"])
 
     cols = with_uid(docs).select(UID, F.col(id_col).cast("long").alias("id"), F.col(text).alias("t"))
-    return cols.mapInArrow(run, f"{UID} long, id long, fp long")
+    return mapped(cols, run, f"{UID} long, id long, fp long")
 
 
 @lru_cache(maxsize=None)
@@ -199,7 +199,7 @@ def fingerprint_links(distinct: DataFrame, threshold: int = 4, layout: tuple[int
     spark = distinct.sparkSession
     n = distinct.count()
     b, m = layout or next((b, m) for most, b, m in LAYOUTS if n <= most)
-    spread = distinct.select("fp").mapInArrow(_replicate(threshold, b, m), "anchor long, fp long, home boolean")
+    spread = mapped(distinct.select("fp"), _replicate(threshold, b, m), "anchor long, fp long, home boolean")
     spread = staged(spread, "anchors")
     crowded = spread.where("home").groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOME_ROWS) \
         .select("anchor", F.ceil(F.col("n") / HOME_ROWS).cast("int").alias("parts"))
@@ -208,8 +208,7 @@ def fingerprint_links(distinct: DataFrame, threshold: int = 4, layout: tuple[int
     dealt = dealt.select("anchor", "fp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "home", own.alias("own")) \
         .select("anchor", "part", "fp", (F.col("home") & (F.col("part") == F.col("own"))).alias("home"))
     width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    return dealt.repartition(width, "anchor", "part").sortWithinPartitions("anchor", "part") \
-        .mapInArrow(_compare(threshold), "src long, dst long")
+    return mapped(dealt.repartition(width, "anchor", "part").sortWithinPartitions("anchor", "part"), _compare(threshold), "src long, dst long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words_per_shingle: int = 4,
