@@ -20,9 +20,9 @@ def ring(spark, shards: int, open_shards: list[int], seed: int = 11) -> DataFram
         (F.col("id") / NODES).cast("int").alias("shard"), F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(CELLS)).cast("int").alias("cell"))
     nodes = nodes.where(F.col("shard").isin(open_shards)).groupBy("cell").agg(F.min("shard").alias("shard"))
     cells = spark.range(2 * CELLS).select(F.col("id").cast("int").alias("at"), F.pmod("id", F.lit(CELLS)).cast("int").alias("cell"))
-    clockwise = Window.orderBy("at").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    clockwise = Window.orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return cells.join(F.broadcast(nodes), "cell", "left") \
-        .withColumn("shard", F.first("shard", ignorenulls=True).over(clockwise)).where(F.col("at") < CELLS).select("cell", "shard")
+        .withColumn("shard", F.last("shard", ignorenulls=True).over(clockwise)).where(F.col("at") < CELLS).select("cell", "shard")
 
 
 def assign(docs: DataFrame, shards: int = 24, slack: float = 0.001, seed: int = 11, id_col: str = "doc_id", text: str = "text") -> DataFrame:
