@@ -127,7 +127,7 @@ def blanks(col):
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per detection that stays: _uid, id, start and stop (words), rule, priority, label, confidence; a document without any has one row of nulls.
+    """One row per detection that stays: _uid, id, start and stop (words), rule, priority, label, confidence; a document without any has rows of nulls only.
 
     A detection is dropped if it lies inside another one of a smaller priority number, of an equal one and a longer
     interval, or of the same interval and an earlier rule. Also carries the base columns: n_words, n_base, first_word, last_word, base_labels.
@@ -179,7 +179,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     reach = [F.max(F.when(F.col("r.priority") <= p, F.col("stop"))).over(inside) for p in range(1, LEVELS + 1)]
     farthest = F.element_at(F.array(*reach), F.col("r.priority"))
     spans = spans.withColumn("hidden", F.coalesce(F.col("start").isNotNull() & (farthest >= F.col("stop")), F.lit(False)))
-    return spans.where(~F.col("hidden")).select(UID, *kept, "start", "stop", "r.rule", "r.priority", "r.label", "r.confidence")
+    # rules that were tried and found nothing leave a row without a place, so that their document stays
+    found = F.when(F.col("start").isNotNull(), F.col("r"))
+    return spans.where(~F.col("hidden")).withColumn("r", found).select(UID, *kept, "start", "stop", "r.rule", "r.priority", "r.label", "r.confidence")
 
 
 def licenses(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
