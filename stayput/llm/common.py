@@ -59,6 +59,18 @@ def with_uid(df: DataFrame) -> DataFrame:
     return df.withColumn(UID, F.monotonically_increasing_id())
 
 
+ROW = "_row"
+
+
+def wrapped(df: DataFrame) -> DataFrame:
+    """(_row, _uid): whole rows of a stored table in one struct, so that no name of theirs can clash with a helper column."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(ROW), F.monotonically_increasing_id().alias(UID))
+
+
+def unwrapped(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(ROW).getField(c).alias(c) for c in columns])
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the shared checkpoint folder and read it back: fixes row ids and cuts lineage.
 

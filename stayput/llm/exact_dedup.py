@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayput.llm.common import SPACES, UID, join_checked, staged, text_or_empty, with_uid
+from stayput.llm.common import SPACES, UID, join_checked, staged, text_or_empty, unwrapped, with_uid, wrapped
 
 
 def normalised(text: str = "text") -> Column:
@@ -66,7 +66,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     """``docs`` (a stored table) with only the row of each group that stays; all columns, rows unchanged."""
     groups = exact_groups(docs, id_col, text)
     dropped = staged(groups.where(~F.col("kept")).select(UID), "dropped")
-    return join_checked(with_uid(docs), dropped, UID, "left_anti").select(*[F.col(c) for c in docs.columns])
+    return unwrapped(join_checked(wrapped(docs), dropped, UID, "left_anti"), docs.columns)
 
 
 def op8_exact_dedup(spark, sf_dir: str) -> DataFrame:

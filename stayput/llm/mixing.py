@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayput.llm.common import SPACES, UID, join_checked, staged, text_or_empty, with_uid
+from stayput.llm.common import ROW, SPACES, UID, join_checked, staged, text_or_empty, wrapped
 
 WEIGHTS = (5.0, 2.0, 1.0)
 #: Hash buckets of a source; only the bucket in which the source's last repetition ends is put in order.
@@ -53,10 +53,12 @@ def water_level(sources: DataFrame, share: float, most: float) -> float:
 
 
 def keyed(docs: DataFrame, seed: int, id_col: str, text: str, source: str) -> DataFrame:
-    """``docs`` with _uid and _m: the key of its source, its seeded hash and the hash's bucket."""
-    h = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text))
-    key = F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("-"))
-    return with_uid(docs).withColumn("_m", F.struct(key.alias("key"), h.alias("h"), F.pmod(h, F.lit(BUCKETS)).cast("int").alias("bucket")))
+    """(_row, _uid, id, source, text, key, h, bucket): whole rows with the key of their source, their seeded hash and the hash's bucket."""
+    rows = wrapped(docs).select(ROW, UID, F.col(ROW).getField(id_col).alias("id"), F.col(ROW).getField(source).cast("string").alias("source"),
+                                F.col(ROW).getField(text).alias("text"))
+    h = F.xxhash64(F.lit(seed), F.col("id"), F.col("text"))
+    return rows.withColumn("key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("-"))).withColumn("h", h) \
+        .withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int"))
 
 
 def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 7,
@@ -68,8 +70,7 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5
     reached, and only that bucket's rows are put in order.
     """
     rows = keyed(docs, seed, id_col, text, source)
-    rows = staged(rows.select(UID, F.col(id_col).alias("id"), F.col(source).cast("string").alias("source"),
-                              "_m.*", word_count(text).alias("size")), "sizes")
+    rows = staged(rows.select(UID, "id", "source", "key", "h", "bucket", word_count("text").alias("size")), "sizes")
     sources = source_table(rows, weights)
     level = water_level(sources, share, most)
     target = F.least(F.col("source_size") * float(most), F.lit(level) * F.col("weight"))
@@ -121,16 +122,16 @@ def repeated(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     """
     _, sources, edge = plan(docs, weights, share, most, seed, id_col, text, source)
     small = sources.select("key", "whole", "rest", "cut", "left")
-    rows = keyed(docs, seed, id_col, text, source).select(
-        F.struct(*docs.columns).alias("_d"), UID, "_m.key", "_m.bucket", word_count(text).alias("size"))
+    rows = keyed(docs, seed, id_col, text, source).select(ROW, UID, "key", "bucket", word_count("text").alias("size"))
     rows = decided(rows, small, edge).where("size > 0")
     copies = F.col("whole").cast("int") + (F.col("part") > 0).cast("int")
     rows = rows.where(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
     short = (F.col("copy") > F.col("whole")) & (F.col("part") < F.col("size"))
-    led = F.regexp_replace(F.col("_d")[text], f"^[{SPACES}]+", "")
+    cell = F.col(ROW).getField
+    led = F.regexp_replace(cell(text), f"^[{SPACES}]+", "")
     head = F.array_join(F.slice(F.split(led, f"(?<=[{SPACES}])(?=[^{SPACES}])"), 1, F.col("part").cast("int")), "")
     out = {text: head, "n_chars": F.length(head)}
-    return rows.select(*[(F.when(short, out[c]).otherwise(F.col("_d")[c]) if c in out else F.col("_d")[c]).alias(c) for c in docs.columns])
+    return rows.select(*[(F.when(short, out[c]).otherwise(cell(c)) if c in out else cell(c)).alias(c) for c in docs.columns])
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayput.llm.common import UID, join_checked, mapped, staged, with_uid
+from stayput.llm.common import UID, join_checked, mapped, staged, unwrapped, with_uid, wrapped
 from stayput.llm.components import connected_components
 from stayput.llm.links import forest
 
@@ -233,7 +233,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", wor
     """``docs`` (a stored table) with one row of each component; all columns, rows unchanged."""
     found = near_duplicates(docs, id_col, text, words_per_shingle, threshold)
     dropped = staged(found.where(~F.col("kept")).select(UID), "dropped")
-    return join_checked(with_uid(docs), dropped, UID, "left_anti").select(*[F.col(c) for c in docs.columns])
+    return unwrapped(join_checked(wrapped(docs), dropped, UID, "left_anti"), docs.columns)
 
 
 def op7_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
