@@ -17,7 +17,7 @@ from stayput import presets
 from stayput.operators import clean, decide, encode, evaluate, features, portfolio, score, split, train
 from stayput.plans import training
 from stayput.plans.feature_plan import FeaturePlan
-from stayput.session import shared_dir, table_path
+from stayput.session import scratch, table_path
 from stayput.sources import io
 from stayput.sources.subscribers import subscribers
 
@@ -43,7 +43,7 @@ def scored_subscribers(spark: SparkSession, sf: str) -> DataFrame:
     """Subscriber view -> worked-example ensemble -> probability, prediction, y, tier, value at risk."""
     subs = subscribers(spark, sf)
     s = score.score_ensemble(subs, score.worked_example_trees(spark))
-    s = s.withColumn("y", F.when(F.col("Churn") == "Yes", 1).otherwise(0))
+    s = s.withColumn("y", F.when(F.col("Departed") == "Yes", 1).otherwise(0))
     return decide.with_value_at_risk(s)
 
 
@@ -57,6 +57,13 @@ def m3_ensemble_score(spark, sf):
                     r6("probability").alias("probability"), "prediction")
 
 
+@query("m3_ensemble_score_large")
+def m3_ensemble_score_large(spark, sf):
+    """120 trees: 40 weighted copies of the worked example, scored by array traversal."""
+    trees = score.weighted_copies(presets.WORKED_EXAMPLE_TREES, [(i % 5 + 1) / 64 for i in range(40)])
+    return score.ensemble_score(_records(spark, sf), trees).select("customerID", r6("raw_score").alias("raw_score"))
+
+
 @query("m5_decide_threshold")
 def m5_decide_threshold(spark, sf):
     s = scored_subscribers(spark, sf)
@@ -85,13 +92,13 @@ def d2_clv_estimate(spark, sf):
 @query("d3_clv_at_risk")
 def d3_clv_at_risk(spark, sf):
     s = scored_subscribers(spark, sf)
-    return s.select("customerID", "churn_probability", "clv_at_risk")
+    return s.select("customerID", "attrition_probability", "clv_at_risk")
 
 
 @query("d4_percent_probability")
 def d4_percent_probability(spark, sf):
     s = scored_subscribers(spark, sf)
-    return s.select("customerID", "churn_probability")
+    return s.select("customerID", "attrition_probability")
 
 
 @query("d9_stay_or_leave")
@@ -106,7 +113,7 @@ def d9_stay_or_leave(spark, sf):
 @query("a1_portfolio_kpi")
 def a1_portfolio_kpi(spark, sf):
     k = portfolio.kpis(scored_subscribers(spark, sf))
-    return k.select("customers", "predicted_churn", r6("predicted_churn_pct").alias("predicted_churn_pct"),
+    return k.select("customers", "predicted_attrition", r6("predicted_attrition_pct").alias("predicted_attrition_pct"),
                     "high_critical", "clv_at_risk_total")
 
 
@@ -124,13 +131,13 @@ def a3_probability_histogram(spark, sf):
 @query("a4_top10")
 def a4_top10(spark, sf):
     t = portfolio.top_risk(scored_subscribers(spark, sf), 10)
-    return t.select("customerID", "churn_probability", "risk_tier", "clv_at_risk", "Contract",
+    return t.select("customerID", "attrition_probability", "risk_tier", "clv_at_risk", "Contract",
                     "tenure", r6("MonthlyCharges").alias("MonthlyCharges"))
 
 
 @query("p9_high_risk_filter")
 def p9_high_risk_filter(spark, sf):
-    return portfolio.high_risk(scored_subscribers(spark, sf), 50.0).select("customerID", "churn_probability")
+    return portfolio.high_risk(scored_subscribers(spark, sf), 50.0).select("customerID", "attrition_probability")
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -206,6 +213,20 @@ def p13_preview(spark, sf):
 # ---------------------------------------------------------------------------
 # C: cleaning and imputation
 # ---------------------------------------------------------------------------
+@query("c1_dedupe_rows")
+def c1_dedupe_rows(spark, sf):
+    """C1 over whole rows: the distinct rows of a table that holds some rows twice."""
+    e = _table(spark, sf, "events")
+    return clean.dedupe(e.unionByName(e.where(F.col("user_id") % 3 == 0))).select("event_id", "user_id", "event_type")
+
+
+@query("t3_kfold_null_label")
+def t3_kfold_null_label(spark, sf):
+    """Folds where the label is null for some rows: nulls are a class of their own."""
+    o = _table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("label"))
+    return split.assign_folds(o, "o_orderkey", "label").select("o_orderkey", "label", "fold")
+
+
 @query("c1_dedupe")
 def c1_dedupe(spark, sf):
     li = _table(spark, sf, "lineitem").select("l_partkey", "l_quantity", "l_returnflag", "l_linestatus")
@@ -274,7 +295,7 @@ _feature_query("f5_total_services", features.add_total_services)
 for _i, _name in enumerate(["has_internet", "has_phone", "is_month_to_month", "is_automatic_payment",
                             "is_senior", "has_dependents"]):
     _feature_query(f"f{6 + _i}_{_name}", lambda d, n=_name: features.add_named_indicator(d, n))
-_feature_query("f12_churn_risk_score", features.add_churn_risk_score)
+_feature_query("f12_attrition_risk_score", features.add_attrition_risk_score)
 _feature_query("f14_avg_charge", features.add_avg_charge)
 _feature_query("f15_charge_diff", lambda d: features.add_charge_diff(features.add_avg_charge(d)))
 _feature_query("f17_total_count", lambda d: features.add_total_count(features.signed_encode(d)))
@@ -523,7 +544,7 @@ def v14_evaluation_bundle(spark, sf):
 @query("t1_stratified_split")
 def t1_stratified_split(spark, sf):
     s = split.stratified_split(_records(spark, sf), "customerID", presets.TARGET)
-    return s.select("customerID", "Churn", "split")
+    return s.select("customerID", "Departed", "split")
 
 
 @query("t1_stratified_split_orders")
@@ -581,7 +602,7 @@ def d7_scenario_impact(spark, sf):
     imp = decide.scenario_impact(_records(spark, sf), _worked_example_scorer(spark))
     return imp.select("customerID", "action", r6("base_probability").alias("base_probability"),
                       r6("new_probability").alias("new_probability"), r6("delta").alias("delta"),
-                      "churn_probability_pct", "reduction_pp")
+                      "attrition_probability_pct", "reduction_pp")
 
 
 @query("d8_best_action")
@@ -589,13 +610,13 @@ def d8_best_action(spark, sf):
     imp = decide.scenario_impact(_records(spark, sf), _worked_example_scorer(spark))
     best = decide.best_action(imp)
     return best.select("customerID", "action", r6("new_probability").alias("new_probability"),
-                       "churn_probability_pct", "reduction_pp")
+                       "attrition_probability_pct", "reduction_pp")
 
 
 @query("d10_impact_text")
 def d10_impact_text(spark, sf):
     imp = decide.scenario_impact(_records(spark, sf), _worked_example_scorer(spark))
-    label, text = decide.impact_text("action", "base_probability", "churn_probability_pct", "reduction_pp")
+    label, text = decide.impact_text("action", "base_probability", "attrition_probability_pct", "reduction_pp")
     return imp.select("customerID", "action", label.alias("label"), text.alias("text"))
 
 
@@ -608,9 +629,10 @@ _TRAINED: dict = {}
 
 def trained(spark: SparkSession, sf: str):
     """One small trained model per (session, scale), shared by the training queries."""
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _TRAINED:
-        _TRAINED[key] = training.fit(_records(spark, sf))
+        # smoke-sized on purpose; training.fit's own defaults are the full search
+        _TRAINED[key] = training.fit(_records(spark, sf), space=training.SMALL_SEARCH, n_candidates=2, k=2)
     return _TRAINED[key]
 
 
@@ -634,7 +656,7 @@ def t7_train_boosted(spark, sf):
 def t8_cv_auc(spark, sf):
     tm = trained(spark, sf)
     trn = split.assign_folds(tm.data.where(F.col("split") == "train"), "customerID", "label", k=2)
-    return train.cv_summary(train.cv_auc(trn, tm.params, k=2))
+    return train.cv_summary(train.cv_auc(trn, tm.params, k=2, ratio=train.class_ratio(trn)))
 
 
 @query("t10_importance")
@@ -672,7 +694,7 @@ def v14_evaluation_trained(spark, sf):
 
 @query("s1_csv_roundtrip")
 def s1_csv_roundtrip(spark, sf):
-    path = shared_dir(spark, f"csv/subscribers-{abs(hash(sf))}")
+    path = f"{scratch(spark, 'csv')}/subscribers"
     io.write_table(_records(spark, sf), path, "csv")
     return io.read_customers(spark, path)
 
@@ -680,11 +702,11 @@ def s1_csv_roundtrip(spark, sf):
 @query("s5_state_roundtrip")
 def s5_state_roundtrip(spark, sf):
     tm = trained(spark, sf)
-    path = shared_dir(spark, f"state/{abs(hash(sf))}")
+    path = scratch(spark, "state")
     io.save_state(tm.plan.state_tables(spark), path, tm.model)
     tables, model = io.load_state(spark, path)
     plan = FeaturePlan.from_tables(tables)
-    reloaded = training.TrainedModel(plan, model, tm.params, tm.candidates, tm.cv_model, tm.data)
+    reloaded = training.TrainedModel(plan, model, tm.params, tm.candidates, tm.cv_model, tm.data, tm.labels)
     return training.predict(reloaded, _records(spark, sf)).select("customerID", "probability", "prediction")
 
 
@@ -699,6 +721,7 @@ def subscriber_records_json(spark, sf) -> DataFrame:
 
 @query("s7_parse_records")
 def s7_parse_records(spark, sf):
+    """Records of the customers that occur in ``events``; that choice is the feature."""
     ok, _bad = io.parse_records(subscriber_records_json(spark, sf), keep=("customerID",))
     return ok
 
@@ -706,9 +729,8 @@ def s7_parse_records(spark, sf):
 @query("r1_stream_scoring")
 def r1_stream_scoring(spark, sf):
     """Records of active users -> JSON files -> streaming scorer -> parquet sink (read back)."""
-    import uuid
     from stayput.streaming.scoring import score_stream
-    run = shared_dir(spark, f"stream/{uuid.uuid4().hex}")
+    run = scratch(spark, "stream")
     subscriber_records_json(spark, sf).select("value").write.mode("overwrite").text(f"{run}/in")
     trees = score.worked_example_trees(spark)
 
@@ -718,7 +740,7 @@ def r1_stream_scoring(spark, sf):
     q_.awaitTermination()
     out = spark.read.parquet(f"{run}/out")
     return out.select("customerID", r6("probability").alias("probability"), "prediction", "risk_tier",
-                      "churn_probability", "clv_at_risk")
+                      "attrition_probability", "clv_at_risk")
 
 
 @query("a5_batch_report")
@@ -727,7 +749,7 @@ def a5_batch_report(spark, sf):
     from stayput.plans.batch_report import batch_report
     rep = batch_report(scored_subscribers(spark, sf))
     return rep["scored"].select("customerID", r6("probability").alias("probability"), "prediction",
-                                "churn_probability", "risk_tier", "months_remaining", "clv_at_risk")
+                                "attrition_probability", "risk_tier", "months_remaining", "clv_at_risk")
 
 
 # ---------------------------------------------------------------------------
@@ -744,7 +766,7 @@ def m6_append_predictions(spark, sf):
     """Input columns kept, predictions appended (no join back)."""
     s = scored_subscribers(spark, sf)
     return s.select(*presets.INPUT_COLUMNS, presets.TARGET, r6("probability").alias("probability"),
-                    "prediction", "churn_probability", "risk_tier")
+                    "prediction", "attrition_probability", "risk_tier")
 
 
 @query("e11_feature_plan_keep_nulls")
@@ -764,11 +786,10 @@ def f17_total_count_train(spark, sf):
 @query("s2_csv_sink_scored")
 def s2_csv_sink_scored(spark, sf):
     """The scored table written as header CSV, read back with its schema."""
-    import uuid
     from stayput.plans.batch_report import batch_report
-    path = shared_dir(spark, f"csv/scored-{uuid.uuid4().hex}")
+    path = f"{scratch(spark, 'csv')}/scored"
     scored = scored_subscribers(spark, sf).select("customerID", "Contract", "tenure", "MonthlyCharges",
-                                                   r6("probability").alias("probability"), "churn_probability",
+                                                   r6("probability").alias("probability"), "attrition_probability",
                                                    "risk_tier", "clv_at_risk")
     batch_report(scored, sink=path)
     return spark.read.schema(scored.schema).option("header", True).csv(path)
@@ -777,8 +798,7 @@ def s2_csv_sink_scored(spark, sf):
 @query("s4_metrics_json")
 def s4_metrics_json(spark, sf):
     """The classification report written as JSON lines and read back."""
-    import uuid
-    path = shared_dir(spark, f"metrics/{uuid.uuid4().hex}")
+    path = f"{scratch(spark, 'metrics')}/report"
     rep = evaluate.classification_report(_labels(spark, sf), "y", "yhat")
     io.write_metrics(rep, path)
     return spark.read.schema(rep.schema).json(path)
@@ -799,7 +819,7 @@ def d7_scenario_impact_trained(spark, sf):
     """What-if impact with the trained MLlib model as scorer (rows-only check)."""
     tm = trained(spark, sf)
     imp = decide.scenario_impact(_records(spark, sf), training.model_scorer(tm))
-    return imp.select("customerID", "action", "new_probability", "delta", "churn_probability_pct", "reduction_pp")
+    return imp.select("customerID", "action", "new_probability", "delta", "attrition_probability_pct", "reduction_pp")
 
 
 @query("a5_batch_report_trained")
@@ -823,8 +843,7 @@ def t9_fit_log(spark, sf):
 @query("s3_fit_log_append")
 def s3_fit_log_append(spark, sf):
     """S3: fit-log rows appended as JSON lines (twice), read back (rows-only check)."""
-    import uuid
-    path = shared_dir(spark, f"fits/{uuid.uuid4().hex}")
+    path = f"{scratch(spark, 'fits')}/log"
     log = t9_fit_log(spark, sf).drop("ts")
     io.append_fits(log, path)
     io.append_fits(log, path)

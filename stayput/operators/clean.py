@@ -48,6 +48,11 @@ def align_features(df: DataFrame, names: Sequence[str], fill=0) -> DataFrame:
     return df.select(*cols)
 
 
+def add_missing(df: DataFrame, names: Sequence[str], fill=0) -> DataFrame:
+    """P3 for tables that keep their other columns: the ``names`` that are absent become ``fill``."""
+    return df.select("*", *[F.lit(fill).alias(c) for c in names if c not in df.columns])
+
+
 def column_kinds(df: DataFrame, target: str | None = None,
                  exclude: Sequence[str] = ()) -> tuple[list[str], list[str]]:
     """P5: (numeric, categorical) column names from the schema, minus target and excluded."""
@@ -81,9 +86,10 @@ def assert_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> None:
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """Rows, columns, numeric / string column counts, total null cells (one aggregation)."""
+    """Rows, columns, numeric / string column counts, total missing cells, null or NaN (one aggregation)."""
     num, cat = column_kinds(df)
-    nulls = [F.count_if(F.col(c).isNull()) for c in df.columns]
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    nulls = [F.count_if((F.col(c).isNull() | F.isnan(c)) if c in floating else F.col(c).isNull()) for c in df.columns]
     total_nulls = nulls[0]
     for n in nulls[1:]:
         total_nulls = total_nulls + n
@@ -146,7 +152,7 @@ def median_table(df: DataFrame, cols: Sequence[str], **kw) -> DataFrame:
     Values are counted per (column, value), ranked with exact running totals,
     and the two middle ranks are read off — no column is gathered in one task.
     """
-    counts = _long(df, cols, "double").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")).persist()
+    counts = _long(df, cols, "double").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     j = running_totals(counts, "value", ["n"], by=["column"], descending=False, with_totals=True, **kw) \
         .withColumnRenamed("tot_n", "total")
     k1 = F.floor((F.col("total") - 1) / 2)

@@ -36,30 +36,30 @@ def tier_label(tier: str | Column) -> Column:
 
 def months_remaining(contract: str | Column, tenure: str | Column) -> Column:
     """Two-year max(6, 24 - t mod 24); one-year max(3, 12 - t mod 12); else 6."""
-    t = _c(tenure).cast("int")
+    t = _c(tenure)      # fractional months stay fractional
     expr = None
     for name, cycle, floor in presets.CONTRACT_MONTHS:
         val = F.greatest(F.lit(floor), F.lit(cycle) - F.pmod(t, F.lit(cycle)))
         cond = _c(contract) == name
         expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return expr.otherwise(F.lit(presets.MONTHS_FLAT)).cast("int")
+    return expr.otherwise(F.lit(presets.MONTHS_FLAT))
 
 
 def with_value_at_risk(df: DataFrame, p: str = "probability", monthly: str = "MonthlyCharges",
                        tenure: str = "tenure", contract: str = "Contract") -> DataFrame:
-    """churn_probability (percent, 2 dp), risk_tier, months_remaining, clv, clv_at_risk."""
+    """attrition_probability (percent, 2 dp), risk_tier, months_remaining, clv, clv_at_risk."""
     return (df
-            .withColumn("churn_probability", round_half_even(F.col(p) * 100, 2))
+            .withColumn("attrition_probability", round_half_even(F.col(p) * 100, 2))
             .withColumn("risk_tier", risk_tier(p))
             .withColumn("months_remaining", months_remaining(contract, tenure))
             .withColumn("clv", F.col(monthly) * F.col("months_remaining"))
             .withColumn("clv_at_risk",
-                        round_half_even(F.col("clv") * (F.col("churn_probability") / 100), 2)))
+                        round_half_even(F.col("clv") * (F.col("attrition_probability") / 100), 2)))
 
 
 def stay_or_leave(p: str | Column, threshold: float = presets.DECISION_THRESHOLD) -> Column:
     """Strict ``p > threshold`` label."""
-    return F.when(_c(p) > threshold, F.lit("Likely to churn")).otherwise(F.lit("Likely to stay"))
+    return F.when(_c(p) > threshold, F.lit("Likely to leave")).otherwise(F.lit("Likely to stay"))
 
 
 # ---------------------------------------------------------------------------
@@ -205,7 +205,7 @@ def scenario_impact(df: DataFrame, scorer: Callable[[DataFrame], DataFrame],
 
     ``scorer`` maps a DataFrame to the same DataFrame plus ``probability``.
     Output: id, action, action_rank, base_probability, new_probability, delta,
-    churn_probability_pct (1 dp), reduction_pp (1 dp).
+    attrition_probability_pct (1 dp), reduction_pp (1 dp).
     """
     base = scorer(df).withColumnRenamed("probability", "base_probability")
     keep = [c for c in base.columns if c in df.columns or c == "base_probability"]
@@ -215,7 +215,7 @@ def scenario_impact(df: DataFrame, scorer: Callable[[DataFrame], DataFrame],
             .select(id_col, "action", F.col("action_rank").cast("int").alias("action_rank"),
                     "base_probability", F.col("probability").alias("new_probability"),
                     delta.alias("delta"),
-                    round_half_even(F.col("probability") * 100, 1).alias("churn_probability_pct"),
+                    round_half_even(F.col("probability") * 100, 1).alias("attrition_probability_pct"),
                     round_half_even(delta * 100, 1).alias("reduction_pp")))
 
 
@@ -223,10 +223,10 @@ def best_action(impact: DataFrame, id_col: str = "customerID") -> DataFrame:
     """The largest reduction per customer; ties go to the earlier scenario."""
     best = F.max(F.struct(F.col("delta"), (-F.col("action_rank")).alias("neg_rank"),
                           F.col("action"), F.col("base_probability"), F.col("new_probability"),
-                          F.col("churn_probability_pct"), F.col("reduction_pp")))
+                          F.col("attrition_probability_pct"), F.col("reduction_pp")))
     return (impact.groupBy(id_col).agg(best.alias("b"))
             .select(id_col, "b.action", "b.base_probability", "b.new_probability", "b.delta",
-                    "b.churn_probability_pct", "b.reduction_pp"))
+                    "b.attrition_probability_pct", "b.reduction_pp"))
 
 
 def impact_text(action: str | Column, base_p: str | Column, new_pct: str | Column,

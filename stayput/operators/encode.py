@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from stayput.operators.ordered import global_rank, join_small
 
 ENCODER_SCHEMA = "column string, value string, code int"
-MAP_LITERAL_MAX = 10_000          # entries per column applied as a literal map
+MAP_LITERAL_MAX = 100             # entries per column applied as a literal map (a map lookup is a linear scan)
 BROADCAST_MAX = 1_000_000         # dictionary rows joined by broadcast
 ONE_HOT_MAX = 1_000               # distinct values turned into columns
 
@@ -102,7 +102,9 @@ def apply_labels(df: DataFrame, enc: DataFrame, cols: Sequence[str] | None = Non
             # large dictionary: equi-join, broadcast only under a counted bound
             k = f"_k_{c}"
             d = _dictionary(enc, c).withColumnRenamed("value", k).withColumnRenamed("code", f"_c_{c}")
-            joined = join_small(out.withColumn(k, key), d, [k], how="left", max_rows=BROADCAST_MAX)
+            # a null joins nothing: spread such rows over distinct keys that no dictionary holds
+            spread = F.coalesce(key, F.concat(F.lit("\u0000"), F.monotonically_increasing_id().cast("string")))
+            joined = join_small(out.withColumn(k, spread), d, [k], how="left", max_rows=BROADCAST_MAX)
             enc_col = F.coalesce(F.col(f"_c_{c}"), F.lit(unseen))
             if keep_nulls:
                 enc_col = F.when(F.col(c).isNull(), F.lit(None)).otherwise(enc_col)
@@ -141,13 +143,13 @@ def fallback_target(col: str, positive: str = "Yes", negative: str = "No"):
     return F.when(c == positive, F.lit(1)).when(c == negative, F.lit(0)).otherwise(F.lit(0))
 
 
-def fit_one_hot(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+def fit_one_hot(df: DataFrame, cols: Sequence[str], most: int = ONE_HOT_MAX) -> dict[str, list[str]]:
     """E9 fit: sorted distinct values per column (they become column names, so bounded)."""
     pairs = _long(df, cols).where(F.col("value").isNotNull()).distinct().persist()
     big = (pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-           .where(F.col("n") > ONE_HOT_MAX).select("column").limit(1).collect())
+           .where(F.col("n") > most).select("column").limit(1).collect())
     if big:
-        raise ValueError(f"column {big[0]['column']} has more than {ONE_HOT_MAX} values")
+        raise ValueError(f"column {big[0]['column']} has more than {most} values")
     rows = pairs.groupBy("column").agg(F.sort_array(F.collect_list("value")).alias("values")).collect()
     pairs.unpersist()
     found = {r["column"]: list(r["values"]) for r in rows}

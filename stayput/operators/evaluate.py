@@ -158,7 +158,7 @@ def cumulative_table(df: DataFrame, y: str, score: str, by: Sequence[str] = (),
                      next_counts: bool = False, with_totals: bool = False, **kw) -> DataFrame:
     """Per distinct score (descending): pos, neg, tp = cum_pos, fp = cum_neg (score >= s);
     with ``with_totals`` also the group's class totals ``tot_pos`` / ``tot_neg``."""
-    counts = score_counts(df, y, score, by).persist()
+    counts = score_counts(df, y, score, by)
     out = running_totals(counts, "score", ["pos", "neg"], by=by, descending=True,
                          next_cols=["pos", "neg"] if next_counts else (), with_totals=with_totals, **kw)
     return out.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
@@ -195,29 +195,27 @@ def roc_curve(df: DataFrame, y: str, score: str, by: Sequence[str] = (),
         keep = (first | F.col("next_pos").isNull()
                 | (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg")))
         pts = pts.where(keep)
-    curve = pts.select(
-        *by, F.col("score").alias("threshold"),
-        F.try_divide(F.col("fp").cast("double"), F.col("_N").cast("double")).alias("fpr"),
-        F.try_divide(F.col("tp").cast("double"), F.col("_P").cast("double")).alias("tpr"),
-    )
-    # one origin row per group: the group's first point (highest score) stands for it
+    point = F.struct(F.col("score").alias("threshold"),
+                     F.try_divide(F.col("fp").cast("double"), F.col("_N").cast("double")).alias("fpr"),
+                     F.try_divide(F.col("tp").cast("double"), F.col("_P").cast("double")).alias("tpr"))
+    origin = F.struct(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return _with_end(pts, by, origin, point, ["threshold", "fpr", "tpr"])
+
+
+def _with_end(pts: DataFrame, by: Sequence[str], end: Column, point: Column, names: Sequence[str]) -> DataFrame:
+    """The points and one end point per group, emitted beside the group's first point (highest score)."""
     first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
-    origin = pts.where(first).select(*by, F.lit(None).cast("double").alias("threshold"),
-                                     F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
-    return origin.unionByName(curve)
+    both = pts.select(*by, F.explode(F.when(first, F.array(end, point)).otherwise(F.array(point))).alias("_p"))
+    return both.select(*by, *[F.col(f"_p.{n}").alias(n) for n in names])
 
 
 def pr_curve(df: DataFrame, y: str, score: str, by: Sequence[str] = (), **kw) -> DataFrame:
     """V7: (threshold, precision, recall) per distinct score, plus the end point (1, 0)."""
     cum = cumulative_table(df, y, score, by, with_totals=True, **kw)
     pts = cum.withColumnRenamed("tot_pos", "_P")
-    curve = pts.select(
-        *by, F.col("score").alias("threshold"),
-        _safe_div(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
-        F.when(F.col("_P") == 0, F.lit(1.0))
-         .otherwise(F.col("tp").cast("double") / F.col("_P").cast("double")).alias("recall"),
-    )
-    first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
-    end = pts.where(first).select(*by, F.lit(None).cast("double").alias("threshold"),
-                                  F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
-    return curve.unionByName(end)
+    point = F.struct(F.col("score").alias("threshold"),
+                     _safe_div(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
+                     F.when(F.col("_P") == 0, F.lit(1.0))
+                      .otherwise(F.col("tp").cast("double") / F.col("_P").cast("double")).alias("recall"))
+    end = F.struct(F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
+    return _with_end(pts, by, end, point, ["threshold", "precision", "recall"])

@@ -70,7 +70,7 @@ def add_named_indicator(df: DataFrame, name: str) -> DataFrame:
     raise KeyError(name)
 
 
-def add_churn_risk_score(df: DataFrame, parts=presets.RISK_SCORE_PARTS) -> DataFrame:
+def add_attrition_risk_score(df: DataFrame, parts=presets.RISK_SCORE_PARTS) -> DataFrame:
     """sum of the risk flags present (month-to-month, electronic check, fiber)."""
     flags = [flag(F.col(c) == v) for c, v in parts if c in df.columns]
     if not flags:
@@ -78,7 +78,7 @@ def add_churn_risk_score(df: DataFrame, parts=presets.RISK_SCORE_PARTS) -> DataF
     total = flags[0]
     for f in flags[1:]:
         total = total + f
-    return df.withColumn("churn_risk_score", total)
+    return df.withColumn("attrition_risk_score", total)
 
 
 def engineer(df: DataFrame) -> DataFrame:
@@ -96,7 +96,7 @@ def engineer(df: DataFrame) -> DataFrame:
     for name, col, cond in INDICATORS:
         if _has(out, col):
             out = add_indicator(out, name, cond(F.col(col)))
-    return add_churn_risk_score(out)
+    return add_attrition_risk_score(out)
 
 
 # ---------------------------------------------------------------------------

@@ -19,24 +19,31 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 65_536
+MAX_BUCKETS = 16_384
 MAX_BROADCAST_ROWS = 1_000_000
 BUCKET = "_bucket"
 
 
 def _bucketize(df: DataFrame, order_col: str, n_rows: int,
-               rows_per_bucket: int, max_buckets: int) -> tuple[DataFrame, int]:
+               rows_per_bucket: int, max_buckets: int) -> DataFrame:
     n_buckets = min(max_buckets, max(1, math.ceil(n_rows / rows_per_bucket)))
     if n_buckets == 1:
-        return df.withColumn(BUCKET, F.lit(0.0)), 1
+        return df.withColumn(BUCKET, F.lit(0.0))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     # bounded: at most max_buckets - 1 doubles reach the driver
-    bounds = df.stat.approxQuantile(order_col, probs, 1.0 / (4 * n_buckets))
+    bounds = df.stat.approxQuantile(order_col, probs, 1.0 / (2 * n_buckets))
     splits = [-math.inf] + sorted(set(b for b in bounds if b is not None and not math.isnan(b))) + [math.inf]
     tmp = "_order_dbl"
-    bucketed = Bucketizer(splits=splits, inputCol=tmp, outputCol=BUCKET, handleInvalid="keep") \
-        .transform(df.withColumn(tmp, F.col(order_col).cast("double")))
-    return bucketed.drop(tmp), len(splits) - 1
+    return Bucketizer(splits=splits, inputCol=tmp, outputCol=BUCKET, handleInvalid="keep") \
+        .transform(df.withColumn(tmp, F.col(order_col).cast("double"))).drop(tmp)
+
+
+def null_safe(left: str, right: str, names: Sequence[str]):
+    """Equality of all ``names`` in which null equals null, as grouping has it."""
+    cond = F.lit(True)
+    for c in names:
+        cond = cond & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return cond
 
 
 def running_totals(df: DataFrame, order_col: str, measures: Sequence[str],
@@ -54,30 +61,20 @@ def running_totals(df: DataFrame, order_col: str, measures: Sequence[str],
     ``next_cols`` adds ``next_<c>``: the value of ``c`` on the
     following row of the same group (null on the last row).
     ``with_totals`` adds ``tot_<m>``: the group total, from the same stages.
+
+    A null in a ``by`` column is a group like any other. Inputs of every size take
+    the same path; only the number of buckets differs, and it does not change the result.
     """
     by = list(by)
-    n_rows = df.count()
-    bdf, n_buckets = _bucketize(df, order_col, n_rows, rows_per_bucket, max_buckets)
+    bdf = _bucketize(df, order_col, df.count(), rows_per_bucket, max_buckets)
     keys = [order_col, *tiebreak]
     order = [F.col(k).desc() if descending else F.col(k).asc() for k in keys]
     bucket_order = F.col(BUCKET).desc() if descending else F.col(BUCKET).asc()
-
-    w_in = Window.partitionBy(*by, BUCKET).orderBy(*order) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = bdf
-    for m in measures:
-        out = out.withColumn(f"_in_{m}", F.sum(m).over(w_in))
-    if n_buckets == 1:
-        # one bucket per group: the in-bucket sums are already global, no offsets to add
-        w_lead = Window.partitionBy(*by, BUCKET).orderBy(*order)
-        w_all = Window.partitionBy(*by, BUCKET)
-        for m in measures:
-            out = out.withColumnRenamed(f"_in_{m}", f"cum_{m}")
-            if with_totals:
-                out = out.withColumn(f"tot_{m}", F.sum(m).over(w_all))
-        for c in next_cols:
-            out = out.withColumn(f"next_{c}", F.lead(c).over(w_lead))
-        return _canonical(out, df, measures, next_cols, with_totals)
+    w_lead = Window.partitionBy(*by, BUCKET).orderBy(*order)
+    w_in = w_lead.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = bdf.select("*", *[F.sum(m).over(w_in).alias(f"_in_{m}") for m in measures],
+                     *[F.lead(c).over(w_lead).alias(f"_lead_{c}") for c in next_cols],
+                     *([F.lead(F.lit(1)).over(w_lead).isNull().alias("_last")] if next_cols else []))
 
     # per-bucket totals -> exclusive prefix over buckets (small table)
     totals = bdf.groupBy(*by, BUCKET).agg(
@@ -96,25 +93,16 @@ def running_totals(df: DataFrame, order_col: str, measures: Sequence[str],
         *([F.lead("_first").over(w_b_next).alias("_next_first")] if next_cols else []),
         *([F.sum(f"_tot_{m}").over(w_g).alias(f"tot_{m}") for m in measures] if with_totals else []),
     )
+    n_buckets = max_buckets if rows_per_bucket < ROWS_PER_BUCKET else MAX_BUCKETS
     if _offsets_fit(df, by, n_buckets):
         offsets = F.broadcast(offsets)
-    out = out.join(offsets, on=[*by, BUCKET], how="inner")
-    for m in measures:
-        out = out.withColumn(f"cum_{m}", F.col(f"_off_{m}") + F.col(f"_in_{m}"))
-    if next_cols:
-        w_lead = Window.partitionBy(*by, BUCKET).orderBy(*order)
-        last_in_bucket = F.lead(F.lit(1)).over(w_lead).isNull()
-        for c in next_cols:
-            out = out.withColumn(
-                f"next_{c}",
-                F.when(last_in_bucket, F.col(f"_next_first.{c}")).otherwise(F.lead(c).over(w_lead)))
-    return _canonical(out, df, measures, next_cols, with_totals)
-
-
-def _canonical(out: DataFrame, df: DataFrame, measures, next_cols, with_totals) -> DataFrame:
-    """Input columns in their order, then cum_*, next_*, tot_* (same for every path)."""
-    return out.select(*df.columns, *[f"cum_{m}" for m in measures], *[f"next_{c}" for c in next_cols],
-                      *([f"tot_{m}" for m in measures] if with_totals else []))
+    joined = out.alias("r").join(offsets.alias("o"), null_safe("r", "o", [*by, BUCKET]), "inner")
+    cols = [F.col(f"r.{c}").alias(c) for c in df.columns]
+    cols += [(F.col(f"_off_{m}") + F.col(f"_in_{m}")).alias(f"cum_{m}") for m in measures]
+    cols += [F.when(F.col("_last"), F.col(f"_next_first.{c}")).otherwise(F.col(f"_lead_{c}")).alias(f"next_{c}")
+             for c in next_cols]
+    cols += [F.col(f"tot_{m}") for m in measures] if with_totals else []
+    return joined.select(*cols)
 
 
 def _offsets_fit(df: DataFrame, by: Sequence[str], n_buckets: int) -> bool:

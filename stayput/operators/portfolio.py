@@ -11,7 +11,7 @@ MONEY = "decimal(38,2)"
 
 
 def kpis(scored: DataFrame, p: str = "probability") -> DataFrame:
-    """A1: customers, predicted churners and share (p >= 0.5), HIGH+CRITICAL count, CLV at risk.
+    """A1: customers, predicted leavers and share (p >= 0.5), HIGH+CRITICAL count, CLV at risk.
 
     Money is summed as DECIMAL so the total does not depend on summation order.
     """
@@ -19,8 +19,8 @@ def kpis(scored: DataFrame, p: str = "probability") -> DataFrame:
     pred = F.count_if(F.col(p) >= presets.DECISION_THRESHOLD)
     return scored.agg(
         n.alias("customers"),
-        pred.alias("predicted_churn"),
-        F.try_divide(pred.cast("double") * 100, n.cast("double")).alias("predicted_churn_pct"),
+        pred.alias("predicted_attrition"),
+        F.try_divide(pred.cast("double") * 100, n.cast("double")).alias("predicted_attrition_pct"),
         F.count_if(F.col("risk_tier").isin("HIGH", "CRITICAL")).alias("high_critical"),
         F.sum(F.col("clv_at_risk").cast(MONEY)).cast("double").alias("clv_at_risk_total"),
     )
@@ -47,7 +47,7 @@ def tier_distribution(scored: DataFrame) -> DataFrame:
             .orderBy("tier_rank"))
 
 
-def probability_histogram(scored: DataFrame, pct: str = "churn_probability", bins: int = 30) -> DataFrame:
+def probability_histogram(scored: DataFrame, pct: str = "attrition_probability", bins: int = 30) -> DataFrame:
     """A3: fixed-width histogram of the percent probability on [0, 100], ``bins`` bins."""
     width = 100.0 / bins
     b = F.least(F.lit(bins - 1), F.greatest(F.lit(0), F.floor(F.col(pct) / F.lit(width)).cast("int")))
@@ -59,11 +59,11 @@ def probability_histogram(scored: DataFrame, pct: str = "churn_probability", bin
 
 def top_risk(scored: DataFrame, n: int = 10, key: str = "customerID") -> DataFrame:
     """A4: the n highest probabilities (top-k; ties broken by key)."""
-    return (scored.orderBy(F.desc("churn_probability"), F.asc(key)).limit(n)
-            .select(key, "churn_probability", "risk_tier", "clv_at_risk",
+    return (scored.orderBy(F.desc("attrition_probability"), F.asc(key)).limit(n)
+            .select(key, "attrition_probability", "risk_tier", "clv_at_risk",
                     "Contract", "tenure", "MonthlyCharges"))
 
 
 def high_risk(scored: DataFrame, cut: float = 50.0) -> DataFrame:
     """Rows with percent probability >= cut."""
-    return scored.where(F.col("churn_probability") >= cut)
+    return scored.where(F.col("attrition_probability") >= cut)

@@ -1,21 +1,24 @@
-"""Scoring: additive tree ensembles compiled to column expressions, MLlib models.
-
-``ensemble_score`` turns a tree table (tree, node, feature, op, threshold,
-yes, no, leaf) into nested ``CASE WHEN`` expressions — one per tree — and adds
-them up. The tree table is a model, not data: it is bounded by
-``MAX_NODES`` before it is read on the driver. Trees are summed in chunks
-so each generated expression stays below the JVM method-size limit and
-keeps whole-stage codegen.
+"""Scoring: additive tree ensembles, compiled to column expressions or walked as arrays; MLlib models.
+
+``ensemble_score`` turns a small tree table (tree, node, feature, op, threshold,
+yes, no, leaf) into nested ``CASE WHEN`` expressions, one per tree, and adds
+them up; a large one is walked in Arrow batches. The tree table is a model, not
+data: it is bounded by ``MAX_NODES`` before it is read on the driver.
 """
 
 from __future__ import annotations
 
+import operator
 from collections import defaultdict
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
 
 from stayput import presets
 from stayput.functions.columns import sigmoid
@@ -31,7 +34,9 @@ TREE_SCHEMA = T.StructType([
     T.StructField("leaf", T.DoubleType()),
 ])
 MAX_NODES = 200_000
-TREES_PER_CHUNK = 20
+TREES_COMPILED = 20
+_COMPARE = {">": operator.gt, "<": operator.lt, ">=": operator.ge, "<=": operator.le,
+            "=": operator.eq, "==": operator.eq, "!=": operator.ne, "<>": operator.ne}
 _ORDERING = {">": "__gt__", "<": "__lt__", ">=": "__ge__", "<=": "__le__"}
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
@@ -72,47 +77,88 @@ def _tree_expr(df: DataFrame, nodes: dict[int, tuple], node: int = 0, depth: int
         .otherwise(_tree_expr(df, nodes, no, depth + 1))
 
 
-def compile_trees(df: DataFrame, trees) -> list[Column]:
-    """One ``Column`` per tree, in tree order.
-
-    ``trees`` is a tree table (DataFrame, read once after a size check) or its
-    rows as tuples in ``TREE_SCHEMA`` order.
-    """
+def tree_rows(trees, most: int = MAX_NODES) -> list[tuple]:
+    """The rows of a tree table (DataFrame, read after a size check), or rows as given. ``most`` bounds the model, not data."""
     if isinstance(trees, DataFrame):
-        n = trees.limit(MAX_NODES + 1).count()
-        if n > MAX_NODES:
-            raise ValueError(f"ensemble has more than {MAX_NODES} nodes; score with the MLlib model")
-        rows = [tuple(r) for r in trees.select(*TREE_SCHEMA.fieldNames()).collect()]
+        rows = [tuple(r) for r in trees.select(*TREE_SCHEMA.fieldNames()).limit(most + 1).collect()]
     else:
-        rows = list(trees)
-        if len(rows) > MAX_NODES:
-            raise ValueError(f"ensemble has more than {MAX_NODES} nodes; score with the MLlib model")
+        rows = [tuple(r) for r in trees]
+    if len(rows) > most:
+        raise ValueError(f"ensemble has more than {most} nodes; raise the bound or score with the MLlib model")
+    return rows
+
+
+def compile_trees(df: DataFrame, trees) -> list[Column]:
+    """One ``Column`` per tree, in tree order, from a tree table or its rows in ``TREE_SCHEMA`` order."""
     by_tree: dict[int, dict[int, tuple]] = defaultdict(dict)
-    for tree, node, feature, op, threshold, yes, no, leaf in rows:
+    for tree, node, feature, op, threshold, yes, no, leaf in tree_rows(trees):
         by_tree[tree][node] = (feature, op, threshold, yes, no, leaf)
     return [_tree_expr(df, by_tree[t]) for t in sorted(by_tree)]
 
 
 def ensemble_score(df: DataFrame, trees, out: str = "raw_score") -> DataFrame:
-    """M3: raw score = sum over trees of the reached leaf value."""
-    exprs = compile_trees(df, trees)
-    if len(exprs) <= TREES_PER_CHUNK:
-        total = exprs[0]
-        for e in exprs[1:]:
-            total = total + e
+    """M3: raw score = sum over trees of the reached leaf value.
+
+    Up to ``TREES_COMPILED`` trees become column expressions. More would pass the size of method that the JVM
+    compiles, so they are walked as flat arrays, all rows of an Arrow batch at a time: linear in the trees.
+    """
+    rows = tree_rows(trees)
+    if len({r[0] for r in rows}) <= TREES_COMPILED:
+        total = None
+        for e in compile_trees(df, rows):
+            total = e if total is None else total + e
         return df.withColumn(out, total)
-    parts = []
-    for i in range(0, len(exprs), TREES_PER_CHUNK):
-        chunk = exprs[i:i + TREES_PER_CHUNK]
-        s = chunk[0]
-        for e in chunk[1:]:
-            s = s + e
-        parts.append(s.alias(f"_part{i // TREES_PER_CHUNK}"))
-    tmp = df.select("*", *parts)
-    total = F.col("_part0")
-    for j in range(1, len(parts)):
-        total = total + F.col(f"_part{j}")
-    return tmp.withColumn(out, total).drop(*[f"_part{j}" for j in range(len(parts))])
+    flat = FlatTrees(df, rows)
+
+    @pandas_udf("double")
+    def walk(cols: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for some in cols:
+            yield pd.Series(flat.score(some))
+
+    return df.withColumn(out, walk(*[F.col(c) for c in flat.features]))
+
+
+class FlatTrees:
+    """All nodes in arrays. Each distinct test (feature, operator, value) is evaluated once per batch; a missing value (null or
+    NaN) fails every test and so takes the "no" branch, as in the compiled form for nulls."""
+
+    def __init__(self, df: DataFrame, rows):
+        rows = sorted(rows, key=lambda r: r[:2])
+        place = {(r[0], r[1]): i for i, r in enumerate(rows)}
+        self.features = sorted({r[2] for r in rows if r[2] is not None})
+        numeric = {f: isinstance(df.schema[f].dataType, _NUMERIC) for f in self.features}
+        tests = sorted({(r[2], r[3], r[4]) for r in rows if r[2] is not None})
+        at = {t: i for i, t in enumerate(tests)}
+        self.tests = [(self.features.index(f), op, float(v) if numeric[f] or op in _ORDERING else v, numeric[f]) for f, op, v in tests]
+        self.test = np.array([at[r[2], r[3], r[4]] if r[2] is not None else len(tests) for r in rows])
+        self.yes = np.array([place[r[0], r[5]] if r[2] is not None else i for i, r in enumerate(rows)])
+        self.no = np.array([place[r[0], r[6]] if r[2] is not None else i for i, r in enumerate(rows)])
+        self.leaf = np.array([0.0 if r[7] is None else float(r[7]) for r in rows])
+        self.roots = [place[t, 0] for t in sorted({r[0] for r in rows})]
+
+    def score(self, cols) -> np.ndarray:
+        n = len(cols[0]) if cols else 0
+        met = np.zeros((n, len(self.tests) + 1), bool)
+        for k, (f, op, value, numeric) in enumerate(self.tests):
+            c = cols[f]
+            x = c.astype(float).to_numpy() if numeric or op in _ORDERING else c.to_numpy(object)
+            met[:, k] = c.notna().to_numpy() & _COMPARE[op](x, value)
+        total, rows = np.zeros(n), np.arange(n)
+        for root in self.roots:
+            at = np.full(n, root)
+            while True:
+                to = np.where(met[rows, self.test[at]], self.yes[at], self.no[at])
+                if (to == at).all():
+                    break
+                at = to
+            total += self.leaf[at]
+        return total
+
+
+def weighted_copies(rows, weights) -> list[tuple]:
+    """An ensemble of copies of ``rows``, the leaves of each scaled by its weight."""
+    step = max(r[0] for r in rows) + 1
+    return [(k * step + r[0], *r[1:7], None if r[7] is None else r[7] * w) for k, w in enumerate(weights) for r in rows]
 
 
 def with_probability(df: DataFrame, raw: str = "raw_score", out: str = "probability") -> DataFrame:

@@ -2,7 +2,7 @@
 
 Rows of each class are ordered by ``md5(concat(key, seed))`` (ties by key)
 and cut at the cumulative fractions of that class's size. The rank inside a
-class comes from ``running_totals`` — value buckets of the hash, so even a
+class is counted in buckets of the hash, so even a
 two-class label is ranked by many tasks, not one per class. md5 exists in
 both Spark and DuckDB, so the assignment is checkable row for row.
 """
@@ -11,30 +11,38 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayput import presets
-from stayput.operators.ordered import running_totals
+from stayput.operators.ordered import MAX_BROADCAST_ROWS, null_safe
 
 HASH = "_h"
-HASH_KEY = "_h13"
-
-
-def _hashed(df: DataFrame, key: str, seed: int) -> DataFrame:
-    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
-    # first 13 hex digits (52 bits) as an exact double: monotone in the hash, used for bucketing
-    return df.withColumn(HASH, h).withColumn(HASH_KEY, F.conv(F.substring(h, 1, 13), 16, 10).cast("double"))
-
-
-def class_rank(df: DataFrame, key: str, label: str, seed: int = presets.SEED, **kw) -> DataFrame:
-    """Adds ``class_rank`` (0-based position in hash order within the class) and ``class_size``."""
-    hashed = _hashed(df, key, seed).withColumn("_one", F.lit(1))
-    ranked = running_totals(hashed, HASH_KEY, ["_one"], by=[label], descending=False,
-                            tiebreak=[HASH, key], with_totals=True, **kw)
-    return ranked.withColumn("class_rank", F.col("cum__one") - 1) \
-        .withColumnRenamed("tot__one", "class_size") \
-        .drop("_one", "cum__one", HASH, HASH_KEY)
+BUCKET = "_hb"
+#: Leading bits of the hash that name a bucket; a class is ranked by that many windows.
+BUCKET_BITS = 10
+
+
+def class_rank(df: DataFrame, key: str, label: str, seed: int = presets.SEED, bucket_bits: int = BUCKET_BITS) -> DataFrame:
+    """Adds ``class_rank`` (0-based place of the key in hash order within the class) and ``class_size`` (keys of the class).
+
+    Rows that repeat a key share its rank, so they fall into one split or fold whatever order they come in. Null
+    labels are a class of their own. The hash is uniform, so its leading bits are even buckets: no count and no quantile pass.
+    """
+    h = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(str(seed))))
+    rows = df.withColumn(HASH, h).withColumn(BUCKET, F.shiftright(F.conv(F.substring(h, 1, 4), 16, 10).cast("int"), 16 - bucket_bits))
+    w = Window.partitionBy(label, BUCKET).orderBy(HASH, key)
+    placed = rows.withColumn("_place", F.dense_rank().over(w))
+    sizes = placed.groupBy(label, BUCKET).agg(F.max("_place").alias("_n"))   # classes x buckets
+    upto = Window.partitionBy(label).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(label, BUCKET, F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_before"),
+                           F.sum("_n").over(Window.partitionBy(label)).alias("class_size"))
+    most = MAX_BROADCAST_ROWS >> bucket_bits
+    if df.select(label).distinct().limit(most + 1).count() <= most:
+        offsets = F.broadcast(offsets)
+    joined = placed.alias("r").join(offsets.alias("o"), null_safe("r", "o", [label, BUCKET]))
+    return joined.select(*[F.col(f"r.{c}").alias(c) for c in df.columns],
+                         (F.col("_before") + F.col("_place") - 1).alias("class_rank"), "class_size")
 
 
 def cumulative_cuts(fractions: Mapping[str, float]) -> list[tuple[str, float]]:

@@ -1,20 +1,22 @@
 """Training with MLlib gradient-boosted trees.
 
 Every fit is itself distributed (executors build split histograms);
-candidates of the random search run through ``CrossValidator`` with a
-``foldCol`` from the stratified folds, ``parallelism`` candidates at a time.
+the random search fits each candidate on each stratified fold's rest and
+takes the exact AUC of the fold, ``parallelism`` fits at a time.
 The search space is a small list of parameter maps built on the driver.
 """
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark import inheritable_thread_target
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,37 +66,73 @@ def classifier(features_col: str = "features", label_col: str = "label", weight_
     return gbt.setParams(**params) if params else gbt
 
 
-def with_class_weight(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
-    """T5 as a weight column: positives weigh neg/pos (rounded to 4), negatives 1."""
+def class_ratio(df: DataFrame, label: str = "label") -> float:
+    """T5: negatives per positive, rounded to 4; 1.0 without positives."""
     row = df.agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) != 1).alias("n")).first()
-    w = round(row["n"] / row["p"], 4) if row["p"] else 1.0
-    return df.withColumn(out, F.when(F.col(label) == 1, F.lit(w)).otherwise(F.lit(1.0)))
+    return round(row["n"] / row["p"], 4) if row["p"] else 1.0
+
+
+def weight_column(ratio: float, label: str = "label"):
+    """A positive row weighs ``ratio``, a negative one 1."""
+    return F.when(F.col(label) == 1, F.lit(float(ratio))).otherwise(F.lit(1.0))
+
+
+def with_class_weight(df: DataFrame, label: str = "label", out: str = "weight") -> DataFrame:
+    """T5 as a weight column, from the rows of ``df`` itself."""
+    return df.withColumn(out, weight_column(class_ratio(df, label), label))
 
 
 def sample_candidates(space: Mapping[str, Sequence] = presets.SEARCH_SPACE, n: int = presets.SEARCH_CANDIDATES,
                       seed: int = presets.SEED) -> list[dict]:
-    """N seeded draws from the per-parameter lists."""
-    rng = random.Random(seed)
+    """N seeded draws from the grid of per-parameter lists, without repetition (the whole grid if it is smaller)."""
     keys = sorted(space)
-    return [{k: rng.choice(list(space[k])) for k in keys} for _ in range(n)]
+    lists = [list(space[k]) for k in keys]
+    total = math.prod(map(len, lists))
+    found = []
+    for place in random.Random(seed).sample(range(total), min(n, total)):
+        cand = {}
+        for k, values in zip(keys, lists):
+            place, at = divmod(place, len(values))
+            cand[k] = values[at]
+        found.append(cand)
+    return found
+
+
+@dataclass
+class Search:
+    """Mean and population standard deviation of each candidate's held-out fold AUCs."""
+
+    avgMetrics: list
+    stdMetrics: list
+    folds: int
+
+    def getNumFolds(self) -> int:
+        return self.folds
 
 
 def random_search(df: DataFrame, candidates: list[dict], features_col: str = "features",
-                  label_col: str = "label", fold_col: str = "fold", weight_col: str | None = None,
-                  parallelism: int = 2, seed: int = presets.SEED, num_folds: int = presets.CV_FOLDS):
-    """Cross-validated ROC AUC per candidate; returns (CrossValidatorModel, param maps)."""
-    gbt = classifier(features_col, label_col, weight_col, seed=seed)
-    grid = []
-    for cand in candidates:
-        b = ParamGridBuilder()
-        for name, value in gbt_params(cand).items():
-            b = b.addGrid(gbt.getParam(name), [value])
-        grid.extend(b.build())
-    ev = BinaryClassificationEvaluator(labelCol=label_col, rawPredictionCol="rawPrediction",
-                                       metricName="areaUnderROC", numBins=0)
-    cv = CrossValidator(estimator=gbt, estimatorParamMaps=grid, evaluator=ev, foldCol=fold_col,
-                        numFolds=num_folds, parallelism=parallelism, seed=seed)
-    return cv.fit(df), grid
+                  label_col: str = "label", fold_col: str = "fold", ratio: float = 1.0,
+                  parallelism: int = 2, seed: int = presets.SEED, num_folds: int = presets.CV_FOLDS) -> Search:
+    """Exact held-out ROC AUC of each candidate and fold; no refit of the best one.
+
+    ``ratio`` weighs positive rows, or a candidate's own ``scale_pos_weight``. ``parallelism`` fits run at a time.
+    """
+
+    def one(job) -> float:
+        cand, fold = job
+        weighed = df.withColumn("weight", weight_column(cand.get("scale_pos_weight") or ratio, label_col))
+        gbt = classifier(features_col, label_col, "weight", seed=seed, **gbt_params(cand))
+        held = gbt.fit(weighed.where(F.col(fold_col) != fold)).transform(df.where(F.col(fold_col) == fold)) \
+            .withColumn("p1", vector_to_array("probability")[1])
+        return ranking_metrics(held, label_col, "p1").first()["roc_auc"]
+
+    jobs = [(c, f) for c in candidates for f in range(num_folds)]
+    with ThreadPool(max(1, parallelism)) as pool:
+        auc = pool.map(inheritable_thread_target(df.sparkSession)(one), jobs)
+    per = [[a for a in auc[i * num_folds:(i + 1) * num_folds] if a is not None] for i in range(len(candidates))]
+    mean = [sum(x) / len(x) if x else float("-inf") for x in per]
+    std = [math.sqrt(sum((a - m) ** 2 for a in x) / len(x)) if x else None for x, m in zip(per, mean)]
+    return Search(mean, std, num_folds)
 
 
 def fit_log(spark: SparkSession, cv_model, candidates: list[dict]) -> DataFrame:
@@ -122,11 +160,12 @@ def train_boosted(df: DataFrame, params: Mapping, features_col: str = "features"
 
 
 def cv_auc(df: DataFrame, params: Mapping, features_col: str = "features", label_col: str = "label",
-           fold_col: str = "fold", k: int = presets.CV_FOLDS) -> DataFrame:
-    """Per-fold held-out ROC AUC (exact, ties half) plus mean and population std."""
+           fold_col: str = "fold", k: int = presets.CV_FOLDS, ratio: float = 1.0) -> DataFrame:
+    """Per-fold held-out ROC AUC (exact, ties half), positives weighed as in the final fit."""
     per_fold = []
+    df = df.withColumn("weight", weight_column(params.get("scale_pos_weight") or ratio, label_col))
     for f in range(k):
-        model = train_boosted(df.where(F.col(fold_col) != f), params, features_col, label_col)
+        model = train_boosted(df.where(F.col(fold_col) != f), params, features_col, label_col, weight_col="weight")
         held = model.transform(df.where(F.col(fold_col) == f)) \
             .withColumn("p1", vector_to_array("probability")[1])
         m = ranking_metrics(held, label_col, "p1").select(F.lit(f).alias("fold"), "roc_auc")

@@ -43,7 +43,7 @@ base AS (
                   + (CASE WHEN PaymentMethod = 'Electronic check' THEN 1 ELSE 0 END)
                   + (CASE WHEN InternetService = 'Fiber optic' THEN 1 ELSE 0 END)
                   + (CASE WHEN tenure < 12 THEN 1 ELSE 0 END)) + (c_custkey * 13) % 50 >= 65
-         THEN 'Yes' ELSE 'No' END AS Churn
+         THEN 'Yes' ELSE 'No' END AS Departed
   FROM base
 )"""
 
@@ -80,8 +80,8 @@ SCORED = SUBSCRIBERS + f""", scored0 AS (
 ), scored AS (
   SELECT *,
     CASE WHEN probability >= 0.5 THEN 1 ELSE 0 END AS prediction,
-    CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS y,
-    round_even(probability * 100 * 100, 0) / 100 AS churn_probability,
+    CASE WHEN Departed = 'Yes' THEN 1 ELSE 0 END AS y,
+    round_even(probability * 100 * 100, 0) / 100 AS attrition_probability,
     CASE WHEN probability < 0.30 THEN 'LOW' WHEN probability < 0.50 THEN 'MEDIUM'
          WHEN probability < 0.70 THEN 'HIGH' ELSE 'CRITICAL' END AS risk_tier,
     CAST(CASE WHEN Contract = 'Two year' THEN greatest(6, 24 - ((tenure % 24) + 24) % 24)
@@ -90,7 +90,7 @@ SCORED = SUBSCRIBERS + f""", scored0 AS (
   FROM scored1
 ), valued AS (
   SELECT *, MonthlyCharges * months_remaining AS clv,
-    round_even(MonthlyCharges * months_remaining * (churn_probability / 100) * 100, 0) / 100 AS clv_at_risk
+    round_even(MonthlyCharges * months_remaining * (attrition_probability / 100) * 100, 0) / 100 AS clv_at_risk
   FROM scored
 )"""
 
@@ -113,6 +113,9 @@ register("m3_ensemble_score", with_ctes(SCORED, """
 SELECT customerID, round(raw_score, 6) AS raw_score, round(probability, 6) AS probability, prediction
 FROM scored"""))
 
+register("m3_ensemble_score_large", with_ctes(SUBSCRIBERS, f"""
+SELECT customerID, round(({ensemble_sql()}) * {sum((i % 5 + 1) / 64 for i in range(40))}E0, 6) AS raw_score FROM subscribers"""))
+
 register("m5_decide_threshold", with_ctes(SCORED, """
 SELECT customerID,
   CASE WHEN probability >= 0.5 THEN 1 ELSE 0 END AS pred_050,
@@ -133,13 +136,13 @@ register("d2_clv_estimate", with_ctes(SCORED, """
 SELECT customerID, Contract, tenure, months_remaining, round(clv, 6) AS clv FROM valued"""))
 
 register("d3_clv_at_risk", with_ctes(SCORED, """
-SELECT customerID, churn_probability, clv_at_risk FROM valued"""))
+SELECT customerID, attrition_probability, clv_at_risk FROM valued"""))
 
 register("d4_percent_probability", with_ctes(SCORED, """
-SELECT customerID, churn_probability FROM scored"""))
+SELECT customerID, attrition_probability FROM scored"""))
 
 register("d9_stay_or_leave", with_ctes(SCORED, """
-SELECT customerID, CASE WHEN probability > 0.5 THEN 'Likely to churn' ELSE 'Likely to stay' END AS outcome
+SELECT customerID, CASE WHEN probability > 0.5 THEN 'Likely to leave' ELSE 'Likely to stay' END AS outcome
 FROM scored"""))
 
 # ---------------------------------------------------------------------------
@@ -147,8 +150,8 @@ FROM scored"""))
 # ---------------------------------------------------------------------------
 register("a1_portfolio_kpi", with_ctes(SCORED, """
 SELECT count(*) AS customers,
-  count(*) FILTER (WHERE probability >= 0.5) AS predicted_churn,
-  round(CAST(count(*) FILTER (WHERE probability >= 0.5) AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE), 6) AS predicted_churn_pct,
+  count(*) FILTER (WHERE probability >= 0.5) AS predicted_attrition,
+  round(CAST(count(*) FILTER (WHERE probability >= 0.5) AS DOUBLE) * 100 / CAST(count(*) AS DOUBLE), 6) AS predicted_attrition_pct,
   count(*) FILTER (WHERE risk_tier IN ('HIGH', 'CRITICAL')) AS high_critical,
   CAST(sum(CAST(clv_at_risk AS DECIMAL(38, 2))) AS DOUBLE) AS clv_at_risk_total
 FROM valued"""))
@@ -164,19 +167,19 @@ SELECT CAST(t.tier_rank AS INT) AS tier_rank, t.risk_tier, CAST(coalesce(a.n, 0)
 FROM tiers t LEFT JOIN agg a ON t.risk_tier = a.risk_tier ORDER BY tier_rank"""))
 
 register("a3_probability_histogram", with_ctes(SCORED + """, b AS (
-  SELECT least(29, greatest(0, CAST(floor(churn_probability / (100.0E0 / 30)) AS INT))) AS bin
-  FROM scored WHERE churn_probability IS NOT NULL
+  SELECT least(29, greatest(0, CAST(floor(attrition_probability / (100.0E0 / 30)) AS INT))) AS bin
+  FROM scored WHERE attrition_probability IS NOT NULL
 )""", """
 SELECT bin, round(bin * (100.0E0 / 30), 6) AS bin_start, count(*) AS customers
 FROM b GROUP BY bin ORDER BY bin"""))
 
 register("a4_top10", with_ctes(SCORED, """
-SELECT customerID, churn_probability, risk_tier, clv_at_risk, Contract, tenure,
+SELECT customerID, attrition_probability, risk_tier, clv_at_risk, Contract, tenure,
   round(MonthlyCharges, 6) AS MonthlyCharges
-FROM valued ORDER BY churn_probability DESC, customerID ASC LIMIT 10"""))
+FROM valued ORDER BY attrition_probability DESC, customerID ASC LIMIT 10"""))
 
 register("p9_high_risk_filter", with_ctes(SCORED, """
-SELECT customerID, churn_probability FROM scored WHERE churn_probability >= 50.0"""))
+SELECT customerID, attrition_probability FROM scored WHERE attrition_probability >= 50.0"""))
 
 # ---------------------------------------------------------------------------
 # helpers for the P / C / F / E oracles
@@ -234,7 +237,7 @@ def engineered_sql() -> str:
         f"{bins_sql('MonthlyCharges', presets.CHARGE_EDGES)} AS charge_group",
         f"{TOTAL_SERVICES_SQL} AS total_services",
         *[f"{flag_sql(cond)} AS {name}" for name, cond in INDICATOR_SQL.items()],
-        f"{RISK_SQL} AS churn_risk_score",
+        f"{RISK_SQL} AS attrition_risk_score",
     ])
 
 
@@ -250,7 +253,7 @@ IMPUTED = SUBSCRIBERS + """, imputed AS (
     StreamingMovies, Contract, PaperlessBilling, PaymentMethod,
     coalesce(MonthlyCharges, (SELECT median(MonthlyCharges) FROM subscribers)) AS MonthlyCharges,
     coalesce(TotalCharges, (SELECT median(TotalCharges) FROM subscribers)) AS TotalCharges,
-    Churn,
+    Departed,
     CAST(MonthlyCharges IS NULL AS INT) AS MonthlyCharges_is_na,
     CAST(TotalCharges IS NULL AS INT) AS TotalCharges_is_na
   FROM subscribers
@@ -263,7 +266,7 @@ IMPUTED = SUBSCRIBERS + """, imputed AS (
 # P
 # ---------------------------------------------------------------------------
 register("p1_drop_target", with_ctes(SUBSCRIBERS, f"SELECT {INPUTS} FROM subscribers"))
-register("p2_reorder_columns", with_ctes(SUBSCRIBERS, f"SELECT {INPUTS}, Churn FROM subscribers"))
+register("p2_reorder_columns", with_ctes(SUBSCRIBERS, f"SELECT {INPUTS}, Departed FROM subscribers"))
 register("p3_align_fill_zero", with_ctes(SUBSCRIBERS, f"""
 SELECT {INPUTS}, 0 AS MonthlyCharges_is_na, {bins_sql('tenure', presets.TENURE_EDGES)} AS tenure_group,
   0 AS tenure_to_max, 0 AS tenure_monthly_ratio FROM subscribers"""))
@@ -281,11 +284,12 @@ SELECT o_orderkey, CAST(coalesce(contains(o_orderpriority, 'URGENT'), false) AS
 register("p12_rename_columns", with_ctes(SUBSCRIBERS, """
 SELECT customerID AS customer_id, tenure AS tenure_months, Contract AS contract_type FROM subscribers"""))
 register("p13_preview", with_ctes(SUBSCRIBERS, f"""
-SELECT {INPUTS}, Churn FROM subscribers ORDER BY customerID LIMIT 5"""))
+SELECT {INPUTS}, Departed FROM subscribers ORDER BY customerID LIMIT 5"""))
 
 # ---------------------------------------------------------------------------
 # C
 # ---------------------------------------------------------------------------
+register("c1_dedupe_rows", "SELECT event_id, user_id, event_type FROM (SELECT DISTINCT * FROM events) e")
 register("c1_dedupe", """
 SELECT CAST(count(*) AS BIGINT) AS rows_before,
   (SELECT count(*) FROM (SELECT DISTINCT l_partkey, l_quantity, l_returnflag, l_linestatus FROM lineitem) d) AS rows_after,
@@ -329,7 +333,7 @@ _feat("f4_charge_group", bins_sql("MonthlyCharges", presets.CHARGE_EDGES))
 _feat("f5_total_services", TOTAL_SERVICES_SQL)
 for _i, (_n, _cond) in enumerate(INDICATOR_SQL.items()):
     _feat(f"f{6 + _i}_{_n}", flag_sql(_cond))
-_feat("f12_churn_risk_score", RISK_SQL)
+_feat("f12_attrition_risk_score", RISK_SQL)
 register("f14_avg_charge", with_ctes(SUBSCRIBERS, """
 SELECT customerID, round(CASE WHEN tenure > 0 THEN TotalCharges / tenure ELSE MonthlyCharges END, 6) AS AvgCharge
 FROM subscribers"""))
@@ -385,12 +389,12 @@ FROM lineitem
 LEFT JOIN dict r ON r.col = 'l_returnflag' AND r.value = l_returnflag
 LEFT JOIN dict s ON s.col = 'l_linestatus' AND s.value = l_linestatus
 GROUP BY 1, 2""")
-register("e6_target_encode", with_ctes(SUBSCRIBERS + f", dict AS ({dict_sql('subscribers', ['Churn'])})", """
-SELECT customerID, coalesce(d.code, 0) AS label FROM subscribers LEFT JOIN dict d ON d.value = Churn"""))
-register("e7_decode", with_ctes(SCORED + f", dict AS ({dict_sql('subscribers', ['Churn'])})", """
+register("e6_target_encode", with_ctes(SUBSCRIBERS + f", dict AS ({dict_sql('subscribers', ['Departed'])})", """
+SELECT customerID, coalesce(d.code, 0) AS label FROM subscribers LEFT JOIN dict d ON d.value = Departed"""))
+register("e7_decode", with_ctes(SCORED + f", dict AS ({dict_sql('subscribers', ['Departed'])})", """
 SELECT customerID, prediction, d.value AS prediction_label FROM scored LEFT JOIN dict d ON d.code = prediction"""))
 register("e8_fallback_target", with_ctes(SUBSCRIBERS, """
-SELECT customerID, CASE WHEN Churn = 'Yes' THEN 1 WHEN Churn = 'No' THEN 0 ELSE 0 END AS y FROM subscribers"""))
+SELECT customerID, CASE WHEN Departed = 'Yes' THEN 1 WHEN Departed = 'No' THEN 0 ELSE 0 END AS y FROM subscribers"""))
 register("e9_one_hot", with_ctes(SUBSCRIBERS, "SELECT customerID, " + ", ".join(
     f"{flag_sql(f'{c} = {_lit(v)}')} AS {q(c + '_' + v)}"
     for c in ["Contract", "InternetService", "PaymentMethod"]
@@ -410,10 +414,10 @@ def _feature_plan_sql() -> str:
     eng = engineered_sql().replace("tenure_to_max", "tenure_to_max_raw") \
         .replace("AS tenure_monthly_ratio", "AS tenure_monthly_ratio_raw")
     body = f"""
-SELECT {", ".join(cols)}, Churn, MonthlyCharges_is_na, TotalCharges_is_na,
+SELECT {", ".join(cols)}, Departed, MonthlyCharges_is_na, TotalCharges_is_na,
   tenure_group, round(tenure_to_max_raw, 6) AS tenure_to_max,
   round(tenure_monthly_ratio_raw, 6) AS tenure_monthly_ratio, charge_group, total_services, has_internet,
-  has_phone, is_month_to_month, is_automatic_payment, is_senior, has_dependents, churn_risk_score,
+  has_phone, is_month_to_month, is_automatic_payment, is_senior, has_dependents, attrition_risk_score,
   {", ".join(f"round((imputed.{c} - m_{c}) / s_{c}, 6) AS {c}_zscore" for c in NUMS)}
 FROM (SELECT *, {eng} FROM imputed) imputed, zstats
 {chr(10).join(joins)}"""
@@ -553,8 +557,8 @@ FROM cnt JOIN rk ON cnt.split = rk.split"""))
 # ---------------------------------------------------------------------------
 # T
 # ---------------------------------------------------------------------------
-register("t1_stratified_split", with_ctes(SUBSCRIBERS + ", " + split_sql("subscribers", "customerID", "Churn"),
-                                          "SELECT customerID, Churn, split FROM splitted"))
+register("t1_stratified_split", with_ctes(SUBSCRIBERS + ", " + split_sql("subscribers", "customerID", "Departed"),
+                                          "SELECT customerID, Departed, split FROM splitted"))
 register("t1_stratified_split_orders", with_ctes(
     split_sql("(SELECT o_orderkey, o_orderstatus FROM orders)", "o_orderkey", "o_orderstatus"),
     "SELECT o_orderstatus, o_orderkey, split FROM splitted"))
@@ -566,6 +570,11 @@ register("t3_kfold", """
 WITH hs AS (SELECT o_orderkey, o_orderstatus, md5(concat(CAST(o_orderkey AS VARCHAR), '42')) AS hh FROM orders),
 rs AS (SELECT *, row_number() OVER (PARTITION BY o_orderstatus ORDER BY hh, o_orderkey) - 1 AS rk FROM hs)
 SELECT o_orderstatus, o_orderkey, CAST(rk % 5 AS INT) AS fold FROM rs""")
+register("t3_kfold_null_label", """
+WITH hs AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS label,
+  md5(concat(CAST(o_orderkey AS VARCHAR), '42')) AS hh FROM orders),
+rs AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY hh, o_orderkey) - 1 AS rk FROM hs)
+SELECT o_orderkey, label, CAST(rk % 5 AS INT) AS fold FROM rs""")
 register("t4_class_distribution", "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
 register("t5_pos_weight", with_ctes(SCORED, """
 SELECT count(*) FILTER (WHERE y = 1) AS n_pos, count(*) FILTER (WHERE y <> 1) AS n_neg,
@@ -671,7 +680,7 @@ def _scenario_sql() -> str:
 ), impact AS (
   SELECT customerID, action, action_rank, base_probability, new_probability,
     base_probability - new_probability AS delta,
-    round_even(new_probability * 100 * 10, 0) / 10 AS churn_probability_pct,
+    round_even(new_probability * 100 * 10, 0) / 10 AS attrition_probability_pct,
     round_even((base_probability - new_probability) * 100 * 10, 0) / 10 AS reduction_pp
   FROM rescored WHERE abs(base_probability - new_probability) > 0.005
 )"""
@@ -679,14 +688,14 @@ def _scenario_sql() -> str:
 
 register("d7_scenario_impact", with_ctes(SUBSCRIBERS + ", " + _scenario_sql(), """
 SELECT customerID, action, round(base_probability, 6) AS base_probability, round(new_probability, 6) AS new_probability,
-  round(delta, 6) AS delta, churn_probability_pct, reduction_pp FROM impact"""))
+  round(delta, 6) AS delta, attrition_probability_pct, reduction_pp FROM impact"""))
 register("d8_best_action", with_ctes(SUBSCRIBERS + ", " + _scenario_sql(), """
-SELECT customerID, action, round(new_probability, 6) AS new_probability, churn_probability_pct, reduction_pp
+SELECT customerID, action, round(new_probability, 6) AS new_probability, attrition_probability_pct, reduction_pp
 FROM (SELECT *, row_number() OVER (PARTITION BY customerID ORDER BY delta DESC, action_rank ASC) AS rn FROM impact) r
 WHERE rn = 1"""))
 register("d10_impact_text", with_ctes(SUBSCRIBERS + ", " + _scenario_sql(), """
 SELECT customerID, action,
-  printf('%s  (%.1f%% → %.1f%%)', action, round_even(base_probability * 100 * 10, 0) / 10, churn_probability_pct) AS label,
+  printf('%s  (%.1f%% → %.1f%%)', action, round_even(base_probability * 100 * 10, 0) / 10, attrition_probability_pct) AS label,
   printf('−%.1f pp', reduction_pp) AS text
 FROM impact"""))
 
@@ -694,10 +703,10 @@ FROM impact"""))
 # R1, A5
 # ---------------------------------------------------------------------------
 register("r1_stream_scoring", with_ctes(SCORED, """
-SELECT customerID, round(probability, 6) AS probability, prediction, risk_tier, churn_probability, clv_at_risk
+SELECT customerID, round(probability, 6) AS probability, prediction, risk_tier, attrition_probability, clv_at_risk
 FROM valued WHERE c_custkey IN (SELECT user_id FROM events)"""))
 register("a5_batch_report", with_ctes(SCORED, """
-SELECT customerID, round(probability, 6) AS probability, prediction, churn_probability, risk_tier,
+SELECT customerID, round(probability, 6) AS probability, prediction, attrition_probability, risk_tier,
   months_remaining, clv_at_risk FROM valued"""))
 
 # ---------------------------------------------------------------------------
@@ -705,11 +714,11 @@ SELECT customerID, round(probability, 6) AS probability, prediction, churn_proba
 # ---------------------------------------------------------------------------
 register("m4_sigmoid", with_ctes(SCORED, "SELECT customerID, round(probability, 6) AS p FROM scored"))
 register("m6_append_predictions", with_ctes(SCORED, f"""
-SELECT {INPUTS}, Churn, round(probability, 6) AS probability, prediction, churn_probability, risk_tier FROM scored"""))
+SELECT {INPUTS}, Departed, round(probability, 6) AS probability, prediction, attrition_probability, risk_tier FROM scored"""))
 register("f17_total_count_train", with_ctes(SUBSCRIBERS, "SELECT customerID, CAST(" + " + ".join(
     f"coalesce({signed_sql(c)}, 0)" for c in presets.SIGNED_COUNT_TRAIN) + " AS BIGINT) AS total_count FROM subscribers"))
 register("s2_csv_sink_scored", with_ctes(SCORED, """
-SELECT customerID, Contract, tenure, MonthlyCharges, round(probability, 6) AS probability, churn_probability,
+SELECT customerID, Contract, tenure, MonthlyCharges, round(probability, 6) AS probability, attrition_probability,
   risk_tier, clv_at_risk FROM valued"""))
 
 
@@ -726,10 +735,10 @@ def _feature_plan_keep_nulls_sql() -> str:
     eng = engineered_sql().replace("AS tenure_to_max", "AS tenure_to_max_raw") \
         .replace("AS tenure_monthly_ratio", "AS tenure_monthly_ratio_raw")
     body = f"""
-SELECT {", ".join(cols)}, Churn, MonthlyCharges_is_na, TotalCharges_is_na,
+SELECT {", ".join(cols)}, Departed, MonthlyCharges_is_na, TotalCharges_is_na,
   tenure_group, round(tenure_to_max_raw, 6) AS tenure_to_max,
   round(tenure_monthly_ratio_raw, 6) AS tenure_monthly_ratio, charge_group, total_services, has_internet,
-  has_phone, is_month_to_month, is_automatic_payment, is_senior, has_dependents, churn_risk_score,
+  has_phone, is_month_to_month, is_automatic_payment, is_senior, has_dependents, attrition_risk_score,
   {", ".join(f"round((r.{c} - m_{c}) / s_{c}, 6) AS {c}_zscore" for c in NUMS)}
 FROM (SELECT *, CAST(MonthlyCharges IS NULL AS INT) AS MonthlyCharges_is_na,
         CAST(TotalCharges IS NULL AS INT) AS TotalCharges_is_na, {eng} FROM subscribers) r, zstats
@@ -761,9 +770,9 @@ UNION ALL SELECT 'weighted avg', (p0 * s0 + p1 * s1) / n, (r0 * s0 + r1 * s1) /
 # ---------------------------------------------------------------------------
 # Round trips through CSV and JSON text are exact (shortest round-trip doubles)
 # ---------------------------------------------------------------------------
-register("s1_csv_roundtrip", with_ctes(SUBSCRIBERS, f"SELECT {INPUTS}, Churn FROM subscribers"))
+register("s1_csv_roundtrip", with_ctes(SUBSCRIBERS, f"SELECT {INPUTS}, Departed FROM subscribers"))
 register("s7_parse_records", with_ctes(SUBSCRIBERS, f"""
-SELECT {INPUTS} FROM subscribers WHERE c_custkey IN (SELECT user_id FROM events)"""))
+SELECT {INPUTS.replace("tenure", "CAST(tenure AS DOUBLE) AS tenure")} FROM subscribers WHERE c_custkey IN (SELECT user_id FROM events)"""))
 
 register("v6_roc_curve_lineitem", with_ctes(
     "li AS (SELECT CAST(l_returnflag = 'R' AS INT) AS y, l_extendedprice AS score FROM lineitem), " + cum_sql("li")

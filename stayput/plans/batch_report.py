@@ -10,7 +10,7 @@ from stayput.sources import io
 
 
 def batch_report(scored: DataFrame, sink: str | None = None, top_n: int = 10) -> dict[str, DataFrame]:
-    """``scored`` must carry probability, churn_probability, risk_tier, clv_at_risk.
+    """``scored`` must carry probability, attrition_probability, risk_tier, clv_at_risk.
 
     The scored table is persisted (memory and disk) so the KPI row, tier
     distribution, histogram and top-n each read it once instead of re-scoring.

@@ -8,18 +8,21 @@ parquet + MLlib files (S5).
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import logging
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayput import presets
-from stayput.operators import evaluate, score, split, train
+from stayput.operators import clean, evaluate, score, split, train
 from stayput.plans.feature_plan import FeaturePlan
 from stayput.session import shared_dir
 
-# a smoke-size search; the documented full setting is presets.SEARCH_SPACE x 30 candidates x 5 folds
+log = logging.getLogger(__name__)
+
+#: A named small setting for smoke runs; the defaults of ``fit`` are the full search.
 SMALL_SEARCH = {"n_estimators": [10], "max_depth": [3, 4], "learning_rate": [0.2, 0.3],
                 "subsample": [0.8, 1.0]}
 
@@ -30,22 +33,35 @@ class TrainedModel:
     model: object
     params: dict
     candidates: list
-    cv_model: object
+    cv_model: object         # fold AUCs of the search; None after a fallback
     data: DataFrame          # split + features + label
+    labels: list = field(default_factory=lambda: ["No", "Yes"])
+    search_error: str | None = None
+
+
+def target_codes(df: DataFrame, target: str) -> list[str]:
+    """The two values of the target in sorted order; a target with other than two values is no binary target."""
+    values = [r[0] for r in df.select(F.col(target).cast("string").alias("v")).where("v is not null").distinct()
+              .orderBy("v").limit(3).collect()]
+    if len(values) > 2:
+        raise ValueError(f"{target} has more than two values")
+    return (values + ["No", "Yes"])[:2] if len(values) < 2 else values
 
 
 def prepare(df: DataFrame, key: str = "customerID", target: str = presets.TARGET,
-            fractions=presets.SPLIT_FRACTIONS, fit_on: str = "train") -> tuple[FeaturePlan, DataFrame]:
-    """Split, then fit the FeaturePlan on the train rows (``fit_on="all"`` fits on every
+            fractions=presets.SPLIT_FRACTIONS, fit_on: str = "train",
+            labels: list[str] | None = None) -> tuple[FeaturePlan, DataFrame]:
+    """Drop copies of rows, split, then fit the FeaturePlan on the train rows (``fit_on="all"`` fits on every
     row before splitting, as the original flow did — available for parity only)."""
     spark = df.sparkSession
     shared_dir(spark, "training")  # makes the checkpoint dir available to the tree learner
+    labels = labels or target_codes(df, target)
     # the split is read by every fit job below: compute it once
-    s = split.stratified_split(df, key, target, fractions).persist(StorageLevel.MEMORY_AND_DISK)
+    s = split.stratified_split(clean.dedupe(df), key, target, fractions).persist(StorageLevel.MEMORY_AND_DISK)
     fit_rows = s.where(F.col("split") == "train") if fit_on == "train" else s
     plan = FeaturePlan(target=target, id_columns=[key]).fit(fit_rows.drop("split"))
     feats = plan.transform(s)
-    feats = feats.withColumn("label", F.when(F.col(target) == "Yes", 1.0).otherwise(0.0))
+    feats = feats.withColumn("label", F.when(F.col(target).cast("string") == labels[1], 1.0).otherwise(0.0))
     feats = train.assemble_features(feats, plan.state.feature_names)
     # the training set is read by every fold, candidate and tree level: keep it
     # (memory, spilling to disk) instead of recomputing the split and transform
@@ -53,36 +69,40 @@ def prepare(df: DataFrame, key: str = "customerID", target: str = presets.TARGET
 
 
 def fit(df: DataFrame, key: str = "customerID", target: str = presets.TARGET,
-        space=SMALL_SEARCH, n_candidates: int = 2, k: int = 2, weighted: bool = True,
-        parallelism: int = 4, fractions=presets.SPLIT_FRACTIONS, fit_on: str = "train") -> TrainedModel:
-    """Full setting: ``space=presets.SEARCH_SPACE, n_candidates=30, k=5`` (or the leaf-wise
-    variant: ``presets.SEARCH_SPACE_LEAFWISE``, 20 candidates, ``presets.SPLIT_FRACTIONS_ALT``)."""
-    plan, feats = prepare(df, key, target, fractions, fit_on)
+        space=presets.SEARCH_SPACE, n_candidates: int = presets.SEARCH_CANDIDATES, k: int = presets.CV_FOLDS,
+        weighted: bool = True, parallelism: int = 4, fractions=presets.SPLIT_FRACTIONS,
+        fit_on: str = "train") -> TrainedModel:
+    """Split, search, final fit. The defaults are the full search; ``SMALL_SEARCH`` with few candidates and folds is for
+    smoke runs, ``presets.SEARCH_SPACE_LEAFWISE`` (20 candidates, ``presets.SPLIT_FRACTIONS_ALT``) the leaf-wise variant."""
+    labels = target_codes(df, target)
+    plan, feats = prepare(df, key, target, fractions, fit_on, labels)
     trn = feats.where(F.col("split") == "train")
-    trn = split.assign_folds(trn, key, "label", k=k)
-    if weighted:
-        trn = train.with_class_weight(trn)
+    ratio = train.class_ratio(trn) if weighted else 1.0     # of train rows only
+    trn = split.assign_folds(trn, key, "label", k=k).persist(StorageLevel.MEMORY_AND_DISK)
     cands = train.sample_candidates(space, n_candidates)
-    trn = trn.persist()
+    error = None
     try:
-        cv_model, _ = train.random_search(trn, cands, fold_col="fold", weight_col="weight" if weighted else None,
-                                          parallelism=parallelism, num_folds=k)
-        best = cands[int(max(range(len(cands)), key=lambda i: cv_model.avgMetrics[i]))]
-    except Exception:  # T6: a failed search falls back to fixed parameters
-        cv_model, best = None, dict(presets.FALLBACK_PARAMS)
+        search = train.random_search(trn, cands, fold_col="fold", ratio=ratio, parallelism=parallelism, num_folds=k)
+        best = cands[max(range(len(cands)), key=lambda i: search.avgMetrics[i])]
+    except Exception as failure:  # T6: a failed search falls back to fixed parameters, and says so
+        log.warning("search failed, using the fallback parameters: %s", failure)
+        leafwise = "num_leaves" in space
+        search, best = None, dict(presets.FALLBACK_PARAMS_LEAFWISE if leafwise else presets.FALLBACK_PARAMS)
+        error = str(failure)[:500]
+    finally:
+        trn.unpersist()
     fit_rows = feats.where(F.col("split").isin("train", "val")) \
-        .withColumn("is_val", F.col("split") == "val")
-    if weighted:
-        fit_rows = train.with_class_weight(fit_rows)
-    model = train.train_boosted(fit_rows, best, weight_col="weight" if weighted else None,
-                                validation_col="is_val")
-    return TrainedModel(plan, model, best, cands, cv_model, feats)
+        .withColumn("is_val", F.col("split") == "val") \
+        .withColumn("weight", train.weight_column(best.get("scale_pos_weight") or ratio))
+    model = train.train_boosted(fit_rows, best, weight_col="weight", validation_col="is_val")
+    return TrainedModel(plan, model, best, cands, search, feats, labels, error)
 
 
 def predict(tm: TrainedModel, df: DataFrame) -> DataFrame:
-    """M1: raw rows in -> FeaturePlan.transform -> model -> probability, prediction (decoded)."""
-    feats = train.assemble_features(tm.plan.transform(df), tm.plan.state.feature_names)
-    return score.score_model(feats, tm.model, labels=["No", "Yes"])
+    """M1: raw rows in -> FeaturePlan -> trained features in order, absent ones 0 -> model -> probability, prediction (decoded)."""
+    names = tm.plan.state.feature_names
+    feats = clean.add_missing(tm.plan.transform(df), names)
+    return score.score_model(train.assemble_features(feats, names), tm.model, labels=tm.labels)
 
 
 def evaluate_splits(tm: TrainedModel) -> DataFrame:
@@ -103,7 +123,8 @@ def model_scorer(tm: TrainedModel):
     plan encodes copies, so overrides can be applied to readable values."""
     def scorer(df: DataFrame) -> DataFrame:
         carried = df.select(*[F.col(c).alias(RAW + c) for c in df.columns], *df.columns)
-        feats = train.assemble_features(tm.plan.transform(carried), tm.plan.state.feature_names)
+        names = tm.plan.state.feature_names
+        feats = train.assemble_features(clean.add_missing(tm.plan.transform(carried), names), names)
         scored = score.score_model(feats, tm.model)
         return scored.select(*[F.col(RAW + c).alias(c) for c in df.columns], "probability")
     return scorer

@@ -11,7 +11,7 @@ from __future__ import annotations
 # ---------------------------------------------------------------------------
 # FIXED VALUES: subscriber record
 # ---------------------------------------------------------------------------
-TARGET = "Churn"
+TARGET = "Departed"
 ID_COLUMNS = ["customerID"]
 
 INPUT_COLUMNS = [
@@ -71,7 +71,7 @@ INACTIVE_SERVICE_VALUES = ["No", "No internet service"]
 INTERNET_VALUES = ["DSL", "Fiber optic"]
 AUTOMATIC_MARKER = "automatic"
 
-# churn_risk_score parts: (column, value)
+# attrition_risk_score parts: (column, value)
 RISK_SCORE_PARTS = [
     ("Contract", "Month-to-month"),
     ("PaymentMethod", "Electronic check"),
@@ -82,7 +82,7 @@ RISK_SCORE_PARTS = [
 ENGINEERED_FEATURES = [
     "tenure_group", "tenure_to_max", "tenure_monthly_ratio", "charge_group",
     "total_services", "has_internet", "has_phone", "is_month_to_month",
-    "is_automatic_payment", "is_senior", "has_dependents", "churn_risk_score",
+    "is_automatic_payment", "is_senior", "has_dependents", "attrition_risk_score",
 ]
 
 # Signed (+1/-1/0) encoding variant
@@ -136,16 +136,16 @@ DRIVER_NOTES = {
     ("Contract Type", "HIGH"): "No lock-in — easiest to leave",
     ("Contract Type", "MEDIUM"): "Annual commitment moderates risk",
     ("Contract Type", "SAFE"): "2-year commitment — strong retention signal",
-    ("Tenure", "HIGH"): "Very new customer — highest churn window",
-    ("Tenure", "MEDIUM"): "Still within the early churn zone",
+    ("Tenure", "HIGH"): "Very new customer — highest attrition window",
+    ("Tenure", "MEDIUM"): "Still within the early attrition zone",
     ("Tenure", "SAFE"): "Established customer — lower base risk",
-    ("Payment Method", "HIGH"): "Electronic check shows 2× higher churn vs auto-pay",
+    ("Payment Method", "HIGH"): "Electronic check shows 2× higher attrition vs auto-pay",
     ("Payment Method", "SAFE"): "Automatic payment correlates with retention",
     ("Payment Method", "MEDIUM"): "Manual payment — some friction with service",
-    ("Internet Service", "FIBER"): "High-value service — unhappy fiber users churn fast",
+    ("Internet Service", "FIBER"): "High-value service — unhappy fiber users leave fast",
     ("Internet Service", "NONE"): "Low engagement — at risk from competitor bundles",
     ("Internet Service", "SAFE"): "DSL — stable middle-tier service",
-    ("Tech Support", "MEDIUM"): "Unresolved technical issues are a top churn trigger",
+    ("Tech Support", "MEDIUM"): "Unresolved technical issues are a top attrition trigger",
     ("Tech Support", "SAFE"): "Supported customers retain better",
     ("Online Security", "LOW"): "Missing bundle — vulnerable to competitor offers",
     ("Online Security", "SAFE"): "Security bundle increases switching cost",
@@ -229,6 +229,7 @@ SEARCH_SPACE = {
     "colsample_bytree": [0.70, 0.80, 0.85, 0.90],
     "min_child_weight": [1, 2, 3, 5],
     "gamma": [0.0, 0.05, 0.1, 0.2],
+    "scale_pos_weight": [1.0, None],      # None: negatives per positive of the train rows
 }
 FALLBACK_PARAMS = {
     "n_estimators": 1000, "max_depth": 8, "learning_rate": 0.05,
@@ -244,7 +245,12 @@ SEARCH_SPACE_LEAFWISE = {
     "min_child_samples": [10, 20, 30, 50],
     "subsample": [0.7, 0.8, 0.9, 1.0],
     "colsample_bytree": [0.7, 0.8, 0.9, 1.0],
+    "scale_pos_weight": [1.0, None],
 }
 SEARCH_CANDIDATES_LEAFWISE = 20
+FALLBACK_PARAMS_LEAFWISE = {
+    "n_estimators": 400, "max_depth": 6, "learning_rate": 0.1, "subsample": 0.8,
+    "colsample_bytree": 0.8, "min_child_samples": 20, "num_leaves": 31,
+}
 EARLY_STOPPING_ROUNDS = 50
 MAX_BINS = 256

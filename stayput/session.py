@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -26,7 +26,7 @@ def get_spark(master: str | None = None, app: str = "stayput",
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", os.environ.get("STAYPUT_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     spark = builder.getOrCreate()
@@ -35,29 +35,29 @@ def get_spark(master: str | None = None, app: str = "stayput",
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A folder under the cluster's shared checkpoint location.
+    """A folder under the cluster's shared checkpoint location, ``spark.checkpoint.dir`` of the session.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local runs, tests) a fresh local folder is created and registered.
+    Where that is unset, a local master (tests, local runs) uses a folder in its warehouse; on any
+    other master this is an error, as executors would write to folders that the others cannot see.
     """
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        global _LOCAL_BASE
-        if _LOCAL_BASE is None:
-            _LOCAL_BASE = tempfile.mkdtemp(prefix="stayput-ckpt-")
-        base = _LOCAL_BASE
-        try:
-            spark.conf.set("spark.checkpoint.dir", base)
-        except Exception:  # static conf on some deployments; the folder still works
-            pass
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/") + "/" + name
 
 
-_LOCAL_BASE: str | None = None
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder of its own under the shared location, deleted by Hadoop when the session ends."""
+    path = f"{shared_dir(spark, name)}/{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    files.deleteOnExit(target)
+    return path
 
 
 def table_path(sf_dir: str, name: str) -> str:

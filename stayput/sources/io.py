@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayput import presets
+from stayput.operators.clean import nan_to_null
 
 SUBSCRIBER_SCHEMA = T.StructType(
     [T.StructField("customerID", T.StringType()), T.StructField("gender", T.StringType()),
@@ -16,18 +17,21 @@ SUBSCRIBER_SCHEMA = T.StructType(
     + [T.StructField("MonthlyCharges", T.DoubleType()), T.StructField("TotalCharges", T.DoubleType()),
        T.StructField(presets.TARGET, T.StringType())])
 
-# the typed single-record form: every field optional, no id, no target
-RECORD_SCHEMA = T.StructType([f for f in SUBSCRIBER_SCHEMA.fields
-                              if f.name not in ("customerID", presets.TARGET)])
+# the typed single-record form: every field optional, no id, no target; tenure may be fractional
+RECORD_SCHEMA = T.StructType([T.StructField(f.name, T.DoubleType()) if f.name == "tenure" else f
+                              for f in SUBSCRIBER_SCHEMA.fields if f.name not in ("customerID", presets.TARGET)])
 
 
 def read_customers(spark: SparkSession, path: str, fmt: str = "csv",
                    schema: T.StructType = SUBSCRIBER_SCHEMA) -> DataFrame:
-    """Explicit schema (no inference pass), header, permissive parsing (bad fields -> null)."""
+    """Explicit schema (no inference pass), header, permissive parsing (bad fields -> null); NaN is read as null."""
     if fmt == "parquet":
-        return spark.read.parquet(path)
-    return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-            .option("nullValue", "").csv(path))
+        df = spark.read.parquet(path)
+    else:
+        df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+              .option("nullValue", "").csv(path))
+    floating = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    return df.select(*[nan_to_null(c).alias(c) if c in floating else F.col(c) for c in df.columns])
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
@@ -62,11 +66,9 @@ def save_state(tables: dict[str, DataFrame], path: str, model=None) -> None:
 def load_state(spark: SparkSession, path: str, names=("encoders", "impute", "stats", "features", "columns")):
     from pyspark.ml.classification import GBTClassificationModel
     tables = {n: spark.read.parquet(f"{path}/state/{n}") for n in names}
-    try:
-        model = GBTClassificationModel.load(f"{path}/model")
-    except Exception:  # state saved without a model
-        model = None
-    return tables, model
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/model")
+    saved = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    return tables, GBTClassificationModel.load(f"{path}/model") if saved else None
 
 
 def latest_version(registry: DataFrame, key: str = "path", ts: str = "saved_at") -> DataFrame:

@@ -1,7 +1,7 @@
 """Subscriber view derived from the ``customer`` table.
 
 A deterministic mapping of each ``customer`` row onto the 20-column
-subscriber record plus ``Churn``. It is a narrow projection (no shuffle), so
+subscriber record plus ``Departed``. It is a narrow projection (no shuffle), so
 it scales with the customer table; the same rule is written as SQL in
 ``stayput.oracle`` for the DuckDB check.
 """
@@ -76,7 +76,7 @@ def subscribers_from_customers(customer: DataFrame) -> DataFrame:
         "PaymentMethod", "MonthlyCharges",
         F.when(t == 0, F.lit(None).cast("double"))
          .otherwise(t * F.col("MonthlyCharges")).alias("TotalCharges"),
-        _yes_no(20 * risk_points + (k * 13) % 50 >= 65).alias("Churn"),
+        _yes_no(20 * risk_points + (k * 13) % 50 >= 65).alias("Departed"),
     )
 
 

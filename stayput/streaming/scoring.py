@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +27,7 @@ STREAM_SCHEMA = T.StructType([T.StructField("customerID", T.StringType()), *RECO
 def parse_stream(raw: DataFrame, schema: T.StructType = STREAM_SCHEMA) -> DataFrame:
     """Adds the parsed record columns plus ``_ok`` (false for malformed lines)."""
     parsed = raw.select(F.col("value"), json_struct(F.col("value"), schema).alias("r"))
-    ok = F.col("r").isNotNull() & F.col(f"r.{CORRUPT}").isNull() & F.col("r.customerID").isNotNull()
+    ok = F.col("r").isNotNull() & F.col(f"r.{CORRUPT}").isNull()
     return parsed.select("value", F.coalesce(ok, F.lit(False)).alias("_ok"),
                          *[f"r.{f.name}" for f in schema.fields])
 
@@ -36,7 +37,8 @@ def score_stream(spark: SparkSession, source_dir: str, scorer: Callable[[DataFra
                  available_now: bool = True, max_files_per_trigger: int = 1000):
     """Start the scoring stream; returns the ``StreamingQuery``.
 
-    ``scorer`` maps parsed records to records + ``probability``.
+    ``scorer`` maps parsed records to records + ``probability``; ``training.model_scorer`` imputes and
+    encodes through the fitted plan. A record needs no id; only text that does not parse is rejected.
     """
     raw = (spark.readStream.schema("value string").option("maxFilesPerTrigger", max_files_per_trigger)
            .text(source_dir))
@@ -45,12 +47,14 @@ def score_stream(spark: SparkSession, source_dir: str, scorer: Callable[[DataFra
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # one folder per micro-batch, overwritten on replay: a batch re-run after a
         # failure replaces its own output instead of appending duplicates
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # both sinks read one parse of it
         good = batch.where("_ok").drop("value", "_ok")
         scored = decide.with_value_at_risk(scorer(good))
         scored.write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
         if reject_dir is not None:
             batch.where(~F.col("_ok")).select("value") \
                 .write.mode("overwrite").parquet(f"{reject_dir}/batch_id={batch_id}")
+        batch.unpersist()
 
     writer = parsed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

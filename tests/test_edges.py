@@ -125,7 +125,7 @@ def test_best_action_tie_goes_to_earlier_scenario(spark):
     rows = [("c1", "A", 1, 0.5, 0.4, 0.1, 40.0, 10.0), ("c1", "B", 0, 0.5, 0.4, 0.1, 40.0, 10.0),
             ("c2", "A", 0, 0.5, 0.45, 0.05, 45.0, 5.0), ("c2", "B", 1, 0.5, 0.3, 0.2, 30.0, 20.0)]
     imp = spark.createDataFrame(rows, "customerID string, action string, action_rank int, base_probability double, "
-                                      "new_probability double, delta double, churn_probability_pct double, "
+                                      "new_probability double, delta double, attrition_probability_pct double, "
                                       "reduction_pp double")
     best = {r["customerID"]: r["action"] for r in decide.best_action(imp).collect()}
     assert best == {"c1": "B", "c2": "B"}
@@ -134,8 +134,8 @@ def test_best_action_tie_goes_to_earlier_scenario(spark):
 def test_feature_plan_all_null_category(spark):
     from stayput.plans.feature_plan import FeaturePlan
     df = spark.createDataFrame([("a", None, 1.0, "Yes"), ("b", None, None, "No"), ("c", None, 3.0, "No")],
-                               "customerID string, s string, x double, Churn string")
-    plan = FeaturePlan(target="Churn", id_columns=["customerID"]).fit(df)
+                               "customerID string, s string, x double, Departed string")
+    plan = FeaturePlan(target="Departed", id_columns=["customerID"]).fit(df)
     assert plan.state.modes == {"s": "Unknown"}
     assert sorted((r["value"], r["code"]) for r in plan.state.encoders.collect()) == [("Unknown", 0)]
     out = plan.transform(df).orderBy("customerID").collect()

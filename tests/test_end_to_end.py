@@ -17,7 +17,7 @@ def test_train_score_report_reload(spark):
     io.write_table(catalog._records(spark, SF01), f"{d}/customers.csv", "csv")
     raw = io.read_customers(spark, f"{d}/customers.csv")
 
-    tm = training.fit(raw)
+    tm = training.fit(raw, space=training.SMALL_SEARCH, n_candidates=2, k=2)
     ev = {r["split"]: r for r in training.evaluate_splits(tm).collect()}
     assert set(ev) == {"train", "val", "test"}
     assert ev["test"]["roc_auc"] >= 0.75
@@ -32,7 +32,7 @@ def test_train_score_report_reload(spark):
 
     # confusion details on the held-out rows, with decoded labels
     test_rows = scorer(raw.join(tm.data.where(F.col("split") == "test").select("customerID"), "customerID", "left_semi"))
-    held = test_rows.select("customerID", F.when(F.col("Churn") == "Yes", 1).otherwise(0).alias("y"),
+    held = test_rows.select("customerID", F.when(F.col("Departed") == "Yes", 1).otherwise(0).alias("y"),
                             (F.col("probability") >= 0.5).cast("int").alias("yhat"))
     types = {r["confusion_type"]: r["n"] for r in evaluate.confusion_type_counts(held, "y", "yhat").collect()}
     assert sum(types.values()) == held.count() and "Unknown" not in types

@@ -23,7 +23,7 @@ def test_auc_of_complement(spark):
 
 def test_split_shares_and_determinism(spark):
     o = spark.read.parquet(f"{SF01}/orders.parquet").select("o_orderkey", "o_orderstatus")
-    s = split.stratified_split(o, "o_orderkey", "o_orderstatus", rows_per_bucket=700)
+    s = split.stratified_split(o, "o_orderkey", "o_orderstatus", bucket_bits=3)
     got = {(r[0], r[1]): r[2] for r in s.groupBy("o_orderstatus", "split").count().collect()}
     sizes = {r[0]: r[1] for r in o.groupBy("o_orderstatus").count().collect()}
     for cls, n in sizes.items():

@@ -46,13 +46,13 @@ def test_parse_records_rejects(spark):
 
 
 def test_schema_checks(spark):
-    df = spark.createDataFrame([(1, "a", 2.0, "Yes")], "n int, s string, x double, Churn string")
-    assert clean.column_kinds(df, "Churn") == (["n", "x"], ["s"])
-    clean.validate(df, "Churn")
+    df = spark.createDataFrame([(1, "a", 2.0, "Yes")], "n int, s string, x double, Departed string")
+    assert clean.column_kinds(df, "Departed") == (["n", "x"], ["s"])
+    clean.validate(df, "Departed")
     with pytest.raises(ValueError):
         clean.validate(df, "missing")
     with pytest.raises(ValueError):
-        clean.validate(df.where("n > 5"), "Churn")
+        clean.validate(df.where("n > 5"), "Departed")
     with pytest.raises(TypeError):
         clean.assert_numeric(df)
     clean.assert_numeric(df, ["n", "x"])
@@ -67,7 +67,7 @@ def test_assemble_order(spark):
 def test_feature_plan_order_and_reuse(spark):
     from stayput.plans.feature_plan import FeaturePlan
     s = E.queries()["p2_reorder_columns"](spark, SF001).select(*presets.INPUT_COLUMNS, presets.TARGET)
-    plan = FeaturePlan(target="Churn", id_columns=["customerID"], exclude_ids=False).fit(s)
+    plan = FeaturePlan(target="Departed", id_columns=["customerID"], exclude_ids=False).fit(s)
     names = plan.state.feature_names
     expected = (presets.INPUT_COLUMNS + ["MonthlyCharges_is_na", "TotalCharges_is_na"]
                 + presets.ENGINEERED_FEATURES
@@ -75,4 +75,4 @@ def test_feature_plan_order_and_reuse(spark):
     assert names == expected
     # the fitted state is reused: transforming a single row gives the same columns, no refit
     one = plan.transform(s.limit(1))
-    assert [c for c in one.columns if c != "Churn"] == expected
+    assert [c for c in one.columns if c != "Departed"] == expected
