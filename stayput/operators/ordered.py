@@ -27,12 +27,11 @@ BUCKET = "_bucket"
 def _bucketize(df: DataFrame, order_col: str, n_rows: int,
                rows_per_bucket: int, max_buckets: int) -> DataFrame:
     n_buckets = min(max_buckets, max(1, math.ceil(n_rows / rows_per_bucket)))
-    if n_buckets == 1:
-        return df.withColumn(BUCKET, F.lit(0.0))
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    # bounded: at most max_buckets - 1 doubles reach the driver
-    bounds = df.stat.approxQuantile(order_col, probs, 1.0 / (2 * n_buckets))
-    splits = [-math.inf] + sorted(set(b for b in bounds if b is not None and not math.isnan(b))) + [math.inf]
+    # bounded: at most max_buckets - 1 doubles reach the driver; a small input is cut at zero, without a pass over it
+    bounds = df.stat.approxQuantile(order_col, probs, 1.0 / (2 * n_buckets)) if probs else [0.0]
+    inner = sorted(set(b for b in bounds if b is not None and math.isfinite(b))) or [0.0]
+    splits = [-math.inf, *inner, math.inf]
     tmp = "_order_dbl"
     return Bucketizer(splits=splits, inputCol=tmp, outputCol=BUCKET, handleInvalid="keep") \
         .transform(df.withColumn(tmp, F.col(order_col).cast("double"))).drop(tmp)

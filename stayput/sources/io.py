@@ -97,4 +97,4 @@ def json_struct(text, schema: T.StructType):
 
 def template(spark: SparkSession) -> DataFrame:
     """The default record as a one-row table."""
-    return spark.createDataFrame([presets.DEFAULT_ROW], RECORD_SCHEMA)
+    return spark.createDataFrame([presets.DEFAULT_ROW | {"tenure": float(presets.DEFAULT_ROW["tenure"])}], RECORD_SCHEMA)
