@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayput.functions.columns import nan_to_null
-from stayput.operators.ordered import running_totals
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -110,6 +109,10 @@ def null_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
 # ---------------------------------------------------------------------------
 # C: cleaning and imputation
 # ---------------------------------------------------------------------------
+#: Values of a column that a median ranks at the end of its narrowing.
+BRACKET_ROWS = 200_000
+
+
 def dedupe(df: DataFrame) -> DataFrame:
     """Full-row distinct. Map-side partial aggregation collapses hot duplicates before the shuffle."""
     return df.dropDuplicates()
@@ -146,21 +149,57 @@ def _long(df: DataFrame, cols: Sequence[str], value_type: str) -> DataFrame:
         .where(F.col("value").isNotNull())
 
 
-def median_table(df: DataFrame, cols: Sequence[str], **kw) -> DataFrame:
+def median_table(df: DataFrame, cols: Sequence[str], rows_per_bucket: int = BRACKET_ROWS) -> DataFrame:
     """Exact interpolated median per column (pandas ``median``) as (column, median).
 
-    Values are counted per (column, value), ranked with exact running totals,
-    and the two middle ranks are read off — no column is gathered in one task.
+    Each pass is one aggregation to one row: it counts the values below and inside every column's bracket and
+    takes approximate quantiles around the middle rank as the next bracket. Once a bracket holds few
+    values, or shrinks no more (ties), only the values inside it are counted, ranked and read off:
+    no column is shuffled whole. Columns without values have no row.
     """
-    counts = _long(df, cols, "double").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    j = running_totals(counts, "value", ["n"], by=["column"], descending=False, with_totals=True, **kw) \
-        .withColumnRenamed("tot_n", "total")
-    k1 = F.floor((F.col("total") - 1) / 2)
-    k2 = F.floor(F.col("total") / 2)
-    return j.groupBy("column").agg(
-        F.min(F.when(F.col("cum_n") > k1, F.col("value"))).alias("v1"),
-        F.min(F.when(F.col("cum_n") > k2, F.col("value"))).alias("v2"),
-    ).select("column", ((F.col("v1") + F.col("v2")) / 2).alias("median"))
+    values = {c: nan_to_null(c).cast("double") for c in cols}
+    bracket: dict[str, tuple] = {c: (None, None) for c in cols}
+    open_, n, below = list(cols), {}, {c: 0 for c in cols}
+    while open_:
+        aggs = []
+        for i, c in enumerate(open_):
+            v, (lo, hi) = values[c], bracket[c]
+            inside = v.isNotNull() if lo is None else (v >= lo) & (v <= hi)
+            total = n.get(c)
+            # the middle rank as a share of the values inside; without a total yet, it is their middle
+            mid = 0.5 if total is None else ((total[0] - 1) / 2 - below[c]) / max(1, total[1])
+            around = [min(1.0, max(0.0, mid - 0.002)), min(1.0, max(0.0, mid + 0.002))]
+            aggs += [F.count_if(inside).alias(f"n{i}"), F.count_if(v < lo if lo is not None else F.lit(False)).alias(f"b{i}"),
+                     F.percentile_approx(F.when(inside, v), around, F.lit(10_000)).alias(f"q{i}")]
+        row = df.agg(*aggs).first()
+        still = []
+        for i, c in enumerate(open_):
+            size, q = row[f"n{i}"], row[f"q{i}"]
+            first = c not in n
+            before = bracket[c]
+            k = ((size if first else n[c][0]) - 1) // 2
+            if not first and not (row[f"b{i}"] <= k and k + 1 < row[f"b{i}"] + size):
+                bracket[c] = (None, None)       # the quantiles missed a middle rank: take the column whole
+                below[c] = 0
+                continue
+            n[c] = (size if first else n[c][0], size)
+            below[c] = 0 if first else row[f"b{i}"]
+            if size > rows_per_bucket and q and (first or tuple(q) != before):
+                bracket[c] = tuple(q)
+                still.append(c)
+        open_ = still
+    inside = [F.when(values[c].isNotNull() if bracket[c][0] is None else values[c].between(*map(F.lit, bracket[c])),
+                     F.struct(F.lit(c).alias("column"), values[c].alias("value"))) for c in cols]
+    counts = df.select(F.explode(F.array_compact(F.array(*inside))).alias("kv")).select("kv.column", "kv.value") \
+        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("column").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    offset, total = (F.element_at(F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(v[c]).cast("long"))]), F.col("column"))
+                     for v in (below, {c: n[c][0] for c in cols}))
+    ranked = counts.withColumn("upto", upto + offset).withColumn("total", total)
+    k1, k2 = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
+    return ranked.groupBy("column").agg(F.min(F.when(F.col("upto") > k1, F.col("value"))).alias("v1"),
+                                        F.min(F.when(F.col("upto") > k2, F.col("value"))).alias("v2")) \
+        .select("column", ((F.col("v1") + F.col("v2")) / 2).alias("median"))
 
 
 def fit_median(df: DataFrame, cols: Sequence[str], **kw) -> dict[str, float | None]:
