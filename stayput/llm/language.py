@@ -23,7 +23,11 @@ LANGUAGES = 200
 #: Documents in one matrix product.
 ROWS = 128
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LATIN = re.compile("[A-Za-z]")
+
+
+def has_letter(text: str) -> bool:
+    return bool(_LATIN.search(text)) or any(map(str.isalpha, text))
 
 
 def presence(text: str, out: np.ndarray) -> None:
@@ -110,7 +114,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
     few = staged(rows.where(F.col("h") < cut), "sample")
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id", "t"))
     got = few.withColumn("k", place).where(F.col("k") <= PER_LANGUAGE).orderBy("lang", "k").select("lang", "t").collect()
-    got = [r for r in got if _LETTER.search(r.t)]
+    got = [r for r in got if has_letter(r.t)]
     return fit([r.t for r in got], [r.lang for r in got])
 
 
@@ -125,7 +129,7 @@ def identify(docs: DataFrame, model: Kernel, id_col: str = "doc_id", text: str =
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 texts = [t or "" for t in part.column(3).to_pylist()]
-                some = [i for i, t in enumerate(texts) if _LETTER.search(t)]
+                some = [i for i, t in enumerate(texts) if has_letter(t)]
                 names, values = model.decide([texts[i] for i in some])
                 pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
                 for i, name, value in zip(some, names, values):
