@@ -795,6 +795,14 @@ def s2_csv_sink_scored(spark, sf):
     return spark.read.schema(scored.schema).option("header", True).csv(path)
 
 
+@query("s6_latest_version")
+def s6_latest_version(spark, sf):
+    """The latest entry of a registry that holds one version per event."""
+    reg = _table(spark, sf, "events").select(F.concat(F.lit("model-"), F.col("event_id").cast("string")).alias("path"),
+                                             F.col("event_id").alias("saved_at"))
+    return io.latest_version(reg)
+
+
 @query("s4_metrics_json")
 def s4_metrics_json(spark, sf):
     """The classification report written as JSON lines and read back."""
@@ -806,12 +814,13 @@ def s4_metrics_json(spark, sf):
 
 @query("e10_assemble_vector")
 def e10_assemble_vector(spark, sf):
-    """The ordered feature vector (as an array for inspection)."""
+    """The ordered feature vector, read back one column per place."""
     from pyspark.ml.functions import vector_to_array
     s = _records(spark, sf)
     plan = FeaturePlan(target=presets.TARGET, id_columns=["customerID"]).fit(s)
-    v = encode.assemble(plan.transform(s), plan.state.feature_names)
-    return v.select("customerID", vector_to_array("features").alias("features"))
+    names = plan.state.feature_names
+    v = encode.assemble(plan.transform(s), names).select("customerID", vector_to_array("features").alias("x"))
+    return v.select("customerID", *[r6(F.col("x")[i]).alias(c) for i, c in enumerate(names)])
 
 
 @query("d7_scenario_impact_trained")

@@ -425,6 +425,9 @@ FROM (SELECT *, {eng} FROM imputed) imputed, zstats
 
 
 register("e11_feature_plan", _feature_plan_sql())
+register("e10_assemble_vector", "SELECT customerID, round(COLUMNS(* EXCLUDE (customerID, Departed))::DOUBLE, 6) AS '\\0' FROM ("
+         + _feature_plan_sql() + ") e")
+register("s6_latest_version", "SELECT concat('model-', CAST(max(event_id) AS VARCHAR)) AS path, max(event_id) AS saved_at FROM events")
 
 # ---------------------------------------------------------------------------
 # V
