@@ -19,14 +19,14 @@ LENGTH = 2048
 END_ID = 1
 #: Hashed document vector, dimensions after projection, bits of each on the curve.
 HASHED, DIMS, DEPTH = 1024, 3, 10
-#: White-space-free strings whose ids a Python worker remembers at most; others are encoded again.
-REMEMBERED = 600_000
+#: White-space-free strings, and pieces of such, whose ids a Python worker remembers at most; others are encoded again.
+REMEMBERED, PIECES = 500_000, 1_000_000
 #: White-space-free strings that are looked up at a time.
 PIECE = 100_000
 #: Letters whose lower case is one letter and that never compose, then punctuation that is one piece.
 LATIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?*#$%&|]*)")
 #: Python's split() also cuts at four control characters, which are no white space to the tokenizer.
-CONTROL = re.compile("[\x1c-\x1f]")
+CONTROL = "\x1c\x1d\x1e\x1f"
 SPACED = re.compile("(?:[^\\s]|[\x1c-\x1f])+")
 
 
@@ -51,6 +51,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.ends = np.zeros(1 << 16, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
@@ -68,27 +69,30 @@ class Encoder:
         return [raw[a:b] for a, b in zip([0, *at], at)]
 
     def learn(self, strings: list[str]) -> None:
-        known, plain, split = self.known, [], []
-        cores: dict[str, None] = {}
+        known, pieces, plain, split = self.known, self.pieces, [], []
+        if len(pieces) + len(strings) > PIECES:
+            pieces.clear()
+        new: dict[str, None] = {}
         for s in strings:
             if m := LATIN.fullmatch(s):
-                core, close = m[1].lower(), m[2]
+                core, close = m.groups()
+                core = core.lower()
                 split.append((s, core, close))
-                if core not in known:
-                    cores[core] = None
-                if close and close not in known:
-                    plain.append(close)
+                if core not in pieces:
+                    new[core] = None
+                if close and close not in pieces:
+                    pieces[close] = self._one_by_one([close])[0]
             else:
                 plain.append(s)
-        for some, encode, step in ((list(cores), self._together, 512), (list(dict.fromkeys(plain)), self._one_by_one, 512)):
-            for at in range(0, len(some), step):
-                known.update(zip(some[at:at + step], encode(some[at:at + step])))
+        for some, encode, into in ((list(new), self._together, pieces), (plain, self._one_by_one, known)):
+            for at in range(0, len(some), 512):
+                into.update(zip(some[at:at + 512], encode(some[at:at + 512])))
         for s, core, close in split:
-            known[s] = known[core] + known[close] if close else known[core]
+            known[s] = pieces[core] + pieces[close] if close else pieces[core]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text. New strings of all texts are learned together; texts come in lists of bounded size."""
-        split = [SPACED.findall(t) if CONTROL.search(t) else t.split() for t in (t or "" for t in texts)]
+        split = [SPACED.findall(t) if any(c in t for c in CONTROL) else t.split() for t in (t or "" for t in texts)]
         out: list[list[bytes]] = [[] for _ in texts]
         where = [(k, at) for k, strings in enumerate(split) for at in range(0, max(1, len(strings)), PIECE)]
         while where:
@@ -100,8 +104,10 @@ class Encoder:
             found = [list(map(self.known.get, strings)) for _, strings in some]
             new = {s for (_, strings), x in zip(some, found) if None in x for s, b in zip(strings, x) if b is None}
             if new:
-                if len(self.known) + 2 * len(new) > REMEMBERED:
+                if len(self.known) + len(new) > REMEMBERED:
                     self.known.clear()
+                    new = {s for _, strings in some for s in strings}
+                    found = [[None] * len(strings) for _, strings in some]
                 self.learn(list(new))
             for (k, strings), x in zip(some, found):
                 if None in x:
