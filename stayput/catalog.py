@@ -771,7 +771,7 @@ def m6_append_predictions(spark, sf):
 
 @query("e11_feature_plan_keep_nulls")
 def e11_feature_plan_keep_nulls(spark, sf):
-    """Null-keeping variant: no imputation, nulls stay null through encoding, no final fill."""
+    """Null-keeping variant: label codes only, nulls stay null."""
     s = _records(spark, sf)
     plan = FeaturePlan(target=presets.TARGET, id_columns=["customerID"], keep_nulls=True).fit(s)
     return _round_doubles(plan.transform(s))

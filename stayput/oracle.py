@@ -735,18 +735,10 @@ def _feature_plan_keep_nulls_sql() -> str:
             cols.append(f"round(r.{c}, 6) AS {c}")
         else:
             cols.append(f"r.{c}")
-    eng = engineered_sql().replace("AS tenure_to_max", "AS tenure_to_max_raw") \
-        .replace("AS tenure_monthly_ratio", "AS tenure_monthly_ratio_raw")
     body = f"""
-SELECT {", ".join(cols)}, Departed, MonthlyCharges_is_na, TotalCharges_is_na,
-  tenure_group, round(tenure_to_max_raw, 6) AS tenure_to_max,
-  round(tenure_monthly_ratio_raw, 6) AS tenure_monthly_ratio, charge_group, total_services, has_internet,
-  has_phone, is_month_to_month, is_automatic_payment, is_senior, has_dependents, attrition_risk_score,
-  {", ".join(f"round((r.{c} - m_{c}) / s_{c}, 6) AS {c}_zscore" for c in NUMS)}
-FROM (SELECT *, CAST(MonthlyCharges IS NULL AS INT) AS MonthlyCharges_is_na,
-        CAST(TotalCharges IS NULL AS INT) AS TotalCharges_is_na, {eng} FROM subscribers) r, zstats
+SELECT {", ".join(cols)}, Departed FROM subscribers r
 {chr(10).join(joins)}"""
-    return with_ctes(IMPUTED + f", dict AS ({dict_sql('imputed', SUB_CAT)})", body)
+    return with_ctes(SUBSCRIBERS + f", dict AS ({dict_sql('subscribers', SUB_CAT)})", body)
 
 
 register("e11_feature_plan_keep_nulls", _feature_plan_keep_nulls_sql())

@@ -44,6 +44,11 @@ class FeaturePlan:
         clean.validate(df, self.target, rows=-1)          # schema check only
         excl = self.id_columns if self.exclude_ids else []
         num, cat = clean.column_kinds(df, self.target, exclude=excl)
+        if self.keep_nulls:     # the variant for learners that take nulls: label codes only
+            self.state = PlanState(self.target, excl, num, cat, [], {}, {}, encode.fit_labels(df, cat), {})
+            self.state.dictionaries = encode.small_dictionaries(self.state.encoders)
+            self.state.feature_names = [c for c in df.columns if c != self.target and c not in excl]
+            return self
         flags, rows = clean.fit_missing_flags(df, num, with_rows=True)
         clean.validate(df, self.target, rows=rows)      # empty input, from the same aggregation
         medians = clean.fit_median(df, num)
@@ -78,16 +83,16 @@ class FeaturePlan:
         s = self.state
         if s is None:
             raise ValueError("FeaturePlan is not fitted")
-        out = clean.add_missing_flags(df, [c for c in s.missing_flags if c in df.columns])
-        if not self.keep_nulls:
-            out = clean.apply_impute(out, s.medians, s.modes, widen=s.missing_flags)
-        out = features.engineer(out)
         if s.dictionaries is None:
             s.dictionaries = encode.small_dictionaries(s.encoders)
-        out = encode.apply_labels(out, s.encoders, s.categorical, unseen=0, keep_nulls=self.keep_nulls,
-                                  missing_as_null=self.keep_nulls, dictionaries=s.dictionaries)
-        out = features.apply_zscore(out, s.stats)
-        return out if self.keep_nulls else clean.fill_zero(out)
+        if self.keep_nulls:
+            return encode.apply_labels(df, s.encoders, s.categorical, unseen=0, keep_nulls=True,
+                                       missing_as_null=True, dictionaries=s.dictionaries)
+        out = clean.add_missing_flags(df, [c for c in s.missing_flags if c in df.columns])
+        out = clean.apply_impute(out, s.medians, s.modes, widen=s.missing_flags)
+        out = features.engineer(out)
+        out = encode.apply_labels(out, s.encoders, s.categorical, unseen=0, dictionaries=s.dictionaries)
+        return clean.fill_zero(features.apply_zscore(out, s.stats))
 
     def features(self, df: DataFrame, fill=0) -> DataFrame:
         """Transform and align to the trained feature order (P3 / P4), keeping ids and target."""
