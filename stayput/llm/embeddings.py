@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,8 @@ SAMPLE_ROWS = 8192
 RADII = (1.0, 0.5, 0.25, 0.125)
 #: Node pairs whose centers are compared in one matrix.
 TILE = 1024
+#: Pairs in one list; child pairs of a node pair from which a matrix product takes over.
+LISTED, LARGE = 1 << 15, 4096
 SLACK = 1e-9
 
 
@@ -33,7 +36,11 @@ def net(x: np.ndarray, radius: float, start: np.ndarray) -> np.ndarray:
     """Greedy net inside each group of ``start`` (group numbers): for each point the index of the first center within ``radius``."""
     owner = np.full(len(x), -1)
     order = np.argsort(start, kind="stable")
-    for group in np.split(order, np.flatnonzero(np.diff(start[order])) + 1):
+    sizes = np.bincount(start)
+    alone = sizes[start] == 1
+    owner[alone] = np.flatnonzero(alone)
+    order = order[~alone[order]]
+    for group in np.split(order, np.flatnonzero(np.diff(start[order])) + 1) if len(order) else []:
         left = group
         while len(left):
             near = np.linalg.norm(x[left] - x[left[0]], axis=1) <= radius
@@ -45,27 +52,43 @@ def net(x: np.ndarray, radius: float, start: np.ndarray) -> np.ndarray:
 class Tree:
     """Nested levels over one block: points are ordered so that each node is a range; a node has a center and its covering radius.
 
-    Level k nodes are greedy nets of radius RADII[k] inside the nodes of level k - 1; the last level holds the points.
+    Level k nodes are greedy nets of radius RADII[k] inside the nodes of level k - 1. A level is (start, stop, radius) of its nodes.
+    A tree is built once per block and kept as bytes, so that the traversals of a block's many pairs only read it.
     """
 
-    def __init__(self, x: np.ndarray, weight: np.ndarray, ids: np.ndarray):
-        group = np.zeros(len(x), np.int64)
-        levels = []
+    def __init__(self, x: np.ndarray, weight: np.ndarray, ids: np.ndarray, levels: list):
+        self.x, self.weight, self.ids, self.levels = x, weight, ids, levels
+
+    @classmethod
+    def build(cls, x: np.ndarray, weight: np.ndarray, ids: np.ndarray) -> Tree:
+        group, groups = np.zeros(len(x), np.int64), []
         for r in RADII:
-            # points with no other point near are their own center: found by tiles, so they cost no pass each
-            group = np.unique(net(x, r, group) if r != RADII[0] else first_net(x, r), return_inverse=True)[1]
-            levels.append(group)
-        order = np.lexsort(levels[::-1])
-        self.x, self.weight, self.ids = x[order], weight[order], ids[order]
-        self.levels = []
-        for group in levels:
+            group = np.unique(net(x, r, group) if groups else first_net(x, r), return_inverse=True)[1]
+            groups.append(group)
+        order = np.lexsort(groups[::-1])
+        tree = cls(x[order], weight[order], ids[order], [])
+        for group in groups:
             g = group[order]
-            start = np.concatenate([[0], np.flatnonzero(np.diff(g)) + 1]) if len(g) else np.empty(0, int)
-            stop = np.concatenate([start[1:], [len(g)]]) if len(g) else start
-            sizes = stop - start
-            far = np.linalg.norm(self.x - np.repeat(self.x[start], sizes, axis=0), axis=1)
-            radius = np.maximum.reduceat(far, start) if len(start) else far
-            self.levels.append((start, stop, radius))
+            start = np.concatenate([[0], np.flatnonzero(np.diff(g)) + 1])
+            stop = np.concatenate([start[1:], [len(g)]])
+            far = np.linalg.norm(tree.x - np.repeat(tree.x[start], stop - start, axis=0), axis=1)
+            tree.levels.append((start, stop, np.maximum.reduceat(far, start)))
+        return tree
+
+    def to_bytes(self) -> bytes:
+        arrays = {"x": self.x, "weight": self.weight, "ids": self.ids}
+        for k, (start, _, radius) in enumerate(self.levels):
+            arrays |= {f"s{k}": start, f"r{k}": radius}
+        out = io.BytesIO()
+        np.savez(out, **arrays)
+        return out.getvalue()
+
+    @classmethod
+    def from_bytes(cls, raw: bytes) -> Tree:
+        z = np.load(io.BytesIO(raw))
+        x = z["x"]
+        levels = [(z[f"s{k}"], np.concatenate([z[f"s{k}"][1:], [len(x)]]), z[f"r{k}"]) for k in range(len(RADII))]
+        return cls(x, z["weight"], z["ids"], levels)
 
 
 def first_net(x: np.ndarray, radius: float) -> np.ndarray:
@@ -87,54 +110,85 @@ def pairs_within(a: Tree, b: Tree, far: float, same: bool) -> Iterator[tuple[np.
     """Index pairs (into a, into b) of points at distance ``far`` at most: node pairs go down level by level while
     the distance of their centers is at most ``far`` plus both radii. For one tree with itself, i < j."""
     (sa, ea, ra), (sb, eb, rb) = a.levels[0], b.levels[0]
-    ca, cb = a.x[sa], b.x[sb]
-    for at in range(0, len(sa), TILE):
-        for to in range(0, len(sb), TILE):
-            if same and to + TILE <= at:
-                continue
-            d = np.sqrt(np.maximum(0, 2 - 2 * (ca[at:at + TILE] @ cb[to:to + TILE].T)))
-            i, j = np.nonzero(d <= far + ra[at:at + TILE, None] + rb[None, to:to + TILE] + SLACK)
-            i, j = i + at, j + to
-            if same:
-                keep = i <= j
-                i, j = i[keep], j[keep]
-            yield from _down(a, b, 0, i, j, far, same)
+    ca, cb, least = a.x[sa], b.x[sb], 1 - far * far / 2 - SLACK
+    one_a, one_b, all_b = ea - sa == 1, eb - sb == 1, np.arange(len(sb))
+    # nodes of one point have radius 0, so one bound holds for all their pairs
+    for left, right, bare in ((np.flatnonzero(one_a), np.flatnonzero(one_b), True), (np.flatnonzero(~one_a), all_b, False),
+                              (np.flatnonzero(one_a), np.flatnonzero(~one_b), False)):
+        for at in range(0, len(left), TILE):
+            x = left[at:at + TILE]
+            for to in range(0, len(right), TILE):
+                y = right[to:to + TILE]
+                if same and y[-1] < x[0]:
+                    continue
+                inner = ca[x] @ cb[y].T
+                i, j = np.nonzero(inner >= least if bare else np.sqrt(np.maximum(0, 2 - 2 * inner)) <= far + ra[x, None] + rb[None, y] + SLACK)
+                i, j = x[i], y[j]
+                if same:
+                    keep = i <= j
+                    i, j = i[keep], j[keep]
+                yield from _down(a, b, 0, i, j, far, same)
+
+
+def _children(t: Tree, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of every node: its first child and the number of its children; of every child: center and radius. Below the last level are the points."""
+    start, stop, _ = t.levels[level]
+    if level + 1 == len(t.levels):
+        return start, stop - start, np.arange(len(t.x)), np.zeros(len(t.x))
+    below, _, radius = t.levels[level + 1]
+    first = np.searchsorted(below, start)
+    return first, np.searchsorted(below, stop) - first, below, radius
 
 
 def _down(a: Tree, b: Tree, level: int, i: np.ndarray, j: np.ndarray, far: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     (sa, ea, _), (sb, eb, _) = a.levels[level], b.levels[level]
+    least = 1 - far * far / 2
     single = (ea[i] - sa[i] == 1) & (eb[j] - sb[j] == 1)
     p, q = sa[i[single]], sb[j[single]]
     if same:
         p, q = p[p != q], q[p != q]
-    for at in range(0, len(p), 1 << 15):
-        u, v = p[at:at + (1 << 15)], q[at:at + (1 << 15)]
-        good = np.einsum("ij,ij->i", a.x[u], b.x[v]) >= 1 - far * far / 2
+    for at in range(0, len(p), LISTED):
+        u, v = p[at:at + LISTED], q[at:at + LISTED]
+        good = np.einsum("ij,ij->i", a.x[u], b.x[v]) >= least
         yield u[good], v[good]
-    for k, m in zip(i[~single].tolist(), j[~single].tolist()):
-        u, v = slice(sa[k], ea[k]), slice(sb[m], eb[m])
-        if level + 1 == len(a.levels):
-            for at in range(u.start, u.stop, TILE):
-                x, y = np.nonzero(a.x[at:min(u.stop, at + TILE)] @ b.x[v].T >= 1 - far * far / 2)
-                x, y = x + at, y + v.start
-                if same and k == m:
-                    keep = x < y
-                    x, y = x[keep], y[keep]
-                yield x, y
-            continue
-        (na, _, ra), (nb, _, rb) = a.levels[level + 1], b.levels[level + 1]
-        la, lb = np.arange(np.searchsorted(na, u.start), np.searchsorted(na, u.stop)), np.arange(np.searchsorted(nb, v.start), np.searchsorted(nb, v.stop))
-        d = np.sqrt(np.maximum(0, 2 - 2 * (a.x[na[la]] @ b.x[nb[lb]].T)))
-        x, y = np.nonzero(d <= far + ra[la, None] + rb[None, lb] + SLACK)
-        x, y = la[x], lb[y]
-        if same and k == m:
-            keep = x <= y
+    i, j = i[~single], j[~single]
+    if not len(i):
+        return
+    (fa, na, ca, ra), (fb, nb, cb, rb) = _children(a, level), _children(b, level)
+    last = level + 1 == len(a.levels)
+
+    def go(x, y, own):
+        """Child pairs that may hold links: at the points they are the links, else they go on."""
+        if same:
+            keep = ~own | (x < y if last else x <= y)
             x, y = x[keep], y[keep]
-        yield from _down(a, b, level + 1, x, y, far, same)
+        if last:
+            yield x, y
+        elif len(x):
+            yield from _down(a, b, level + 1, x, y, far, same)
+
+    large = na[i] * nb[j] >= LARGE
+    for k, m in zip(i[large].tolist(), j[large].tolist()):      # by matrix products
+        for at in range(fa[k], fa[k] + na[k], TILE):
+            x, y = np.arange(at, min(fa[k] + na[k], at + TILE)), np.arange(fb[m], fb[m] + nb[m])
+            inner = a.x[ca[x]] @ b.x[cb[y]].T
+            u, v = np.nonzero(inner >= least if last else np.sqrt(np.maximum(0, 2 - 2 * inner)) <= far + ra[x, None] + rb[None, y] + SLACK)
+            yield from go(x[u], y[v], np.full(len(u), k == m))
+    i, j = i[~large], j[~large]
+    sizes = na[i] * nb[j]
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // LISTED)) + 1
+    for k, m in zip(np.split(i, cuts), np.split(j, cuts)):      # by lists of child pairs
+        n = na[k] * nb[m]
+        pair = np.repeat(np.arange(len(k)), n)
+        place = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)
+        x, y = fa[k[pair]] + place // nb[m[pair]], fb[m[pair]] + place % nb[m[pair]]
+        inner = np.einsum("ij,ij->i", a.x[ca[x]], b.x[cb[y]])
+        ok = inner >= least if last else np.sqrt(np.maximum(0, 2 - 2 * inner)) <= far + ra[x] + rb[y] + SLACK
+        yield from go(x[ok], y[ok], (k == m)[pair][ok])
 
 
 def _blocks(pdf):
-    """One row per block: its vectors, their ids and multiplicities as bytes, its center and radius."""
+    """One row per block: its tree as bytes, its center and radius."""
     import pandas as pd
 
     dims = int(pdf["dims"].iloc[0])
@@ -143,16 +197,14 @@ def _blocks(pdf):
     center = x.mean(axis=0)
     norm = np.linalg.norm(center)
     center = center / norm if norm > 0 else x[0]
-    return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "dims": [dims], "x": [x.tobytes()], "rep": [pdf["rep"].to_numpy(np.int64).tobytes()],
-                         "n": [pdf["n"].to_numpy(np.int64).tobytes()], "center": [center.tobytes()], "radius": [float(np.linalg.norm(x - center, axis=1).max())]})
+    tree = Tree.build(x, pdf["n"].to_numpy(np.int64), pdf["rep"].to_numpy(np.int64))
+    return pd.DataFrame({"block": [int(pdf["block"].iloc[0])], "tree": [tree.to_bytes()],
+                         "center": [center.tobytes()], "radius": [float(np.linalg.norm(x - center, axis=1).max())]})
 
 
 def _traverse(cosine: float):
     far = float(np.sqrt(2 - 2 * cosine))
 
-    def tree(dims, x, rep, n):
-        return Tree(np.frombuffer(x, np.float64).reshape(-1, dims), np.frombuffer(n, np.int64), np.frombuffer(rep, np.int64))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, Tree] = {}
         for batch in batches:
@@ -164,7 +216,7 @@ def _traverse(cosine: float):
                     if k not in known:
                         if len(known) > 3:
                             known.clear()
-                        known[k] = tree(r["dims"], r[f"{side}_x"], r[f"{side}_rep"], r[f"{side}_n"])
+                        known[k] = Tree.from_bytes(r[f"{side}_tree"])
                     trees.append(known[k])
                 a, b = trees
                 same = r["a_block"] == r["b_block"]
@@ -259,7 +311,7 @@ def _links_of(reps: DataFrame, dims: int, total: int, cosine: float, block_rows:
     dealt = dealt.join(F.broadcast(sizes.select("cell", chunks.alias("chunks"))), "cell") \
         .withColumn("block", F.col("cell") * (1 << 32) + F.pmod(F.xxhash64("rep"), F.col("chunks"))).withColumn("dims", F.lit(dims))
     packed = staged(dealt.select("block", "dims", "rep", "n", "embedding").groupBy("block").applyInPandas(
-        _blocks, "block long, dims int, x binary, rep binary, n binary, center binary, radius double"), "blocks")
+        _blocks, "block long, tree binary, center binary, radius double"), "blocks")
     # blocks are numbered 0..; each lists the later ones, and an equal join fetches their centers
     numbered = staged(packed.select("block", "center", "radius").withColumn("no", F.row_number().over(Window.orderBy("block")) - 1), "numbers")
     count = numbered.count()
@@ -275,8 +327,8 @@ def _links_of(reps: DataFrame, dims: int, total: int, cosine: float, block_rows:
             yield batch.select([0, 3]).filter(pa.array(ok))
 
     todo = mapped(both.select("a", "ca", "ra", "b", "cb", "rb"), near, "a long, b long")
-    side = lambda s: packed.select(F.col("block").alias(f"{s}_block"), F.col("x").alias(f"{s}_x"), F.col("rep").alias(f"{s}_rep"), F.col("n").alias(f"{s}_n"))
-    work = todo.join(side("a"), F.col("a") == F.col("a_block")).join(side("b"), F.col("b") == F.col("b_block")).drop("a", "b").withColumn("dims", F.lit(dims))
+    side = lambda s: packed.select(F.col("block").alias(f"{s}_block"), F.col("tree").alias(f"{s}_tree"))
+    work = todo.join(side("a"), F.col("a") == F.col("a_block")).join(side("b"), F.col("b") == F.col("b_block")).drop("a", "b")
     pieces = max(count, int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return mapped(work.repartition(pieces, "a_block", "b_block"), _traverse(cosine), "rep long, links long, to long")
 

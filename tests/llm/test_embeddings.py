@@ -54,7 +54,7 @@ def test_tree_levels_nest_and_cover():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(10, 6)).repeat(12, axis=0) + rng.normal(size=(120, 6)) * 0.1
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    t = embeddings.Tree(x, np.ones(120, int), np.arange(120))
+    t = embeddings.Tree.from_bytes(embeddings.Tree.build(x, np.ones(120, int), np.arange(120)).to_bytes())
     for (s, e, r), bound in zip(t.levels, embeddings.RADII):
         assert (r <= bound + 1e-9).all() and s[0] == 0 and e[-1] == 120 and (s[1:] == e[:-1]).all()
     for (s, _, _), (u, _, _) in zip(t.levels, t.levels[1:]):
