@@ -20,7 +20,7 @@ END_ID = 1
 #: Hashed document vector, dimensions after projection, bits of each on the curve.
 HASHED, DIMS, DEPTH = 1024, 3, 10
 #: White-space-free strings, and pieces of such, whose ids a Python worker remembers at most; others are encoded again.
-REMEMBERED, PIECES = 500_000, 1_000_000
+REMEMBERED, PIECES = 400_000, 700_000
 #: White-space-free strings that are looked up at a time.
 PIECE = 100_000
 #: Letters whose lower case is one letter and that never compose, then punctuation that is one piece.
