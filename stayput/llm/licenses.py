@@ -1,4 +1,4 @@
-"""License scans: ordered signature rules behind a keyword gate; priority and interval containment resolve overlaps."""
+"""License scans: ordered signature rules, each behind its keyword; priority and interval containment resolve overlaps."""
 
 from __future__ import annotations
 
@@ -12,9 +12,6 @@ PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general publi
 #: What separates words, once A-Z is lower case.
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-#: One of these stands in every text that a rule can match (in raw, lower-cased form): the cheap gate of a document.
-GATES = ("licen", "spdx", "copyright", "copyleft", "public domain", "creative commons", "warrant", "redistribut", "rights reserved")
-
 #: Label, keyword (a whole word that every match holds) and the name's pattern over words joined by one blank.
 FAMILIES = (
     ("apache-1.0", "apache", r"apache(?: software)? license(?: version)? 1 0"),
@@ -132,18 +129,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
     A detection is dropped if it lies inside another one of a smaller priority number, of an equal one and a longer
     interval, or of the same interval and an earlier rule. Also carries the base columns: n_words, n_base, first_word, last_word, base_labels.
 
-    Texts are read once. A document that passes the gate is split at its keywords' rules only; the word positions of the parts are
+    Texts are read once. A document is split at the rules of the keywords among its words only; the word positions of the parts are
     sums over windows of one document, and documents are dealt by row number, so no key is hot. Null and empty texts have no words; repeated rows
     are scanned each; only the id and the text are read.
     """
     spark = docs.sparkSession
-    raw = F.col("t")
-    lowered = F.lower(raw)
-    gate = F.lit(False)
-    for g in GATES:
-        gate = gate | lowered.contains(g)
-    rows = with_uid(docs).select(UID, F.col(id_col).alias("id"), text_or_empty(text).alias("t")) \
-        .select(UID, "id", words_of(raw).alias("w"), gate.alias("gate"))
+    rows = with_uid(docs).select(UID, F.col(id_col).alias("id"), words_of(text_or_empty(text)).alias("w"))
     n_words = F.when(F.col("w") == " ", 0).otherwise(blanks(F.col("w")) - 1).cast("long")
     hits, firsts, lasts, labels = F.lit(0), [], [], []
     for phrase, label in PHRASES:
@@ -153,12 +144,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
         firsts.append(F.when(found > 0, blanks(F.substring_index("w", inner, 1))))
         lasts.append(F.when(found > 0, n_words - (blanks(F.substring_index("w", inner, -1))) - len(phrase.split())))
         labels.append(F.when(found > 0, F.lit(label)))
-    base = [n_words.alias("n_words"), F.when(F.col("gate"), hits).otherwise(0).cast("long").alias("n_base"),
-            F.when(F.col("gate"), F.least(*firsts)).cast("long").alias("first_word"), F.when(F.col("gate"), F.greatest(*lasts)).cast("long").alias("last_word"),
-            F.when(F.col("gate"), F.array_compact(F.array(*labels))).otherwise(F.array().cast("array<string>")).alias("base_labels")]
+    base = [n_words.alias("n_words"), hits.cast("long").alias("n_base"), F.least(*firsts).cast("long").alias("first_word"),
+            F.greatest(*lasts).cast("long").alias("last_word"), F.array_compact(F.array(*labels)).alias("base_labels")]
     keywords = "|".join(sorted({r[4] for r in rules()}))
     present = F.array_distinct(F.regexp_extract_all("w", F.lit(f" ({keywords})(?= )"), F.lit(1)))
-    rows = rows.select(UID, "id", *base, F.when(F.col("gate"), F.col("w")).alias("w"), F.explode_outer(F.when(F.col("gate"), present)).alias("keyword"))
+    rows = rows.select(UID, "id", *base, "w", F.explode_outer(present).alias("keyword"))
     tried = rows.join(F.broadcast(rule_table(spark)), "keyword", "left")  # a fixed table
     kept = ["id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
     tried = tried.select(UID, *kept, "w", F.explode_outer("rules").alias("r"))

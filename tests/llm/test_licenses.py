@@ -60,3 +60,19 @@ def test_hundreds_of_rules_in_order():
     assert len(made) >= 200 and [r[0] for r in made] == list(range(len(made)))
     for r in made:
         re.compile(r[5])
+
+
+def labels_of(spark, path, texts):
+    docs = stored(spark, path, [(i, t, "en", "s", 0) for i, t in enumerate(texts)], clash=False)
+    got = {r.id: (r.labels, r.score) for r in licenses.licenses(docs).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_short_notices_need_no_other_word(spark, tmp_path):
+    want = {"Available under GPL v3.": "gpl-3.0", "GPL 2.0 or later": "gpl-2.0", "Released under CC BY-SA 4.0.": "cc-by-sa", "CC0 1.0": "cc0-1.0",
+            "WTFPL version 2": "wtfpl", "BSD 3-Clause": "bsd-3-clause", "simplified BSD": "bsd-2-clause", "MIT-0": "mit-0", "All rights\nreserved": "proprietary",
+            "public\ndomain": "public-domain", "Creative-Commons Attribution": "cc-by",
+            "Permission is hereby granted, free of charge, to any person obtaining a copy": "mit", "no such words": ""}
+    got = labels_of(spark, tmp_path / "d", list(want))
+    assert [label for label, _ in got] == list(want.values())
+    assert all((score > 0) == bool(label) for label, score in got)
