@@ -74,6 +74,68 @@ FAMILIES = (
     ("proprietary", "rights", r"all rights reserved"),
     ("proprietary", "proprietary", r"proprietary(?: and confidential)? license"),
 )
+#: Label and pattern of SPDX license ids, as words: "Apache-2.0" is read as "apache 2 0".
+SPDX_IDS = (
+    ("bsd-0-clause", r"0bsd"),
+    ("afl", r"afl [123] [0-2]"),
+    ("agpl-1.0", r"agpl 1 0(?: only| or later)?"),
+    ("agpl-3.0", r"agpl 3 0(?: only| or later)?"),
+    ("apache-1.0", r"apache 1 0"),
+    ("apache-1.1", r"apache 1 1"),
+    ("apache-2.0", r"apache 2 0"),
+    ("artistic", r"artistic 1 0(?: perl| cl8)?"),
+    ("artistic-2.0", r"artistic 2 0"),
+    ("blueoak-1.0.0", r"blueoak 1 0 0"),
+    ("boost-1.0", r"bsl 1 0"),
+    ("bsd-1-clause", r"bsd 1 clause"),
+    ("bsd-2-clause", r"bsd 2 clause(?: patent| views| freebsd)?"),
+    ("bsd-3-clause", r"bsd 3 clause(?: clear| lbnl| attribution)?"),
+    ("bsd-4-clause", r"bsd 4 clause(?: uc)?"),
+    ("busl-1.1", r"busl 1 1"),
+    ("cc-by", r"cc by [1-4] [05]"),
+    ("cc-by-nc", r"cc by nc [1-4] [05]"),
+    ("cc-by-nc-nd", r"cc by nc nd [1-4] [05]"),
+    ("cc-by-nc-sa", r"cc by nc sa [1-4] [05]"),
+    ("cc-by-nd", r"cc by nd [1-4] [05]"),
+    ("cc-by-sa", r"cc by sa [1-4] [05]"),
+    ("cc0-1.0", r"cc0 1 0"),
+    ("cddl", r"cddl 1 [01]"),
+    ("cecill", r"cecill(?: [bc]| [12] [01])?"),
+    ("cpl-1.0", r"cpl 1 0"),
+    ("ecl", r"ecl [12] 0"),
+    ("epl-1.0", r"epl 1 0"),
+    ("epl-2.0", r"epl 2 0"),
+    ("eupl", r"eupl 1 [0-2]"),
+    ("gfdl", r"gfdl 1 [1-3](?: invariants| no invariants)?(?: only| or later)?"),
+    ("gpl-1.0", r"gpl 1 0(?: only| or later)?"),
+    ("gpl-2.0", r"gpl 2 0(?: only| or later)?"),
+    ("gpl-3.0", r"gpl 3 0(?: only| or later)?"),
+    ("hpnd", r"hpnd"),
+    ("isc", r"isc"),
+    ("lgpl-2.0", r"lgpl 2 0(?: only| or later)?"),
+    ("lgpl-2.1", r"lgpl 2 1(?: only| or later)?"),
+    ("lgpl-3.0", r"lgpl 3 0(?: only| or later)?"),
+    ("libpng", r"libpng(?: 2 0)?"),
+    ("mit", r"mit"),
+    ("mit-0", r"mit 0"),
+    ("mpl", r"mpl 1 0"),
+    ("mpl-1.1", r"mpl 1 1"),
+    ("mpl-2.0", r"mpl 2 0(?: no copyleft exception)?"),
+    ("ms-pl", r"ms pl"),
+    ("ms-rl", r"ms rl"),
+    ("ncsa", r"ncsa"),
+    ("odbl", r"odbl 1 0"),
+    ("ofl-1.1", r"ofl 1 1(?: rfn| no rfn)?"),
+    ("openssl", r"openssl"),
+    ("php-3", r"php 3 01?"),
+    ("postgresql", r"postgresql"),
+    ("python-2.0", r"(?:psf|python) 2 0(?: 1)?"),
+    ("unlicense", r"unlicense"),
+    ("upl-1.0", r"upl 1 0"),
+    ("wtfpl", r"wtfpl"),
+    ("x11", r"x11"),
+    ("zlib", r"zlib(?: acknowledgement)?"),
+)
 #: Priority (1 is heard first), confidence, and the words around a family's name.
 FORMS = (
     (1, 1.00, r"spdx license identifier {}"),
@@ -100,6 +162,7 @@ def rules() -> list[tuple[int, int, float, str, str, str]]:
     """(rule, priority, confidence, label, keyword, pattern), in order; every pattern matches whole words and its leading blank."""
     made = [(p, c, label, word, form.format(name)) for p, c, form in FORMS for label, word, name in FAMILIES]
     made += [(p, c, label, word, pattern) for p, c, label, word, pattern in NOTICES]
+    made += [(1, 1.00, label, "spdx", f"spdx license identifier {name}") for label, name in SPDX_IDS]
     return [(i, p, c, label, word, f" (?:{pattern})(?= )") for i, (p, c, label, word, pattern) in enumerate(made)]
 
 

@@ -76,3 +76,18 @@ def test_short_notices_need_no_other_word(spark, tmp_path):
     got = labels_of(spark, tmp_path / "d", list(want))
     assert [label for label, _ in got] == list(want.values())
     assert all((score > 0) == bool(label) for label, score in got)
+
+
+def test_spdx_ids(spark, tmp_path):
+    tags = {"0BSD": "bsd-0-clause", "AFL-3.0": "afl", "AGPL-1.0-only": "agpl-1.0", "AGPL-3.0-only": "agpl-3.0", "Apache-1.0": "apache-1.0", "Apache-1.1": "apache-1.1",
+            "Apache-2.0": "apache-2.0", "Artistic-1.0-Perl": "artistic", "Artistic-2.0": "artistic-2.0", "BlueOak-1.0.0": "blueoak-1.0.0", "BSL-1.0": "boost-1.0",
+            "BSD-1-Clause": "bsd-1-clause", "BSD-2-Clause-Patent": "bsd-2-clause", "BSD-3-Clause": "bsd-3-clause", "BSD-4-Clause-UC": "bsd-4-clause", "BUSL-1.1": "busl-1.1",
+            "CC-BY-4.0": "cc-by", "CC-BY-NC-3.0": "cc-by-nc", "CC-BY-NC-ND-4.0": "cc-by-nc-nd", "CC-BY-NC-SA-2.5": "cc-by-nc-sa", "CC-BY-ND-4.0": "cc-by-nd",
+            "CC-BY-SA-4.0": "cc-by-sa", "CC0-1.0": "cc0-1.0", "CDDL-1.0": "cddl", "CECILL-2.1": "cecill", "CPL-1.0": "cpl-1.0", "ECL-2.0": "ecl", "EPL-1.0": "epl-1.0",
+            "EPL-2.0": "epl-2.0", "EUPL-1.2": "eupl", "GFDL-1.3-or-later": "gfdl", "GPL-1.0-or-later": "gpl-1.0", "GPL-2.0-only": "gpl-2.0", "GPL-2.0+": "gpl-2.0",
+            "GPL-3.0-or-later": "gpl-3.0", "HPND": "hpnd", "ISC": "isc", "LGPL-2.0-only": "lgpl-2.0", "LGPL-2.1-only": "lgpl-2.1", "LGPL-3.0-or-later": "lgpl-3.0",
+            "libpng-2.0": "libpng", "MIT": "mit", "MIT-0": "mit-0", "MPL-1.0": "mpl", "MPL-1.1": "mpl-1.1", "MPL-2.0": "mpl-2.0", "MS-PL": "ms-pl", "MS-RL": "ms-rl",
+            "NCSA": "ncsa", "ODbL-1.0": "odbl", "OFL-1.1": "ofl-1.1", "OpenSSL": "openssl", "PHP-3.01": "php-3", "PostgreSQL": "postgresql", "PSF-2.0": "python-2.0",
+            "Python-2.0.1": "python-2.0", "Unlicense": "unlicense", "UPL-1.0": "upl-1.0", "WTFPL": "wtfpl", "X11": "x11", "Zlib": "zlib"}
+    assert {label for label, _ in licenses.SPDX_IDS} == set(tags.values())
+    assert labels_of(spark, tmp_path / "d", [f"// SPDX-License-Identifier: {tag}\nint x;" for tag in tags]) == [(label, 1.0) for label in tags.values()]
