@@ -12,7 +12,7 @@ PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general publi
 #: What separates words, once A-Z is lower case.
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-#: Label, keyword (a whole word that every match holds) and the name's pattern over words joined by one blank.
+#: Label, keyword (every match holds it or a word of ALIASES for it) and the name's pattern over words joined by one blank.
 FAMILIES = (
     ("apache-1.0", "apache", r"apache(?: software)? license(?: version)? 1 0"),
     ("apache-1.1", "apache", r"apache(?: software)? license(?: version)? 1 1"),
@@ -74,6 +74,8 @@ FAMILIES = (
     ("proprietary", "rights", r"all rights reserved"),
     ("proprietary", "proprietary", r"proprietary(?: and confidential)? license"),
 )
+#: Whole words that stand for a keyword in some of its rules' matches.
+ALIASES = {"gplv2": "gpl", "gpl2": "gpl", "gplv3": "gpl", "gpl3": "gpl", "freebsd": "bsd", "expat": "mit"}
 #: Label and pattern of SPDX license ids, as words: "Apache-2.0" is read as "apache 2 0".
 SPDX_IDS = (
     ("bsd-0-clause", r"0bsd"),
@@ -209,8 +211,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
         labels.append(F.when(found > 0, F.lit(label)))
     base = [n_words.alias("n_words"), hits.cast("long").alias("n_base"), F.least(*firsts).cast("long").alias("first_word"),
             F.greatest(*lasts).cast("long").alias("last_word"), F.array_compact(F.array(*labels)).alias("base_labels")]
-    keywords = "|".join(sorted({r[4] for r in rules()}))
-    present = F.array_distinct(F.regexp_extract_all("w", F.lit(f" ({keywords})(?= )"), F.lit(1)))
+    keywords = "|".join(sorted({r[4] for r in rules()} | set(ALIASES)))
+    alias = F.create_map(*[F.lit(x) for pair in ALIASES.items() for x in pair])
+    present = F.array_distinct(F.transform(F.array_distinct(F.regexp_extract_all("w", F.lit(f" ({keywords})(?= )"), F.lit(1))),
+                                           lambda x: F.coalesce(F.try_element_at(alias, x), x)))
     rows = rows.select(UID, "id", *base, "w", F.explode_outer(present).alias("keyword"))
     tried = rows.join(F.broadcast(rule_table(spark)), "keyword", "left")  # a fixed table
     kept = ["id", "n_words", "n_base", "first_word", "last_word", "base_labels"]

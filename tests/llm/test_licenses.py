@@ -91,3 +91,44 @@ def test_spdx_ids(spark, tmp_path):
             "Python-2.0.1": "python-2.0", "Unlicense": "unlicense", "UPL-1.0": "upl-1.0", "WTFPL": "wtfpl", "X11": "x11", "Zlib": "zlib"}
     assert {label for label, _ in licenses.SPDX_IDS} == set(tags.values())
     assert labels_of(spark, tmp_path / "d", [f"// SPDX-License-Identifier: {tag}\nint x;" for tag in tags]) == [(label, 1.0) for label in tags.values()]
+
+
+def examples(parsed):
+    """Texts that a pattern matches: every alternative, options with and without, character classes at their first member."""
+    import itertools
+
+    parts = []
+    for kind, value in parsed:
+        kind = str(kind)
+        if kind == "LITERAL":
+            parts.append([chr(value)])
+        elif kind == "IN":
+            parts.append([chr(value[0][1][0] if str(value[0][0]) == "RANGE" else value[0][1])])
+        elif kind == "BRANCH":
+            parts.append([x for b in value[1] for x in examples(b)])
+        elif kind == "SUBPATTERN":
+            parts.append(examples(value[-1]))
+        elif kind == "MAX_REPEAT":
+            parts.append(["", *examples(value[2])])
+        else:
+            assert kind == "ASSERT", kind
+    return ["".join(x) for x in itertools.product(*parts)]
+
+
+def test_every_match_holds_its_keyword():
+    from re import _parser
+
+    for i, _, _, _, word, pattern in licenses.rules():
+        if i < len(licenses.FAMILIES) * 3 and "spdx license" not in pattern:
+            continue  # the same names behind other words
+        for text in examples(_parser.parse(pattern)):
+            assert re.search(pattern, text + " "), text
+            assert word in {licenses.ALIASES.get(w, w) for w in text.split()}, (word, text)
+
+
+def test_keywords_written_as_one_word(spark, tmp_path):
+    want = {"Licensed under GPLv2": "gpl-2.0", "GPLv3 or later": "gpl-3.0", "gpl2": "gpl-2.0", "GPL3 only": "gpl-3.0", "the FreeBSD license": "bsd-2-clause",
+            "the Expat License": "mit", "GPLv2, GPL v2 and GPL 2": "gpl-2.0"}
+    assert [label for label, _ in labels_of(spark, tmp_path / "d", list(want))] == list(want.values())
+    docs = stored(spark, tmp_path / "e", [(1, "GPLv2, GPL v2 and GPL 2", "en", "s", 0)], clash=False)
+    assert sorted((r.start, r.stop) for r in licenses.scan(docs).where("start is not null").collect()) == [(0, 1), (1, 3), (4, 6)]
