@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,10 +42,10 @@ def statistics(text: str | None) -> np.ndarray:
     words = raw.split()
     lines = raw.split(b"\n")
     n = len(words)
-    distinct = set(words)
+    distinct = Counter(words)
     same = sum(map(bytes.__eq__, words, words[1:]))
     lengths = np.fromiter(map(len, words), np.int64, n) if n else np.zeros(1, np.int64)
-    most = words.count(max(distinct, key=len)) if 0 < len(distinct) <= 8 else 1
+    most = max(distinct.values(), default=0)
     return np.array([np.log1p(len(raw)), np.log1p(n), lengths.mean(), len(distinct) / max(n, 1) ** 0.8, most / max(n, 1), np.log1p(len(lines)),
                      np.log1p(n / len(lines)), len(set(lines)) / len(lines), upper, digits, spaces, marks, other, high, ends, same / max(n, 1),
                      (lengths > 15).mean(), -(present * np.log2(present)).sum(), len(present) / min(256, len(raw))])

@@ -81,3 +81,10 @@ def test_language_edges(spark, tmp_path):
 def test_presence_is_set_of_hashed_grams():
     a, b = language.presences(["abab", "ab ab"])
     assert set(a) <= {0.0, 1.0} and a.sum() > 5 and not (a == b).all()
+
+
+def test_top_word_is_the_most_frequent_one_at_any_size():
+    at = quality.FEATURES.index("top_word")
+    few = " ".join(["spam"] * 5000 + [f"longerword{i}" for i in range(9)])
+    assert quality.statistics(few)[at] == 5000 / 5009
+    assert quality.statistics("a a a b longest")[at] == 3 / 5
