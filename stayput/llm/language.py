@@ -11,15 +11,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayput.llm.common import UID, mapped, staged, with_uid
+from stayput.llm.common import UID, join_checked, mapped, staged, with_uid
 from stayput.llm.quality import held_out
 
 #: n-grams of 1 to GRAMS characters, hashed to BUCKETS presence flags.
 GRAMS, BUCKETS = 3, 1 << 15
 #: Training documents of each language, and landmarks of each, at most.
 PER_LANGUAGE, LANDMARKS = 400, 48
-#: Languages that are learned at most, the most frequent first.
-LANGUAGES = 200
+#: Training documents and landmarks of all languages together; many languages have fewer of each, but one at least.
+ALL_DOCUMENTS, ALL_LANDMARKS = 80_000, 9_600
 #: Documents in one matrix product.
 ROWS = 128
 UNKNOWN = "und"
@@ -78,7 +78,8 @@ def fit(texts: list[str], langs: list[str], ridge: float = 0.1, landmarks: int =
     names = sorted(set(langs))
     if not names:
         return Kernel([], np.empty((0, BUCKETS), np.float32), np.empty((0, 0)), np.empty(0))
-    y = np.array([names.index(x) for x in langs])
+    number = {x: i for i, x in enumerate(names)}
+    y = np.array([number[x] for x in langs])
     chosen = np.concatenate([np.flatnonzero(y == k)[:landmarks] for k in range(len(names))])
     marks = presences([texts[i] for i in chosen])
     marks /= np.sqrt(np.maximum(marks.sum(axis=1, keepdims=True), 1))
@@ -100,22 +101,24 @@ def fit(texts: list[str], langs: list[str], ridge: float = 0.1, landmarks: int =
 def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> Kernel:
     """Learn from documents that are not held out and have a language and a letter.
 
-    Bounded sample: PER_LANGUAGE documents of each of the LANGUAGES most frequent languages, those with the smallest hash of the
-    id. Hashes are counted into a cut per language first, so no task orders a language's rows.
+    Every language is learned. Bounded sample: PER_LANGUAGE documents of each, or its share of ALL_DOCUMENTS, those with the smallest
+    hash of the id. Hashes are counted into a cut per language first, so no task orders a language's rows.
     """
     rows = docs.where(F.col(lang).isNotNull() & ~held_out(id_col) & F.col(id_col).isNotNull() & (F.length(F.coalesce(F.col(text), F.lit(""))) > 0)) \
         .select(F.col(id_col).alias("id"), F.col(lang).cast("string").alias("lang"), F.pmod(F.xxhash64(id_col), F.lit(1 << 30)).alias("h"), F.col(text).alias("t"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    if not counts:
+    counts = staged(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    languages = counts.count()
+    if not languages:
         return fit([], [])
-    # three times the rows wanted are expected under the cut: fewer is all but impossible, and no error if it happens
-    cut = F.coalesce(*[F.when(F.col("lang") == r.lang, F.lit(float(1 << 30) if r.n <= 3 * PER_LANGUAGE else 3.0 * PER_LANGUAGE / r.n * (1 << 30)))
-                       for r in counts])
-    few = staged(rows.where(F.col("h") < cut), "sample")
+    each = max(min(PER_LANGUAGE, ALL_DOCUMENTS // languages), 1)
+    # three times the rows wanted are expected under the cut, and 30 at least: fewer is all but impossible, and no error if it happens
+    wanted = float(max(3 * each, 30))
+    cuts = counts.select("lang", F.when(F.col("n") <= wanted, F.lit(float(1 << 30))).otherwise(wanted / F.col("n") * float(1 << 30)).alias("cut"))
+    few = staged(join_checked(rows, cuts, "lang").where(F.col("h") < F.col("cut")).drop("cut"), "sample")
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id", "t"))
-    got = few.withColumn("k", place).where(F.col("k") <= PER_LANGUAGE).orderBy("lang", "k").select("lang", "t").collect()
+    got = few.withColumn("k", place).where(F.col("k") <= each).orderBy("lang", "k").select("lang", "t").collect()
     got = [r for r in got if has_letter(r.t)]
-    return fit([r.t for r in got], [r.lang for r in got])
+    return fit([r.t for r in got], [r.lang for r in got], landmarks=max(min(LANDMARKS, ALL_LANDMARKS // languages), 1))
 
 
 def identify(docs: DataFrame, model: Kernel, id_col: str = "doc_id", text: str = "text") -> DataFrame:

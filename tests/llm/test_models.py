@@ -88,3 +88,13 @@ def test_top_word_is_the_most_frequent_one_at_any_size():
     few = " ".join(["spam"] * 5000 + [f"longerword{i}" for i in range(9)])
     assert quality.statistics(few)[at] == 5000 / 5009
     assert quality.statistics("a a a b longest")[at] == 3 / 5
+
+
+def test_every_language_is_learned(spark, tmp_path):
+    data = [(i, "".join(chr(0x4E00 + 8 * (i % 230) + k % 8) for k in range(20)), f"l{i % 230:03}", "s", 20) for i in range(230 * 6)]
+    docs = stored(spark, tmp_path / "d", data, clash=False)
+    model = language.train(docs)
+    learned = {r[2] for r in data if not held(r[0])}
+    assert len(learned) > 200 and set(model.names) == learned
+    names, _ = model.decide([r[1] for r in data[:230]])
+    assert np.mean([a == r[2] for a, r in zip(names, data)]) > 0.9
