@@ -53,8 +53,13 @@ def as_table(spark: SparkSession, rows) -> DataFrame:
 
 
 def _test(df: DataFrame, feature: str, op: str, threshold: str) -> Column:
-    c = F.col(feature)
-    numeric = isinstance(df.schema[feature].dataType, _NUMERIC)
+    kind = df.schema[feature].dataType
+    test = _compared(F.col(feature), isinstance(kind, _NUMERIC), op, threshold)
+    # Spark orders NaN above every value; here it fails every test, as null does
+    return test & ~F.isnan(feature) if isinstance(kind, (T.FloatType, T.DoubleType)) else test
+
+
+def _compared(c: Column, numeric: bool, op: str, threshold: str) -> Column:
     if op in _ORDERING:
         return getattr(c, _ORDERING[op])(F.lit(float(threshold)))
     value = F.lit(float(threshold)) if numeric else F.lit(threshold)
@@ -71,7 +76,7 @@ def _tree_expr(df: DataFrame, nodes: dict[int, tuple], node: int = 0, depth: int
     feature, op, threshold, yes, no, leaf = nodes[node]
     if feature is None:
         return F.lit(float(leaf))
-    # a null test value is not true -> the "no" branch
+    # a null or NaN test value is not true -> the "no" branch
     return F.when(_test(df, feature, op, threshold),
                   _tree_expr(df, nodes, yes, depth + 1)) \
         .otherwise(_tree_expr(df, nodes, no, depth + 1))
@@ -120,7 +125,7 @@ def ensemble_score(df: DataFrame, trees, out: str = "raw_score") -> DataFrame:
 
 class FlatTrees:
     """All nodes in arrays. Each distinct test (feature, operator, value) is evaluated once per batch; a missing value (null or
-    NaN) fails every test and so takes the "no" branch, as in the compiled form for nulls."""
+    NaN) fails every test and so takes the "no" branch, as in the compiled form."""
 
     def __init__(self, df: DataFrame, rows):
         rows = sorted(rows, key=lambda r: r[:2])

@@ -151,3 +151,14 @@ def test_param_mapping():
                  "featureSubsetStrategy": "0.7", "minInstancesPerNode": 20}
     cands = train.sample_candidates(presets.SEARCH_SPACE_LEAFWISE, presets.SEARCH_CANDIDATES_LEAFWISE)
     assert len(cands) == 20 and cands == train.sample_candidates(presets.SEARCH_SPACE_LEAFWISE, 20)
+
+
+def test_nan_takes_no_branch_on_both_sides_of_the_switch(spark):
+    from stayput.operators import score
+
+    df = spark.createDataFrame([(0.0, 1), (2.0, 1), (float("nan"), 1), (None, 1)], "x double, y int")
+    for op in (">", ">=", "<", "<=", "=", "!="):
+        tree = [(0, 0, "x", op, "1.0", 1, 2, None), (0, 1, "y", ">", "0", 3, 2, None), (0, 2, None, None, None, None, None, 0.0),
+                (0, 3, None, None, None, None, None, 1.0)]
+        got = [[r.raw_score / n for r in score.ensemble_score(df, score.weighted_copies(tree, [1.0] * n)).collect()] for n in (1, score.TREES_COMPILED + 1)]
+        assert got[0] == got[1] and got[0][2:] == [0.0, 0.0], op
