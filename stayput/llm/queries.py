@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from stayput.llm import embeddings, exact_dedup, language, licenses, lines, mixing, packing, quality, sharding, simhash
+from stayput.llm import audit, embeddings, exact_dedup, language, licenses, lines, mixing, packing, quality, sharding, simhash
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_exact_dedup": exact_dedup.op8_exact_dedup,
     "op9_language_id": language.op9_language_id,
     "op10_packing": packing.op10_packing,
+    "op12_filter_audit": audit.op12_filter_audit,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE = {"op8_exact_dedup": exact_dedup.OP8_SQL}
+ORACLE = {"op8_exact_dedup": exact_dedup.OP8_SQL, "op12_filter_audit": audit.OP12_SQL}
