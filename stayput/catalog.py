@@ -10,15 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayput import presets
-from stayput.operators import clean, decide, encode, evaluate, features, portfolio, score, split, train
+from stayput.operators import boost, clean, decide, encode, evaluate, features, portfolio, score, split, train
 from stayput.plans import training
 from stayput.plans.feature_plan import FeaturePlan
 from stayput.session import scratch, table_path
-from stayput.sources import io
+from stayput.sources import io, versions
 from stayput.sources.subscribers import subscribers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -627,22 +628,36 @@ def d10_impact_text(spark, sf):
 _TRAINED: dict = {}
 
 
+def searched(spark: SparkSession, sf: str):
+    """Two small candidates on all five folds, per (session, scale); ``training.fit``'s own defaults are the full search."""
+    key = ("search", spark.sparkContext.applicationId, sf)
+    if key not in _TRAINED:
+        _TRAINED[key] = training.search(_records(spark, sf), space=training.SMALL_SEARCH, n_candidates=2)
+    return _TRAINED[key]
+
+
+#: The final fit of the shared model, from the full search space.
+FINAL = {"n_estimators": 500, "max_depth": 5, "learning_rate": 0.1}
+
+
 def trained(spark: SparkSession, sf: str):
-    """One small trained model per (session, scale), shared by the training queries."""
-    key = (spark.sparkContext.applicationId, sf)
+    """One trained model per (session, scale), shared by the training queries: rounds and patience of the full flow."""
+    key = ("model", spark.sparkContext.applicationId, sf)
     if key not in _TRAINED:
-        # smoke-sized on purpose; training.fit's own defaults are the full search
-        _TRAINED[key] = training.fit(_records(spark, sf), space=training.SMALL_SEARCH, n_candidates=2, k=2)
+        _TRAINED[key] = training.finish(searched(spark, sf), final=FINAL)
     return _TRAINED[key]
 
 
+def _fit_log(spark, sf):
+    found = searched(spark, sf)
+    if found.cv_model is None:
+        raise RuntimeError("the search failed; the final model used the fallback parameters")
+    return train.fit_log(spark, found.cv_model, found.candidates)
+
+
 @query("t6_random_search")
 def t6_random_search(spark, sf):
-    tm = trained(spark, sf)
-    if tm.cv_model is None:
-        raise RuntimeError("the search failed; the final model used the fallback parameters")
-    return train.fit_log(spark, tm.cv_model, tm.candidates) \
-        .select("candidate", "total", "folds", "score", "score_std", "params")
+    return _fit_log(spark, sf).select("candidate", "total", "folds", "score", "score_std", "params")
 
 
 @query("t7_train_boosted")
@@ -655,8 +670,40 @@ def t7_train_boosted(spark, sf):
 @query("t8_cv_auc")
 def t8_cv_auc(spark, sf):
     tm = trained(spark, sf)
-    trn = split.assign_folds(tm.data.where(F.col("split") == "train"), "customerID", "label", k=2)
-    return train.cv_summary(train.cv_auc(trn, tm.params, k=2, ratio=train.class_ratio(trn)))
+    trn = split.assign_folds(tm.data.where(F.col("split") == "train"), "customerID", "label")
+    params = {**tm.params, "n_estimators": max(tm.model.best_round, 1)}     # as many rounds as the model keeps
+    return train.cv_summary(train.cv_auc(trn, params, tm.plan.state.feature_names, ratio=train.class_ratio(trn), key=["customerID"]))
+
+
+#: Bounds of the split-gain queries' bins, so that SQL can cut the same bins.
+GAIN_EDGES = {"tenure": list(range(3, 73, 3)), "MonthlyCharges": list(range(20, 121, 5)), "TotalCharges": list(range(250, 8001, 250)),
+              "SeniorCitizen": [1]}
+GAIN_SETTING = {"n_estimators": 1, "max_depth": 1, "learning_rate": 0.3, "reg_alpha": 0.5, "reg_lambda": 1.5, "min_child_weight": 2}
+
+
+def _gain_rows(spark, sf):
+    s = subscribers(spark, sf)
+    return s.select("customerID", *GAIN_EDGES, (F.col(presets.TARGET) == "Yes").cast("int").alias("label"))
+
+
+@query("t7_split_gains")
+def t7_split_gains(spark, sf):
+    """The regularised gain of every allowed root split of four numeric features with nulls, nulls sent right and left."""
+    rows, names = _gain_rows(spark, sf), list(GAIN_EDGES)
+    edges = [np.array(GAIN_EDGES[c], float) for c in names]
+    gains = boost.root_gains(rows, names, edges, boost.Setting.of(GAIN_SETTING))
+    return gains.select("feature", "threshold", "nulls_left", F.round("gain", 4).alias("gain"), "n_left", "n_right")
+
+
+@query("m1_one_round_predict")
+def m1_one_round_predict(spark, sf):
+    """M1: a one-round ensemble is fitted, written as a tree table, read back and applied."""
+    rows, names = _gain_rows(spark, sf), list(GAIN_EDGES)
+    model = boost.fit(rows, names, GAIN_SETTING, key=["customerID"], edges=[np.array(GAIN_EDGES[c], float) for c in names])
+    path = f"{scratch(spark, 'trees')}/model"
+    boost.model_table(spark, model).write.parquet(path)
+    out = score.score_ensemble(rows, spark.read.parquet(path))
+    return out.select("customerID", r6("probability").alias("probability"), "prediction")
 
 
 @query("t10_importance")
@@ -678,7 +725,7 @@ def t12_training_summary(spark, sf):
     return train.training_summary(spark, {
         "params": tm.params, "features": len(tm.plan.state.feature_names),
         "test_auc": round(ev["roc_auc"], 6), "test_accuracy": round(ev["accuracy"], 6),
-        "trees": tm.model.getNumTrees})
+        "trees": tm.model.best_round})
 
 
 @query("m1_batch_predict")
@@ -699,15 +746,24 @@ def s1_csv_roundtrip(spark, sf):
     return io.read_customers(spark, path)
 
 
+@query("s5_state_equal")
+def s5_state_equal(spark, sf):
+    """Customers whose prediction changes when plan and model are saved as a version and loaded again."""
+    tm = trained(spark, sf)
+    root = scratch(spark, "versions")
+    versions.save(spark, root, tm.plan, tm.model, tm.labels)
+    again = training.predict(versions.load(spark, root), _records(spark, sf)).select("customerID", F.col("probability").alias("p"), F.col("prediction").alias("q"))
+    both = training.predict(tm, _records(spark, sf)).join(again, "customerID")
+    off = (F.abs(F.col("probability") - F.col("p")) > 1e-9) | (F.col("prediction") != F.col("q"))
+    return both.agg(F.count(F.lit(1)).alias("customers"), F.count_if(off).alias("differing"))
+
+
 @query("s5_state_roundtrip")
 def s5_state_roundtrip(spark, sf):
     tm = trained(spark, sf)
-    path = scratch(spark, "state")
-    io.save_state(tm.plan.state_tables(spark), path, tm.model)
-    tables, model = io.load_state(spark, path)
-    plan = FeaturePlan.from_tables(tables)
-    reloaded = training.TrainedModel(plan, model, tm.params, tm.candidates, tm.cv_model, tm.data, tm.labels)
-    return training.predict(reloaded, _records(spark, sf)).select("customerID", "probability", "prediction")
+    root = scratch(spark, "state")
+    versions.save(spark, root, tm.plan, tm.model, tm.labels)
+    return training.predict(versions.load(spark, root), _records(spark, sf)).select("customerID", "probability", "prediction")
 
 
 def subscriber_records_json(spark, sf) -> DataFrame:
@@ -843,10 +899,7 @@ def a5_batch_report_trained(spark, sf):
 @query("t9_fit_log")
 def t9_fit_log(spark, sf):
     """One row per candidate (folds counted separately) with a timestamp (rows-only check)."""
-    tm = trained(spark, sf)
-    if tm.cv_model is None:
-        raise RuntimeError("the search failed; the final model used the fallback parameters")
-    return train.fit_log(spark, tm.cv_model, tm.candidates)
+    return _fit_log(spark, sf)
 
 
 @query("s3_fit_log_append")

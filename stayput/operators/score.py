@@ -11,6 +11,7 @@ from __future__ import annotations
 import operator
 from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,7 @@ from pyspark.sql.functions import pandas_udf
 
 from stayput import presets
 from stayput.functions.columns import sigmoid
+from stayput.session import ship
 
 TREE_SCHEMA = T.StructType([
     T.StructField("tree", T.IntegerType()),
@@ -114,6 +116,9 @@ def ensemble_score(df: DataFrame, trees, out: str = "raw_score") -> DataFrame:
             total = e if total is None else total + e
         return df.withColumn(out, total)
     flat = FlatTrees(df, rows)
+    if not flat.features:  # leaves alone
+        return df.withColumn(out, F.lit(float(sum(flat.leaf[flat.roots]))))
+    ship(df.sparkSession)
 
     @pandas_udf("double")
     def walk(cols: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
@@ -123,6 +128,16 @@ def ensemble_score(df: DataFrame, trees, out: str = "raw_score") -> DataFrame:
     return df.withColumn(out, walk(*[F.col(c) for c in flat.features]))
 
 
+@dataclass
+class TreeModel:
+    """A saved ensemble: the rows of its tree table."""
+
+    table: list[tuple]
+
+    def rows(self) -> list[tuple]:
+        return self.table
+
+
 class FlatTrees:
     """All nodes in arrays. Each distinct test (feature, operator, value) is evaluated once per batch; a missing value (null or
     NaN) fails every test and so takes the "no" branch, as in the compiled form."""
@@ -186,14 +201,16 @@ def score_ensemble(df: DataFrame, trees, threshold: float = 0.5) -> DataFrame:
 
 def score_model(df: DataFrame, model, features_col: str = "features",
                 labels: list[str] | None = None) -> DataFrame:
-    """M1: apply a fitted MLlib classifier; keeps every input column (M6).
+    """M1: apply a fitted model; keeps every input column (M6).
 
-    Adds ``probability`` = P(class 1) and ``prediction`` (decoded through
-    ``labels`` when given, e.g. ["No", "Yes"]).
+    The model is a boosted ensemble or a loaded ``TreeModel``, scored through its tree table from the feature columns, or an
+    MLlib classifier on ``features_col``. Adds ``probability`` = P(class 1) and ``prediction`` (decoded through ``labels``
+    when given, e.g. ["No", "Yes"]).
     """
-    scored = model.transform(df)
-    scored = scored.withColumn("probability", vector_to_array("probability")[1]) \
-        .drop("rawPrediction")
+    if hasattr(model, "rows"):
+        scored = score_ensemble(df, model.rows()).drop("raw_score")
+    else:
+        scored = model.transform(df).withColumn("probability", vector_to_array("probability")[1]).drop("rawPrediction")
     if labels is not None:
         lut = F.array(*[F.lit(x) for x in labels])
         scored = scored.withColumn("prediction", F.element_at(lut, F.col("prediction").cast("int") + 1))

@@ -1,8 +1,7 @@
-"""Training with MLlib gradient-boosted trees.
+"""Training (T6-T12) around the boosted trees of ``boost``; MLlib's trees are kept as a yardstick.
 
-Every fit is itself distributed (executors build split histograms);
-the random search fits each candidate on each stratified fold's rest and
-takes the exact AUC of the fold, ``parallelism`` fits at a time.
+Every fit is itself distributed (executors build split histograms). The random search fits each candidate on each stratified fold's
+rest, many fits a pass, and takes the exact AUC of all held-out folds from one long table.
 The search space is a small list of parameter maps built on the driver.
 """
 
@@ -12,24 +11,26 @@ import math
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark import inheritable_thread_target
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayput import presets
+from stayput.operators import boost
 from stayput.operators.encode import assemble
 from stayput.operators.evaluate import ranking_metrics
 
+#: Fits that grow side by side: each adds 8 bytes to every row that is kept.
+FITS_AT_ONCE = 25
+
 
 def gbt_params(p: Mapping) -> dict:
     """Map booster-style names onto GBTClassifier params (nearest equivalents).
 
     ``num_leaves``, ``reg_alpha``, ``reg_lambda``, ``max_leaves`` have no MLlib
-    counterpart and are dropped.
+    counterpart and are dropped; ``boost.Setting`` takes them all.
     """
     out = {}
     if "n_estimators" in p:
@@ -55,14 +56,12 @@ def gbt_params(p: Mapping) -> dict:
 
 
 def classifier(features_col: str = "features", label_col: str = "label", weight_col: str | None = None,
-               validation_col: str | None = None, seed: int = presets.SEED, **params) -> GBTClassifier:
+               seed: int = presets.SEED, **params) -> GBTClassifier:
     gbt = GBTClassifier(featuresCol=features_col, labelCol=label_col, seed=seed,
                         maxBins=presets.MAX_BINS, lossType="logistic", cacheNodeIds=True,
                         checkpointInterval=10, maxMemoryInMB=512)
     if weight_col:
         gbt.setWeightCol(weight_col)
-    if validation_col:
-        gbt.setValidationIndicatorCol(validation_col)
     return gbt.setParams(**params) if params else gbt
 
 
@@ -110,26 +109,40 @@ class Search:
         return self.folds
 
 
-def random_search(df: DataFrame, candidates: list[dict], features_col: str = "features",
-                  label_col: str = "label", fold_col: str = "fold", ratio: float = 1.0,
-                  parallelism: int = 2, seed: int = presets.SEED, num_folds: int = presets.CV_FOLDS) -> Search:
-    """Exact held-out ROC AUC of each candidate and fold; no refit of the best one.
+def held_out_auc(df: DataFrame, candidates: Sequence[Mapping], features: Sequence[str], label: str = "label", fold_col: str = "fold",
+                 ratio: float = 1.0, num_folds: int = presets.CV_FOLDS, key: Sequence[str] = (), at_once: int = FITS_AT_ONCE,
+                 seed: int = presets.SEED) -> DataFrame:
+    """(candidate, fold, roc_auc): exact held-out ROC AUC (ties half) of each candidate and fold, from one table and one job.
 
-    ``ratio`` weighs positive rows, or a candidate's own ``scale_pos_weight``. ``parallelism`` fits run at a time.
+    Rows are binned once. ``at_once`` fits grow side by side and share each pass over the rows; all held-out scores then form one long
+    table, whose metrics are taken by (candidate, fold). A fold whose held-out rows are of one class has a null AUC.
     """
+    bounds = boost.fit_edges(df, features)
+    held = boost.blocks(df, features, bounds, label, fold_col, key=key).persist(StorageLevel.MEMORY_AND_DISK)
+    places = [(c, f) for c in range(len(candidates)) for f in range(num_folds)]
+    models = []
+    for k in range(0, len(places), at_once):
+        jobs = [boost.Job(boost.Setting.of(candidates[c], ratio), [x for x in range(num_folds) if x != f]) for c, f in places[k:k + at_once]]
+        models += boost.fit_many(held, features, bounds, jobs, seed)
+    out = ranking_metrics(boost.held_out(held, models, places), "label", "score", by=["candidate", "fold"]) \
+        .select("candidate", "fold", "roc_auc").persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    held.unpersist()
+    return out
+
+
+def random_search(df: DataFrame, candidates: Sequence[Mapping], features: Sequence[str], label: str = "label", fold_col: str = "fold",
+                  ratio: float = 1.0, num_folds: int = presets.CV_FOLDS, key: Sequence[str] = (), at_once: int = FITS_AT_ONCE,
+                  seed: int = presets.SEED) -> Search:
+    """Mean and deviation of each candidate's held-out AUCs; no refit of the best one.
 
-    def one(job) -> float:
-        cand, fold = job
-        weighed = df.withColumn("weight", weight_column(cand.get("scale_pos_weight") or ratio, label_col))
-        gbt = classifier(features_col, label_col, "weight", seed=seed, **gbt_params(cand))
-        held = gbt.fit(weighed.where(F.col(fold_col) != fold)).transform(df.where(F.col(fold_col) == fold)) \
-            .withColumn("p1", vector_to_array("probability")[1])
-        return ranking_metrics(held, label_col, "p1").first()["roc_auc"]
-
-    jobs = [(c, f) for c in candidates for f in range(num_folds)]
-    with ThreadPool(max(1, parallelism)) as pool:
-        auc = pool.map(inheritable_thread_target(df.sparkSession)(one), jobs)
-    per = [[a for a in auc[i * num_folds:(i + 1) * num_folds] if a is not None] for i in range(len(candidates))]
+    ``ratio`` weighs positive rows, or a candidate's own ``scale_pos_weight``. One small row per candidate and fold reaches the driver.
+    """
+    auc = held_out_auc(df, candidates, features, label, fold_col, ratio, num_folds, key, at_once, seed)
+    per: list[list[float]] = [[] for _ in candidates]
+    for r in auc.where("roc_auc IS NOT NULL").orderBy("candidate", "fold").collect():
+        per[r["candidate"]].append(r["roc_auc"])
+    auc.unpersist()
     mean = [sum(x) / len(x) if x else float("-inf") for x in per]
     std = [math.sqrt(sum((a - m) ** 2 for a in x) / len(x)) if x else None for x, m in zip(per, mean)]
     return Search(mean, std, num_folds)
@@ -149,31 +162,16 @@ def fit_log(spark: SparkSession, cv_model, candidates: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, schema).withColumn("ts", F.current_timestamp())
 
 
-def train_boosted(df: DataFrame, params: Mapping, features_col: str = "features", label_col: str = "label",
-                  weight_col: str | None = None, validation_col: str | None = None,
-                  validation_tol: float = 1e-4) -> GBTClassificationModel:
-    """Boosted trees with logistic loss; early stop on the rows flagged by ``validation_col``."""
-    gbt = classifier(features_col, label_col, weight_col, validation_col, **gbt_params(params))
-    if validation_col:
-        gbt.setParams(validationTol=validation_tol)
-    return gbt.fit(df)
-
-
-def cv_auc(df: DataFrame, params: Mapping, features_col: str = "features", label_col: str = "label",
-           fold_col: str = "fold", k: int = presets.CV_FOLDS, ratio: float = 1.0) -> DataFrame:
-    """Per-fold held-out ROC AUC (exact, ties half), positives weighed as in the final fit."""
-    per_fold = []
-    df = df.withColumn("weight", weight_column(params.get("scale_pos_weight") or ratio, label_col))
-    for f in range(k):
-        model = train_boosted(df.where(F.col(fold_col) != f), params, features_col, label_col, weight_col="weight")
-        held = model.transform(df.where(F.col(fold_col) == f)) \
-            .withColumn("p1", vector_to_array("probability")[1])
-        m = ranking_metrics(held, label_col, "p1").select(F.lit(f).alias("fold"), "roc_auc")
-        per_fold.append(m)
-    out = per_fold[0]
-    for m in per_fold[1:]:
-        out = out.unionByName(m)
-    return out
+def train_mllib(df: DataFrame, params: Mapping, features_col: str = "features", label_col: str = "label",
+                weight_col: str | None = None) -> GBTClassificationModel:
+    """MLlib's first-order boosted trees with the nearest parameters, as a yardstick for ``boost.fit``."""
+    return classifier(features_col, label_col, weight_col, **gbt_params(params)).fit(df)
+
+
+def cv_auc(df: DataFrame, params: Mapping, features: Sequence[str], label: str = "label", fold_col: str = "fold",
+           k: int = presets.CV_FOLDS, ratio: float = 1.0, key: Sequence[str] = ()) -> DataFrame:
+    """(fold, roc_auc) on held-out folds, all rounds of each fit, the folds side by side; positives weighed as in the final fit."""
+    return held_out_auc(df, [params], features, label, fold_col, ratio, k, key, at_once=k).select("fold", "roc_auc")
 
 
 def cv_summary(folds: DataFrame) -> DataFrame:
@@ -181,18 +179,18 @@ def cv_summary(folds: DataFrame) -> DataFrame:
 
 
 def importance(spark: SparkSession, model, names: Sequence[str], n: int | None = None) -> DataFrame:
-    """Feature importances sorted descending (top n)."""
-    imp = model.featureImportances.toArray().tolist()
+    """Feature importances (share of the total gain) sorted descending (top n)."""
+    imp = model.importances() if isinstance(model, boost.Boosted) else model.featureImportances.toArray().tolist()
     df = spark.createDataFrame([(nm, float(v)) for nm, v in zip(names, imp)], "feature string, importance double")
     df = df.orderBy(F.desc("importance"), "feature")
     return df.limit(n) if n else df
 
 
-def early_stop_info(spark: SparkSession, model, max_iter: int) -> DataFrame:
-    """Trees built vs. requested and whether training stopped early."""
-    built = model.getNumTrees
-    return spark.createDataFrame([(built, max_iter, built < max_iter)],
-                                 "trees_built int, max_iter int, stopped_early boolean")
+def early_stop_info(spark: SparkSession, model: boost.Boosted, max_iter: int) -> DataFrame:
+    """The best round (which the model keeps), the rounds built, those asked for, whether training stopped early, the best loss."""
+    best = min(model.losses) if model.losses else None
+    return spark.createDataFrame([(model.best_round, model.rounds_built, max_iter, model.stopped, best)],
+                                 "best_round int, rounds_built int, max_iter int, stopped_early boolean, best_loss double")
 
 
 def training_summary(spark: SparkSession, info: Mapping) -> DataFrame:

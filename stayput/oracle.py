@@ -776,3 +776,48 @@ SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0E0 AS fpr, 0.0E0 AS tpr
 UNION ALL
 SELECT round(score, 6), round(fp / CAST(N AS DOUBLE), 6), round(tp / CAST(P AS DOUBLE), 6) FROM cum, tot
 WHERE rn = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg"""))
+
+# ---------------------------------------------------------------------------
+# Split gains and a one-round ensemble in SQL; a saved version predicts the same
+# ---------------------------------------------------------------------------
+GAINS = SUBSCRIBERS + """, numbered AS (
+  SELECT customerID, CASE WHEN Departed = 'Yes' THEN 1 ELSE 0 END AS label, CAST(tenure AS DOUBLE) AS tenure, MonthlyCharges, TotalCharges,
+    CAST(SeniorCitizen AS DOUBLE) AS SeniorCitizen FROM subscribers
+), mean AS (SELECT CAST(sum(label) AS DOUBLE) / count(*) AS p, ln(CAST(sum(label) AS DOUBLE) / sum(1 - label)) AS base FROM numbered
+), graded AS (
+  SELECT n.*, round((p - label) * 16777216) / 16777216 AS g, round(p * (1 - p) * 16777216) / 16777216 AS h FROM numbered n, mean
+), long AS (
+  SELECT 1 AS f, 'tenure' AS feature, tenure AS x, g, h FROM graded UNION ALL SELECT 2, 'MonthlyCharges', MonthlyCharges, g, h FROM graded
+  UNION ALL SELECT 3, 'TotalCharges', TotalCharges, g, h FROM graded UNION ALL SELECT 4, 'SeniorCitizen', SeniorCitizen, g, h FROM graded
+), cuts AS (
+  SELECT 1 AS f, CAST(unnest(range(3, 73, 3)) AS DOUBLE) AS threshold UNION ALL SELECT 2, CAST(unnest(range(20, 121, 5)) AS DOUBLE)
+  UNION ALL SELECT 3, CAST(unnest(range(250, 8001, 250)) AS DOUBLE) UNION ALL SELECT 4, CAST(1 AS DOUBLE)
+  UNION ALL SELECT unnest([1, 2, 3, 4]), CAST('inf' AS DOUBLE)
+), sums AS (
+  SELECT f, feature, threshold, sum(g) AS g, sum(h) AS h, count(*) AS n, coalesce(sum(g) FILTER (WHERE x < threshold), 0) AS gl,
+    coalesce(sum(h) FILTER (WHERE x < threshold), 0) AS hl, count(*) FILTER (WHERE x < threshold) AS nl,
+    coalesce(sum(g) FILTER (WHERE x IS NULL), 0) AS gm, coalesce(sum(h) FILTER (WHERE x IS NULL), 0) AS hm, count(*) FILTER (WHERE x IS NULL) AS nm
+  FROM long JOIN cuts USING (f) GROUP BY f, feature, threshold
+), sided AS (
+  SELECT f, feature, threshold, false AS nulls_left, g, h, n, gl, hl, nl FROM sums
+  UNION ALL SELECT f, feature, threshold, true, g, h, n, gl + gm, hl + hm, nl + nm FROM sums WHERE threshold < CAST('inf' AS DOUBLE)
+), gains AS (
+  SELECT *, pow(greatest(abs(gl) - 0.5, 0), 2) / (hl + 1.5) + pow(greatest(abs(g - gl) - 0.5, 0), 2) / (h - hl + 1.5)
+    - pow(greatest(abs(g) - 0.5, 0), 2) / (h + 1.5) AS gain
+  FROM sided WHERE hl >= 2 AND h - hl >= 2 AND nl >= 1 AND n - nl >= 1
+)"""
+register("t7_split_gains", with_ctes(GAINS, """
+SELECT feature, CASE WHEN threshold < CAST('inf' AS DOUBLE) THEN threshold END AS threshold, nulls_left, round(gain, 4) AS gain,
+  CAST(nl AS BIGINT) AS n_left, CAST(n - nl AS BIGINT) AS n_right FROM gains"""))
+register("m1_one_round_predict", with_ctes(GAINS + """, best AS (
+  SELECT * FROM gains ORDER BY gain DESC, f, threshold, nulls_left LIMIT 1
+), leaves AS (
+  SELECT feature, threshold, nulls_left, -0.3 * sign(gl) * greatest(abs(gl) - 0.5, 0) / (hl + 1.5) AS yes,
+    -0.3 * sign(g - gl) * greatest(abs(g - gl) - 0.5, 0) / (h - hl + 1.5) AS no FROM best
+), tested AS (
+  SELECT customerID, base, yes, no, nulls_left, threshold, CASE feature WHEN 'tenure' THEN tenure WHEN 'MonthlyCharges' THEN MonthlyCharges
+    WHEN 'TotalCharges' THEN TotalCharges ELSE SeniorCitizen END AS x FROM numbered, mean, leaves
+), scored AS (
+  SELECT customerID, 1 / (1 + exp(-(base + CASE WHEN coalesce(x < threshold, nulls_left) THEN yes ELSE no END))) AS p FROM tested
+)""", "SELECT customerID, round(p, 6) AS probability, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS prediction FROM scored"))
+register("s5_state_equal", "SELECT count(*) AS customers, CAST(0 AS BIGINT) AS differing FROM customer")

@@ -229,8 +229,17 @@ SEARCH_SPACE = {
     "colsample_bytree": [0.70, 0.80, 0.85, 0.90],
     "min_child_weight": [1, 2, 3, 5],
     "gamma": [0.0, 0.05, 0.1, 0.2],
+    "reg_alpha": [0.0, 0.1, 0.5, 1.0],
+    "reg_lambda": [1.0, 1.5, 2.0, 3.0],
+    "max_leaves": [32, 64],
     "scale_pos_weight": [1.0, None],      # None: negatives per positive of the train rows
 }
+# every fit starts from these; a candidate's own values replace them
+BASE_PARAMS = {
+    "n_estimators": 1000, "max_depth": 8, "learning_rate": 0.05, "min_child_weight": 2,
+    "subsample": 0.85, "colsample_bytree": 0.85, "gamma": 0.1, "reg_alpha": 0.1, "reg_lambda": 1.5,
+    "grow_policy": "lossguide", "max_leaves": 64,
+}
 FALLBACK_PARAMS = {
     "n_estimators": 1000, "max_depth": 8, "learning_rate": 0.05,
     "subsample": 0.85, "colsample_bytree": 0.85, "min_child_weight": 2, "gamma": 0.1,
@@ -248,6 +257,7 @@ SEARCH_SPACE_LEAFWISE = {
     "scale_pos_weight": [1.0, None],
 }
 SEARCH_CANDIDATES_LEAFWISE = 20
+BASE_PARAMS_LEAFWISE = {"n_estimators": 400, "max_depth": -1, "num_leaves": 31, "learning_rate": 0.1, "reg_lambda": 0.0, "min_child_weight": 1e-3}
 FALLBACK_PARAMS_LEAFWISE = {
     "n_estimators": 400, "max_depth": 6, "learning_rate": 0.1, "subsample": 0.8,
     "colsample_bytree": 0.8, "min_child_samples": 20, "num_leaves": 31,

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from stayput import presets
 from stayput.operators.clean import nan_to_null
+from stayput.operators.score import TreeModel, as_table, tree_rows
 
 SUBSCRIBER_SCHEMA = T.StructType(
     [T.StructField("customerID", T.StringType()), T.StructField("gender", T.StringType()),
@@ -34,6 +35,39 @@ def read_customers(spark: SparkSession, path: str, fmt: str = "csv",
     return df.select(*[nan_to_null(c).alias(c) if c in floating else F.col(c) for c in df.columns])
 
 
+#: Types that an inferred column may have, narrowest first; what fits none is text.
+INFERRED = ("int", "bigint", "double", "date", "timestamp", "boolean")
+
+
+def read_inferred(spark: SparkSession, path: str, sample_rows: int = 10_000, null_value: str = "", **options) -> tuple[DataFrame, DataFrame]:
+    """S1 for a foreign CSV: (typed rows, report of one row per column: column, type, cells, nulls, bad, example).
+
+    Each column gets the narrowest of INFERRED that all its values in the first ``sample_rows`` rows can be cast to (text if none, or if
+    the sample holds no value). Then one pass over all rows counts the cells that do not cast; they read as null, and ``bad`` says so.
+    """
+    raw = spark.read.option("header", True).option("nullValue", null_value).options(**options).csv(path)
+    names = raw.columns
+
+    def cell(c):
+        return F.trim(F.col(f"`{c}`"))
+
+    def fits(c, kind):
+        return F.count_if(F.expr(f"try_cast(trim(`{c}`) AS {kind})").isNotNull())
+
+    seen = raw.limit(sample_rows).agg(*[F.count(cell(c)).alias(f"n{i}") for i, c in enumerate(names)],
+                                      *[fits(c, k).alias(f"{k}{i}") for i, c in enumerate(names) for k in INFERRED]).first()
+    kinds = {c: next((k for k in INFERRED if seen[f"n{i}"] and seen[f"{k}{i}"] == seen[f"n{i}"]), "string") for i, c in enumerate(names)}
+    typed = raw.select(*[F.expr(f"try_cast(trim(`{c}`) AS {kinds[c]})").alias(c) if kinds[c] != "string" else F.col(f"`{c}`") for c in names])
+    bad = {c: F.expr(f"try_cast(trim(`{c}`) AS {kinds[c]})").isNull() & F.col(f"`{c}`").isNotNull() if kinds[c] != "string" else F.lit(False) for c in names}
+    counted = raw.agg(F.count(F.lit(1)).alias("cells"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls{i}") for i, c in enumerate(names)],
+                      *[F.count_if(bad[c]).alias(f"bad{i}") for i, c in enumerate(names)],
+                      *[F.min(F.when(bad[c], F.col(f"`{c}`"))).alias(f"example{i}") for i, c in enumerate(names)])
+    report = counted.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(kinds[c]).alias("type"), F.col("cells"), F.col(f"nulls{i}").alias("nulls"),
+                 F.col(f"bad{i}").alias("bad"), F.col(f"example{i}").alias("example")) for i, c in enumerate(names)])).alias("r")).select("r.*")
+    return typed, report
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrite") -> None:
     """Header CSV (or parquet / json). Never overwrite a path that ``df`` itself reads."""
     w = df.write.mode(mode)
@@ -56,24 +90,35 @@ def write_metrics(df: DataFrame, path: str) -> None:
 
 
 def save_state(tables: dict[str, DataFrame], path: str, model=None) -> None:
-    """Fitted state as small parquet tables (+ the MLlib model)."""
+    """Fitted state as small parquet tables, with the model: a boosted ensemble as its tree table, an MLlib model in its own form.
+
+    ``versions.save`` writes the same as a version that readers see only once it is complete.
+    """
     for name, t in tables.items():
         t.write.mode("overwrite").parquet(f"{path}/state/{name}")
-    if model is not None:
+        spark = t.sparkSession
+    if hasattr(model, "rows"):
+        as_table(spark, model.rows()).write.mode("overwrite").parquet(f"{path}/trees")
+    elif model is not None:
         model.write().overwrite().save(f"{path}/model")
 
 
 def load_state(spark: SparkSession, path: str, names=("encoders", "impute", "stats", "features", "columns")):
     from pyspark.ml.classification import GBTClassificationModel
     tables = {n: spark.read.parquet(f"{path}/state/{n}") for n in names}
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/model")
-    saved = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-    return tables, GBTClassificationModel.load(f"{path}/model") if saved else None
+
+    def saved(kind: str) -> bool:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{kind}")
+        return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+    if saved("trees"):
+        return tables, TreeModel(tree_rows(spark.read.parquet(f"{path}/trees")))
+    return tables, GBTClassificationModel.load(f"{path}/model") if saved("model") else None
 
 
 def latest_version(registry: DataFrame, key: str = "path", ts: str = "saved_at") -> DataFrame:
-    """The most recently saved entry (one aggregation; no driver-side sort)."""
-    return registry.agg(F.max_by(key, ts).alias(key), F.max(ts).alias(ts))
+    """The most recently saved entry (one aggregation; no driver-side sort); of equal times the greatest key."""
+    return registry.agg(F.max_by(key, F.struct(ts, key)).alias(key), F.max(ts).alias(ts))
 
 
 def parse_records(df: DataFrame, value: str = "value", schema: T.StructType = RECORD_SCHEMA,

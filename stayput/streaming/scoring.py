@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stayput.operators import decide
+from stayput.plans import training
+from stayput.sources import versions
 from stayput.sources.io import CORRUPT, RECORD_SCHEMA, json_struct
 
 STREAM_SCHEMA = T.StructType([T.StructField("customerID", T.StringType()), *RECORD_SCHEMA.fields])
@@ -32,13 +34,34 @@ def parse_stream(raw: DataFrame, schema: T.StructType = STREAM_SCHEMA) -> DataFr
                          *[f"r.{f.name}" for f in schema.fields])
 
 
+def newest_scorer(spark: SparkSession, root: str) -> Callable[[DataFrame], DataFrame]:
+    """A scorer that looks up the newest complete version under ``root`` each time it is applied, so once per micro-batch.
+
+    A running stream takes a new model between two batches, never within one; a version is read once. The rows
+    also get ``model_version``, the name of its folder.
+    """
+    held: dict[str, Callable] = {}
+
+    def scorer(df: DataFrame) -> DataFrame:
+        path = versions.newest(spark, root)
+        if path is None:
+            raise FileNotFoundError(f"no complete version under {root}")
+        if path not in held:
+            model = training.model_scorer(versions.load(spark, root, path))
+            held.clear()
+            held[path] = model
+        return held[path](df).withColumn("model_version", F.lit(path.rsplit("/", 1)[-1]))
+
+    return scorer
+
+
 def score_stream(spark: SparkSession, source_dir: str, scorer: Callable[[DataFrame], DataFrame],
                  sink_dir: str, checkpoint_dir: str, reject_dir: str | None = None,
                  available_now: bool = True, max_files_per_trigger: int = 1000):
     """Start the scoring stream; returns the ``StreamingQuery``.
 
     ``scorer`` maps parsed records to records + ``probability``; ``training.model_scorer`` imputes and
-    encodes through the fitted plan. A record needs no id; only text that does not parse is rejected.
+    encodes through the fitted plan, ``newest_scorer`` takes up new models as they are saved. A record needs no id; only text that does not parse is rejected.
     """
     raw = (spark.readStream.schema("value string").option("maxFilesPerTrigger", max_files_per_trigger)
            .text(source_dir))
