@@ -595,7 +595,7 @@ def d5_risk_drivers(spark, sf):
 
 @query("d6_retention_playbook")
 def d6_retention_playbook(spark, sf):
-    return decide.retention_playbook(scored_subscribers(spark, sf)).select("customerID", "position", "title", "priority")
+    return decide.retention_playbook(scored_subscribers(spark, sf)).select("customerID", "position", "title", "detail", "priority")
 
 
 @query("d7_scenario_impact")
@@ -887,13 +887,19 @@ def d7_scenario_impact_trained(spark, sf):
     return imp.select("customerID", "action", "new_probability", "delta", "attrition_probability_pct", "reduction_pp")
 
 
+@query("a5_report_sections")
+def a5_report_sections(spark, sf):
+    """A5: KPIs, tiers, histogram and top customers of the report, counted while the scored table is written."""
+    from stayput.plans.batch_report import batch_report, sections
+    return sections(batch_report(scored_subscribers(spark, sf))).withColumn("value", r6("value"))
+
+
 @query("a5_batch_report_trained")
 def a5_batch_report_trained(spark, sf):
-    """A5 with the trained model: score all subscribers, then the KPI row (rows-only check)."""
-    from stayput.plans.batch_report import batch_report
+    """A5 with the trained model: score all subscribers, then all summaries (rows-only check)."""
+    from stayput.plans.batch_report import batch_report, sections
     tm = trained(spark, sf)
-    scored = decide.with_value_at_risk(training.model_scorer(tm)(_records(spark, sf)))
-    return batch_report(scored)["kpis"]
+    return sections(batch_report(decide.with_value_at_risk(training.model_scorer(tm)(_records(spark, sf)))))
 
 
 @query("t9_fit_log")

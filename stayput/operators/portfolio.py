@@ -10,20 +10,22 @@ from stayput import presets
 MONEY = "decimal(38,2)"
 
 
-def kpis(scored: DataFrame, p: str = "probability") -> DataFrame:
-    """A1: customers, predicted leavers and share (p >= 0.5), HIGH+CRITICAL count, CLV at risk.
-
-    Money is summed as DECIMAL so the total does not depend on summation order.
-    """
+def kpi_columns(p: str = "probability") -> list:
+    """The aggregates of A1. Money is summed as DECIMAL so the total does not depend on summation order."""
     n = F.count(F.lit(1))
     pred = F.count_if(F.col(p) >= presets.DECISION_THRESHOLD)
-    return scored.agg(
+    return [
         n.alias("customers"),
         pred.alias("predicted_attrition"),
         F.try_divide(pred.cast("double") * 100, n.cast("double")).alias("predicted_attrition_pct"),
         F.count_if(F.col("risk_tier").isin("HIGH", "CRITICAL")).alias("high_critical"),
         F.sum(F.col("clv_at_risk").cast(MONEY)).cast("double").alias("clv_at_risk_total"),
-    )
+    ]
+
+
+def kpis(scored: DataFrame, p: str = "probability") -> DataFrame:
+    """A1: customers, predicted leavers and share (p >= 0.5), HIGH+CRITICAL count, CLV at risk."""
+    return scored.agg(*kpi_columns(p))
 
 
 def tier_order(spark: SparkSession) -> DataFrame:
@@ -47,10 +49,14 @@ def tier_distribution(scored: DataFrame) -> DataFrame:
             .orderBy("tier_rank"))
 
 
+def histogram_bin(pct: str = "attrition_probability", bins: int = 30):
+    return F.least(F.lit(bins - 1), F.greatest(F.lit(0), F.floor(F.col(pct) / F.lit(100.0 / bins)).cast("int")))
+
+
 def probability_histogram(scored: DataFrame, pct: str = "attrition_probability", bins: int = 30) -> DataFrame:
     """A3: fixed-width histogram of the percent probability on [0, 100], ``bins`` bins."""
     width = 100.0 / bins
-    b = F.least(F.lit(bins - 1), F.greatest(F.lit(0), F.floor(F.col(pct) / F.lit(width)).cast("int")))
+    b = histogram_bin(pct, bins)
     return (scored.where(F.col(pct).isNotNull())
             .groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("customers"))
             .select("bin", (F.col("bin") * F.lit(width)).alias("bin_start"), "customers")

@@ -634,7 +634,7 @@ SELECT customerID, CAST(row_number() OVER (PARTITION BY customerID ORDER BY k) A
 
 
 def _playbook_sql() -> str:
-    pb = {k: (t, p) for k, t, _d, p in presets.PLAYBOOK}
+    pb = {k: (t, d, p) for k, t, d, p in presets.PLAYBOOK}
     nosub = "{c} IN ('No', 'No internet service') AND (InternetService IS NULL OR InternetService <> 'No')"
     rules = [
         ("outreach", "probability > 0.70"),
@@ -644,19 +644,20 @@ def _playbook_sql() -> str:
         ("security", nosub.format(c="OnlineSecurity")),
         ("loyalty", "tenure < 12"),
     ]
-    parts = [f"SELECT customerID, {i} AS k, {_lit(pb[key][0])} AS title, {_lit(pb[key][1])} AS priority "
+    parts = [f"SELECT customerID, {i} AS k, {_lit(pb[key][0])} AS title, {_lit(pb[key][1])} AS detail, "
+             f"{_lit(pb[key][2])} AS priority "
              f"FROM scored WHERE {cond}" for i, (key, cond) in enumerate(rules)]
     body = "\n  UNION ALL ".join(parts)
     return f"""acts AS ({body}
 ), allacts AS (
   SELECT * FROM acts
-  UNION ALL SELECT customerID, 99, {_lit(pb['monitor'][0])}, {_lit(pb['monitor'][1])} FROM scored
+  UNION ALL SELECT customerID, 99, {_lit(pb['monitor'][0])}, {_lit(pb['monitor'][1])}, {_lit(pb['monitor'][2])} FROM scored
   WHERE customerID NOT IN (SELECT customerID FROM acts)
 )"""
 
 
 register("d6_retention_playbook", with_ctes(SCORED + ", " + _playbook_sql(), """
-SELECT customerID, CAST(row_number() OVER (PARTITION BY customerID ORDER BY k) AS INT) AS position, title, priority
+SELECT customerID, CAST(row_number() OVER (PARTITION BY customerID ORDER BY k) AS INT) AS position, title, detail, priority
 FROM allacts"""))
 
 
@@ -821,3 +822,19 @@ register("m1_one_round_predict", with_ctes(GAINS + """, best AS (
   SELECT customerID, 1 / (1 + exp(-(base + CASE WHEN coalesce(x < threshold, nulls_left) THEN yes ELSE no END))) AS p FROM tested
 )""", "SELECT customerID, round(p, 6) AS probability, CASE WHEN p >= 0.5 THEN 1 ELSE 0 END AS prediction FROM scored"))
 register("s5_state_equal", "SELECT count(*) AS customers, CAST(0 AS BIGINT) AS differing FROM customer")
+
+register("a5_report_sections", with_ctes(SCORED + """, k AS (
+  SELECT count(*) AS customers, count(*) FILTER (WHERE probability >= 0.5) AS predicted, count(*) FILTER (WHERE risk_tier IN ('HIGH', 'CRITICAL')) AS high,
+    CAST(sum(CAST(clv_at_risk AS DECIMAL(38, 2))) AS DOUBLE) AS clv FROM valued
+), names AS (SELECT * FROM (VALUES (0, 'predicted_attrition'), (1, 'predicted_attrition_pct'), (2, 'high_critical'), (3, 'clv_at_risk_total')) t(position, item)
+), tiers AS (SELECT * FROM (VALUES (0, 'LOW'), (1, 'MEDIUM'), (2, 'HIGH'), (3, 'CRITICAL')) t(position, risk_tier)
+), b AS (
+  SELECT least(29, greatest(0, CAST(floor(attrition_probability / (100.0E0 / 30)) AS INT))) AS bin FROM scored WHERE attrition_probability IS NOT NULL
+), top AS (SELECT customerID, attrition_probability AS p FROM valued ORDER BY p DESC, customerID LIMIT 10
+)""", """
+SELECT 'kpi' AS section, position, item, customers, round(CASE position WHEN 0 THEN CAST(predicted AS DOUBLE) WHEN 1 THEN CAST(predicted AS DOUBLE) * 100 / customers
+  WHEN 2 THEN CAST(high AS DOUBLE) ELSE clv END, 6) AS value FROM k, names
+UNION ALL SELECT 'tier', position, risk_tier, count(v.customerID), round(coalesce(CAST(sum(CAST(v.clv_at_risk AS DECIMAL(38, 2))) AS DOUBLE), 0), 6)
+  FROM tiers LEFT JOIN valued v USING (risk_tier) GROUP BY position, risk_tier
+UNION ALL SELECT 'histogram', bin, '', count(*), round(bin * (100.0E0 / 30), 6) FROM b GROUP BY bin
+UNION ALL SELECT 'top', CAST(row_number() OVER (ORDER BY p DESC, customerID) - 1 AS INT), customerID, 0, round(p, 6) FROM top"""))
