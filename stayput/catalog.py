@@ -469,6 +469,14 @@ def v3_roc_auc_lineitem(spark, sf):
                     r6("average_precision").alias("average_precision"))
 
 
+@query("v3_roc_auc_lineitem_price")
+def v3_roc_auc_lineitem_price(spark, sf):
+    """V3 by a nearly distinct score."""
+    li = _table(spark, sf, "lineitem").select((F.col("l_returnflag") == "R").cast("int").alias("y"), F.col("l_extendedprice").alias("score"))
+    m = evaluate.ranking_metrics(li, "y", "score", keep=True)
+    return m.select("n_pos", "n_neg", "distinct_scores", r6("roc_auc").alias("roc_auc"), r6("average_precision").alias("average_precision"))
+
+
 @query("v4_confusion_matrix")
 def v4_confusion_matrix(spark, sf):
     return evaluate.confusion_matrix(_labels(spark, sf), "y", "yhat")
@@ -495,7 +503,7 @@ def v8_average_precision(spark, sf):
     li = _table(spark, sf, "lineitem").select(
         "l_linestatus", (F.col("l_returnflag") == "R").cast("int").alias("y"),
         (F.col("l_discount") * 10 + F.col("l_tax")).alias("score"))
-    m = evaluate.ranking_metrics(li, "y", "score", by=["l_linestatus"])
+    m = evaluate.ranking_metrics(li, "y", "score", by=["l_linestatus"], keep=True)
     return m.select("l_linestatus", "n_pos", "n_neg", r6("roc_auc").alias("roc_auc"),
                     r6("average_precision").alias("average_precision"))
 
@@ -532,9 +540,7 @@ def v13_false_negatives(spark, sf):
 @query("v14_evaluation_bundle")
 def v14_evaluation_bundle(spark, sf):
     s = split.stratified_split(_ranked_subscribers(spark, sf), "customerID", "y")
-    counts = evaluate.binary_metrics(s, "y", "prediction", by=["split"])
-    ranks = evaluate.ranking_metrics(s, "y", "score", by=["split"])
-    out = counts.join(ranks.select("split", "roc_auc", "average_precision"), "split")
+    out = evaluate.evaluation(s, "y", "prediction", "score", by=["split"])
     return out.select("split", "tn", "fp", "fn", "tp", r6("accuracy").alias("accuracy"), r6("f1").alias("f1"),
                       r6("roc_auc").alias("roc_auc"), r6("average_precision").alias("average_precision"))
 
@@ -608,8 +614,7 @@ def d7_scenario_impact(spark, sf):
 
 @query("d8_best_action")
 def d8_best_action(spark, sf):
-    imp = decide.scenario_impact(_records(spark, sf), _worked_example_scorer(spark))
-    best = decide.best_action(imp)
+    best = decide.best_action_in_row(_records(spark, sf), score.worked_example_trees(spark))
     return best.select("customerID", "action", r6("new_probability").alias("new_probability"),
                        "attrition_probability_pct", "reduction_pp")
 
@@ -799,6 +804,22 @@ def r1_stream_scoring(spark, sf):
                       "attrition_probability", "clv_at_risk")
 
 
+@query("r1_stream_newest_model")
+def r1_stream_newest_model(spark, sf):
+    """R1 with a trained model: records of active users are imputed, encoded and scored by the newest saved version; how many
+    were scored, and how many of them other than the batch path scores them."""
+    from stayput.streaming.scoring import newest_scorer, score_stream
+    tm = trained(spark, sf)
+    run = scratch(spark, "stream")
+    versions.save(spark, f"{run}/models", tm.plan, tm.model, tm.labels)
+    subscriber_records_json(spark, sf).select("value").write.text(f"{run}/in")
+    score_stream(spark, f"{run}/in", newest_scorer(spark, f"{run}/models"), f"{run}/out", f"{run}/ckpt").awaitTermination()
+    out = spark.read.parquet(f"{run}/out").select("customerID", F.col("probability").alias("p"))
+    both = out.join(training.model_scorer(tm)(_records(spark, sf)).select("customerID", "probability"), "customerID", "left")
+    off = F.coalesce(F.abs(F.col("p") - F.col("probability")) > 1e-9, F.lit(True))
+    return both.agg(F.count(F.lit(1)).alias("scored"), F.count_if(off).alias("differing"))
+
+
 @query("a5_batch_report")
 def a5_batch_report(spark, sf):
     """A5 composite: the scored table the report writes (KPIs, tiers, histogram, top 10 read from it)."""
@@ -918,9 +939,17 @@ def s3_fit_log_append(spark, sf):
     return spark.read.schema(log.schema).json(path)
 
 
+@query("s3_fit_log_counts")
+def s3_fit_log_counts(spark, sf):
+    """Per candidate of the twice appended log, its folds, the candidates of the search, its lines and those with a score."""
+    log = s3_fit_log_append(spark, sf)
+    return log.groupBy("candidate").agg(F.max("total").alias("total"), F.max("folds").alias("folds"), F.count(F.lit(1)).alias("lines"),
+                                        F.count_if(F.col("score").between(0, 1)).alias("scored"))
+
+
 @query("v6_roc_curve_lineitem")
 def v6_roc_curve_lineitem(spark, sf):
     """ROC curve over lineitem with a nearly distinct score (many thresholds)."""
     li = _table(spark, sf, "lineitem").select(
         (F.col("l_returnflag") == "R").cast("int").alias("y"), F.col("l_extendedprice").alias("score"))
-    return _round_doubles(evaluate.roc_curve(li, "y", "score"))
+    return _round_doubles(evaluate.roc_curve(li, "y", "score", keep=True))

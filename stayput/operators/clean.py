@@ -70,9 +70,9 @@ def column_kinds(df: DataFrame, target: str | None = None,
 def validate(df: DataFrame, target: str | None = None, rows: int | None = None) -> None:
     """Raise on a missing target or an empty input (``rows`` if already counted)."""
     if target is not None and target not in df.columns:
-        raise ValueError(f"Target column '{target}' not found")
+        raise ValueError(f"no column named {target!r} to predict")
     if (rows == 0) if rows is not None else df.isEmpty():
-        raise ValueError("Input dataframe is empty")
+        raise ValueError("the table has no rows")
 
 
 def assert_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> None:
@@ -149,17 +149,53 @@ def _long(df: DataFrame, cols: Sequence[str], value_type: str) -> DataFrame:
         .where(F.col("value").isNotNull())
 
 
-def median_table(df: DataFrame, cols: Sequence[str], rows_per_bucket: int = BRACKET_ROWS) -> DataFrame:
+def numeric_profile(df: DataFrame, cols: Sequence[str]) -> dict:
+    """Rows of the table (under None), and of each column the number of its values (null and NaN are none), their mean, the sum of squares
+    about it, and quantiles around the middle: one aggregation, from which missing flags, moments and the first bracket of the median follow."""
+    aggs = []
+    for i, c in enumerate(cols):
+        v = nan_to_null(c).cast("double")
+        aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), (F.var_pop(v) * F.count(v)).alias(f"s{i}"),
+                 F.percentile_approx(v, _around(0.5), F.lit(10_000)).alias(f"q{i}")]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *aggs).first()
+    found = {c: {"n": row[f"n{i}"], "mean": row[f"m{i}"], "squares": row[f"s{i}"], "around": row[f"q{i}"]} for i, c in enumerate(cols)}
+    return {None: int(row["rows"]), **found}
+
+
+def imputed_moments(profile: dict, medians: dict) -> dict[str, dict[str, float]]:
+    """Mean and sample deviation of each column once its missing cells hold the median, from the profile alone."""
+    out = {}
+    for c, m in medians.items():
+        p = profile[c]
+        n, k = p["n"], profile[None] - p["n"]
+        if m is None or n == 0:
+            out[c] = {"mean": None, "std": None}
+            continue
+        mean = p["mean"] if k == 0 else (n * p["mean"] + k * m) / (n + k)
+        squares = p["squares"] + n * (p["mean"] - mean) ** 2 + k * (m - mean) ** 2
+        out[c] = {"mean": mean, "std": (squares / (n + k - 1)) ** 0.5 if n + k > 1 else None}
+    return out
+
+
+def _around(mid: float) -> list[float]:
+    return [min(1.0, max(0.0, mid - 0.002)), min(1.0, max(0.0, mid + 0.002))]
+
+
+def median_table(df: DataFrame, cols: Sequence[str], rows_per_bucket: int = BRACKET_ROWS, profile: dict | None = None) -> DataFrame:
     """Exact interpolated median per column (pandas ``median``) as (column, median).
 
     Each pass is one aggregation to one row: it counts the values below and inside every column's bracket and
     takes approximate quantiles around the middle rank as the next bracket. Once a bracket holds few
     values, or shrinks no more (ties), only the values inside it are counted, ranked and read off:
-    no column is shuffled whole. Columns without values have no row.
+    no column is shuffled whole. Columns without values have no row. A ``profile`` stands for the first pass.
     """
     values = {c: nan_to_null(c).cast("double") for c in cols}
     bracket: dict[str, tuple] = {c: (None, None) for c in cols}
     open_, n, below = list(cols), {}, {c: 0 for c in cols}
+    if profile is not None:
+        n = {c: (profile[c]["n"], profile[c]["n"]) for c in cols}
+        open_ = [c for c in cols if profile[c]["n"] > rows_per_bucket and profile[c]["around"]]
+        bracket.update({c: tuple(profile[c]["around"]) for c in open_})
     while open_:
         aggs = []
         for i, c in enumerate(open_):
@@ -168,7 +204,7 @@ def median_table(df: DataFrame, cols: Sequence[str], rows_per_bucket: int = BRAC
             total = n.get(c)
             # the middle rank as a share of the values inside; without a total yet, it is their middle
             mid = 0.5 if total is None else ((total[0] - 1) / 2 - below[c]) / max(1, total[1])
-            around = [min(1.0, max(0.0, mid - 0.002)), min(1.0, max(0.0, mid + 0.002))]
+            around = _around(mid)
             aggs += [F.count_if(inside).alias(f"n{i}"), F.count_if(v < lo if lo is not None else F.lit(False)).alias(f"b{i}"),
                      F.percentile_approx(F.when(inside, v), around, F.lit(10_000)).alias(f"q{i}")]
         row = df.agg(*aggs).first()

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayput import presets
-from stayput.functions.columns import (bin_left_closed, ne_null_true, round_half_even)
+from stayput.functions.columns import bin_left_closed, ne_null_true, round_half_even, sigmoid
+from stayput.operators import score
 
 
 def _c(x: str | Column) -> Column:
@@ -81,30 +82,30 @@ def risk_driver_array(contract="Contract", tenure="tenure", payment="PaymentMeth
     """Ordered ``array<struct<label,value,level,note>>`` of the seven driver rules."""
     c, t, pm, it = _c(contract), _c(tenure), _c(payment), _c(internet)
     ts, os_, mc = _c(tech), _c(security), _c(monthly)
-    label = "Contract Type"
-    contract_e = (F.when(c == "Month-to-month", _entry(label, c, "HIGH"))
-                  .when(c == "One year", _entry(label, c, "MEDIUM"))
-                  .otherwise(_entry(label, c, "SAFE")))
+    name, value = presets.DRIVER_LABELS, presets.DRIVER_VALUES
+    contract_e = (F.when(c == "Month-to-month", _entry(name["contract"], c, "HIGH"))
+                  .when(c == "One year", _entry(name["contract"], c, "MEDIUM"))
+                  .otherwise(_entry(name["contract"], c, "SAFE")))
     months = F.concat(t.cast("string"), F.lit(" months"))
-    tenure_e = (F.when(t < presets.TENURE_NEW, _entry("Tenure", months, "HIGH"))
-                .when(t < presets.TENURE_EARLY, _entry("Tenure", months, "MEDIUM"))
-                .otherwise(_entry("Tenure", months, "SAFE")))
-    pay_e = (F.when(pm == "Electronic check", _entry("Payment Method", pm, "HIGH"))
-             .when(F.lower(pm).contains(presets.AUTOMATIC_MARKER), _entry("Payment Method", pm, "SAFE"))
-             .otherwise(_entry("Payment Method", pm, "MEDIUM")))
+    tenure_e = (F.when(t < presets.TENURE_NEW, _entry(name["tenure"], months, "HIGH"))
+                .when(t < presets.TENURE_EARLY, _entry(name["tenure"], months, "MEDIUM"))
+                .otherwise(_entry(name["tenure"], months, "SAFE")))
+    pay_e = (F.when(pm == "Electronic check", _entry(name["payment"], pm, "HIGH"))
+             .when(F.lower(pm).contains(presets.AUTOMATIC_MARKER), _entry(name["payment"], pm, "SAFE"))
+             .otherwise(_entry(name["payment"], pm, "MEDIUM")))
     inet_e = (F.when(it == "Fiber optic",
-                     _entry("Internet Service", it, "MEDIUM", ("Internet Service", "FIBER")))
-              .when(it == "No", _entry("Internet Service", F.lit("None"), "MEDIUM",
-                                       ("Internet Service", "NONE")))
-              .otherwise(_entry("Internet Service", it, "SAFE")))
-    tech_e = (F.when(_not_subscribed(ts, it), _entry("Tech Support", F.lit("Not subscribed"), "MEDIUM"))
-              .when(ts == "Yes", _entry("Tech Support", F.lit("Active"), "SAFE")))
-    sec_e = (F.when(_not_subscribed(os_, it), _entry("Online Security", F.lit("Not subscribed"), "LOW"))
-             .when(os_ == "Yes", _entry("Online Security", F.lit("Active"), "SAFE")))
+                     _entry(name["internet"], it, "MEDIUM", (name["internet"], "FIBER")))
+              .when(it == "No", _entry(name["internet"], F.lit(value["no internet"]), "MEDIUM",
+                                       (name["internet"], "NONE")))
+              .otherwise(_entry(name["internet"], it, "SAFE")))
+    tech_e = (F.when(_not_subscribed(ts, it), _entry(name["tech"], F.lit(value["missing"]), "MEDIUM"))
+              .when(ts == "Yes", _entry(name["tech"], F.lit(value["present"]), "SAFE")))
+    sec_e = (F.when(_not_subscribed(os_, it), _entry(name["security"], F.lit(value["missing"]), "LOW"))
+             .when(os_ == "Yes", _entry(name["security"], F.lit(value["present"]), "SAFE")))
     # "$<charges, 0 decimals>/mo": rint is round-half-even on the double, as Python's format
     charge_value = F.concat(F.lit("$"), F.rint(mc).cast("bigint").cast("string"), F.lit("/mo"))
     charge_e = F.when((mc > presets.HIGH_CHARGE) & (t < presets.SHORT_TENURE),
-                      _entry("High Charges / Short Tenure", charge_value, "HIGH"))
+                      _entry(name["charges"], charge_value, "HIGH"))
     arr = F.array(contract_e, tenure_e, pay_e, inet_e, tech_e, sec_e, charge_e)
     return F.array_compact(arr)
 
@@ -153,13 +154,8 @@ def retention_playbook(df: DataFrame, id_col: str = "customerID", **cols) -> Dat
 # ---------------------------------------------------------------------------
 # D7 scenario impact, D8 best action, D10 text
 # ---------------------------------------------------------------------------
-MAX_SCENARIOS = 1_000
-
-
 def scenario_array(scenarios: Sequence = presets.SCENARIOS) -> Column:
     """Literal array of scenario structs (action, rank, overrides..., charge_factor)."""
-    if len(scenarios) > MAX_SCENARIOS:
-        raise ValueError(f"more than {MAX_SCENARIOS} scenarios")
     items = []
     for rank, (action, overrides, factor) in enumerate(scenarios):
         fields = [F.lit(action).alias("action"), F.lit(rank).alias("rank")]
@@ -229,6 +225,44 @@ def best_action(impact: DataFrame, id_col: str = "customerID") -> DataFrame:
                     "b.attrition_probability_pct", "b.reduction_pp"))
 
 
+def best_action_in_row(df: DataFrame, trees, id_col: str = "customerID", scenarios: Sequence = presets.SCENARIOS,
+                       min_delta: float = presets.SCENARIO_MIN_DELTA, monthly: str = "MonthlyCharges") -> DataFrame:
+    """D8 for a small tree ensemble, in one narrow pass: every scenario is scored in the customer's own row and the best one read off.
+
+    Equal to ``best_action(scenario_impact(...))`` with that ensemble; neither an explode nor a shuffle by customer. A customer for whom no
+    scenario moves the probability by more than ``min_delta`` has no row.
+    """
+    rows = score.tree_rows(trees)
+    known = set(df.columns)
+    changed = {}
+    for k, (_, overrides, factor) in enumerate(scenarios):
+        for c, value in overrides.items():
+            if c in known:
+                changed[f"_s{k}_{c}"] = F.lit(value)
+        if factor is not None:
+            changed[f"_s{k}_{monthly}"] = F.greatest(F.lit(presets.SCENARIO_MIN_CHARGE), F.col(monthly) * F.lit(factor))
+    wide = df.withColumns(changed)
+
+    def probability(k: int | None) -> Column:
+        mine = [(*r[:2], f"_s{k}_{r[2]}" if f"_s{k}_{r[2]}" in changed else r[2], *r[3:]) for r in rows]
+        total = None
+        for tree in score.compile_trees(wide, mine):
+            total = tree if total is None else total + tree
+        return sigmoid(total)
+
+    wide = wide.withColumn("_base", probability(None)).withColumns({f"_p{k}": probability(k) for k in range(len(scenarios))})
+    tried = []
+    for k, (action, _, _) in enumerate(scenarios):
+        p = F.col(f"_p{k}")
+        delta = F.col("_base") - p
+        tried.append(F.when(F.abs(delta) > min_delta, F.struct(
+            delta.alias("delta"), F.lit(-k).alias("neg_rank"), F.lit(action).alias("action"), F.col("_base").alias("base_probability"),
+            p.alias("new_probability"), round_half_even(p * 100, 1).alias("attrition_probability_pct"),
+            round_half_even(delta * 100, 1).alias("reduction_pp"))))
+    best = wide.select(id_col, F.array_max(F.array(*tried)).alias("b")).where("b IS NOT NULL")
+    return best.select(id_col, "b.action", "b.base_probability", "b.new_probability", "b.delta", "b.attrition_probability_pct", "b.reduction_pp")
+
+
 def impact_text(action: str | Column, base_p: str | Column, new_pct: str | Column,
                 reduction: str | Column) -> tuple[Column, Column]:
     """``"<action>  (a% → b%)"`` and ``"−x.x pp"``; values rounded half-even first."""

@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayput.operators.ordered import running_totals
+from stayput.operators.ordered import null_safe, running_totals
+from stayput.session import staged
 
 DEC = "decimal(38,0)"
 
@@ -31,20 +32,40 @@ def _safe_div(a: Column, b: Column) -> Column:
 # ---------------------------------------------------------------------------
 # count-based
 # ---------------------------------------------------------------------------
-def confusion_counts(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
-    """tn, fp, fn, tp (bigint) per group; rows with a null label or prediction are skipped."""
+def _count(condition: Column, n: str | None) -> Column:
+    """Rows that meet a condition, or the sum of their ``n`` where a row stands for several."""
+    return F.count_if(condition) if n is None else F.coalesce(F.sum(F.when(condition, F.col(n))), F.lit(0))
+
+
+def confusion_counts(df: DataFrame, y: str, yhat: str, by: Sequence[str] = (), n: str | None = None) -> DataFrame:
+    """tn, fp, fn, tp (bigint) per group; rows with a null label or prediction are skipped. ``n`` names a count of equal rows."""
     yc, pc = _c(y), _c(yhat)
     return df.groupBy(*by).agg(
-        F.count_if((yc == 0) & (pc == 0)).alias("tn"),
-        F.count_if((yc == 0) & (pc == 1)).alias("fp"),
-        F.count_if((yc == 1) & (pc == 0)).alias("fn"),
-        F.count_if((yc == 1) & (pc == 1)).alias("tp"),
+        _count((yc == 0) & (pc == 0), n).alias("tn"),
+        _count((yc == 0) & (pc == 1), n).alias("fp"),
+        _count((yc == 1) & (pc == 0), n).alias("fn"),
+        _count((yc == 1) & (pc == 1), n).alias("tp"),
     )
 
 
-def binary_metrics(df: DataFrame, y: str, yhat: str, by: Sequence[str] = ()) -> DataFrame:
+def evaluation(df: DataFrame, y: str, yhat: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """The four counts, accuracy, F1, error rate, ROC AUC and average precision per group.
+
+    The rows are read once, into a table of counts per (group, label, prediction, score) that all metrics are taken from.
+    """
+    cells = staged(df.groupBy(*by, _c(y).alias("_y"), _c(yhat).alias("_yhat"), _c(score).cast("double").alias("_score"))
+                   .agg(F.count(F.lit(1)).alias("_n")), "cells")
+    counts = binary_metrics(cells, "_y", "_yhat", by, n="_n")
+    ranks = ranking_metrics(cells, "_y", "_score", by, n="_n")
+    if not by:
+        return counts.crossJoin(ranks.select("roc_auc", "average_precision"))     # one row each
+    both = counts.alias("c").join(ranks.alias("r"), null_safe("c", "r", by), "left")
+    return both.select(*[F.col(f"c.{c}").alias(c) for c in counts.columns], "r.roc_auc", "r.average_precision")
+
+
+def binary_metrics(df: DataFrame, y: str, yhat: str, by: Sequence[str] = (), n: str | None = None) -> DataFrame:
     """V1 accuracy, V2 F1 (positive class), V9 error rate, plus the four counts."""
-    cc = confusion_counts(df, y, yhat, by)
+    cc = confusion_counts(df, y, yhat, by, n)
     n = F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")
     return cc.select(
         *by, "tn", "fp", "fn", "tp",
@@ -146,19 +167,23 @@ def confusion_type_counts(df: DataFrame, y: str, yhat: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # ranking: one row per distinct score, then exact running totals
 # ---------------------------------------------------------------------------
-def score_counts(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+def score_counts(df: DataFrame, y: str, score: str, by: Sequence[str] = (), n: str | None = None) -> DataFrame:
     """(by, score, pos, neg): class counts per distinct score (partial aggregation first)."""
     yc, sc = _c(y), _c(score)
     return (df.where(yc.isNotNull() & sc.isNotNull())
             .groupBy(*by, sc.cast("double").alias("score"))
-            .agg(F.count_if(yc == 1).alias("pos"), F.count_if(yc != 1).alias("neg")))
+            .agg(_count(yc == 1, n).alias("pos"), _count(yc != 1, n).alias("neg")))
 
 
 def cumulative_table(df: DataFrame, y: str, score: str, by: Sequence[str] = (),
-                     next_counts: bool = False, with_totals: bool = False, **kw) -> DataFrame:
+                     next_counts: bool = False, with_totals: bool = False, n: str | None = None, keep: bool = False, **kw) -> DataFrame:
     """Per distinct score (descending): pos, neg, tp = cum_pos, fp = cum_neg (score >= s);
-    with ``with_totals`` also the group's class totals ``tot_pos`` / ``tot_neg``."""
-    counts = score_counts(df, y, score, by)
+    with ``with_totals`` also the group's class totals ``tot_pos`` / ``tot_neg``.
+
+    With ``keep`` the counts per distinct score are written to the shared folder once: the passes for bounds, bucket totals and
+    running sums read them and not the rows again, which pays where rows are many or costly to make."""
+    counts = score_counts(df, y, score, by, n)
+    counts = staged(counts, "scores") if keep else counts
     out = running_totals(counts, "score", ["pos", "neg"], by=by, descending=True,
                          next_cols=["pos", "neg"] if next_counts else (), with_totals=with_totals, **kw)
     return out.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")

@@ -36,7 +36,7 @@ TREE_SCHEMA = T.StructType([
     T.StructField("leaf", T.DoubleType()),
 ])
 MAX_NODES = 200_000
-TREES_COMPILED = 20
+TREES_COMPILED, DEPTH_COMPILED = 20, 12
 _COMPARE = {">": operator.gt, "<": operator.lt, ">=": operator.ge, "<=": operator.le,
             "=": operator.eq, "==": operator.eq, "!=": operator.ne, "<>": operator.ne}
 _ORDERING = {">": "__gt__", "<": "__lt__", ">=": "__ge__", "<=": "__le__"}
@@ -72,16 +72,24 @@ def _compared(c: Column, numeric: bool, op: str, threshold: str) -> Column:
     raise ValueError(f"unknown split operator {op!r}")
 
 
-def _tree_expr(df: DataFrame, nodes: dict[int, tuple], node: int = 0, depth: int = 0) -> Column:
-    if depth > 64:
-        raise ValueError("tree deeper than 64 levels")
+def _depth(nodes: dict[int, tuple]) -> int:
+    """Levels of a tree, found level by level; a table whose nodes form a circle is an error."""
+    level, depth = [0], 0
+    while level := [c for n in level if nodes[n][0] is not None for c in nodes[n][3:5]]:
+        depth += 1
+        if depth > len(nodes):
+            raise ValueError("the tree table has a circle")
+    return depth
+
+
+def _tree_expr(df: DataFrame, nodes: dict[int, tuple], node: int = 0) -> Column:
     feature, op, threshold, yes, no, leaf = nodes[node]
     if feature is None:
         return F.lit(float(leaf))
     # a null or NaN test value is not true -> the "no" branch
     return F.when(_test(df, feature, op, threshold),
-                  _tree_expr(df, nodes, yes, depth + 1)) \
-        .otherwise(_tree_expr(df, nodes, no, depth + 1))
+                  _tree_expr(df, nodes, yes)) \
+        .otherwise(_tree_expr(df, nodes, no))
 
 
 def tree_rows(trees, most: int = MAX_NODES) -> list[tuple]:
@@ -97,20 +105,27 @@ def tree_rows(trees, most: int = MAX_NODES) -> list[tuple]:
 
 def compile_trees(df: DataFrame, trees) -> list[Column]:
     """One ``Column`` per tree, in tree order, from a tree table or its rows in ``TREE_SCHEMA`` order."""
-    by_tree: dict[int, dict[int, tuple]] = defaultdict(dict)
-    for tree, node, feature, op, threshold, yes, no, leaf in tree_rows(trees):
-        by_tree[tree][node] = (feature, op, threshold, yes, no, leaf)
+    by_tree = _by_tree(tree_rows(trees))
     return [_tree_expr(df, by_tree[t]) for t in sorted(by_tree)]
 
 
+def _by_tree(rows) -> dict[int, dict[int, tuple]]:
+    by_tree: dict[int, dict[int, tuple]] = defaultdict(dict)
+    for tree, node, *rest in rows:
+        by_tree[tree][node] = tuple(rest)
+    return by_tree
+
+
 def ensemble_score(df: DataFrame, trees, out: str = "raw_score") -> DataFrame:
     """M3: raw score = sum over trees of the reached leaf value.
 
     Up to ``TREES_COMPILED`` trees become column expressions. More would pass the size of method that the JVM
-    compiles, so they are walked as flat arrays, all rows of an Arrow batch at a time: linear in the trees.
+    compiles, so they are walked as flat arrays, all rows of an Arrow batch at a time: linear in the trees. So are trees deeper
+    than ``DEPTH_COMPILED``.
     """
     rows = tree_rows(trees)
-    if len({r[0] for r in rows}) <= TREES_COMPILED:
+    by_tree = _by_tree(rows)
+    if len(by_tree) <= TREES_COMPILED and max(map(_depth, by_tree.values()), default=0) <= DEPTH_COMPILED:
         total = None
         for e in compile_trees(df, rows):
             total = e if total is None else total + e
@@ -123,7 +138,7 @@ def ensemble_score(df: DataFrame, trees, out: str = "raw_score") -> DataFrame:
     @pandas_udf("double")
     def walk(cols: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for some in cols:
-            yield pd.Series(flat.score(some))
+            yield pd.Series(flat.score(some if isinstance(some, tuple) else (some,)))     # one column comes alone
 
     return df.withColumn(out, walk(*[F.col(c) for c in flat.features]))
 

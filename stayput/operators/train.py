@@ -124,7 +124,7 @@ def held_out_auc(df: DataFrame, candidates: Sequence[Mapping], features: Sequenc
     for k in range(0, len(places), at_once):
         jobs = [boost.Job(boost.Setting.of(candidates[c], ratio), [x for x in range(num_folds) if x != f]) for c, f in places[k:k + at_once]]
         models += boost.fit_many(held, features, bounds, jobs, seed)
-    out = ranking_metrics(boost.held_out(held, models, places), "label", "score", by=["candidate", "fold"]) \
+    out = ranking_metrics(boost.held_out(held, models, places), "label", "score", by=["candidate", "fold"], keep=True) \
         .select("candidate", "fold", "roc_auc").persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
     held.unpersist()

@@ -474,6 +474,9 @@ register("v3_roc_auc", with_ctes(RANKED + ", " + cum_sql("ranked"), rank_metrics
 register("v3_roc_auc_lineitem", with_ctes(
     "li AS (SELECT CAST(l_returnflag = 'R' AS INT) AS y, l_discount * 10 AS score FROM lineitem), " + cum_sql("li"),
     rank_metrics_sql()))
+register("v3_roc_auc_lineitem_price", with_ctes(
+    "li AS (SELECT CAST(l_returnflag = 'R' AS INT) AS y, l_extendedprice AS score FROM lineitem), " + cum_sql("li"),
+    rank_metrics_sql()))
 register("v4_confusion_matrix", with_ctes(LABELS, """
 SELECT 0 AS actual, count(*) FILTER (WHERE y = 0 AND yhat = 0) AS pred_0, count(*) FILTER (WHERE y = 0 AND yhat = 1) AS pred_1 FROM lab
 UNION ALL
@@ -838,3 +841,5 @@ UNION ALL SELECT 'tier', position, risk_tier, count(v.customerID), round(coalesc
   FROM tiers LEFT JOIN valued v USING (risk_tier) GROUP BY position, risk_tier
 UNION ALL SELECT 'histogram', bin, '', count(*), round(bin * (100.0E0 / 30), 6) FROM b GROUP BY bin
 UNION ALL SELECT 'top', CAST(row_number() OVER (ORDER BY p DESC, customerID) - 1 AS INT), customerID, 0, round(p, 6) FROM top"""))
+register("s3_fit_log_counts", "SELECT * FROM (VALUES (1, 2, 5, CAST(2 AS BIGINT), CAST(2 AS BIGINT)), (2, 2, 5, 2, 2)) t(candidate, total, folds, lines, scored)")
+register("r1_stream_newest_model", "SELECT count(*) AS scored, CAST(0 AS BIGINT) AS differing FROM customer WHERE c_custkey IN (SELECT user_id FROM events)")

@@ -1,7 +1,7 @@
 """FeaturePlan (E11): flags -> impute -> features -> encode -> z-score -> fill, fit once, reuse.
 
-``fit`` runs a fixed, small number of aggregation jobs (null counts,
-medians, modes, dictionary, mean/std); ``transform`` is a single narrow
+``fit`` runs a fixed, small number of aggregation jobs (one numeric profile
+for missing cells and moments, medians, value counts with modes, dictionary); ``transform`` is a single narrow
 projection with the fitted values as literals (no shuffle), so batch and
 streaming scoring share it.
 """
@@ -49,9 +49,10 @@ class FeaturePlan:
             self.state.dictionaries = encode.small_dictionaries(self.state.encoders)
             self.state.feature_names = [c for c in df.columns if c != self.target and c not in excl]
             return self
-        flags, rows = clean.fit_missing_flags(df, num, with_rows=True)
-        clean.validate(df, self.target, rows=rows)      # empty input, from the same aggregation
-        medians = clean.fit_median(df, num)
+        profile = clean.numeric_profile(df, num)         # one pass: missing cells, moments, first bracket of the medians
+        clean.validate(df, self.target, rows=profile[None])
+        flags = [c for c in num if profile[c]["n"] < profile[None]]
+        medians = clean.fit_median(df, num, profile=profile)
         # one pass over the categorical columns feeds both the modes and the dictionary:
         # after mode imputation the distinct values are exactly the non-null ones
         # (an all-null column becomes the single value "Unknown")
@@ -67,8 +68,7 @@ class FeaturePlan:
             enc = encode.labels_from_pairs(pairs).persist()
         else:
             enc = encode.fit_labels(df, [])
-        imputed = clean.apply_impute(df, medians, modes, widen=flags)
-        stats = features.fit_zscore(imputed, num)
+        stats = clean.imputed_moments(profile, medians)
         self.state = PlanState(self.target, self.id_columns if self.exclude_ids else [], num, cat,
                                flags, medians, modes, enc, stats)
         self.state.dictionaries = encode.small_dictionaries(enc)   # materializes the dictionary

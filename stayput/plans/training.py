@@ -149,11 +149,8 @@ def predict(tm: TrainedModel, df: DataFrame) -> DataFrame:
 
 def evaluate_splits(tm: TrainedModel) -> DataFrame:
     """V14 for a trained model: counts, accuracy, F1, AUC, AP per split."""
-    scored = score.score_model(tm.data, tm.model)
-    scored = scored.withColumn("yhat", F.col("prediction").cast("int"))
-    counts = evaluate.binary_metrics(scored, "label", "yhat", by=["split"])
-    ranks = evaluate.ranking_metrics(scored, "label", "probability", by=["split"])
-    return counts.join(ranks.select("split", "roc_auc", "average_precision"), "split")
+    scored = score.score_model(tm.data, tm.model).withColumn("yhat", F.col("prediction").cast("int"))
+    return evaluate.evaluation(scored, "label", "yhat", "probability", by=["split"])
 
 
 RAW = "_raw_"

@@ -131,6 +131,13 @@ OUTREACH_THRESHOLD = 0.70
 CONTRACT_MONTHS = [("Two year", 24, 6), ("One year", 12, 3)]
 MONTHS_FLAT = 6
 
+# Risk driver labels and the values that stand for a state
+DRIVER_LABELS = {
+    "contract": "Contract Type", "tenure": "Tenure", "payment": "Payment Method", "internet": "Internet Service",
+    "tech": "Tech Support", "security": "Online Security", "charges": "High Charges / Short Tenure",
+}
+DRIVER_VALUES = {"missing": "Not subscribed", "present": "Active", "no internet": "None"}
+
 # Risk driver notes: (label, level) -> note
 DRIVER_NOTES = {
     ("Contract Type", "HIGH"): "No lock-in — easiest to leave",

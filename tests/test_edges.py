@@ -1,6 +1,7 @@
 """Edge rows of the fixed rules (bins, tiers, months, encoder, imputation, z-score, confusion type)."""
 
 
+import pytest
 from pyspark.sql import functions as F
 
 from stayput import presets
@@ -162,3 +163,44 @@ def test_nan_takes_no_branch_on_both_sides_of_the_switch(spark):
                 (0, 3, None, None, None, None, None, 1.0)]
         got = [[r.raw_score / n for r in score.ensemble_score(df, score.weighted_copies(tree, [1.0] * n)).collect()] for n in (1, score.TREES_COMPILED + 1)]
         assert got[0] == got[1] and got[0][2:] == [0.0, 0.0], op
+
+
+def test_deep_trees_are_walked_and_circles_found(spark):
+    from stayput.operators import score
+
+    df = spark.createDataFrame([(float(i),) for i in range(100)], "x double")
+    deep = [(0, 2 * k, "x", ">", str(k), 2 * k + 2, 2 * k + 1, None) for k in range(90)] + [(0, 2 * k + 1, None, None, None, None, None, float(k)) for k in range(90)]
+    deep.append((0, 180, None, None, None, None, None, 90.0))
+    assert [r.raw_score for r in score.ensemble_score(df, deep).collect()] == [min(max(float(i), 0.0), 90.0) for i in range(100)]
+    with pytest.raises(ValueError):
+        score.ensemble_score(df, [(0, 0, "x", ">", "1", 0, 1, None), (0, 1, None, None, None, None, None, 0.0)])
+
+
+def test_best_action_in_row_equals_the_exploded_form(spark):
+    from stayput import catalog
+    from stayput.operators import decide, score
+    from tests.conftest import SF01
+
+    raw, trees = catalog._records(spark, SF01), score.worked_example_trees(spark)
+    wide = decide.best_action_in_row(raw, trees)
+    long = decide.best_action(decide.scenario_impact(raw, lambda d: score.score_ensemble(d, trees)))
+    key = ["customerID", "action", "attrition_probability_pct", "reduction_pp"]
+    a, b = (x.select(*key, *[F.round(c, 9).alias(c) for c in ("base_probability", "new_probability", "delta")]) for x in (wide, long))
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
+
+
+def test_profile_moments_equal_those_of_imputed_rows(spark):
+    from stayput.operators import clean, features
+
+    df = spark.createDataFrame([(1, 2.5, None), (None, float("nan"), None), (4, 1e9, None), (7, None, None), (9, 3.0, None)], "a int, b double, c double")
+    cols = ["a", "b", "c"]
+    profile = clean.numeric_profile(df, cols)
+    medians = clean.fit_median(df, cols, profile=profile)
+    assert medians == clean.fit_median(df, cols) == {"a": 5.5, "b": 3.0, "c": None}
+    want = features.fit_zscore(clean.apply_impute(df, medians, {}, widen=cols), ["a", "b"])
+    got = clean.imputed_moments(profile, medians)
+    for c in ("a", "b"):
+        assert abs(got[c]["mean"] - want[c]["mean"]) <= 1e-9 * abs(want[c]["mean"]) and abs(got[c]["std"] - want[c]["std"]) <= 1e-9 * want[c]["std"]
+    assert got["c"] == {"mean": None, "std": None}
