@@ -19,8 +19,8 @@ LENGTH = 2048
 END_ID = 1
 #: Hashed document vector, dimensions after projection, bits of each on the curve.
 HASHED, DIMS, DEPTH = 1024, 3, 10
-#: White-space-free strings, and pieces of such, whose ids a Python worker remembers at most; others are encoded again.
-REMEMBERED, PIECES = 400_000, 700_000
+#: White-space-free strings, and pieces of such, whose ids a Python worker remembers at most, those used last; others are encoded again.
+REMEMBERED, PIECES = 800_000, 600_000
 #: White-space-free strings that are looked up at a time.
 PIECE = 100_000
 #: Letters whose lower case is one letter and that never compose, then punctuation that is one piece.
@@ -36,6 +36,28 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Recent:
+    """A mapping that keeps the entries used last: when the younger half is full it becomes the older one, and what the older half
+    held and nothing asked for since is forgotten. At most ``most`` entries, and those of one call, are held."""
+
+    def __init__(self, most: int):
+        self.half, self.young, self.old = most // 2, {}, {}
+
+    def find(self, keys: list[str]) -> list[bytes | None]:
+        found = list(map(self.young.get, keys))
+        if None in found and self.old:
+            young, old = self.young, self.old
+            for k, b in enumerate(found):
+                if b is None and (b := old.get(keys[k])) is not None:
+                    found[k] = young[keys[k]] = b
+            self.turn()
+        return found
+
+    def turn(self) -> None:
+        if len(self.young) > self.half:
+            self.old, self.young = self.young, {}
+
+
 class Encoder:
     """Ids of whole texts as little-endian 16-bit bytes.
 
@@ -50,8 +72,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known, self.pieces = Recent(REMEMBERED), Recent(PIECES)
         self.ends = np.zeros(1 << 16, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
@@ -68,27 +89,34 @@ class Encoder:
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip([0, *at], at)]
 
-    def learn(self, strings: list[str]) -> None:
-        known, pieces, plain, split = self.known, self.pieces, [], []
-        if len(pieces) + len(strings) > PIECES:
-            pieces.clear()
-        new: dict[str, None] = {}
+    def learn(self, strings: list[str]) -> dict[str, bytes]:
+        """The ids of new strings, which are remembered."""
+        plain, split, needed = [], [], {}
         for s in strings:
             if m := LATIN.fullmatch(s):
                 core, close = m.groups()
                 core = core.lower()
                 split.append((s, core, close))
-                if core not in pieces:
-                    new[core] = None
-                if close and close not in pieces:
-                    pieces[close] = self._one_by_one([close])[0]
+                needed[core] = None
+                if close:
+                    needed[close] = None
             else:
                 plain.append(s)
-        for some, encode, into in ((list(new), self._together, pieces), (plain, self._one_by_one, known)):
+        self.known.turn()
+        self.pieces.turn()
+        wanted = list(needed)
+        pieces = dict(zip(wanted, self.pieces.find(wanted)))
+        cores = [w for w, b in pieces.items() if b is None and w[0].isalpha()]
+        closing = [w for w, b in pieces.items() if b is None and not w[0].isalpha()]
+        out: dict[str, bytes] = {}
+        for some, encode, into in ((cores, self._together, pieces), (closing, self._one_by_one, pieces), (plain, self._one_by_one, out)):
             for at in range(0, len(some), 512):
                 into.update(zip(some[at:at + 512], encode(some[at:at + 512])))
+        self.pieces.young.update((w, pieces[w]) for w in (*cores, *closing))
         for s, core, close in split:
-            known[s] = pieces[core] + pieces[close] if close else pieces[core]
+            out[s] = pieces[core] + pieces[close] if close else pieces[core]
+        self.known.young.update(out)
+        return out
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text. New strings of all texts are learned together; texts come in lists of bounded size."""
@@ -101,17 +129,12 @@ class Encoder:
                 k, at = where.pop()
                 some.append((k, split[k][at:at + PIECE]))
                 held += len(some[-1][1])
-            found = [list(map(self.known.get, strings)) for _, strings in some]
-            new = {s for (_, strings), x in zip(some, found) if None in x for s, b in zip(strings, x) if b is None}
-            if new:
-                if len(self.known) + len(new) > REMEMBERED:
-                    self.known.clear()
-                    new = {s for _, strings in some for s in strings}
-                    found = [[None] * len(strings) for _, strings in some]
-                self.learn(list(new))
+            found = [self.known.find(strings) for _, strings in some]
+            new = {s: None for (_, strings), x in zip(some, found) if None in x for s, b in zip(strings, x) if b is None}
+            learned = self.learn(list(new)) if new else {}
             for (k, strings), x in zip(some, found):
                 if None in x:
-                    x = [self.known[s] if b is None else b for s, b in zip(strings, x)]
+                    x = [learned[s] if b is None else b for s, b in zip(strings, x)]
                 out[k].append(b"".join(x))
         return [b"".join(reversed(x)) for x in out]
 
