@@ -38,7 +38,7 @@ def test_base_matches_brute_force(spark, tmp_path):
 
 
 def test_detections(spark, tmp_path):
-    texts = ["mit license MIT License, mit-license", "Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache License 2.0",
+    texts = ["mit license MIT License, mit-license", "Licensed under the Apache License, Version 2.0.", "SPDX-License-Identifier: Apache-2.0",
              "This work is licensed under the GNU General Public License, version 3.", "licensed under CC BY-NC 4.0", "All rights reserved.",
              "submit license summit licenses", "a mit license, then the apache license and the mit license", "mit license " * 500]
     docs = stored(spark, tmp_path / "d", [(i, t, "en", "s", 0) for i, t in enumerate(texts)], clash=False)
@@ -104,6 +104,8 @@ def examples(parsed):
             parts.append([chr(value)])
         elif kind == "IN":
             parts.append([chr(value[0][1][0] if str(value[0][0]) == "RANGE" else value[0][1])])
+        elif kind == "ANY":
+            parts.append(["x"])
         elif kind == "BRANCH":
             parts.append([x for b in value[1] for x in examples(b)])
         elif kind == "SUBPATTERN":
@@ -111,7 +113,7 @@ def examples(parsed):
         elif kind == "MAX_REPEAT":
             parts.append(["", *examples(value[2])])
         else:
-            assert kind == "ASSERT", kind
+            assert kind in ("ASSERT", "ASSERT_NOT"), kind
     return ["".join(x) for x in itertools.product(*parts)]
 
 
@@ -132,3 +134,44 @@ def test_keywords_written_as_one_word(spark, tmp_path):
     assert [label for label, _ in labels_of(spark, tmp_path / "d", list(want))] == list(want.values())
     docs = stored(spark, tmp_path / "e", [(1, "GPLv2, GPL v2 and GPL 2", "en", "s", 0)], clash=False)
     assert sorted((r.start, r.stop) for r in licenses.scan(docs).where("start is not null").collect()) == [(0, 1), (1, 3), (4, 6)]
+
+
+def test_forms_that_people_write(spark, tmp_path):
+    want = {"Licensed under the GNU GPL version 2 or later": "gpl-2.0", "released under the GPL": "gpl", "MIT licensed": "mit", "Apache 2.0": "apache-2.0",
+            "License: Apache-2.0": "apache-2.0", "LGPLv2.1": "lgpl-2.1", "AGPLv3": "agpl-3.0", "MPL 2.0": "mpl-2.0", "licensed under MPL-2.0": "mpl-2.0",
+            "EPL-2.0": "epl-2.0", "License: BSD": "bsd", "MIT licence": "mit", "Microsoft Public License": "ms-pl", "SIL OFL 1.1": "ofl-1.1",
+            "Creative Commons Attribution-NonCommercial-ShareAlike 4.0": "cc-by-nc-sa", "Creative Commons Attribution-NoDerivs 3.0": "cc-by-nd",
+            "modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License":
+                "gpl,gpl-2.0",
+            "the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1": "gpl,lgpl-2.1",
+            "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "mpl-2.0",
+            "In no event will the authors be held liable for any damages arising from the use of this software.": "zlib",
+            "The Software shall be used for Good, not Evil.": "json"}
+    assert [label for label, _ in labels_of(spark, tmp_path / "d", list(want))] == list(want.values())
+    assert len(licenses.NOTICES) >= 50 and len({label for _, _, label, _, _ in licenses.NOTICES}) >= 30
+
+
+def test_spdx_expressions_name_every_id(spark, tmp_path):
+    want = {"SPDX-License-Identifier: MIT OR Apache-2.0": "apache-2.0,mit", "SPDX-License-Identifier: (MIT AND BSD-3-Clause) OR ISC": "bsd-3-clause,isc,mit",
+            "SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0": "gpl-2.0", "SPDX-License-Identifier: GPL-2.0-or-later OR MIT\nor isc": "gpl-2.0,isc,mit",
+            "SPDX-License-Identifier: MIT\nint x or isc": "mit", "SPDX-License-Identifier: Zlib AND (MPL-2.0 OR EPL-2.0 WITH LLVM-exception)": "epl-2.0,mpl-2.0,zlib"}
+    got = labels_of(spark, tmp_path / "d", list(want))
+    assert [label for label, _ in got] == list(want.values()) and {score for _, score in got} == {1.0}
+
+
+def test_containment_equals_a_slow_version(spark, tmp_path):
+    texts = ["Licensed under the Apache License, Version 2.0 (the License); GPLv3 or later. All rights reserved. Copyright (c) 2020 without any warranty",
+             "GNU Lesser General Public License version 3, subject to the MIT X11 license; proprietary and confidential", "cc by nc nd 4.0 / CC BY 4.0",
+             "SPDX-License-Identifier: MIT mit license MIT licensed under the terms of the BSD 2-Clause license", "no license at all", None,
+             "permission is hereby granted, free of charge, to any person obtaining a copy of the Boost Software License"]
+    docs = stored(spark, tmp_path / "d", [(i, t, "en", "s", 0) for i, t in enumerate(texts)], clash=False)
+    got = sorted((r.id, r.start, r.stop, r.rule) for r in licenses.scan(docs).where("start is not null").collect())
+    want = []
+    for i, t in enumerate(texts):
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+        w = " " + " ".join(re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)) + " "
+        found = [(len(w[:m.start()].split()), len(w[:m.end()].split()), p, k) for k, p, _, _, _, pattern in licenses.rules() for m in re.finditer(pattern, w)]
+        for a, b, p, k in found:
+            if not any(c <= a and b <= d and (q < p or q == p and (d - c > b - a or (c, d) == (a, b) and j < k)) for c, d, q, j in found):
+                want.append((i, a, b, k))
+    assert got == sorted(want)
