@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayput.llm.common import UID, mapped, ship, staged, with_uid
@@ -20,6 +20,8 @@ BLOCK_ROWS, CENTERS = 4096, 4096
 SAMPLE_ROWS = 8192
 #: Radii of the nested levels, each half the one before.
 RADII = (1.0, 0.5, 0.25, 0.125)
+#: Bytes of blocks that a task holds, about: each group of blocks meets each other one in one task. Groups that a table is cut into at least.
+GROUP_BYTES, GROUPS = 128 << 20, 8
 #: Node pairs whose centers are compared in one matrix.
 TILE = 1024
 #: Pairs in one list; child pairs of a node pair from which a matrix product takes over.
@@ -29,6 +31,7 @@ SLACK = 1e-9
 
 def unit(rows: list, dims: int) -> np.ndarray:
     x = np.array(rows, np.float64).reshape(len(rows), dims)
+    x = x / np.abs(x).max(axis=1, keepdims=True)       # so that squares of very large or small numbers stay numbers
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -202,40 +205,82 @@ def _blocks(pdf):
                          "center": [center.tobytes()], "radius": [float(np.linalg.norm(x - center, axis=1).max())]})
 
 
+def _joined(a: Tree, b: Tree, far: float, same: bool) -> Iterator[pa.RecordBatch]:
+    """Link counts of both blocks' points, and a spanning forest of the links."""
+    counts = [np.zeros(len(a.x), np.int64), np.zeros(len(b.x), np.int64)]
+    held: list = [np.empty(0, np.int64), np.empty(0, np.int64)]
+    for i, j in pairs_within(a, b, far, same):
+        if not len(i):
+            continue
+        counts[0] += np.bincount(i, b.weight[j], len(a.x)).astype(np.int64)
+        counts[1] += np.bincount(j, a.weight[i], len(b.x)).astype(np.int64)
+        held = forest(np.concatenate([held[0], a.ids[i]]), np.concatenate([held[1], b.ids[j]]))
+    for t, c in zip((a, b), counts):
+        some = np.flatnonzero(c)
+        if len(some):
+            yield pa.RecordBatch.from_arrays([pa.array(t.ids[some]), pa.array(c[some]), pa.array([None] * len(some), pa.int64())], ["rep", "links", "to"])
+    if len(held[0]):
+        yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(np.zeros(len(held[0]), np.int64)), pa.array(held[1])], ["rep", "links", "to"])
+
+
 def _traverse(cosine: float):
+    """All pairs of blocks of two groups (or of one): rows come by (first, second) group, those of the first before those of the second.
+
+    A task holds the first group and reads the second block by block. A tree over the centers of the held blocks, built like the trees
+    inside them, is walked with each block that comes, so blocks too far apart are never compared.
+    """
     far = float(np.sqrt(2 - 2 * cosine))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[int, Tree] = {}
+        key, held, above = None, [], None
         for batch in batches:
-            for row in range(batch.num_rows):
-                r = {name: batch.column(k)[row].as_py() for k, name in enumerate(batch.schema.names)}
-                trees = []
-                for side in "ab":
-                    k = r[f"{side}_block"]
-                    if k not in known:
-                        if len(known) > 3:
-                            known.clear()
-                        known[k] = Tree.from_bytes(r[f"{side}_tree"])
-                    trees.append(known[k])
-                a, b = trees
-                same = r["a_block"] == r["b_block"]
-                counts = [np.zeros(len(a.x), np.int64), np.zeros(len(b.x), np.int64)]
-                held: list = [np.empty(0, np.int64), np.empty(0, np.int64)]
-                for i, j in pairs_within(a, b, far, same):
-                    if not len(i):
-                        continue
-                    counts[0] += np.bincount(i, b.weight[j], len(a.x)).astype(np.int64)
-                    counts[1] += np.bincount(j, a.weight[i], len(b.x)).astype(np.int64)
-                    held = forest(np.concatenate([held[0], a.ids[i]]), np.concatenate([held[1], b.ids[j]]))
-                for t, c in zip(trees, counts):
-                    some = np.flatnonzero(c)
-                    yield pa.RecordBatch.from_arrays([pa.array(t.ids[some]), pa.array(c[some]), pa.array([None] * len(some), pa.int64())], ["rep", "links", "to"])
-                yield pa.RecordBatch.from_arrays([pa.array(held[0]), pa.array(np.zeros(len(held[0]), np.int64)), pa.array(held[1])], ["rep", "links", "to"])
+            for row in batch.to_pylist():
+                if (row["first"], row["second"]) != key:
+                    key, held, above = (row["first"], row["second"]), [], None
+                tree = Tree.from_bytes(row["tree"])
+                block, center, radius = row["block"], np.frombuffer(row["center"]), row["radius"]
+                if row["side"] == 0:
+                    if key[0] == key[1]:        # within a group a block meets itself and those that came before it
+                        yield from _joined(tree, tree, far, True)
+                        for _, _, _, t in (x for x in held if np.linalg.norm(x[1] - center) <= far + x[2] + radius + SLACK):
+                            yield from _joined(t, tree, far, False)
+                    held.append((block, center, radius, tree))
+                    continue
+                above = above or Above([x[1] for x in held], [x[2] for x in held])
+                for k in above.near(center, radius + far):
+                    yield from _joined(held[k][3], tree, far, False)
 
     return run
 
 
+class Above:
+    """A tree over blocks: nested nets of their centers, each node with a radius that covers its blocks whole."""
+
+    def __init__(self, centers: list[np.ndarray], radii: list[float]):
+        self.x, self.radii = np.array(centers), np.array(radii)
+        self.root = self._node(np.arange(len(radii)), 2.0)
+
+    def _node(self, some: np.ndarray, reach: float) -> tuple:
+        center = some[0]
+        far = np.linalg.norm(self.x[some] - self.x[center], axis=1) + self.radii[some]
+        if len(some) == 1 or reach < 1e-3:
+            return center, far.max(), some, []
+        owner = net(self.x[some], reach / 2, np.zeros(len(some), np.int64))
+        return center, far.max(), some, [self._node(some[owner == o], reach / 2) for o in np.unique(owner)]
+
+    def near(self, center: np.ndarray, reach: float) -> Iterator[int]:
+        """Blocks that may hold a point within ``reach`` of ``center``."""
+        todo = [self.root]
+        while todo:
+            at, radius, some, below = todo.pop()
+            if np.linalg.norm(self.x[at] - center) > reach + radius + SLACK:
+                continue
+            if below:
+                todo += below
+            else:
+                yield from (int(k) for k in some if np.linalg.norm(self.x[k] - center) <= reach + self.radii[k] + SLACK)
+
+
 def _assign(centers: np.ndarray, dims: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -258,8 +303,8 @@ def choose_centers(sample: np.ndarray, k: int) -> np.ndarray:
 
 
 def linkable(col):
-    """No null, zero, empty or non-finite vector. Comparison with the largest double is false for NaN's order in Spark, so it's tested apart."""
-    ok = F.forall(col, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) <= F.lit(3.4028235e38)))
+    """No null, zero, empty or non-finite vector; any finite double will do. NaN is above every number in Spark's order, so it is tested apart."""
+    ok = F.forall(col, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) <= F.lit(float(np.finfo(np.float64).max))))
     return F.coalesce(col.isNotNull() & (F.size(col) > 0) & ok & F.exists(col, lambda v: v != 0), F.lit(False))
 
 
@@ -271,8 +316,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95, id_col: str = "vec
     different vectors linked to each other. component_id is the smallest id reachable; kept is id = component_id. No rows give no rows.
 
     Equal vectors are one representative with a count. Representatives are cut into blocks: by the nearest of a few
-    centers, and a crowded center's by hash, so a block is bounded and never hot. Pairs of blocks whose centers are too far for their radii go;
-    each other pair is one row and one dual traversal. Link counts add up over block pairs, and each sends a spanning forest.
+    centers, and a crowded center's by hash, so a block is bounded and never hot. Blocks form groups of GROUP_BYTES; two groups that may
+    hold links are one task, which holds the first and walks its tree of blocks with every block of the second, so a block is sent once
+    per group and not once per block. Link counts add up over block pairs, and each sends a spanning forest.
     """
     rows = with_uid(vectors).select(UID, F.col(id_col).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("e"))
     ok = linkable(F.col("e"))
@@ -305,32 +351,52 @@ def _links_of(reps: DataFrame, dims: int, total: int, cosine: float, block_rows:
     sample = reps.orderBy(F.xxhash64("k"), "k").limit(min(SAMPLE_ROWS, 4 * cells)).select("embedding").collect()
     centers = choose_centers(unit([r.embedding for r in sample], dims), cells)
     dealt = mapped(reps.select("rep", "n", "embedding"), _assign(centers, dims), "rep long, n long, embedding array<double>, cell long")
-    sizes = dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
+    sizes = staged(dealt.groupBy("cell").agg(F.count(F.lit(1)).alias("m")), "cells")
     # one row per center; two thirds of the bound on average, so that a hashed part stays near it
     chunks = F.greatest(F.lit(1), F.ceil(F.col("m") * 1.5 / block_rows)).cast("int")
     dealt = dealt.join(F.broadcast(sizes.select("cell", chunks.alias("chunks"))), "cell") \
         .withColumn("block", F.col("cell") * (1 << 32) + F.pmod(F.xxhash64("rep"), F.col("chunks"))).withColumn("dims", F.lit(dims))
-    packed = staged(dealt.select("block", "dims", "rep", "n", "embedding").groupBy("block").applyInPandas(
-        _blocks, "block long, tree binary, center binary, radius double"), "blocks")
-    # blocks are numbered 0..; each lists the later ones, and an equal join fetches their centers
-    numbered = staged(packed.select("block", "center", "radius").withColumn("no", F.row_number().over(Window.orderBy("block")) - 1), "numbers")
-    count = numbered.count()
-    left = numbered.select(F.col("block").alias("a"), F.col("center").alias("ca"), F.col("radius").alias("ra"), F.explode(F.sequence("no", F.lit(count - 1))).alias("no"))
-    both = left.join(numbered.select(F.col("block").alias("b"), F.col("center").alias("cb"), F.col("radius").alias("rb"), "no"), "no")
+    packed = dealt.select("block", "dims", "rep", "n", "embedding").groupBy("block").applyInPandas(
+        _blocks, "block long, tree binary, center binary, radius double")
+    # groups of blocks: cells by the nearest of a few centers, a crowded one's blocks by hash; at most CENTERS numbers on the driver
+    held = {r.cell: r.m * (dims + 2) * 8 for r in sizes.collect()}
+    whole = sum(held.values())
+    tops = choose_centers(centers, min(len(centers), max(GROUPS, -(-whole // GROUP_BYTES))))
+    top_of = (centers @ tops.T).argmax(axis=1)
+    first, parts = [], []
+    for t in range(len(tops)):
+        first.append(sum(parts))
+        parts.append(max(1, -(-sum(held.get(c, 0) for c in np.flatnonzero(top_of == t)) // GROUP_BYTES)))
+    table = F.array(*[F.struct(F.lit(first[t]).alias("first"), F.lit(parts[t]).alias("parts")) for t in top_of.tolist()])
+    of = F.element_at(table, (F.floor(F.col("block") / (1 << 32)) + 1).cast("int"))
+    packed = staged(packed.withColumn("group", (of["first"] + F.pmod(F.xxhash64("block"), of["parts"])).cast("int")), "blocks")
+    groups = first[-1] + parts[-1]
+    # a group's ball covers all its blocks; groups too far apart do not meet
     far = float(np.sqrt(2 - 2 * cosine))
-
-    def near(batches):
+    top = np.repeat(np.arange(len(tops)), parts)
+    balls = {r.group: r.far for r in mapped(packed.select("group", "center", "radius"), _reach(tops[top]), "group int, far double")
+             .groupBy("group").agg(F.max("far").alias("far")).collect()}
+    ball = np.array([balls.get(g, -np.inf) for g in range(groups)])
+    gap = np.sqrt(np.maximum(0, 2 - 2 * (tops[top] @ tops[top].T))) - ball[:, None] - ball[None]
+    meets = [[h for h in range(groups) if gap[g, h] <= far + SLACK or g == h] for g in range(groups)]
+    partner = F.explode(F.element_at(F.array(*[F.array(*[F.lit(h) for h in m]) for m in meets]), F.col("group") + 1))
+    work = packed.withColumn("other", partner).select(
+        F.least("group", "other").alias("first"), F.greatest("group", "other").alias("second"), (F.col("group") > F.col("other")).cast("int").alias("side"),
+        "block", "tree", "center", "radius")
+    tasks = max(groups * (groups + 1) // 2, int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    work = work.repartition(tasks, "first", "second").sortWithinPartitions("first", "second", "side", "block")
+    return mapped(work, _traverse(cosine), "rep long, links long, to long")
+
+
+def _reach(centers: np.ndarray):
+    """(group, far): how far each block reaches from its group's center."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.float64).reshape(-1, dims) for i in (1, 4))
-            d = np.linalg.norm(a - b, axis=1)
-            ok = d <= far + batch.column(2).to_numpy() + batch.column(5).to_numpy() + SLACK
-            yield batch.select([0, 3]).filter(pa.array(ok))
-
-    todo = mapped(both.select("a", "ca", "ra", "b", "cb", "rb"), near, "a long, b long")
-    side = lambda s: packed.select(F.col("block").alias(f"{s}_block"), F.col("tree").alias(f"{s}_tree"))
-    work = todo.join(side("a"), F.col("a") == F.col("a_block")).join(side("b"), F.col("b") == F.col("b_block")).drop("a", "b")
-    pieces = max(count, int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return mapped(work.repartition(pieces, "a_block", "b_block"), _traverse(cosine), "rep long, links long, to long")
+            group = batch.column(0).to_numpy()
+            x = np.array([np.frombuffer(c) for c in batch.column(1).to_pylist()]).reshape(len(group), -1)
+            far = np.linalg.norm(x - centers[group], axis=1) + batch.column(2).to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(far)], ["group", "far"])
+    return run
 
 
 def op3_embedding_near_dedup(spark, sf_dir: str) -> DataFrame:

@@ -98,3 +98,39 @@ def test_every_language_is_learned(spark, tmp_path):
     assert len(learned) > 200 and set(model.names) == learned
     names, _ = model.decide([r[1] for r in data[:230]])
     assert np.mean([a == r[2] for a, r in zip(names, data)]) > 0.9
+
+
+def test_distributed_sums_equal_one_dense_regression(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    words = {"aa": ["lorem", "ipsum", "dolor"], "bb": ["foo", "bar", "bazqux"], "cc": ["xyzzy", "plugh", "lorem"]}
+    data = [(i, " ".join(rng.choice(words[x], 6)), x, "s", 0) for i, x in enumerate(rng.choice(["aa", "aa", "bb", "cc"], 300))]
+    docs = stored(spark, tmp_path / "d", data)
+    model = language.train(docs.repartition(5))
+    learned = [d for d in data if not held(d[0])]
+    assert model.names == ["aa", "bb", "cc"] and len(model.flags) <= 3 * language.LANDMARKS
+    x = language.presences([d[1] for d in learned])
+    phi = (x / np.sqrt(x.sum(axis=1, keepdims=True))) @ model.landmarks.T @ language.nystrom(model.landmarks)
+    y = np.array([model.names.index(d[2]) for d in learned])
+    weight = (len(y) / (3 * np.bincount(y)))[y][:, None]
+    target = np.where(y[:, None] == np.arange(3), 1.0, -1.0)
+    mean, goal = (weight * phi).sum(0) / weight.sum(), (weight * target).sum(0) / weight.sum()
+    p = phi - mean
+    w = np.linalg.solve((weight * p).T @ p + 0.1 * np.eye(phi.shape[1]), (weight * p).T @ (target - goal))
+    want = phi @ w + goal - mean @ w
+    got = (x / np.sqrt(x.sum(axis=1, keepdims=True))) @ model.landmarks.T @ model.weights + model.bias
+    assert np.allclose(got, want, atol=1e-3) and (want.argmax(axis=1) == y).mean() > 0.95
+
+
+def test_two_hundred_languages_stay_small_on_the_driver(spark, tmp_path):
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    data = [(i, "".join(map(chr, 0x4E00 + 8 * (i % 200) + rng.integers(0, 8, 60))), f"l{i % 200:03}", "s", 60) for i in range(200 * 40)]
+    docs = stored(spark, tmp_path / "d", data, clash=False)
+    tracemalloc.start()
+    model = language.train(docs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model.names) == 200 and len(model.flags) <= language.ALL_LANDMARKS and peak < 1 << 30, peak
+    names, _ = model.decide([r[1] for r in data[:200]])
+    assert np.mean([a == r[2] for a, r in zip(names, data)]) > 0.9
