@@ -40,6 +40,24 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         at = to
 
 
+def hash_spans(low: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of ``low``, which has eight bytes more than the spans need."""
+    size = stop - start
+    h = size.astype(np.uint64)
+    eight = np.ndarray((len(low) - 7,), "<u8", buffer=low, strides=(1,))
+    for done in range(0, NEAR_BYTES, 8):
+        at = np.flatnonzero(size > done) if done else slice(None)
+        left = np.minimum(size[at] - done, 8)
+        if not left.size:
+            break
+        h[at] = mixed(h[at] ^ (eight[start[at] + done] & _MASK[left]))
+    for k in np.flatnonzero(size > NEAR_BYTES):
+        import xxhash
+
+        h[k] ^= np.uint64(xxhash.xxh64_intdigest(low[start[k] + NEAR_BYTES:stop[k]].tobytes()))
+    return h
+
+
 class Words:
     """The words of some texts: ``low`` bytes, ``start`` and ``stop`` of each word in them, its ``text`` and ``place``; ``count`` and ``first`` word of each text."""
 
@@ -64,20 +82,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
-        size = self.stop - self.start
-        h = size.astype(np.uint64)
-        eight = np.ndarray((len(self.low) - 7,), "<u8", buffer=self.low, strides=(1,))
-        for done in range(0, NEAR_BYTES, 8):
-            at = np.flatnonzero(size > done) if done else slice(None)
-            left = np.minimum(size[at] - done, 8)
-            if not left.size:
-                break
-            h[at] = mixed(h[at] ^ (eight[self.start[at] + done] & _MASK[left]))
-        for k in np.flatnonzero(size > NEAR_BYTES):
-            import xxhash
-
-            h[k] ^= np.uint64(xxhash.xxh64_intdigest(self.low[self.start[k] + NEAR_BYTES:self.stop[k]].tobytes()))
-        return h
+        return hash_spans(self.low, self.start, self.stop)
 
     def shingles(self, h: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(word, hash) of the runs of ``size`` words inside one text, from the hashes of the words."""
