@@ -308,10 +308,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFra
         labels.append(F.when(found > 0, F.lit(label)))
     base = [n_words.alias("n_words"), hits.cast("long").alias("n_base"), F.least(*firsts).cast("long").alias("first_word"),
             F.greatest(*lasts).cast("long").alias("last_word"), F.array_compact(F.array(*labels)).alias("base_labels"), spdx_labels(F.col("w")).alias("spdx_labels")]
-    keywords = "|".join(sorted({r[4] for r in rules()} | set(ALIASES)))
+    keywords = F.array(*[F.lit(x) for x in sorted({r[4] for r in rules()} | set(ALIASES))])
     alias = F.create_map(*[F.lit(x) for pair in ALIASES.items() for x in pair])
-    present = F.array_distinct(F.transform(F.array_distinct(F.regexp_extract_all("w", F.lit(f" ({keywords})(?= )"), F.lit(1))),
-                                           lambda x: F.coalesce(F.try_element_at(alias, x), x)))
+    # the document's words against a set of keywords: no pattern is tried to find them
+    present = F.array_distinct(F.transform(F.array_intersect(F.split("w", " "), keywords), lambda x: F.coalesce(F.try_element_at(alias, x), x)))
     rows = rows.select(UID, "id", *base, "w", F.explode(F.array_append(present, F.lit(None).cast("string"))).alias("keyword"))
     tried = rows.join(F.broadcast(rule_table(spark)), "keyword", "left")  # a fixed table
     kept = ["id", "n_words", "n_base", "first_word", "last_word", "base_labels", "spdx_labels"]

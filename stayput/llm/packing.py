@@ -14,20 +14,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stayput.llm.common import UID, mapped, staged, with_uid
+from stayput.llm.words import BYTES, hash_spans, mixed
 
 LENGTH = 2048
 END_ID = 1
 #: Hashed document vector, dimensions after projection, bits of each on the curve.
 HASHED, DIMS, DEPTH = 1024, 3, 10
 #: White-space-free strings, and pieces of such, whose ids a Python worker remembers at most, those used last; others are encoded again.
-REMEMBERED, PIECES = 800_000, 600_000
-#: White-space-free strings that are looked up at a time.
-PIECE = 100_000
+REMEMBERED, PIECES = 3_000_000, 600_000
+#: Newly learned strings that are kept apart before they are merged, and bytes of text that are handled at a time.
+RECENT, CHUNK = 100_000, 2 << 20
 #: Letters whose lower case is one letter and that never compose, then punctuation that is one piece.
 LATIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?*#$%&|]*)")
-#: Python's split() also cuts at four control characters, which are no white space to the tokenizer.
-CONTROL = "\x1c\x1d\x1e\x1f"
-SPACED = re.compile("(?:[^\\s]|[\x1c-\x1f])+")
+#: White space of one byte; the tokenizer also drops that of two and three.
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def default_tokenizer() -> str:
@@ -58,12 +59,92 @@ class Recent:
             self.old, self.young = self.young, {}
 
 
+def spaces(raw: np.ndarray) -> np.ndarray:
+    """Which bytes of a UTF-8 text are white space: in one byte, U+0085, U+00A0, U+1680, U+2000 to 200A, U+2028, 2029, 202F, 205F, U+3000."""
+    out = SPACE[raw]
+    for lead, second, third in ((0xC2, (0x85, 0xA0), None), (0xE1, (0x9A,), (0x80,)), (0xE2, (0x80,), (*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF)),
+                                (0xE2, (0x81,), (0x9F,)), (0xE3, (0x80,), (0x80,))):
+        at = np.flatnonzero(raw[:-2] == lead)
+        at = at[np.isin(raw[at + 1], second)]
+        if third is not None:
+            at = at[np.isin(raw[at + 2], third)]
+        for k in range(2 if third is None else 3):
+            out[at + k] = True
+    return out
+
+
+class Strings:
+    """Ids of strings by two hashes of theirs, in sorted arrays: 30 bytes a string. At most ``most`` strings stay, those used last.
+
+    New ones are kept in a small array of their own and merged when that is full.
+    """
+
+    def __init__(self, most: int):
+        self.most, self.now = most, 0
+        self.flat, self.end = np.zeros(1 << 20, np.uint16), 0
+        self.main, self.recent = self._none(), self._none()
+
+    @staticmethod
+    def _none() -> dict[str, np.ndarray]:
+        return {"key": np.zeros(0, np.uint64), "check": np.zeros(0, np.uint64), "at": np.zeros(0, np.int64), "n": np.zeros(0, np.int32), "used": np.zeros(0, np.int32)}
+
+    def find(self, key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place of the ids, their number, whether known) of each string."""
+        at, n, known = np.zeros(len(key), np.int64), np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+        for table in (self.main, self.recent):
+            if not len(table["key"]):
+                continue
+            k = np.minimum(np.searchsorted(table["key"], key), len(table["key"]) - 1)
+            hit = (table["key"][k] == key) & (table["check"][k] == check) & ~known
+            k = k[hit]
+            at[hit], n[hit], known[hit] = table["at"][k], table["n"][k], True
+            table["used"][k] = self.now
+        return at, n, known
+
+    def add(self, key: np.ndarray, check: np.ndarray, ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Remember strings that are not known; returns the place and number of their ids."""
+        held = np.frombuffer(b"".join(ids), "<u2")
+        n = np.array([len(x) // 2 for x in ids], np.int64)
+        if self.end + len(held) > len(self.flat):
+            self.flat = np.concatenate([self.flat[:self.end], np.zeros(max(len(self.flat), len(held)), np.uint16)])
+        at = self.end + np.cumsum(n) - n
+        self.flat[self.end:self.end + len(held)] = held
+        self.end += len(held)
+        self.recent = self._merged(self.recent, {"key": key, "check": check, "at": at, "n": n.astype(np.int32), "used": np.full(len(key), self.now, np.int32)})
+        return at, n
+
+    @staticmethod
+    def _merged(a: dict, b: dict) -> dict:
+        both = {c: np.concatenate([a[c], b[c]]) for c in a}
+        order = np.argsort(both["key"], kind="stable")
+        return {c: v[order] for c, v in both.items()}
+
+    def tidy(self) -> None:
+        """Between two calls: merge the new strings, and forget those used longest ago when there are too many."""
+        self.now += 1
+        if len(self.recent["key"]) <= RECENT:
+            return
+        self.main, self.recent = self._merged(self.main, self.recent), self._none()
+        if len(self.main["key"]) > self.most:
+            keep = np.sort(np.argsort(self.main["used"], kind="stable")[-(self.most // 2):])
+            self.main = {c: v[keep] for c, v in self.main.items()}
+            at, n = self.main["at"], self.main["n"].astype(np.int64)
+            first = np.cumsum(n) - n
+            self.flat = np.concatenate([self.flat[spread(at, n)], np.zeros(1 << 20, np.uint16)])
+            self.main["at"], self.end = first, int(n.sum())
+
+
+def spread(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers at, at + 1, ... of each range of ``n``, one range after the other."""
+    return np.repeat(at - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
 class Encoder:
     """Ids of whole texts as little-endian 16-bit bytes.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its
-    white-space-free strings in turn; the ids of a bounded number of strings are remembered. A string of Latin
-    letters and closing punctuation is two pieces to the tokenizer. The letters of many such
+    white-space-free strings in turn. Strings are found by hashes in arrays; the ids of a bounded number are remembered, new ones are
+    learned together. A string of Latin letters and closing punctuation is two pieces to the tokenizer. The letters of many such
     strings are encoded in one call and told apart by the ids that end a piece; all other strings are encoded one by one.
     """
 
@@ -72,7 +153,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known, self.pieces = Recent(REMEMBERED), Recent(PIECES)
+        self.known, self.pieces = Strings(REMEMBERED), Recent(PIECES)
         self.ends = np.zeros(1 << 16, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
@@ -89,8 +170,8 @@ class Encoder:
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip([0, *at], at)]
 
-    def learn(self, strings: list[str]) -> dict[str, bytes]:
-        """The ids of new strings, which are remembered."""
+    def learn(self, strings: list[str]) -> list[bytes]:
+        """The ids of strings."""
         plain, split, needed = [], [], {}
         for s in strings:
             if m := LATIN.fullmatch(s):
@@ -102,7 +183,6 @@ class Encoder:
                     needed[close] = None
             else:
                 plain.append(s)
-        self.known.turn()
         self.pieces.turn()
         wanted = list(needed)
         pieces = dict(zip(wanted, self.pieces.find(wanted)))
@@ -115,28 +195,52 @@ class Encoder:
         self.pieces.young.update((w, pieces[w]) for w in (*cores, *closing))
         for s, core, close in split:
             out[s] = pieces[core] + pieces[close] if close else pieces[core]
-        self.known.young.update(out)
-        return out
+        return [out[s] for s in strings]
+
+    def _chunk(self, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(first byte of each string, its number of ids, all ids) of some text."""
+        data = np.frombuffer(raw + bytes(8), np.uint8)
+        gap = spaces(data)
+        gap[len(raw):] = True
+        edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+        if not gap[0]:
+            edge = np.concatenate([[0], edge])
+        start, stop = edge[::2], edge[1::2]
+        key = hash_spans(data, start, stop)
+        eight = np.ndarray((len(data) - 7,), "<u8", buffer=data, strides=(1,))
+        with np.errstate(over="ignore"):  # another hash, of the first and last eight bytes and the length
+            size = stop - start
+            head, tail = eight[start] & BYTES[np.minimum(size, 8)], np.where(size > 8, eight[np.maximum(stop - 8, 0)], np.uint64(0))
+            check = mixed(head * np.uint64(0x9E3779B97F4A7C15) + tail + size.astype(np.uint64))
+        _, one, inverse = np.unique(key ^ (check << np.uint64(1)), return_index=True, return_inverse=True)
+        at, n, known = self.known.find(key[one], check[one])
+        new = np.flatnonzero(~known)
+        if len(new):
+            strings = [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(start[one[new]].tolist(), stop[one[new]].tolist())]
+            at[new], n[new] = self.known.add(key[one[new]], check[one[new]], self.learn(strings))
+        count = n[inverse]
+        ids = self.known.flat[spread(at[inverse], count)]
+        self.known.tidy()
+        return start, count, ids
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text. New strings of all texts are learned together; texts come in lists of bounded size."""
-        split = [SPACED.findall(t) if any(c in t for c in CONTROL) else t.split() for t in (t or "" for t in texts)]
-        out: list[list[bytes]] = [[] for _ in texts]
-        where = [(k, at) for k, strings in enumerate(split) for at in range(0, max(1, len(strings)), PIECE)]
-        while where:
-            some, held = [], 0
-            while where and held < PIECE:
-                k, at = where.pop()
-                some.append((k, split[k][at:at + PIECE]))
-                held += len(some[-1][1])
-            found = [self.known.find(strings) for _, strings in some]
-            new = {s: None for (_, strings), x in zip(some, found) if None in x for s, b in zip(strings, x) if b is None}
-            learned = self.learn(list(new)) if new else {}
-            for (k, strings), x in zip(some, found):
-                if None in x:
-                    x = [learned[s] if b is None else b for s, b in zip(strings, x)]
-                out[k].append(b"".join(x))
-        return [b"".join(reversed(x)) for x in out]
+        """The ids of each text. All texts are handled together, CHUNK bytes at a time, cut at white space."""
+        parts = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        raw = b"\n".join(parts)
+        first = np.cumsum([0] + [len(p) + 1 for p in parts])
+        total, held, at = np.zeros(len(parts), np.int64), [], 0
+        while at < len(raw):
+            to = len(raw)
+            if to - at > CHUNK:
+                to = max(raw.rfind(b" ", at, at + CHUNK), raw.rfind(b"\n", at, at + CHUNK)) + 1
+                if not to:      # a string of more than CHUNK bytes
+                    to = min((x for x in (raw.find(b" ", at + CHUNK), raw.find(b"\n", at + CHUNK)) if x >= 0), default=len(raw) - 1) + 1
+            start, count, ids = self._chunk(raw[at:to])
+            total += np.bincount(np.searchsorted(first, start + at, "right") - 1, count, len(parts)).astype(np.int64)
+            held.append(ids.astype("<u2").tobytes())
+            at = to
+        ids, ends = b"".join(held), (2 * np.cumsum(total)).tolist()
+        return [ids[i:j] for i, j in zip([0, *ends], ends)]
 
     def encode(self, text: str | None) -> bytes:
         return self.encode_all([text])[0]

@@ -16,7 +16,8 @@ IN_WORD = np.zeros(256, bool)
 IN_WORD[0x30:0x3A] = IN_WORD[0x61:0x7B] = IN_WORD[0x80:] = True
 #: Bytes of a word that are hashed eight at a time; what lies beyond is hashed as a whole.
 NEAR_BYTES = 64
-_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: What the first so many of eight bytes keep.
+BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -50,7 +51,7 @@ def hash_spans(low: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarr
         left = np.minimum(size[at] - done, 8)
         if not left.size:
             break
-        h[at] = mixed(h[at] ^ (eight[start[at] + done] & _MASK[left]))
+        h[at] = mixed(h[at] ^ (eight[start[at] + done] & BYTES[left]))
     for k in np.flatnonzero(size > NEAR_BYTES):
         import xxhash
 

@@ -26,10 +26,14 @@ def test_encoder_equals_tokenizer(parts):
 def test_encoder_forgets_and_stays_right(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 40)
     monkeypatch.setattr(packing, "PIECES", 30)
-    monkeypatch.setattr(packing, "PIECE", 7)
+    monkeypatch.setattr(packing, "RECENT", 10)
+    monkeypatch.setattr(packing, "CHUNK", 30)
     e = packing.Encoder(packing.default_tokenizer())
     texts = [*TEXTS, " ".join(f"Ab{i}, cd{i % 13}" for i in range(200))]
-    assert e.encode_all(texts) == [plain(t) for t in texts]
+    for _ in range(2):
+        assert e.encode_all(texts) == [plain(t) for t in texts]
+    spaced = ["x\u00a0y\u2003z\u3000w\u2014v\u1680 end\x85", "q" * 100, "one " + "r" * 90 + " two"]
+    assert [b for t in spaced for b in e.encode_all([t])] == [plain(t) for t in spaced]
 
 
 def test_hilbert_neighbours():
