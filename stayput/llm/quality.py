@@ -154,13 +154,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
           sample_rows: int = SAMPLE_ROWS) -> Trees:
     """Fit on the labelled rows that are not held out, at most ``sample_rows`` of them by the smallest hash of the id.
 
-    Null ids and labels teach nothing; of several labels for one id each counts; of several documents with one id each counts.
+    Null ids and labels teach nothing; of several labels for one id each counts; of several documents with one id each
+    counts, up to twice ``sample_rows`` rows in all, in the order of the hash, so a fit can be repeated. Without any row the score is 0.5.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     chosen = known.select(F.col(id_col).alias("_id"), F.col(label).cast("double").alias("y")) \
         .orderBy(F.xxhash64("_id"), "_id", "y").limit(sample_rows)
     rows = join_checked(docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_t")), staged(chosen, "chosen"), "_id")
-    rows = with_statistics(rows, "_t", ["y"], "y double").limit(2 * sample_rows).collect()
+    rows = with_statistics(rows, "_t", ["_id", "y"], f"_id {chosen.schema['_id'].dataType.simpleString()}, y double") \
+        .orderBy(F.xxhash64("_id"), "_id", "y", "x").limit(2 * sample_rows).collect()
     x = np.array([r.x for r in rows]) if rows else np.empty((0, len(FEATURES)))
     y = np.array([r.y for r in rows])
     order = np.lexsort([*x.T, y]) if len(y) else np.empty(0, int)  # the same fit whatever order the rows came in
@@ -168,7 +170,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
 
 
 def score(docs: DataFrame, model: Trees, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """_uid, id, held_out, score (0 to 1) and predicted for every row of ``docs``; null and empty texts are scored by their zero statistics."""
+    """_uid, id, held_out, score (0 to 1) and predicted for every row of ``docs``; null and empty texts are scored by their zero statistics.
+
+    Whole texts count, however long; equal texts and repeated rows score the same; an empty table gives no rows; other columns are not read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

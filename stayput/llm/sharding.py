@@ -85,7 +85,10 @@ def assign(docs: DataFrame, shards: int = 24, slack: float = 0.001, seed: int =
 
 
 def with_slots(assigned: DataFrame) -> DataFrame:
-    """Add slot: 0, 1, 2, ... within each shard. Counts per hash bucket give each bucket's first slot, so no task orders a whole shard."""
+    """Add slot: 0, 1, 2, ... within each shard. Counts per hash bucket give each bucket's first slot, so no task orders a whole shard.
+
+    Order is the key's hash, ties (equal id and text, or null ids) by row number, so repeated rows have slots of their own.
+    """
     rows = assigned.withColumn("part", F.pmod(F.shiftright("h", 30), F.lit(16 * BUCKETS)).cast("int"))
     counts = rows.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("n"))
     first = counts.select("shard", "part", (F.sum("n").over(Window.partitionBy("shard").orderBy("part")) - F.col("n")).alias("first"))

@@ -1,6 +1,8 @@
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+
 from stayput.llm import sharding
 from tests.llm.edge import rows, stored
 
@@ -33,3 +35,46 @@ def test_edges(spark, tmp_path):
     want = Counter((i, len((t or "").encode()) + 8) for i, t, *_ in rows())
     assert Counter((r.id, r["size"]) for r in got) == want
     assert sharding.with_slots(sharding.assign(stored(spark, tmp_path / "e", []), 3)).count() == 0
+
+
+def slow(spark, keys, shards, slack, seed):
+    """The ring one key at a time: (uid, shard). ``keys`` are (uid, id, size, hash, bucket)."""
+    whole = sum(k[2] for k in keys)
+    room = dict.fromkeys(range(shards), int(-(-whole * (1 + slack) // shards)))
+    left, open_, out = list(keys), list(range(shards)), {}
+    while True:
+        ring = {r.cell: r.shard for r in sharding.ring(spark, shards, open_, seed).collect()}
+        by = defaultdict(list)
+        for k in left:
+            by[ring[k[3] % sharding.CELLS]].append(k)
+        over, rest = [], []
+        for s, some in by.items():
+            used, full = 0, False
+            for k in sorted(some, key=lambda k: (k[4], k[3], k[1] is None, k[1] or 0, k[0])):
+                full = full or used + k[2] > room[s]
+                if full:
+                    rest.append(k)
+                else:
+                    used += k[2]
+                    out[k[0]] = s
+            room[s] -= used
+            over += [s] if full else []
+        if not over:
+            return out
+        left, open_ = rest, [s for s in open_ if s not in over]
+        if not open_:
+            room = {s: room[s] + max(k[2] for k in left) + -(-sum(k[2] for k in left) // shards) for s in room}
+            open_ = list(range(shards))
+
+
+def test_assignment_equals_a_slow_ring(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    data = [(i if i % 50 else None, "x" * (i * 53 % 400) + ("y" * 9000 if i == 77 else ""), "en", "s", 0) for i in range(700)] + [(5, "again", "en", "s", 0)] * 40
+    docs = stored(spark, tmp_path / "d", data, clash=False)
+    got = {r["_uid"]: r.shard for r in sharding.assign(docs, 7).collect()}
+    rows = docs.select(F.monotonically_increasing_id().alias("u"), F.col("doc_id").alias("id"), (F.octet_length("text") + 8).alias("size"),
+                       F.xxhash64(F.lit(11), "doc_id", "text").alias("h")).collect()
+    rank = [120 - min(119, int(np.floor(2 * np.log2(r["size"])))) for r in rows]
+    keys = [(r.u, r.id, r["size"], r.h, k * sharding.BUCKETS + (r.h >> 14) % sharding.BUCKETS) for r, k in zip(rows, rank)]
+    assert got == slow(spark, keys, 7, 0.001, 11) and len(got) == len(data)
