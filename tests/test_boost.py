@@ -101,6 +101,45 @@ def test_result_does_not_depend_on_partitions_or_company(spark, monkeypatch):
     assert many[0].rows() == one.rows() and len(many[1].trees) == 3
 
 
+def jobs_of(spark, name, run):
+    """What ``run`` returns, and the number of Spark jobs that it took."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        return run(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_jobs_of_a_small_table_do_not_grow_with_rounds(spark):
+    df = table(spark, 400)
+    edges = boost.fit_edges(df, NAMES)
+    held = boost.blocks(df, NAMES, edges, key=["id"], part="part")
+    counts = []
+    for n in (2, 30):
+        job = boost.Job(boost.Setting.of({"n_estimators": n, "max_depth": 4}), [0, 1, 2], [3], 50)
+        models, jobs = jobs_of(spark, f"rounds-{n}", lambda: boost.fit_many(held, NAMES, edges, [job, job]))
+        assert [m.rounds_built for m in models] == [n, n] and models[0].rows() == models[1].rows()
+        counts.append(jobs)
+    assert counts[0] == counts[1] < 10
+
+
+@pytest.mark.parametrize("kept", [0, 1 << 26])
+def test_passes_agree_with_or_without_what_a_worker_keeps(spark, monkeypatch, kept):
+    """Patience, samples and several jobs over many partitions: as one task finds them."""
+    df = table(spark, 600, parts=6)
+    edges = boost.fit_edges(df, NAMES)
+    held = boost.blocks(df, NAMES, edges, key=["id"], part="part")
+    jobs = [boost.Job(boost.Setting.of({"n_estimators": 9, "max_depth": 3, "subsample": 0.6, "colsample_bytree": 0.7}), [0, 1, 2], [3], 3),
+            boost.Job(boost.Setting.of({"n_estimators": 5, "num_leaves": 5, "max_depth": -1}), [1, 2])]
+    alone = boost.fit_many(held, NAMES, edges, jobs)
+    monkeypatch.setattr(boost, "PART_ROWS", 0)
+    monkeypatch.setattr(boost, "SPREAD_ROWS", 150)
+    monkeypatch.setattr(boost, "KEPT_BYTES", kept)
+    monkeypatch.setattr(boost, "LAG", 2)
+    spread = boost.fit_many(held, NAMES, edges, jobs)
+    assert [(m.rows(), m.losses, m.rounds_built, m.stopped) for m in spread] == [(m.rows(), m.losses, m.rounds_built, m.stopped) for m in alone]
+
+
 def plain_best_first(gain_of, leaves):
     """Leaves by always splitting the leaf of the largest gain."""
     import heapq
