@@ -213,3 +213,38 @@ def test_auc_is_not_below_mllib(spark):
     theirs = score.score_model(assemble(s.where("part > 2"), names, "features"), mllib)
     a, b = (ranking_metrics(x, "label", "probability").first()["roc_auc"] for x in (held, theirs))
     assert a >= b - 0.005, (a, b)
+
+
+def test_reached_equals_a_walk_and_goes_on_from_nodes():
+    rng = np.random.default_rng(2)
+    tree = boost.Tree(np.array([1, 0, -1, 2, -1, -1, -1], np.int32), np.array([100, 30, 0, 200, 0, 0, 0], np.int32),
+                      np.array([True, False, False, True, False, False, False]), np.array([1, 3, 0, 5, 0, 0, 0], np.int32),
+                      np.array([2, 4, 0, 6, 0, 0, 0], np.int32), np.zeros(7), np.zeros(7))
+    bins = rng.integers(0, 256, (3, 500)).astype(np.uint8)
+    bins[:, :40] = 0
+
+    def walk(column, node):
+        while tree.feature[node] >= 0:
+            b = column[tree.feature[node]]
+            node = tree.left[node] if (tree.null_left[node] if b == 0 else b <= tree.bin[node]) else tree.right[node]
+        return node
+
+    assert tree.reached(bins).tolist() == [walk(c, 0) for c in bins.T]
+    start = rng.integers(0, 7, 500).astype(np.int32)
+    assert tree.reached(bins, start).tolist() == [walk(c, s) for c, s in zip(bins.T, start)]
+    assert tree.reached(bins[:, :0]).tolist() == []
+
+
+def test_passes_over_several_partitions_walk_few_finished_trees(spark, monkeypatch):
+    """A pass that finds nothing kept walks the trees that the stored margins lag behind: 3 at most, not up to 10."""
+    monkeypatch.setattr(boost, "PART_ROWS", 0)
+    monkeypatch.setattr(boost, "SPREAD_ROWS", 150)
+    pending, pass_ = [], boost._pass
+
+    def watched(run, state, plans, reducers):
+        pending.extend(len(p["pending"]) for p in plans)
+        return pass_(run, state, plans, reducers)
+
+    monkeypatch.setattr(boost, "_pass", watched)
+    model = boost.fit(table(spark, 300, parts=2), NAMES, {"n_estimators": 8, "max_depth": 1})
+    assert len(model.trees) == 8 and max(pending) <= 3
