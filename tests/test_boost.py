@@ -248,3 +248,22 @@ def test_passes_over_several_partitions_walk_few_finished_trees(spark, monkeypat
     monkeypatch.setattr(boost, "_pass", watched)
     model = boost.fit(table(spark, 300, parts=2), NAMES, {"n_estimators": 8, "max_depth": 1})
     assert len(model.trees) == 8 and max(pending) <= 3
+
+
+def test_features_of_few_bins_are_counted_together(monkeypatch):
+    """The sums are those of counting each feature alone, in fewer counts."""
+    rng = np.random.default_rng(6)
+    n, sizes, slots = 20_000, [3, 3, 3, 4, 4, 10, 74, 250], 5
+    bins = np.stack([rng.integers(0, s, n) for s in sizes]).astype(np.uint8)
+    slot = rng.integers(0, slots, n).astype(np.int32)
+    g, h = boost.gradients(rng.integers(0, 2, n).astype(float), np.ones(n), rng.normal(size=n))
+    counts, plain = [], np.bincount
+    monkeypatch.setattr(boost.np, "bincount", lambda *a: counts.append(1) or plain(*a))
+    got = boost.histogram(bins, slot, g, h, slots, 256)
+    for f, b in enumerate(bins):
+        for k, w in enumerate((g, h, None)):
+            assert (got[k, :, f] == plain(slot * 256 + b.astype(np.int64), w, slots * 256).reshape(slots, 256)).all()
+    assert len(counts) <= 3 * 4
+    assert boost.histogram(bins[:, :0], slot[:0], g[:0], h[:0], 2, 256).tolist() == np.zeros((3, 2, len(bins), 256)).tolist()
+    few = boost.histogram(bins[:, :7], slot[:7], g[:7], h[:7], slots, 256)
+    assert few[2].sum() == 7 * len(bins)
